@@ -1,0 +1,61 @@
+"""Run a registered query in Spark and its SQL in DuckDB, and compare the results as multisets."""
+
+from __future__ import annotations
+
+import decimal
+import math
+
+import duckdb
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(v)
+    if isinstance(v, decimal.Decimal):
+        return str(v)
+    if hasattr(v, "item") and not isinstance(v, (str, bytes)):
+        try:
+            return _norm(v.item())
+        except Exception:  # noqa: BLE001
+            return v
+    return v
+
+
+def rows_of(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    df = fn(spark, sf_dir)
+    s_cols = df.columns
+    s_rows = [tuple(r) for r in df.collect()]
+    res = con.execute(sql)
+    d_cols = [d[0] for d in res.description]
+    d_rows = res.fetchall()
+    out = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
+           "cols_match": sorted(s_cols) == sorted(d_cols), "spark_cols": s_cols, "oracle_cols": d_cols}
+    if out["cols_match"]:
+        a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
+        out["values_match"] = a == b
+        if not out["values_match"]:
+            diff_a = [x for x in a if x not in set(b)][:3]
+            diff_b = [x for x in b if x not in set(a)][:3]
+            out["only_spark"], out["only_oracle"] = diff_a, diff_b
+    else:
+        out["values_match"] = False
+    return out
