@@ -126,11 +126,11 @@ def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame |
 def split_families(daily_tags: DataFrame) -> DataFrame:
     """Prefix form of the family split: one tag map per user, split by the ``prod_`` key prefix.
 
-    Returned exploded (user_id, family, tag, weight) so that it stays scalar.
+    Returned exploded (user_id, dt, family, tag, weight) so that it stays scalar.
     """
     fam = F.when(F.col("tag").startswith(R.PRODUCT_PREFIX), F.lit(PRODUCT_FAMILY)).otherwise(F.lit(TYPE_FAMILY))
-    return (daily_tags.groupBy("user_id", "tag").agg(F.sum("w").cast(WEIGHT).alias("weight"))
-            .select("user_id", fam.alias("family"), "tag", "weight"))
+    return (daily_tags.groupBy("user_id", "dt", "tag").agg(F.sum("w").cast(WEIGHT).alias("weight"))
+            .select("user_id", "dt", fam.alias("family"), "tag", "weight"))
 
 
 def interest_text(state: DataFrame) -> DataFrame:

@@ -117,16 +117,16 @@ MEMBER = """member AS (
 
 def age_expr(rule: str = "calendar") -> str:
     y, m, d = AS_OF
-    before = (f"({m} < bm OR ({m} = bm AND {d} < bd))" if rule == "calendar"
-              else f"({m} < bm OR ({m} = bm AND {d} <> bd))")
+    before = (f"({m} < b_m OR ({m} = b_m AND {d} < b_d))" if rule == "calendar"
+              else f"({m} < b_m OR ({m} = b_m AND {d} <> b_d))")
     return (f"CASE WHEN birth IS NULL OR length(birth) < 4 THEN 0 "
-            f"WHEN by IS NULL OR bm IS NULL OR bd IS NULL THEN NULL "
-            f"ELSE {y} - by - CASE WHEN {before} THEN 1 ELSE 0 END END")
+            f"WHEN b_y IS NULL OR b_m IS NULL OR b_d IS NULL THEN NULL "
+            f"ELSE {y} - b_y - CASE WHEN {before} THEN 1 ELSE 0 END END")
 
 
 AGED = """aged AS (
-  SELECT *, TRY_CAST(substr(birth, 1, 4) AS INTEGER) AS by, TRY_CAST(substr(birth, 6, 2) AS INTEGER) AS bm,
-         TRY_CAST(substr(birth, 9, 2) AS INTEGER) AS bd
+  SELECT *, TRY_CAST(substr(birth, 1, 4) AS INTEGER) AS b_y, TRY_CAST(substr(birth, 6, 2) AS INTEGER) AS b_m,
+         TRY_CAST(substr(birth, 9, 2) AS INTEGER) AS b_d
   FROM member)"""
 
 
