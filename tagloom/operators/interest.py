@@ -104,22 +104,28 @@ def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
 
 
 def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame | None = None,
-                    expire: str = "drop", checkpoint_every: int = 5, keep_null_product: bool = False) -> DataFrame:
+                    expire: str = "drop", checkpoint_every: int | None = None,
+                    keep_null_product: bool = False) -> DataFrame:
     """Run the daily job for each day in order (day n reads the state day n-1 wrote).
 
     The daily aggregates of all requested days are computed in one pass over the
-    behaviour rows; lineage is cut with a reliable checkpoint every few days.
+    behaviour rows. Each step reads the previous state twice (join and per-user
+    flags), so the plan doubles per uncut step: beyond three days the state is
+    written to the shared checkpoint folder after every ``checkpoint_every`` days
+    (default 1, i.e. one snapshot per day as the daily job writes).
     """
     days = list(days)
     spark = behavior.sparkSession
     state = prev if prev is not None else empty_state(spark)
     per_day = daily_interest(behavior.where(F.col("dt").isin(*days)), keep_null_product, by_day=True)
-    if len(days) > checkpoint_every:
-        per_day = cut_lineage(per_day)
+    if checkpoint_every is None:
+        checkpoint_every = 1 if len(days) > 3 else 0
+    if checkpoint_every:
+        per_day = cut_lineage(per_day, "interest-daily")
     for i, d in enumerate(days, 1):
         state = merge_interest(state, per_day.where(F.col("dt") == d), expire=expire)
         if checkpoint_every and i % checkpoint_every == 0 and i < len(days):
-            state = cut_lineage(state)
+            state = cut_lineage(state, f"interest-state-{d}")
     return state
 
 

@@ -129,6 +129,15 @@ register("merge_interest_keep_stale", W("SELECT * FROM s2", *O.interest_ctes([DA
     lambda s, sf: _state(s, sf, [DAY1, DAY2], expire="keep_stale"))
 register("merge_interest_3days", W("SELECT * FROM s3", *O.interest_ctes([DAY1, DAY2, DAY3])))(
     lambda s, sf: _state(s, sf, [DAY1, DAY2, DAY3]))
+ALL_DAYS = [f"202401{d:02d}" for d in range(1, 31)]  # the calendar the fixture spans; empty days carry over
+
+
+def _all_days_state(s, sf, expire="drop"):
+    return _state(s, sf, A.event_days(s, sf), expire=expire)
+
+
+register("merge_interest_all_days", W(f"SELECT * FROM s{len(ALL_DAYS)}", *O.interest_ctes(ALL_DAYS)))(
+    lambda s, sf: _all_days_state(s, sf))
 register("interest_text", W("SELECT user_id, family, tag, CAST(weight AS VARCHAR) AS value FROM s2",
                             *O.interest_ctes([DAY1, DAY2])))(
     lambda s, sf: interest.interest_text(_state(s, sf, [DAY1, DAY2])))

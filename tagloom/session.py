@@ -63,10 +63,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint folder.
+
+    One write job (``Dataset.checkpoint`` would compute the plan twice), and the
+    table survives executor loss because it lives on the cluster's shared storage.
+    """
+    spark = df.sparkSession
+    path = scratch_table_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
