@@ -4,14 +4,22 @@ s(i, j) = c_ij / sqrt(n_i * n_j), c_ij = users having both, n_i = users having i
 
 Scale notes
 -----------
-* Pairs are counted once (i < j) and mirrored after aggregation.
-* A user's items are split into chunks of at most ``chunk_items`` by item hash;
-  the self join runs on (user, chunk a, chunk b), so one heavy user is spread over
-  many join keys and tasks instead of one group. Pair counts are partially
-  aggregated map-side before the shuffle on (i, j).
-* The top-k cut is ``row_number() <= k``, which Spark plans as a partial
-  WindowGroupLimit before the shuffle, so a popular item never ships all its
-  partners to one task.
+* Items are keyed by ``xxhash64(item)`` while pairs are generated, counted and
+  ranked (fixed-width keys, no dictionary pass). Strings are joined back at the
+  end; a hash shared by two strings stops the job with an error instead of
+  merging them, so results are exact or absent, never silently wrong.
+* A user's items are grouped into chunks of about ``chunk_items`` (by item hash)
+  with ``collect_set`` (partial aggregation, so duplicates collapse map-side).
+  Light users (the common case) form one chunk and their pairs (i < j) come from
+  that bounded array by posexplode/slice; no self join.
+* Heavy users (more than ``chunk_items`` items) are found by a partial count;
+  their chunk pairs (a < b) are joined one-to-one on (user, a, b), so a user
+  holding a third of all rows is spread over many bounded tasks.
+* Pair counts are partially aggregated before the shuffle on (i, j); both
+  directions come from one explode instead of a union of two plans.
+* Top-k: ``rank() <= k`` on the hashed keys (a partial WindowGroupLimit before
+  the shuffle keeps every candidate tied at the cut), then the exact
+  ``row_number()`` with the string tie-break on that small candidate set.
 """
 
 from __future__ import annotations
@@ -24,58 +32,111 @@ from ..functions import rules as R
 DEFAULT_CHUNK_ITEMS = 1024
 
 
+def _keyed(user_items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(user_id, item=hash) rows and the (iid, item string) dictionary.
+
+    One distinct up front (hash-partitioned on both columns, so a hot user is not
+    one task); every later branch reads that exchange instead of recomputing the input.
+    """
+    ui = user_items.select("user_id", "item").distinct().select("user_id", "item", F.xxhash64("item").alias("iid"))
+    return ui.select("user_id", F.col("iid").alias("item")), ui.select("iid", "item")
+
+
+def _decode(df: DataFrame, dictionary: DataFrame, cols=("item", "neighbour")) -> DataFrame:
+    # count() keeps the upstream distinct in the plan (min/max alone would let the
+    # optimizer drop it and rescan the input instead of reusing its exchange)
+    d = (dictionary.groupBy("iid")
+         .agg(F.min("item").alias("s"), F.max("item").alias("s2"), F.count(F.lit(1)).alias("_n"))
+         .select("iid", F.when(F.col("s") == F.col("s2"), F.col("s"))
+                 .otherwise(F.raise_error(F.concat(F.lit("item hash collision: "), F.col("s"), F.lit(" / "),
+                                                   F.col("s2")))).alias("s")))
+    out = df
+    for c in cols:
+        out = (out.join(d.select(F.col("iid").alias(c), F.col("s").alias(f"_{c}")), c)
+               .drop(c).withColumnRenamed(f"_{c}", c))
+    return out
+
+
+def _chunk_lists(user_items: DataFrame, chunk_items: int) -> DataFrame:
+    """(user_id, chunk, nc, items): each user's distinct items split into nc bounded chunks."""
+    ui = user_items.select("user_id", "item")
+    heavy = (ui.groupBy("user_id").agg(F.count(F.lit(1)).alias("d"))
+             .where(F.col("d") > chunk_items)
+             .select("user_id", F.ceil(F.col("d") / F.lit(chunk_items)).cast("int").alias("hc")))
+    # the heavy-user table is small by construction (at most rows / chunk_items); AQE
+    # broadcasts it when its measured size allows, else both sides shuffle on user_id
+    rows = ui.join(heavy, "user_id", "left").select("user_id", "item", F.coalesce("hc", F.lit(1)).alias("nc"))
+    chunk = F.pmod(F.xxhash64("item"), F.col("nc")).cast("int")
+    return (rows.groupBy("user_id", chunk.alias("chunk"), "nc")
+            .agg(F.array_sort(F.collect_set("item")).alias("items")))
+
+
+def _frequency_from_lists(lists: DataFrame) -> DataFrame:
+    return (lists.select(F.explode("items").alias("item"))
+            .groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
+def _pair_counts_from_lists(lists: DataFrame) -> DataFrame:
+    # pairs inside a chunk: each element with the elements after it (generators stay in codegen)
+    within = (lists.select("items", F.posexplode("items").alias("p", "i"))
+              .select("i", F.explode(F.slice("items", F.col("p") + 2, F.size("items"))).alias("j")))
+    # pairs across chunks a < b of a heavy user: one row per (user, a, b) on each side
+    multi = lists.where(F.col("nc") > 1)
+    other = F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("other")
+    keyed = multi.select("user_id", "chunk", "items", other)
+    a = keyed.where(F.col("chunk") < F.col("other")).select(
+        "user_id", F.col("chunk").alias("ca"), F.col("other").alias("cb"), F.col("items").alias("xa"))
+    b = keyed.where(F.col("chunk") > F.col("other")).select(
+        "user_id", F.col("other").alias("ca"), F.col("chunk").alias("cb"), F.col("items").alias("xb"))
+    across = (a.join(b, ["user_id", "ca", "cb"])
+              .select(F.explode("xa").alias("x"), "xb")
+              .select("x", F.explode("xb").alias("y"))
+              .select(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")))
+    return (within.unionByName(across)
+            .groupBy("i", "j").agg(F.count(F.lit(1)).cast("bigint").alias("c")))
+
+
+def _both_directions(df: DataFrame, value: str) -> DataFrame:
+    both = F.array(F.struct(F.col("i").alias("item"), F.col("j").alias("neighbour"), F.col(value).alias(value)),
+                   F.struct(F.col("j").alias("item"), F.col("i").alias("neighbour"), F.col(value).alias(value)))
+    return df.select(F.inline(both))
+
+
+def _scored(enc: DataFrame, chunk_items: int) -> DataFrame:
+    lists = _chunk_lists(enc, chunk_items)
+    freq = _frequency_from_lists(lists)
+    pc = _pair_counts_from_lists(lists)
+    fi = freq.select(F.col("item").alias("i"), F.col("n").alias("ni"))
+    fj = freq.select(F.col("item").alias("j"), F.col("n").alias("nj"))
+    score = F.col("c").cast("double") / F.sqrt(F.col("ni").cast("double") * F.col("nj").cast("double"))
+    return _both_directions(pc.join(fi, "i").join(fj, "j").select("i", "j", score.alias("score")), "score")
+
+
 def item_frequency(user_items: DataFrame) -> DataFrame:
     """(item, n): distinct users per item (the diagonal of the co-occurrence matrix)."""
     return (user_items.select("user_id", "item").distinct()
             .groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
-def _chunked(user_items: DataFrame, chunk_items: int) -> DataFrame:
-    ui = user_items.select("user_id", "item").distinct()
-    deg = ui.groupBy("user_id").agg(F.count(F.lit(1)).alias("d"))
-    nchunks = F.greatest(F.lit(1), F.ceil(F.col("d") / F.lit(chunk_items))).cast("int")
-    return (ui.join(deg, "user_id")
-            .select("user_id", "item", nchunks.alias("nc"))
-            .withColumn("chunk", F.pmod(F.xxhash64("item"), F.col("nc")).cast("int")))
-
-
 def pair_counts(user_items: DataFrame, chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
-    """(i, j, c) for i < j with c > 0."""
-    rows = _chunked(user_items, chunk_items)
-    partner = F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("other")
-    keyed = rows.select("user_id", "item", "chunk", partner)
-    a = keyed.where(F.col("chunk") <= F.col("other")).select(
-        "user_id", F.col("chunk").alias("ca"), F.col("other").alias("cb"), F.col("item").alias("x"))
-    b = keyed.where(F.col("chunk") >= F.col("other")).select(
-        "user_id", F.col("other").alias("ca"), F.col("chunk").alias("cb"), F.col("item").alias("y"))
-    pairs = (a.join(b, ["user_id", "ca", "cb"])
-             .where((F.col("ca") < F.col("cb")) | (F.col("x") < F.col("y")))
-             .select(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")))
-    return pairs.groupBy("i", "j").agg(F.count(F.lit(1)).cast("bigint").alias("c"))
+    """(i, j, c) with c > 0, one row per unordered pair (ordered by hash key)."""
+    enc, dictionary = _keyed(user_items)
+    pc = _pair_counts_from_lists(_chunk_lists(enc, chunk_items))
+    return _decode(pc.withColumnRenamed("i", "item").withColumnRenamed("j", "neighbour"), dictionary).select(
+        F.col("item").alias("i"), F.col("neighbour").alias("j"), "c")
 
 
 def cooccurrence(user_items: DataFrame, chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
     """(item, neighbour, c): both orders of every off-diagonal pair."""
-    pc = pair_counts(user_items, chunk_items)
-    return _mirror(pc, "c")
-
-
-def _mirror(df: DataFrame, value: str) -> DataFrame:
-    return (df.select(F.col("i").alias("item"), F.col("j").alias("neighbour"), value)
-            .unionByName(df.select(F.col("j").alias("item"), F.col("i").alias("neighbour"), value)))
+    enc, dictionary = _keyed(user_items)
+    pc = _pair_counts_from_lists(_chunk_lists(enc, chunk_items))
+    return _decode(_both_directions(pc, "c"), dictionary).select("item", "neighbour", "c")
 
 
 def similarity(user_items: DataFrame, chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
     """(item, neighbour, score) for every ordered pair that shares a user."""
-    ui = user_items.select("user_id", "item").distinct()
-    freq = item_frequency(ui)
-    pc = pair_counts(ui, chunk_items)
-    fi = freq.select(F.col("item").alias("i"), F.col("n").alias("ni"))
-    fj = freq.select(F.col("item").alias("j"), F.col("n").alias("nj"))
-    scored = (pc.join(fi, "i").join(fj, "j")
-              .select("i", "j", (F.col("c").cast("double")
-                                 / F.sqrt(F.col("ni").cast("double") * F.col("nj").cast("double"))).alias("score")))
-    return _mirror(scored, "score")
+    enc, dictionary = _keyed(user_items)
+    return _decode(_scored(enc, chunk_items), dictionary).select("item", "neighbour", "score")
 
 
 def top_k(scored: DataFrame, k: int = R.TOP_K) -> DataFrame:
@@ -86,4 +147,8 @@ def top_k(scored: DataFrame, k: int = R.TOP_K) -> DataFrame:
 
 
 def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
-    return top_k(similarity(user_items, chunk_items), k)
+    enc, dictionary = _keyed(user_items)
+    scored = _scored(enc, chunk_items)
+    by_score = Window.partitionBy("item").orderBy(F.col("score").desc())
+    cand = scored.withColumn("r", F.rank().over(by_score)).where(F.col("r") <= k).drop("r")
+    return top_k(_decode(cand, dictionary), k).select("item", "neighbour", "score", "rank")
