@@ -16,6 +16,7 @@ from ..functions import jsonfn as J
 from ..functions import rules as R
 from ..operators import enrich, interest, profile, push, similarity, slots
 from ..sources import adapters as A
+from ..session import cut_lineage
 from ..sources.tables import table
 from . import oracle as O
 
@@ -43,6 +44,11 @@ def _state(spark, sf, days, expire="drop"):
     return interest.replay_interest(A.behavior(spark, sf), days, expire=expire)
 
 
+def _snapshot(spark, sf, days, expire="drop"):
+    """The state as the push job sees it: the interest job's written snapshot (read several times)."""
+    return cut_lineage(_state(spark, sf, days, expire), "interest-snapshot")
+
+
 def _day(spark, sf, dt):
     return interest.daily_interest(A.behavior(spark, sf, dt))
 
@@ -215,7 +221,7 @@ register("seed_item_min", W("SELECT user_id, item, weight FROM seed",
 
 
 def push_rows_query(s: SparkSession, sf: str, seed: str = "max") -> DataFrame:
-    return push.push_rows(_state(s, sf, [DAY1, DAY2]), run_dt=DAY2, seed=seed)
+    return push.push_rows(_snapshot(s, sf, [DAY1, DAY2]), run_dt=DAY2, seed=seed)
 
 
 register("push_rows", W("SELECT * FROM push", *O.push_ctes("DESC")))(push_rows_query)
@@ -225,7 +231,7 @@ register("push_preview", W('SELECT * FROM push ORDER BY "MEMBER_ID", "PROD_ID" L
     lambda s, sf: push.push_preview(push_rows_query(s, sf)))
 register("push_lists", W('SELECT user_id AS "MEMBER_ID", string_agg(neighbour, \',\' ORDER BY rank) AS "PROD_IDS" '
                          "FROM cand GROUP BY user_id", *O.push_ctes("DESC")))(
-    lambda s, sf: push.push_lists(_state(s, sf, [DAY1, DAY2])))
+    lambda s, sf: push.push_lists(_snapshot(s, sf, [DAY1, DAY2])))
 
 # --- profile snapshot (upsert of attribute tags over interest, slots and summary) ------
 
@@ -271,7 +277,7 @@ register("json_map", "SELECT e.event_id, j.key AS key, json_extract_string(e.pro
 
 
 def _push_json(s, sf):
-    cand = push.push_candidates(_state(s, sf, [DAY1, DAY2]))
+    cand = push.push_candidates(_snapshot(s, sf, [DAY1, DAY2]))
     rec = F.array_sort(F.collect_list(F.struct("rank", F.col("neighbour").alias("prod_id"))))
     return cand.groupBy("user_id").agg(J.encode_array(rec).alias("doc"))
 
