@@ -109,10 +109,10 @@ def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame |
     """Run the daily job for each day in order (day n reads the state day n-1 wrote).
 
     The daily aggregates of all requested days are computed in one pass over the
-    behaviour rows. Each step reads the previous state twice (join and per-user
-    flags), so the plan doubles per uncut step: beyond three days the state is
-    written to the shared checkpoint folder after every ``checkpoint_every`` days
-    (default 1, i.e. one snapshot per day as the daily job writes).
+    behaviour rows and written once. Each step reads the previous state twice (join
+    and per-user flags), so the plan doubles per uncut step: beyond three days the
+    state is written to the shared checkpoint folder after every ``checkpoint_every``
+    days (default 1, i.e. one snapshot per day as the daily job writes).
     """
     days = list(days)
     spark = behavior.sparkSession
@@ -120,8 +120,10 @@ def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame |
     per_day = daily_interest(behavior.where(F.col("dt").isin(*days)), keep_null_product, by_day=True)
     if checkpoint_every is None:
         checkpoint_every = 1 if len(days) > 3 else 0
-    if checkpoint_every:
-        per_day = cut_lineage(per_day, "interest-daily")
+    if len(days) > 1:
+        # every step reads its day twice (join and flags) and the day filter is pushed
+        # below the aggregate, so without this one write the input is scanned 2^n times
+        per_day = cut_lineage(per_day, "interest-daily", partition_by=("dt",))
     for i, d in enumerate(days, 1):
         state = merge_interest(state, per_day.where(F.col("dt") == d), expire=expire)
         if checkpoint_every and i % checkpoint_every == 0 and i < len(days):

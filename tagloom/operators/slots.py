@@ -51,20 +51,29 @@ def summary_text(pairs: Column) -> Column:
     return F.concat(F.lit("List("), F.array_join(items, ", "), F.lit(")"))
 
 
-def day_summary(new_state: DataFrame, daily: DataFrame) -> DataFrame:
-    """Summary of one daily run: today's slots of each active user with cumulative counts."""
-    today = daily.select("user_id", "slot").join(new_state, ["user_id", "slot"])
+def day_summary(new_state: DataFrame, daily: DataFrame, summary: str = "today") -> DataFrame:
+    """Summary of one daily run for each active user: today's slots with cumulative counts
+    (``summary='all'``: every slot the user has)."""
+    if summary == "today":
+        today = daily.select("user_id", "slot").join(new_state, ["user_id", "slot"])
+    elif summary == "all":
+        today = new_state.join(daily.select("user_id").distinct(), "user_id", "left_semi")
+    else:
+        raise ValueError("summary must be 'today' or 'all'")
     return (today.groupBy("user_id")  # at most six slots per user: a bounded group
             .agg(summary_text(F.collect_list(F.struct("slot", "n"))).alias("summary")))
 
 
-def history_summary(per_day: DataFrame) -> DataFrame:
+def history_summary(per_day: DataFrame, summary: str = "today") -> DataFrame:
     """Summary cell after replaying every day, without a day-by-day fold.
 
     The merge is additive, so the cumulative count on a user's last active day is
-    the user's total; the cell holds the slots of that last day.
+    the user's total; the cell holds the slots of that last day (all slots with
+    ``summary='all'``).
     """
-    last = per_day.groupBy("user_id").agg(F.max("dt").alias("dt"))
     totals = per_day.groupBy("user_id", "slot").agg(F.sum("n").cast("bigint").alias("n"))
+    if summary == "all":
+        return day_summary(totals, totals.select("user_id"), "all")
+    last = per_day.groupBy("user_id").agg(F.max("dt").alias("dt"))
     today = per_day.join(last, ["user_id", "dt"], "left_semi").select("user_id", "slot")
     return day_summary(totals, today)

@@ -32,7 +32,7 @@ def interest_job(spark: SparkSession, behavior: DataFrame, state_base: str, dt:
 
 
 def slots_job(spark: SparkSession, browse: DataFrame, state_base: str, summary_base: str, dt: str,
-              prev_dt: str | None = None) -> str:
+              prev_dt: str | None = None, summary: str = "today") -> str:
     """Daily slot counts (additive) plus the summary cell of today's active users."""
     prev_dt = prev_dt or S.latest_before(spark, state_base, dt)
     prev = (S.read_snapshot(spark, state_base, prev_dt, S.SLOT_SCHEMA) if prev_dt
@@ -41,7 +41,7 @@ def slots_job(spark: SparkSession, browse: DataFrame, state_base: str, summary_b
     new = slots.merge_slots(prev, today)
     path = S.write_snapshot(new, state_base, dt, partition_by=())
     written = S.read_snapshot(spark, state_base, dt, S.SLOT_SCHEMA)
-    todays = slots.day_summary(written, today)
+    todays = slots.day_summary(written, today, summary)
     # the summary table is cumulative: today's cells replace the user's earlier cell
     prev_summary = (S.read_snapshot(spark, summary_base, prev_dt, S.SUMMARY_SCHEMA)
                     if prev_dt and dt_key(prev_dt) in S.snapshot_dates(spark, summary_base)

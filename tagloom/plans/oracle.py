@@ -141,6 +141,9 @@ def text_or_unknown(c: str) -> str:
 
 
 GENDER = "CASE gender WHEN 0 THEN '001001' WHEN 1 THEN '001002' ELSE 'unknown' END"
+GENDER_NULL_AS_ZERO = "CASE COALESCE(gender, 0) WHEN 0 THEN '001001' WHEN 1 THEN '001002' ELSE 'unknown' END"
+TERMINAL_NULL_AS_ZERO = ("CASE COALESCE(terminal_type, 0) WHEN 0 THEN '005001' WHEN 1 THEN '005002' "
+                         "WHEN 2 THEN '005003' WHEN 3 THEN '005004' ELSE 'unknown' END")
 DEFORMITY = ("CASE deformity_level WHEN 1 THEN '009001' WHEN 2 THEN '009002' WHEN 3 THEN '009003' "
              "WHEN 4 THEN '009004' ELSE 'unknown' END")
 EDUCATION = "CASE WHEN education_level BETWEEN 1 AND 9 THEN '00300' || CAST(education_level AS VARCHAR) ELSE 'unknown' END"
@@ -209,6 +212,11 @@ SLOT_SUMMARY = """ssum AS (
     ON t.user_id = today.user_id AND t.slot = today.slot
   GROUP BY t.user_id)"""
 
+SLOT_SUMMARY_ALL = """ssum_all AS (
+  SELECT user_id, """ + summary_agg("slot", "n") + """ AS summary
+  FROM (SELECT user_id, slot, CAST(SUM(n) AS BIGINT) AS n FROM sdaily GROUP BY user_id, slot) t
+  GROUP BY user_id)"""
+
 SLOT_STATE_ALL = """sstate AS (SELECT user_id, slot, CAST(SUM(n) AS BIGINT) AS n FROM sdaily GROUP BY user_id, slot)"""
 
 # --- similarity -----------------------------------------------------------------

@@ -93,6 +93,13 @@ _attr("tag_terminal", lambda: R.terminal_tag(), O.TERMINAL)
 _attr("tag_province", lambda: R.text_or_unknown("province"), O.text_or_unknown("province"))
 _attr("tag_city", lambda: R.text_or_unknown("city"), O.text_or_unknown("city"))
 _attr("tag_city_level", lambda: R.city_level_tag(), O.city_level())
+_attr("tag_age_band_reference", lambda: R.age_tag("birth", AS_OF, rule="reference"),
+      O.band(O.age_expr("reference")))
+register("tag_null_int_as_zero", W(f"SELECT id AS user_id, {O.GENDER_NULL_AS_ZERO} AS gender, "
+                                   f"{O.TERMINAL_NULL_AS_ZERO} AS terminal_type FROM member", O.MEMBER))(
+    lambda s, sf: _member(s, sf).select(F.col("id").alias("user_id"),
+                                        R.gender_tag("gender", True).alias("gender"),
+                                        R.terminal_tag("terminal_type", True).alias("terminal_type")))
 register("age_years", W(f"SELECT id AS user_id, birth, {O.age_expr()} AS age FROM aged", *MB))(
     lambda s, sf: _member(s, sf).select(F.col("id").alias("user_id"), "birth",
                                         R.age_years("birth", AS_OF).alias("age")))
@@ -120,6 +127,11 @@ register("product_interest_day", W("SELECT user_id, dt, tag, new_w AS weight FRO
                                    *O.INTEREST_BASE))(
     lambda s, sf: interest.daily_interest(A.behavior(s, sf), by_day=True)
     .where(F.col("family") == interest.PRODUCT_FAMILY).select("user_id", "dt", "tag", F.col("new_w").alias("weight")))
+register("product_interest_keep_null", W(
+    "SELECT user_id, dt, 'prod_' || COALESCE(prod_id, 'null') AS tag, CAST(SUM(w) AS DECIMAL(18,2)) AS weight "
+    "FROM bw GROUP BY user_id, dt, 'prod_' || COALESCE(prod_id, 'null')", O.EV, O.BEHAVIOR, O.BW))(
+    lambda s, sf: interest.daily_interest(A.behavior(s, sf), keep_null_product=True, by_day=True)
+    .where(F.col("family") == interest.PRODUCT_FAMILY).select("user_id", "dt", "tag", F.col("new_w").alias("weight")))
 register("split_families", W(
     "SELECT user_id, dt, CASE WHEN starts_with(tag, 'prod_') THEN 'prod_tags' ELSE 'be_tags' END AS family, tag, "
     "CAST(SUM(w) AS DECIMAL(18,2)) AS weight FROM tagrows GROUP BY user_id, dt, tag",
@@ -191,6 +203,9 @@ register("merge_slots_day", W(
 register("slot_summary", W("SELECT * FROM ssum", *O.SLOT_BASE, O.SLOT_SUMMARY))(
     lambda s, sf: slots.history_summary(slots.daily_slots(A.browse(s, sf), by_day=True)))
 
+register("slot_summary_all", W("SELECT * FROM ssum_all", *O.SLOT_BASE, O.SLOT_SUMMARY_ALL))(
+    lambda s, sf: slots.history_summary(slots.daily_slots(A.browse(s, sf), by_day=True), summary="all"))
+
 # --- similarity -----------------------------------------------------------------------
 
 _SIM_SMALL = O.similarity_ctes(O.UI_SMALL)

@@ -63,16 +63,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or path
 
 
-def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint folder.
 
     One write job (``Dataset.checkpoint`` would compute the plan twice), and the
     table survives executor loss because it lives on the cluster's shared storage.
+    ``partition_by`` lets later filters on those columns prune directories.
     """
     spark = df.sparkSession
     path = scratch_table_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
