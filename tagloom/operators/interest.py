@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,28 +33,40 @@ STATE_SCHEMA = T.StructType([
 TYPE_FAMILY, PRODUCT_FAMILY = "be_tags", "prod_tags"
 
 
-def tag_rows(behavior: DataFrame, keep_null_product: bool = False) -> DataFrame:
-    """Behaviour rows -> (user_id, dt, family, tag, w): one type row and at most one product row.
+def weight_rows(df: DataFrame, rules: dict[str, tuple[Column, Column]], key: str = "id") -> DataFrame:
+    """A weight rule set: family -> (tag Column, weight Column) per row, giving
+    (user_id, dt, family, tag, w); a rule whose tag is NULL emits no row."""
+    cells = [F.when(tag.isNotNull(), F.struct(F.lit(fam).alias("family"), tag.alias("tag"), w.alias("w")))
+             for fam, (tag, w) in rules.items()]
+    rows = F.filter(F.array(*cells), lambda x: x.isNotNull())
+    return df.select(F.col(key).alias("user_id"), "dt", F.inline(rows))
+
+
+def interest_rules(keep_null_product: bool = False) -> dict[str, tuple[Column, Column]]:
+    """The behaviour rule set: a type tag and a product tag per behaviour row.
 
     A blank or NULL type becomes the pseudo tag ``type_id`` with weight 0; a NULL
-    or blank product gives no product row (``keep_null_product`` writes ``prod_null``).
-    The family comes from the source column, never from the tag text.
+    or blank product gives no product row (``keep_null_product`` writes ``prod_null``,
+    and a blank product ``prod_``). The family comes from the source column, never
+    from the tag text.
     """
     w = R.behaviour_weight("behavior_id")
     blank_type = R.is_blank(F.col("type_id"))
-    type_row = F.struct(F.lit(TYPE_FAMILY).alias("family"),
-                        F.when(blank_type, F.lit(R.BLANK_TYPE_TAG)).otherwise(F.col("type_id")).alias("tag"),
-                        F.when(blank_type, F.lit(0)).otherwise(w).alias("w"))
     pid = F.col("prod_id")
     if keep_null_product:
         prod_tag = F.concat(F.lit(R.PRODUCT_PREFIX), F.coalesce(pid, F.lit("null")))
-        prod_row = F.struct(F.lit(PRODUCT_FAMILY).alias("family"), prod_tag.alias("tag"), w.alias("w"))
     else:
-        prod_row = F.when(~R.is_blank(pid), F.struct(
-            F.lit(PRODUCT_FAMILY).alias("family"),
-            F.concat(F.lit(R.PRODUCT_PREFIX), pid).alias("tag"), w.alias("w")))
-    rows = F.filter(F.array(type_row, prod_row), lambda x: x.isNotNull())
-    return (behavior.select(F.col("id").alias("user_id"), "dt", F.inline(rows)))
+        prod_tag = F.when(~R.is_blank(pid), F.concat(F.lit(R.PRODUCT_PREFIX), pid))
+    return {
+        TYPE_FAMILY: (F.when(blank_type, F.lit(R.BLANK_TYPE_TAG)).otherwise(F.col("type_id")),
+                      F.when(blank_type, F.lit(0)).otherwise(w)),
+        PRODUCT_FAMILY: (prod_tag, w),
+    }
+
+
+def tag_rows(behavior: DataFrame, keep_null_product: bool = False) -> DataFrame:
+    """Behaviour rows -> (user_id, dt, family, tag, w): one type row and at most one product row."""
+    return weight_rows(behavior, interest_rules(keep_null_product))
 
 
 def daily_interest(behavior: DataFrame, keep_null_product: bool = False, by_day: bool = False) -> DataFrame:

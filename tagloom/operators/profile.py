@@ -8,7 +8,7 @@ upserts by (user_id, family, tag): cells not written stay.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -19,23 +19,30 @@ SLOT_FAMILY = "time_tags"
 SUMMARY_TAG = "time_tags"
 
 
+def tags_wide(df: DataFrame, rules: dict[str, Column], key: str = "id") -> DataFrame:
+    """A rule set (tag name -> Column) applied to each row: one column per tag."""
+    return df.select(F.col(key).alias("user_id"), *[c.alias(n) for n, c in rules.items()])
+
+
+def tags_long(df: DataFrame, rules: dict[str, Column], family: str = ATTRIBUTE_FAMILY, key: str = "id") -> DataFrame:
+    """A rule set applied to each row as cells (user_id, family, tag, value); map-only, no shuffle."""
+    cells = F.array(*[F.struct(F.lit(n).alias("tag"), c.cast("string").alias("value")) for n, c in rules.items()])
+    return df.select(F.col(key).alias("user_id"), F.lit(family).alias("family"), F.inline(cells))
+
+
 def basic_tags_wide(member: DataFrame, as_of=None, rule: str = "calendar", null_int_as_zero: bool = False,
                     missing_birth: str = "zero") -> DataFrame:
-    cols = R.basic_tag_columns(as_of, rule, null_int_as_zero, missing_birth)
-    return member.select(F.col("id").alias("user_id"), *[c.alias(n) for n, c in cols.items()])
+    return tags_wide(member, R.basic_tag_columns(as_of, rule, null_int_as_zero, missing_birth))
 
 
 def basic_tags_long(member: DataFrame, as_of=None, rule: str = "calendar", null_int_as_zero: bool = False,
                     missing_birth: str = "zero") -> DataFrame:
     """(user_id, family, tag, value): ten attribute cells per member (map-only, no shuffle)."""
-    cols = R.basic_tag_columns(as_of, rule, null_int_as_zero, missing_birth)
-    cells = F.array(*[F.struct(F.lit(n).alias("tag"), c.alias("value")) for n, c in cols.items()])
-    return member.select(F.col("id").alias("user_id"), F.lit(ATTRIBUTE_FAMILY).alias("family"), F.inline(cells))
+    return tags_long(member, R.basic_tag_columns(as_of, rule, null_int_as_zero, missing_birth))
 
 
 def location_tags(member: DataFrame) -> DataFrame:
-    cols = R.location_tag_columns()
-    return member.select(F.col("id").alias("user_id"), *[c.alias(n) for n, c in cols.items()])
+    return tags_wide(member, R.location_tag_columns())
 
 
 def upsert(profile: DataFrame, cells: DataFrame) -> DataFrame:

@@ -55,17 +55,18 @@ def seed_item(state: DataFrame, seed: str = "max") -> DataFrame:
 
 
 def push_candidates(state: DataFrame, seed: str = "max", k: int = R.TOP_K, exclude_seen: bool = False,
-                    chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
+                    chunk_items: int = DEFAULT_CHUNK_ITEMS, keep_unmatched: bool = False) -> DataFrame:
     """(user_id, seed, neighbour, rank): the seed's top-k neighbours for every user.
 
     The neighbour table is joined, not collected to the driver; AQE turns the join
     into a broadcast only when the runtime size of the top-k table is under the
-    broadcast threshold.
+    broadcast threshold. ``keep_unmatched`` keeps users whose seed has no
+    neighbour (one row with NULL neighbour).
     """
     top = similarity_top_k(user_items(state), k, chunk_items).select(
         F.col("item").alias("seed"), "neighbour", "rank")
     seeds = seed_item(state, seed).select("user_id", F.col("item").alias("seed"))
-    cand = seeds.join(top, "seed")
+    cand = seeds.join(top, "seed", "left" if keep_unmatched else "inner")
     if exclude_seen:
         seen = user_items(state).select("user_id", F.col("item").alias("neighbour"))
         cand = cand.join(seen, ["user_id", "neighbour"], "left_anti")
@@ -87,9 +88,11 @@ def push_rows(state: DataFrame, run_dt: str, seed: str = "max", k: int = R.TOP_K
 
 def push_lists(state: DataFrame, seed: str = "max", k: int = R.TOP_K,
                chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
-    """(MEMBER_ID, PROD_IDS): the ranked neighbour list per user (at most k entries)."""
-    cand = push_candidates(state, seed, k, False, chunk_items)
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("rank", "neighbour"))), lambda x: x["neighbour"])
+    """(MEMBER_ID, PROD_IDS): the ranked neighbour list of every user with products;
+    a seed without neighbours gives an empty list (and so no push rows)."""
+    cand = push_candidates(state, seed, k, False, chunk_items, keep_unmatched=True)
+    entry = F.when(F.col("neighbour").isNotNull(), F.struct("rank", "neighbour"))
+    ordered = F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["neighbour"])
     return (cand.groupBy("user_id").agg(F.array_join(ordered, ",").alias("PROD_IDS"))
             .select(F.col("user_id").alias("MEMBER_ID"), "PROD_IDS"))
 

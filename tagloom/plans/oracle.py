@@ -256,6 +256,12 @@ def seed_cte(order: str = "DESC", state: str = "s2") -> str:
   WHERE rn = 1)"""
 
 
+def push_lists_sql(order: str = "DESC") -> str:
+    return with_(interest_ctes([DAY1, DAY2]) + similarity_ctes(UI_STATE) + [seed_cte(order)],
+                 'SELECT s.user_id AS "MEMBER_ID", COALESCE(string_agg(t.neighbour, \',\' ORDER BY t.rank), \'\') '
+                 'AS "PROD_IDS" FROM seed s LEFT JOIN top t ON t.item = s.item GROUP BY s.user_id')
+
+
 def push_ctes(order: str = "DESC", run_dt: str = DAY2) -> list[str]:
     return interest_ctes([DAY1, DAY2]) + similarity_ctes(UI_STATE) + [seed_cte(order), f"""cand AS (
   SELECT s.user_id, s.item AS seed, t.neighbour, t.rank FROM seed s JOIN top t ON t.item = s.item)""",

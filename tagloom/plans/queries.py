@@ -244,8 +244,7 @@ register("push_rows_seed_min", W("SELECT * FROM push", *O.push_ctes("ASC")))(
     lambda s, sf: push_rows_query(s, sf, "min"))
 register("push_preview", W('SELECT * FROM push ORDER BY "MEMBER_ID", "PROD_ID" LIMIT 10', *O.push_ctes("DESC")))(
     lambda s, sf: push.push_preview(push_rows_query(s, sf)))
-register("push_lists", W('SELECT user_id AS "MEMBER_ID", string_agg(neighbour, \',\' ORDER BY rank) AS "PROD_IDS" '
-                         "FROM cand GROUP BY user_id", *O.push_ctes("DESC")))(
+register("push_lists", O.push_lists_sql("DESC"))(
     lambda s, sf: push.push_lists(_snapshot(s, sf, [DAY1, DAY2])))
 
 # --- profile snapshot (upsert of attribute tags over interest, slots and summary) ------
