@@ -28,25 +28,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..session import cut_lineage
 
 DEFAULT_CHUNK_ITEMS = 1024
 
 
-def _keyed(user_items: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _keyed(user_items: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """(user_id, item=hash) rows and the (iid, item string) dictionary.
 
-    One distinct up front (hash-partitioned on both columns, so a hot user is not
-    one task); every later branch reads that exchange instead of recomputing the input.
+    The distinct, hashed user-item table feeds five branches (heavy-user count,
+    chunk lists, frequencies, dictionary); it is written once to the shared
+    checkpoint folder so that each branch scans it instead of recomputing the
+    input, and so the pair stage restarts from it after an executor loss.
     """
-    ui = user_items.select("user_id", "item").distinct().select("user_id", "item", F.xxhash64("item").alias("iid"))
+    ui = (user_items.select("user_id", "item").distinct()
+          .select("user_id", "item", F.xxhash64("item").alias("iid")))
+    if materialize:
+        ui = cut_lineage(ui, "similarity-user-items")
     return ui.select("user_id", F.col("iid").alias("item")), ui.select("iid", "item")
 
 
 def _decode(df: DataFrame, dictionary: DataFrame, cols=("item", "neighbour")) -> DataFrame:
-    # count() keeps the upstream distinct in the plan (min/max alone would let the
-    # optimizer drop it and rescan the input instead of reusing its exchange)
     d = (dictionary.groupBy("iid")
-         .agg(F.min("item").alias("s"), F.max("item").alias("s2"), F.count(F.lit(1)).alias("_n"))
+         .agg(F.min("item").alias("s"), F.max("item").alias("s2"))
          .select("iid", F.when(F.col("s") == F.col("s2"), F.col("s"))
                  .otherwise(F.raise_error(F.concat(F.lit("item hash collision: "), F.col("s"), F.lit(" / "),
                                                    F.col("s2")))).alias("s")))
@@ -147,8 +151,8 @@ def top_k(scored: DataFrame, k: int = R.TOP_K) -> DataFrame:
 
 
 def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
+    """(item, neighbour, score, rank) for the k best neighbours of every item."""
     enc, dictionary = _keyed(user_items)
-    scored = _scored(enc, chunk_items)
     by_score = Window.partitionBy("item").orderBy(F.col("score").desc())
-    cand = scored.withColumn("r", F.rank().over(by_score)).where(F.col("r") <= k).drop("r")
+    cand = _scored(enc, chunk_items).withColumn("r", F.rank().over(by_score)).where(F.col("r") <= k).drop("r")
     return top_k(_decode(cand, dictionary), k).select("item", "neighbour", "score", "rank")
