@@ -81,9 +81,13 @@ def empty_state(spark) -> DataFrame:
 
 
 def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
-                   decay: float = R.DECAY, threshold: float = R.THRESHOLD) -> DataFrame:
+                   decay: float = R.DECAY, threshold: float = R.THRESHOLD,
+                   decay_inactive: bool = False) -> DataFrame:
     """One daily step: state(n-1) x daily aggregate(n) -> state(n).
 
+    ``decay_inactive=True`` also decays (and expires) known users without rows
+    today; by default they are left untouched, as the original job does.
+
     Plan: full outer join on (user_id, family, tag) (hash on all three keys, so a
     user with many tags is spread over tasks), then a join with per-user flags
     (partially aggregated, one row per user; AQE splits a hot user's partition).
@@ -108,7 +112,8 @@ def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
     stale = old if expire == "keep_stale" else F.lit(None).cast(WEIGHT)
     known_w = F.when(raw > thr, rounded).otherwise(stale)
     new_user_w = F.when(new.isNotNull(), F.round(new * dec, 2).cast(WEIGHT)).otherwise(old)
-    weight = (F.when(F.col("active") == 0, old)
+    inactive = F.lit(False) if decay_inactive else (F.col("active") == 0)
+    weight = (F.when(inactive, old)
               .when(F.col("known") == 1, known_w)
               .otherwise(new_user_w))
     return (merged.select("user_id", "family", "tag", weight.alias("weight"))
@@ -117,7 +122,7 @@ def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
 
 def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame | None = None,
                     expire: str = "drop", checkpoint_every: int | None = None,
-                    keep_null_product: bool = False) -> DataFrame:
+                    keep_null_product: bool = False, decay_inactive: bool = False) -> DataFrame:
     """Run the daily job for each day in order (day n reads the state day n-1 wrote).
 
     The daily aggregates of all requested days are computed in one pass over the
@@ -137,7 +142,8 @@ def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame |
         # below the aggregate, so without this one write the input is scanned 2^n times
         per_day = cut_lineage(per_day, "interest-daily", partition_by=("dt",))
     for i, d in enumerate(days, 1):
-        state = merge_interest(state, per_day.where(F.col("dt") == d), expire=expire)
+        state = merge_interest(state, per_day.where(F.col("dt") == d), expire=expire,
+                               decay_inactive=decay_inactive)
         if checkpoint_every and i % checkpoint_every == 0 and i < len(days):
             state = cut_lineage(state, f"interest-state-{d}")
     return state

@@ -51,10 +51,11 @@ S0 = """s0 AS (
   WHERE FALSE)"""
 
 
-def merge_step(n: int, day: str, expire: str = "drop") -> list[str]:
+def merge_step(n: int, day: str, expire: str = "drop", decay_inactive: bool = False) -> list[str]:
     """CTEs d<n>, f<n>, m<n>, s<n>: state s<n> from s<n-1> and the day's aggregate."""
     p = f"s{n - 1}"
     stale = "m.old_w" if expire == "keep_stale" else "NULL"
+    inactive = "FALSE" if decay_inactive else "f.active = 0"
     return [
         f"""d{n} AS (SELECT user_id, family, tag, new_w FROM daily WHERE dt = '{day}')""",
         f"""f{n} AS (
@@ -72,7 +73,7 @@ def merge_step(n: int, day: str, expire: str = "drop") -> list[str]:
         f"""s{n} AS (
   SELECT user_id, family, tag, weight FROM (
     SELECT m.user_id, m.family, m.tag,
-           CAST(CASE WHEN f.active = 0 THEN m.old_w
+           CAST(CASE WHEN {inactive} THEN m.old_w
                      WHEN f.known = 1 THEN CASE WHEN m.raw > 0.5 THEN ROUND(m.raw, 2) ELSE {stale} END
                      WHEN m.new_w IS NOT NULL THEN ROUND(m.new_w * 0.75, 2)
                      ELSE m.old_w END AS DECIMAL(18,2)) AS weight
@@ -81,10 +82,10 @@ def merge_step(n: int, day: str, expire: str = "drop") -> list[str]:
     ]
 
 
-def interest_ctes(days: list[str], expire: str = "drop") -> list[str]:
+def interest_ctes(days: list[str], expire: str = "drop", decay_inactive: bool = False) -> list[str]:
     ctes = INTEREST_BASE + [S0]
     for i, d in enumerate(days, 1):
-        ctes += merge_step(i, d, expire)
+        ctes += merge_step(i, d, expire, decay_inactive)
     return ctes
 
 

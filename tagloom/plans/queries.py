@@ -40,8 +40,9 @@ def _member(spark, sf):
     return A.member(spark, sf)
 
 
-def _state(spark, sf, days, expire="drop"):
-    return interest.replay_interest(A.behavior(spark, sf), days, expire=expire)
+def _state(spark, sf, days, expire="drop", decay_inactive=False):
+    return interest.replay_interest(A.behavior(spark, sf, days=list(days)), days, expire=expire,
+                                    decay_inactive=decay_inactive)
 
 
 def _snapshot(spark, sf, days, expire="drop"):
@@ -145,6 +146,9 @@ register("merge_interest_day", W("SELECT * FROM s2", *O.interest_ctes([DAY1, DAY
     lambda s, sf: _state(s, sf, [DAY1, DAY2]))
 register("merge_interest_keep_stale", W("SELECT * FROM s2", *O.interest_ctes([DAY1, DAY2], "keep_stale")))(
     lambda s, sf: _state(s, sf, [DAY1, DAY2], expire="keep_stale"))
+register("merge_interest_decay_inactive", W("SELECT * FROM s3", *O.interest_ctes([DAY1, DAY2, DAY3],
+                                                                         decay_inactive=True)))(
+    lambda s, sf: _state(s, sf, [DAY1, DAY2, DAY3], decay_inactive=True))
 register("merge_interest_3days", W("SELECT * FROM s3", *O.interest_ctes([DAY1, DAY2, DAY3])))(
     lambda s, sf: _state(s, sf, [DAY1, DAY2, DAY3]))
 ALL_DAYS = [f"202401{d:02d}" for d in range(1, 31)]  # the calendar the fixture spans; empty days carry over

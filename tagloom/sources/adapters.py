@@ -87,16 +87,28 @@ def member(spark: SparkSession, sf_dir: str, dt: str = DEFAULT_MEMBER_DT) -> Dat
                     F.lit(dt_key(dt)).alias("dt")))
 
 
-def _events(spark: SparkSession, sf_dir: str, dt: str | None, cols: list[str]) -> DataFrame:
+def _days_filter(ts: Column, days: list[str]) -> Column:
+    """ts within [first day, last day + 1): a range the scan can push down (exact day set applied after)."""
+    ds = sorted(parse_dt(d) for d in days)
+    lo = F.lit(ds[0].isoformat() + " 00:00:00").cast("timestamp_ntz")
+    hi = F.lit((ds[-1] + _dt.timedelta(days=1)).isoformat() + " 00:00:00").cast("timestamp_ntz")
+    return (ts >= lo) & (ts < hi)
+
+
+def _events(spark: SparkSession, sf_dir: str, dt: str | None, cols: list[str],
+            days: list[str] | None = None) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(*cols)
     if dt is not None:
         ev = ev.where(_ts_day_filter(F.col("ts"), dt))
+    if days:
+        ev = ev.where(_days_filter(F.col("ts"), days))
     return ev
 
 
-def behavior(spark: SparkSession, sf_dir: str, dt: str | None = None) -> DataFrame:
-    """Behaviour rows (id, type_id, prod_id, behavior_id, dt); one day when ``dt`` is given."""
-    ev = _events(spark, sf_dir, dt, ["event_id", "ts", "user_id", "props"])
+def behavior(spark: SparkSession, sf_dir: str, dt: str | None = None, days: list[str] | None = None) -> DataFrame:
+    """Behaviour rows (id, type_id, prod_id, behavior_id, dt); one day when ``dt`` is
+    given, the span of ``days`` (pushed to the scan as a ts range) when that is given."""
+    ev = _events(spark, sf_dir, dt, ["event_id", "ts", "user_id", "props"], days)
     e, k = F.col("event_id"), props_k()
     type_id = (F.when(e % 50 == 0, F.lit("")).when(e % 47 == 0, F.lit(None).cast("string"))
                .otherwise(F.concat(F.lit("t"), (k % 20).cast("string"))))

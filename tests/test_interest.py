@@ -103,3 +103,13 @@ def test_keep_stale_is_superset(spark):
     drop = _as_dict(I.replay_interest(beh, ["20240101", "20240102"]))
     stale = _as_dict(I.replay_interest(beh, ["20240101", "20240102"], expire="keep_stale"))
     assert set(drop) <= set(stale) and (len(drop), len(stale)) == (113, 117)
+
+
+def test_decay_inactive_option(spark):
+    prev = _state(spark, [("x", "be_tags", "a", D("2.00")), ("x", "prod_tags", "prod_1", D("0.60")),
+                          ("h", "be_tags", "a", D("4.00"))])
+    daily = _daily(spark, [("y", "be_tags", "a", D(1))])
+    got = _as_dict(I.merge_interest(prev, daily, decay_inactive=True))
+    # known inactive user decays and expires; a user with one family only is left as is
+    assert got[("x", "be_tags", "a")] == D("1.50") and ("x", "prod_tags", "prod_1") not in got
+    assert got[("h", "be_tags", "a")] == D("4.00")
