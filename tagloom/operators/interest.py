@@ -159,21 +159,32 @@ def split_families(daily_tags: DataFrame) -> DataFrame:
             .select("user_id", "dt", fam.alias("family"), "tag", "weight"))
 
 
+def sum_by_tag(rows: DataFrame) -> DataFrame:
+    """Fold-merge of tag maps by summing equal keys, in long form: (user_id, family, tag) -> w."""
+    return rows.groupBy("user_id", "family", "tag").agg(F.sum("w").cast("bigint").alias("w"))
+
+
+def tag_map(rows: DataFrame, family: str, by=("user_id", "dt")) -> DataFrame:
+    """Edge form of one family: a tag -> weight map per (user, day).
+
+    Only for a family with a bounded tag vocabulary (the type tags): the map holds
+    all of a user's tags of that family for the day.
+    """
+    summed = (rows.where(F.col("family") == family).groupBy(*by, "tag")
+              .agg(F.sum("w").cast("bigint").alias("w")))
+    return summed.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("tag", "w"))).alias("tags"))
+
+
+def merge_maps(a, b):
+    """Two tag maps merged by summing equal keys (a key missing on one side counts 0)."""
+    return F.map_zip_with(a, b, lambda _k, x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))
+
+
 def interest_text(state: DataFrame) -> DataFrame:
     """Cells as the store holds them: weight formatted with two decimals."""
     return state.select("user_id", "family", "tag", F.col("weight").cast("string").alias("value"))
 
 
-def user_flags(prev: DataFrame, daily: DataFrame) -> DataFrame:
-    """(user_id, known) for today's users: known = history in both interest families."""
-    hist = (prev.groupBy("user_id")
-            .agg((F.max(F.when(F.col("family") == TYPE_FAMILY, 1).otherwise(0))
-                  * F.max(F.when(F.col("family") == PRODUCT_FAMILY, 1).otherwise(0))).alias("known")))
-    active = daily.select("user_id").distinct()
-    return (active.join(hist, "user_id", "left")
-            .select("user_id", F.coalesce(F.col("known"), F.lit(0)).alias("known")))
-
-
 def known_users(prev: DataFrame, daily: DataFrame) -> DataFrame:
     hist = (prev.groupBy("user_id").agg(F.countDistinct("family").alias("nf"))
             .where(F.col("nf") == 2).select("user_id"))

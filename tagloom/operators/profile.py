@@ -71,11 +71,6 @@ def family(profile: DataFrame, name: str) -> DataFrame:
     return profile.where(F.col("family") == name).select("user_id", "tag", "value")
 
 
-def as_maps(long: DataFrame) -> DataFrame:
-    """Edge form: one tag map per user. Only for bounded tag sets (collects a user's cells)."""
-    return long.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("tag", "value"))).alias("tags"))
-
-
 # --- key-set operations between yesterday's state and today's keys (active users only) ---
 
 def _active_keys(prev: DataFrame, daily: DataFrame):
@@ -103,8 +98,3 @@ def tags_gained(prev: DataFrame, daily: DataFrame) -> DataFrame:
 def tags_union(prev: DataFrame, daily: DataFrame) -> DataFrame:
     old, new = _active_keys(prev, daily)
     return old.unionByName(new).distinct()
-
-
-def map_merge_sum(rows: DataFrame) -> DataFrame:
-    """Fold-merge of tag maps by summing equal keys, kept long: (user_id, tag, w) -> sums."""
-    return rows.groupBy("user_id", "tag").agg(F.sum("w").cast("bigint").alias("w"))

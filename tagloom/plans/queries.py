@@ -140,8 +140,26 @@ register("split_families", W(
     lambda s, sf: interest.split_families(interest.tag_rows(A.behavior(s, sf))))
 register("map_merge_sum", W("SELECT user_id, family, tag, CAST(SUM(w) AS BIGINT) AS w FROM tagrows "
                             "GROUP BY user_id, family, tag", O.EV, O.BEHAVIOR, O.BW, O.TAGROWS))(
-    lambda s, sf: interest.tag_rows(A.behavior(s, sf)).groupBy("user_id", "family", "tag")
-    .agg(F.sum("w").cast("bigint").alias("w")))
+    lambda s, sf: interest.sum_by_tag(interest.tag_rows(A.behavior(s, sf))))
+
+
+def _map_zip_merge(s, sf):
+    rows = interest.tag_rows(A.behavior(s, sf, days=[DAY1, DAY2]))
+    maps = interest.tag_map(rows, interest.TYPE_FAMILY)
+    d1 = maps.where(F.col("dt") == DAY1).select("user_id", F.col("tags").alias("m1"))
+    d2 = maps.where(F.col("dt") == DAY2).select("user_id", F.col("tags").alias("m2"))
+    empty = F.create_map().cast("map<string,bigint>")
+    both = d1.join(d2, "user_id", "full_outer").select(
+        "user_id", interest.merge_maps(F.coalesce("m1", empty), F.coalesce("m2", empty)).alias("m"))
+    return both.select("user_id", F.explode("m").alias("tag", "w"))
+
+
+register("map_zip_merge", W(
+    "SELECT COALESCE(a.user_id, b.user_id) AS user_id, COALESCE(a.tag, b.tag) AS tag, "
+    "CAST(COALESCE(a.w, 0) + COALESCE(b.w, 0) AS BIGINT) AS w FROM "
+    f"(SELECT user_id, tag, SUM(w) AS w FROM tagrows WHERE family = 'be_tags' AND dt = '{DAY1}' GROUP BY ALL) a "
+    f"FULL OUTER JOIN (SELECT user_id, tag, SUM(w) AS w FROM tagrows WHERE family = 'be_tags' AND dt = '{DAY2}' "
+    "GROUP BY ALL) b ON a.user_id = b.user_id AND a.tag = b.tag", O.EV, O.BEHAVIOR, O.BW, O.TAGROWS))(_map_zip_merge)
 register("merge_interest_day", W("SELECT * FROM s2", *O.interest_ctes([DAY1, DAY2])))(
     lambda s, sf: _state(s, sf, [DAY1, DAY2]))
 register("merge_interest_keep_stale", W("SELECT * FROM s2", *O.interest_ctes([DAY1, DAY2], "keep_stale")))(

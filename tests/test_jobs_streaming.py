@@ -84,3 +84,17 @@ def test_push_lists_bounded(spark):
     st = interest.replay_interest(A.behavior(spark, SF_SMOKE), ["20240101", "20240102"])
     lists = push.push_lists(st)
     assert lists.where(F.size(F.split("PROD_IDS", ",")) > 6).count() == 0
+
+
+def test_slots_stream_matches_closed_form(spark, tmp_dir):
+    src, st, sm = (os.path.join(tmp_dir, x) for x in ("browse", "slots", "summary"))
+    br = A.browse(spark, SF_SMOKE)
+    days = ["20240101", "20240102", "20240103"]
+    daily.write_daily_table(br, src, days)
+    daily.slots_stream(spark, src, st, sm, os.path.join(tmp_dir, "ckpt")).awaitTermination()
+    per_day = slots.daily_slots(br.where(F.col("dt").isin(*days)), by_day=True)
+    totals = per_day.groupBy("user_id", "slot").agg(F.sum("n").cast("bigint").alias("n"))
+    assert _rows(S.read_snapshot(spark, st, days[-1], S.SLOT_SCHEMA), ["user_id", "slot", "n"]) == \
+        _rows(totals, ["user_id", "slot", "n"])
+    got = {r.user_id: r.summary for r in S.read_snapshot(spark, sm, days[-1], S.SUMMARY_SCHEMA).collect()}
+    assert got == {r.user_id: r.summary for r in slots.history_summary(per_day).collect()}
