@@ -31,6 +31,7 @@ from ..functions import rules as R
 from ..session import cut_lineage
 
 DEFAULT_CHUNK_ITEMS = 1024
+DEFAULT_HEAVY_ITEMS = 8192
 
 
 def _keyed(user_items: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -48,12 +49,17 @@ def _keyed(user_items: DataFrame, materialize: bool = True) -> tuple[DataFrame,
     return ui.select("user_id", F.col("iid").alias("item")), ui.select("iid", "item")
 
 
+def _names(dictionary: DataFrame) -> DataFrame:
+    """(iid, s): the string of each hash key; two strings on one key stop the job."""
+    return (dictionary.groupBy("iid")
+            .agg(F.min("item").alias("s"), F.max("item").alias("s2"))
+            .select("iid", F.when(F.col("s") == F.col("s2"), F.col("s"))
+                    .otherwise(F.raise_error(F.concat(F.lit("item hash collision: "), F.col("s"), F.lit(" / "),
+                                                      F.col("s2")))).alias("s")))
+
+
 def _decode(df: DataFrame, dictionary: DataFrame, cols=("item", "neighbour")) -> DataFrame:
-    d = (dictionary.groupBy("iid")
-         .agg(F.min("item").alias("s"), F.max("item").alias("s2"))
-         .select("iid", F.when(F.col("s") == F.col("s2"), F.col("s"))
-                 .otherwise(F.raise_error(F.concat(F.lit("item hash collision: "), F.col("s"), F.lit(" / "),
-                                                   F.col("s2")))).alias("s")))
+    d = _names(dictionary)
     out = df
     for c in cols:
         out = (out.join(d.select(F.col("iid").alias(c), F.col("s").alias(f"_{c}")), c)
@@ -61,18 +67,29 @@ def _decode(df: DataFrame, dictionary: DataFrame, cols=("item", "neighbour")) ->
     return out
 
 
+def _with_degree(ui: DataFrame, chunk_items: int) -> DataFrame:
+    """(user_id, item, d): d = the user's item count when above ``chunk_items``, else NULL.
+
+    The table of users above the bound is small by construction (at most rows /
+    chunk_items); AQE broadcasts it when its measured size allows, else both sides
+    shuffle on user_id.
+    """
+    big = (ui.groupBy("user_id").agg(F.count(F.lit(1)).alias("d"))
+           .where(F.col("d") > chunk_items))
+    return ui.select("user_id", "item").join(big, "user_id", "left")
+
+
+def _lists(rows: DataFrame, chunk_items: int) -> DataFrame:
+    """(user_id, chunk, nc, items) from (user_id, item, d): nc bounded chunks per user."""
+    nc = F.coalesce(F.ceil(F.col("d") / F.lit(chunk_items)).cast("int"), F.lit(1))
+    chunk = F.pmod(F.xxhash64("item"), nc).cast("int")
+    return (rows.groupBy("user_id", chunk.alias("chunk"), nc.alias("nc"))
+            .agg(F.array_sort(F.collect_set("item")).alias("items")))
+
+
 def _chunk_lists(user_items: DataFrame, chunk_items: int) -> DataFrame:
     """(user_id, chunk, nc, items): each user's distinct items split into nc bounded chunks."""
-    ui = user_items.select("user_id", "item")
-    heavy = (ui.groupBy("user_id").agg(F.count(F.lit(1)).alias("d"))
-             .where(F.col("d") > chunk_items)
-             .select("user_id", F.ceil(F.col("d") / F.lit(chunk_items)).cast("int").alias("hc")))
-    # the heavy-user table is small by construction (at most rows / chunk_items); AQE
-    # broadcasts it when its measured size allows, else both sides shuffle on user_id
-    rows = ui.join(heavy, "user_id", "left").select("user_id", "item", F.coalesce("hc", F.lit(1)).alias("nc"))
-    chunk = F.pmod(F.xxhash64("item"), F.col("nc")).cast("int")
-    return (rows.groupBy("user_id", chunk.alias("chunk"), "nc")
-            .agg(F.array_sort(F.collect_set("item")).alias("items")))
+    return _lists(_with_degree(user_items, chunk_items), chunk_items)
 
 
 def _frequency_from_lists(lists: DataFrame) -> DataFrame:
@@ -150,9 +167,61 @@ def top_k(scored: DataFrame, k: int = R.TOP_K) -> DataFrame:
             .where(F.col("rank") <= k))
 
 
-def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
-    """(item, neighbour, score, rank) for the k best neighbours of every item."""
+def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int = DEFAULT_CHUNK_ITEMS,
+                     heavy_items: int = DEFAULT_HEAVY_ITEMS) -> DataFrame:
+    """(item, neighbour, score, rank) for the k best neighbours of every item.
+
+    Users with at most ``heavy_items`` items contribute their pairs (chunked as in
+    ``pair_counts``). Users above it never have their pairs enumerated:
+
+    * every item gets its signature S = the sorted set of heavy users holding it;
+    * a light pair (i, j) scores (c_ij + |S_i & S_j|) / sqrt(n_i n_j), exactly;
+    * a partner reached only through heavy users scores |S_i & S_j| / sqrt(n_i n_j),
+      which for a fixed i falls as n_j grows. Within one signature group the k+1
+      items with the smallest (n, id) therefore beat every other member of the group
+      for every i (a member that is also a light partner only scores higher), so
+      only those k+1 per group are offered to the items sharing a heavy user with it.
+
+    Each neighbour then appears at most twice (light and heavy-only form), so a
+    ``rank() <= 2k`` cut keeps the true top k; duplicates are resolved by the larger
+    score and the final order breaks ties by the neighbour id string.
+    """
     enc, dictionary = _keyed(user_items)
+    freq = enc.groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    fi = freq.select(F.col("item").alias("i"), F.col("n").alias("ni"))
+    fj = freq.select(F.col("item").alias("j"), F.col("n").alias("nj"))
+    rows = _with_degree(enc, min(chunk_items, heavy_items))
+    is_heavy = F.coalesce(F.col("d") > heavy_items, F.lit(False))
+    lists = _lists(rows.where(~is_heavy), chunk_items)
+    sig = (rows.where(is_heavy).groupBy("item")
+           .agg(F.array_sort(F.collect_set("user_id")).alias("holders")))
+
+    # light pairs with their exact score (heavy users they share included)
+    none = F.array().cast("array<string>")
+    shared = F.size(F.array_intersect(F.coalesce("Si", none), F.coalesce("Sj", none)))
+    light = (_pair_counts_from_lists(lists).join(fi, "i").join(fj, "j")
+             .join(sig.select(F.col("item").alias("i"), F.col("holders").alias("Si")), "i", "left")
+             .join(sig.select(F.col("item").alias("j"), F.col("holders").alias("Sj")), "j", "left")
+             .select("i", "j", ((F.col("c") + shared).cast("double")
+                                / F.sqrt(F.col("ni").cast("double") * F.col("nj").cast("double"))).alias("score")))
+    cand = _both_directions(light, "score")
+
+    # partners through heavy users only: the k+1 best of each signature group
+    names = _names(dictionary).select(F.col("iid").alias("item"), F.col("s").alias("name"))
+    grp = sig.join(freq, "item").join(names, "item")
+    best = (grp.withColumn("r", F.row_number().over(Window.partitionBy("holders").orderBy("n", "name")))
+            .where(F.col("r") <= k + 1)
+            .select(F.explode("holders").alias("u"), F.col("item").alias("j"), F.col("n").alias("nj")))
+    holding = sig.select(F.col("item").alias("i"), F.explode("holders").alias("u"))
+    heavy_only = (holding.join(best, "u").where(F.col("i") != F.col("j"))
+                  .groupBy("i", "j", "nj").agg(F.count(F.lit(1)).alias("h"))  # h = |S_i & S_j|
+                  .join(fi, "i")
+                  .select(F.col("i").alias("item"), F.col("j").alias("neighbour"),
+                          (F.col("h").cast("double")
+                           / F.sqrt(F.col("ni").cast("double") * F.col("nj").cast("double"))).alias("score")))
+    cand = cand.unionByName(heavy_only)
+
     by_score = Window.partitionBy("item").orderBy(F.col("score").desc())
-    cand = _scored(enc, chunk_items).withColumn("r", F.rank().over(by_score)).where(F.col("r") <= k).drop("r")
-    return top_k(_decode(cand, dictionary), k).select("item", "neighbour", "score", "rank")
+    cand = cand.withColumn("r", F.rank().over(by_score)).where(F.col("r") <= 2 * k).drop("r")
+    dec = _decode(cand, dictionary).groupBy("item", "neighbour").agg(F.max("score").alias("score"))
+    return top_k(dec, k).select("item", "neighbour", "score", "rank")

@@ -69,6 +69,21 @@ def test_top_k_matches_brute_force_with_heavy_users(spark):
         assert got == want, chunk
 
 
+def test_top_k_heavy_user_path_matches_brute_force(spark):
+    rnd = random.Random(21)
+    pairs = [(f"u{rnd.randrange(40)}", f"i{rnd.randrange(60)}") for _ in range(500)]
+    # heavy users with overlapping item sets; ties in frequency are common
+    pairs += [("h1", f"i{x}") for x in range(0, 45)]
+    pairs += [("h2", f"i{x}") for x in range(20, 60)]
+    pairs += [("h3", f"i{x}") for x in range(0, 60, 3)]
+    pairs += [("h4", f"i{x}") for x in range(55, 70)]  # items only heavy users hold
+    want = _brute_top(pairs, 6)
+    for chunk, heavy in ((1024, 8192), (1024, 25), (7, 25), (4, 12), (3, 3)):
+        got = {(r.item, r.neighbour, r.rank) for r in
+               similarity.similarity_top_k(_ui(spark, pairs), 6, chunk_items=chunk, heavy_items=heavy).collect()}
+        assert got == want, (chunk, heavy)
+
+
 def test_scores_symmetric_and_bounded(spark):
     rnd = random.Random(3)
     pairs = [(f"u{rnd.randrange(20)}", f"i{rnd.randrange(15)}") for _ in range(120)]
