@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_path
 
 WEIGHT = T.DecimalType(18, 2)
 STATE_SCHEMA = T.StructType([
@@ -141,11 +141,15 @@ def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame |
         # every step reads its day twice (join and flags) and the day filter is pushed
         # below the aggregate, so without this one write the input is scanned 2^n times
         per_day = cut_lineage(per_day, "interest-daily", partition_by=("dt",))
+    written = None
     for i, d in enumerate(days, 1):
         state = merge_interest(state, per_day.where(F.col("dt") == d), expire=expire,
                                decay_inactive=decay_inactive)
         if checkpoint_every and i % checkpoint_every == 0 and i < len(days):
             state = cut_lineage(state, f"interest-state-{d}")
+            if written is not None:  # the new table no longer reads the previous one
+                drop_path(spark, written)
+            written = getattr(state, "_tagloom_path", None)
     return state
 
 

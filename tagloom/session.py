@@ -76,7 +76,18 @@ def cut_lineage(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    out._tagloom_path = path  # lets a caller drop a superseded intermediate table
+    return out
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table folder we wrote under the checkpoint folder (recursive)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
