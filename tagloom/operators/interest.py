@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,28 +88,34 @@ def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
     ``decay_inactive=True`` also decays (and expires) known users without rows
     today; by default they are left untouched, as the original job does.
 
-    Plan: full outer join on (user_id, family, tag) (hash on all three keys, so a
-    user with many tags is spread over tasks), then a join with per-user flags
-    (partially aggregated, one row per user; AQE splits a hot user's partition).
+    Plan: one shuffle. Yesterday's state and today's aggregate are unioned and
+    hash-partitioned by ``user_id``; the per-key merge (a group by
+    (user_id, family, tag)) and the per-user flags (a window over user_id) both
+    reuse that partitioning. A user's rows are bounded by the tag vocabulary
+    (types + products), not by the user's event volume, so partitioning by user
+    stays balanced even when one user produces a third of all behaviour rows
+    (those rows were already collapsed by the partial daily aggregation).
     """
     if expire not in ("drop", "keep_stale"):
         raise ValueError("expire must be 'drop' or 'keep_stale'")
-    prev = prev.select("user_id", "family", "tag", F.col("weight").cast(WEIGHT).alias("old_w"))
-    daily = daily.select("user_id", "family", "tag", F.col("new_w").cast(WEIGHT).alias("new_w"))
-    flags = (prev.select("user_id", "family", F.lit(0).alias("is_day"))
-             .unionByName(daily.select("user_id", "family", F.lit(1).alias("is_day")))
-             .groupBy("user_id")
-             .agg(F.max("is_day").alias("active"),
-                  (F.max(F.when((F.col("is_day") == 0) & (F.col("family") == TYPE_FAMILY), 1).otherwise(0))
-                   * F.max(F.when((F.col("is_day") == 0) & (F.col("family") == PRODUCT_FAMILY), 1).otherwise(0)))
-                  .alias("known")))
-    merged = prev.join(daily, ["user_id", "family", "tag"], "full_outer").join(flags, "user_id")
+    none = F.lit(None).cast(WEIGHT)
+    both = (prev.select("user_id", "family", "tag", F.col("weight").cast(WEIGHT).alias("old_w"), none.alias("new_w"))
+            .unionByName(daily.select("user_id", "family", "tag", none.alias("old_w"),
+                                      F.col("new_w").cast(WEIGHT).alias("new_w")))
+            .repartition("user_id"))
+    merged = both.groupBy("user_id", "family", "tag").agg(F.max("old_w").alias("old_w"),
+                                                         F.max("new_w").alias("new_w"))
+    per_user = Window.partitionBy("user_id")
+    has_old = lambda fam: F.max(F.when(F.col("old_w").isNotNull() & (F.col("family") == fam), 1)
+                                .otherwise(0)).over(per_user)
+    merged = merged.select("*", F.max(F.col("new_w").isNotNull().cast("int")).over(per_user).alias("active"),
+                           (has_old(TYPE_FAMILY) * has_old(PRODUCT_FAMILY)).alias("known"))
     old, new = F.col("old_w"), F.col("new_w")
     dec = F.lit(decay).cast(T.DecimalType(4, 2))
     raw = (F.coalesce(old, F.lit(0).cast(WEIGHT)) + F.coalesce(new, F.lit(0).cast(WEIGHT))) * dec
     rounded = F.round(raw, 2).cast(WEIGHT)
     thr = F.lit(threshold).cast(T.DecimalType(4, 2))
-    stale = old if expire == "keep_stale" else F.lit(None).cast(WEIGHT)
+    stale = old if expire == "keep_stale" else none
     known_w = F.when(raw > thr, rounded).otherwise(stale)
     new_user_w = F.when(new.isNotNull(), F.round(new * dec, 2).cast(WEIGHT)).otherwise(old)
     inactive = F.lit(False) if decay_inactive else (F.col("active") == 0)
