@@ -35,12 +35,14 @@ def daily_slots(browse: DataFrame, by_day: bool = False) -> DataFrame:
 
 
 def merge_slots(prev: DataFrame, daily: DataFrame) -> DataFrame:
-    """state(n-1) x today's counts -> state(n) (full outer join on (user_id, slot))."""
-    old = prev.select("user_id", "slot", F.col("n").alias("old_n"))
-    new = daily.select("user_id", "slot", F.col("n").alias("new_n"))
-    return (old.join(new, ["user_id", "slot"], "full_outer")
-            .select("user_id", "slot",
-                    (F.coalesce("old_n", F.lit(0)) + F.coalesce("new_n", F.lit(0))).cast("bigint").alias("n")))
+    """state(n-1) x today's counts -> state(n).
+
+    The merge is purely additive (both -> old + new, only new -> new, only old ->
+    unchanged), i.e. a sum over the union: one partially aggregated shuffle on
+    (user_id, slot) instead of a full outer join.
+    """
+    return (prev.select("user_id", "slot", "n").unionByName(daily.select("user_id", "slot", "n"))
+            .groupBy("user_id", "slot").agg(F.sum("n").cast("bigint").alias("n")))
 
 
 def summary_text(pairs: Column) -> Column:
