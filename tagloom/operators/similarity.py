@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..session import cut_lineage
+from ..sources.tables import broadcast_if_bounded
 
 DEFAULT_CHUNK_ITEMS = 1024
 DEFAULT_HEAVY_ITEMS = 8192
@@ -123,14 +124,18 @@ def _both_directions(df: DataFrame, value: str) -> DataFrame:
     return df.select(F.inline(both))
 
 
+def _scored_lists(lists: DataFrame, fi: DataFrame, fj: DataFrame) -> DataFrame:
+    score = F.col("c").cast("double") / F.sqrt(F.col("ni").cast("double") * F.col("nj").cast("double"))
+    pc = _pair_counts_from_lists(lists)
+    return _both_directions(pc.join(fi, "i").join(fj, "j").select("i", "j", score.alias("score")), "score")
+
+
 def _scored(enc: DataFrame, chunk_items: int) -> DataFrame:
     lists = _chunk_lists(enc, chunk_items)
     freq = _frequency_from_lists(lists)
-    pc = _pair_counts_from_lists(lists)
     fi = freq.select(F.col("item").alias("i"), F.col("n").alias("ni"))
     fj = freq.select(F.col("item").alias("j"), F.col("n").alias("nj"))
-    score = F.col("c").cast("double") / F.sqrt(F.col("ni").cast("double") * F.col("nj").cast("double"))
-    return _both_directions(pc.join(fi, "i").join(fj, "j").select("i", "j", score.alias("score")), "score")
+    return _scored_lists(lists, fi, fj)
 
 
 def item_frequency(user_items: DataFrame) -> DataFrame:
@@ -190,7 +195,17 @@ def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int =
     freq = enc.groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     fi = freq.select(F.col("item").alias("i"), F.col("n").alias("ni"))
     fj = freq.select(F.col("item").alias("j"), F.col("n").alias("nj"))
-    rows = _with_degree(enc, min(chunk_items, heavy_items))
+    # users above the chunk bound: at most rows / chunk_items of them; written once,
+    # counted, and broadcast only when that count allows
+    big = cut_lineage(enc.groupBy("user_id").agg(F.count(F.lit(1)).alias("d"))
+                      .where(F.col("d") > min(chunk_items, heavy_items)), "similarity-big-users")
+    if big.where(F.col("d") > heavy_items).limit(1).count() == 0:
+        lists = _lists(enc.join(broadcast_if_bounded(big), "user_id", "left"), chunk_items)
+        cand = _scored_lists(lists, fi, fj)
+        by_score = Window.partitionBy("item").orderBy(F.col("score").desc())
+        cand = cand.withColumn("r", F.rank().over(by_score)).where(F.col("r") <= k).drop("r")
+        return top_k(_decode(cand, dictionary), k).select("item", "neighbour", "score", "rank")
+    rows = enc.join(broadcast_if_bounded(big), "user_id", "left")
     is_heavy = F.coalesce(F.col("d") > heavy_items, F.lit(False))
     lists = _lists(rows.where(~is_heavy), chunk_items)
     sig = (rows.where(is_heavy).groupBy("item")
