@@ -299,6 +299,15 @@ register("profile_upsert", _PROFILE_SQL)(_profile)
 register("ip_geo_enrich", W("SELECT p.id, p.ip, r.region, r.city, r.isp FROM probe p "
                             "LEFT JOIN ranges r ON p.ip BETWEEN r.lo AND r.hi", O.IP))(
     lambda s, sf: enrich.ip_enrich(A.ip_probe(s, sf), A.ip_ranges(s, sf)))
+def _ip_json(s, sf):
+    enriched = enrich.ip_enrich(A.ip_probe(s, sf), A.ip_ranges(s, sf))
+    doc = J.encode(F.lit(0).alias("code"), F.struct("region", "city", "isp").alias("data"))
+    parsed = enriched.select("id", doc.alias("doc"))
+    return parsed.select("id", *[J.field("doc", f"$.data.{k}").alias(k) for k in ("region", "city", "isp")])
+
+
+register("ip_geo_json", W("SELECT p.id, r.region, r.city, r.isp FROM probe p "
+                          "LEFT JOIN ranges r ON p.ip BETWEEN r.lo AND r.hi", O.IP))(_ip_json)
 register("json_field", "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")(
     lambda s, sf: table(s, sf, "events").select("event_id", J.field("props", "$.k").try_cast("int").alias("k")))
 register("json_decode", "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")(

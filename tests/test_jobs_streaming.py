@@ -98,3 +98,14 @@ def test_slots_stream_matches_closed_form(spark, tmp_dir):
         _rows(totals, ["user_id", "slot", "n"])
     got = {r.user_id: r.summary for r in S.read_snapshot(spark, sm, days[-1], S.SUMMARY_SCHEMA).collect()}
     assert got == {r.user_id: r.summary for r in slots.history_summary(per_day).collect()}
+
+
+def test_cli_interest_and_push(spark, tmp_dir):
+    from tagloom.plans import cli
+
+    src, state, out = (os.path.join(tmp_dir, x) for x in ("behavior", "state", "push"))
+    daily.write_daily_table(A.behavior(spark, SF_SMOKE), src, ["20240101", "20240102"])
+    cli.main(["interest", "--dt", "20240101", "--input", src, "--state", state])
+    cli.main(["interest", "--dt", "2024-01-02", "--input", src, "--state", state])
+    cli.main(["push", "--dt", "20240102", "--state", state, "--out", out])
+    assert spark.read.parquet(out).count() == 62
