@@ -132,17 +132,18 @@ def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame |
     """Run the daily job for each day in order (day n reads the state day n-1 wrote).
 
     The daily aggregates of all requested days are computed in one pass over the
-    behaviour rows and written once. Each step reads the previous state twice (join
-    and per-user flags), so the plan doubles per uncut step: beyond three days the
-    state is written to the shared checkpoint folder after every ``checkpoint_every``
-    days (default 1, i.e. one snapshot per day as the daily job writes).
+    behaviour rows and written once (partitioned by dt). Each step reads the
+    previous state once, so the plan grows linearly; for long replays the state is
+    written to the shared checkpoint folder every ``checkpoint_every`` days
+    (default 5: longer uncut chains cost more in the optimizer than the write) and
+    the superseded table is deleted.
     """
     days = list(days)
     spark = behavior.sparkSession
     state = prev if prev is not None else empty_state(spark)
     per_day = daily_interest(behavior.where(F.col("dt").isin(*days)), keep_null_product, by_day=True)
     if checkpoint_every is None:
-        checkpoint_every = 1 if len(days) > 3 else 0
+        checkpoint_every = 5 if len(days) > 5 else 0
     if len(days) > 1:
         # every step reads its day twice (join and flags) and the day filter is pushed
         # below the aggregate, so without this one write the input is scanned 2^n times
