@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +68,27 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or path
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the intermediate tables written by ``cut_lineage`` inside the block on exit.
+
+    Use it around a job whose results are consumed (written or collected) inside
+    the block; DataFrames returned from inside must not be used after it.
+    """
+    stack = getattr(_scopes, "stack", None)
+    if stack is None:
+        stack = _scopes.stack = []
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            drop_path(spark, path)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint folder.
 
@@ -79,6 +102,8 @@ def cut_lineage(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if getattr(_scopes, "stack", None):
+        _scopes.stack[-1].append(path)
     out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     out._tagloom_path = path  # lets a caller drop a superseded intermediate table
     return out

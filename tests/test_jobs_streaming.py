@@ -109,3 +109,15 @@ def test_cli_interest_and_push(spark, tmp_dir):
     cli.main(["interest", "--dt", "2024-01-02", "--input", src, "--state", state])
     cli.main(["push", "--dt", "20240102", "--state", state, "--out", out])
     assert spark.read.parquet(out).count() == 62
+
+
+def test_scratch_scope_deletes_intermediate_tables(spark):
+    from tagloom.session import cut_lineage, scratch_scope
+
+    with scratch_scope(spark):
+        t = cut_lineage(spark.range(10), "scope-test")
+        path = t._tagloom_path
+        assert t.count() == 10
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert not fs.exists(fs_path)
