@@ -1,8 +1,10 @@
 """Registered queries: name -> (Spark callable (spark, sf_dir) -> DataFrame, DuckDB SQL or None).
 
-Every query reads the driver's tables (or what Spark derives from them) in full.
-Daily jobs that need a previous state build it in the same plan from the same
-tables (day 1 from an empty history, then day 2, ...).
+Every query reads the driver's tables (or what Spark derives from them) with no
+sampling, id subsets or row caps. Queries of the daily interest job replay the
+days they name from an empty history (days 1-2, 1-3, or all days of the events
+table); everything else reads whole tables. ``push_preview`` is the only limit,
+because a ten-row preview is the operator.
 """
 
 from __future__ import annotations
