@@ -245,7 +245,11 @@ UI_SMALL = ("SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(k AS VARCHAR) AS i
             "WHERE k IS NOT NULL")
 UI_LARGE = ("SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS item "
             "FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
-UI_STATE = "SELECT user_id, substr(tag, 6) AS item FROM s2 WHERE family = 'prod_tags'"
+def ui_state(state: str = "s2") -> str:
+    return f"SELECT user_id, substr(tag, 6) AS item FROM {state} WHERE family = 'prod_tags'"
+
+
+UI_STATE = ui_state("s2")
 
 
 def seed_cte(order: str = "DESC", state: str = "s2") -> str:
@@ -263,8 +267,10 @@ def push_lists_sql(order: str = "DESC") -> str:
                  'AS "PROD_IDS" FROM seed s LEFT JOIN top t ON t.item = s.item GROUP BY s.user_id')
 
 
-def push_ctes(order: str = "DESC", run_dt: str = DAY2) -> list[str]:
-    return interest_ctes([DAY1, DAY2]) + similarity_ctes(UI_STATE) + [seed_cte(order), f"""cand AS (
+def push_ctes(order: str = "DESC", run_dt: str = DAY2, days: list[str] | None = None) -> list[str]:
+    days = days or [DAY1, DAY2]
+    state = f"s{len(days)}"
+    return interest_ctes(days) + similarity_ctes(ui_state(state)) + [seed_cte(order, state), f"""cand AS (
   SELECT s.user_id, s.item AS seed, t.neighbour, t.rank FROM seed s JOIN top t ON t.item = s.item)""",
         f"""push AS (
   SELECT md5(user_id || '|' || neighbour || '|' || '{run_dt}') AS "ID", user_id AS "MEMBER_ID",

@@ -264,6 +264,15 @@ def push_rows_query(s: SparkSession, sf: str, seed: str = "max") -> DataFrame:
 
 
 register("push_rows", W("SELECT * FROM push", *O.push_ctes("DESC")))(push_rows_query)
+
+
+def _push_all_days(s, sf):
+    days = A.event_days(s, sf)
+    return push.push_rows(_snapshot(s, sf, days), run_dt=days[-1])
+
+
+register("push_rows_all_days", W("SELECT * FROM push", *O.push_ctes("DESC", ALL_DAYS[-1], ALL_DAYS)))(
+    _push_all_days)
 register("push_rows_seed_min", W("SELECT * FROM push", *O.push_ctes("ASC")))(
     lambda s, sf: push_rows_query(s, sf, "min"))
 register("push_preview", W('SELECT * FROM push ORDER BY "MEMBER_ID", "PROD_ID" LIMIT 10', *O.push_ctes("DESC")))(
