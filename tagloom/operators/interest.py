@@ -14,9 +14,10 @@ user without rows today: unchanged.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,41 +90,52 @@ def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
     today; by default they are left untouched, as the original job does.
 
     Plan: one shuffle. Yesterday's state and today's aggregate are unioned and
-    hash-partitioned by ``user_id``; the per-key merge (a group by
+    hash-partitioned by ``user_id`` (REPARTITION hint); the per-key merge (group by
     (user_id, family, tag)) and the per-user flags (a window over user_id) both
     reuse that partitioning. A user's rows are bounded by the tag vocabulary
     (types + products), not by the user's event volume, so partitioning by user
     stays balanced even when one user produces a third of all behaviour rows
     (those rows were already collapsed by the partial daily aggregation).
+
+    The step is one SQL statement over two temporary views: a single analysis per
+    day instead of one per DataFrame call, which matters when days are chained.
     """
     if expire not in ("drop", "keep_stale"):
         raise ValueError("expire must be 'drop' or 'keep_stale'")
-    none = F.lit(None).cast(WEIGHT)
-    both = (prev.select("user_id", "family", "tag", F.col("weight").cast(WEIGHT).alias("old_w"), none.alias("new_w"))
-            .unionByName(daily.select("user_id", "family", "tag", none.alias("old_w"),
-                                      F.col("new_w").cast(WEIGHT).alias("new_w")))
-            .repartition("user_id"))
-    merged = both.groupBy("user_id", "family", "tag").agg(F.max("old_w").alias("old_w"),
-                                                         F.max("new_w").alias("new_w"))
-    per_user = Window.partitionBy("user_id")
-    has_old = lambda fam: F.max(F.when(F.col("old_w").isNotNull() & (F.col("family") == fam), 1)
-                                .otherwise(0)).over(per_user)
-    merged = merged.select("*", F.max(F.col("new_w").isNotNull().cast("int")).over(per_user).alias("active"),
-                           (has_old(TYPE_FAMILY) * has_old(PRODUCT_FAMILY)).alias("known"))
-    old, new = F.col("old_w"), F.col("new_w")
-    dec = F.lit(decay).cast(T.DecimalType(4, 2))
-    raw = (F.coalesce(old, F.lit(0).cast(WEIGHT)) + F.coalesce(new, F.lit(0).cast(WEIGHT))) * dec
-    rounded = F.round(raw, 2).cast(WEIGHT)
-    thr = F.lit(threshold).cast(T.DecimalType(4, 2))
-    stale = old if expire == "keep_stale" else none
-    known_w = F.when(raw > thr, rounded).otherwise(stale)
-    new_user_w = F.when(new.isNotNull(), F.round(new * dec, 2).cast(WEIGHT)).otherwise(old)
-    inactive = F.lit(False) if decay_inactive else (F.col("active") == 0)
-    weight = (F.when(inactive, old)
-              .when(F.col("known") == 1, known_w)
-              .otherwise(new_user_w))
-    return (merged.select("user_id", "family", "tag", weight.alias("weight"))
-            .where(F.col("weight").isNotNull()))
+    spark = prev.sparkSession
+    key = uuid.uuid4().hex[:12]
+    p, d = f"tagloom_prev_{key}", f"tagloom_day_{key}"
+    prev.select("user_id", "family", "tag", "weight").createOrReplaceTempView(p)
+    daily.select("user_id", "family", "tag", "new_w").createOrReplaceTempView(d)
+    w = "DECIMAL(18,2)"
+    dec, thr = f"CAST({float(decay)!r} AS DECIMAL(4,2))", f"CAST({float(threshold)!r} AS DECIMAL(4,2))"
+    stale = "old_w" if expire == "keep_stale" else f"CAST(NULL AS {w})"
+    inactive = "FALSE" if decay_inactive else "active = 0"
+    out = spark.sql(f"""
+SELECT user_id, family, tag, weight FROM (
+  SELECT user_id, family, tag,
+         CASE WHEN {inactive} THEN old_w
+              WHEN known = 1 THEN CASE WHEN raw > {thr} THEN CAST(ROUND(raw, 2) AS {w}) ELSE {stale} END
+              WHEN new_w IS NOT NULL THEN CAST(ROUND(new_w * {dec}, 2) AS {w})
+              ELSE old_w END AS weight
+  FROM (
+    SELECT user_id, family, tag, old_w, new_w,
+           (COALESCE(old_w, CAST(0 AS {w})) + COALESCE(new_w, CAST(0 AS {w}))) * {dec} AS raw,
+           MAX(CAST(new_w IS NOT NULL AS INT)) OVER per_user AS active,
+           MAX(CASE WHEN old_w IS NOT NULL AND family = '{TYPE_FAMILY}' THEN 1 ELSE 0 END) OVER per_user
+         * MAX(CASE WHEN old_w IS NOT NULL AND family = '{PRODUCT_FAMILY}' THEN 1 ELSE 0 END) OVER per_user AS known
+    FROM (
+      SELECT user_id, family, tag, MAX(old_w) AS old_w, MAX(new_w) AS new_w
+      FROM (SELECT /*+ REPARTITION(user_id) */ * FROM (
+              SELECT user_id, family, tag, CAST(weight AS {w}) AS old_w, CAST(NULL AS {w}) AS new_w FROM {p}
+              UNION ALL
+              SELECT user_id, family, tag, CAST(NULL AS {w}), CAST(new_w AS {w}) FROM {d}) u) r
+      GROUP BY user_id, family, tag) g
+    WINDOW per_user AS (PARTITION BY user_id)) f) x
+WHERE weight IS NOT NULL""")
+    spark.catalog.dropTempView(p)  # the new plan holds the views' plans; the names are no longer needed
+    spark.catalog.dropTempView(d)
+    return out
 
 
 def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame | None = None,
