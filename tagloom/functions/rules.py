@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -202,7 +201,3 @@ def java_double_text(n: Column) -> Column:
                    F.when(mant == "", F.lit("0")).otherwise(mant), F.lit("E"),
                    (F.length(s) - 1).cast("string"))
     return F.when(n < F.lit(10_000_000), F.concat(s, F.lit(".0"))).otherwise(sci)
-
-
-def any_of(cols: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, cols)
