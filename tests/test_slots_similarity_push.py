@@ -119,3 +119,19 @@ def test_push_rows_schema_ids_and_exclusion(spark):
     assert again == sorted(r.ID for r in rows.collect())  # deterministic ids
     excl = sorted((r.MEMBER_ID, r.PROD_ID) for r in push.push_rows(st, "20240102", exclude_seen=True).collect())
     assert excl == [("u1", "c")]
+
+
+def test_bot_user_holding_every_item(spark):
+    """Orders user-items plus one user holding every part: the signature path equals pair enumeration."""
+    from conftest import SF_SMOKE
+    from pyspark.sql import functions as F
+
+    from tagloom.sources import adapters as A
+    from tagloom.sources.tables import table
+
+    bot = table(spark, SF_SMOKE, "part").select(F.lit("bot").alias("user_id"),
+                                               F.col("p_partkey").cast("string").alias("item"))
+    skewed = A.user_items_large(spark, SF_SMOKE).unionByName(bot)
+    via_signature = {tuple(r) for r in similarity.similarity_top_k(skewed, heavy_items=100).collect()}
+    via_pairs = {tuple(r) for r in similarity.similarity_top_k(skewed, heavy_items=10 ** 9).collect()}
+    assert via_signature == via_pairs and len(via_pairs) > 0
