@@ -98,10 +98,12 @@ def _frequency_from_lists(lists: DataFrame) -> DataFrame:
             .groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
-def _pair_counts_from_lists(lists: DataFrame) -> DataFrame:
+def _pair_counts_from_lists(lists: DataFrame, across_chunks: bool = True) -> DataFrame:
     # pairs inside a chunk: each element with the elements after it (generators stay in codegen)
     within = (lists.select("items", F.posexplode("items").alias("p", "i"))
               .select("i", F.explode(F.slice("items", F.col("p") + 2, F.size("items"))).alias("j")))
+    if not across_chunks:  # no user has more than one chunk
+        return within.groupBy("i", "j").agg(F.count(F.lit(1)).cast("bigint").alias("c"))
     # pairs across chunks a < b of a heavy user: one row per (user, a, b) on each side
     multi = lists.where(F.col("nc") > 1)
     other = F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("other")
@@ -124,9 +126,9 @@ def _both_directions(df: DataFrame, value: str) -> DataFrame:
     return df.select(F.inline(both))
 
 
-def _scored_lists(lists: DataFrame, fi: DataFrame, fj: DataFrame) -> DataFrame:
+def _scored_lists(lists: DataFrame, fi: DataFrame, fj: DataFrame, across_chunks: bool = True) -> DataFrame:
     score = F.col("c").cast("double") / F.sqrt(F.col("ni").cast("double") * F.col("nj").cast("double"))
-    pc = _pair_counts_from_lists(lists)
+    pc = _pair_counts_from_lists(lists, across_chunks)
     return _both_directions(pc.join(fi, "i").join(fj, "j").select("i", "j", score.alias("score")), "score")
 
 
@@ -199,22 +201,29 @@ def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int =
     # counted, and broadcast only when that count allows
     big = cut_lineage(enc.groupBy("user_id").agg(F.count(F.lit(1)).alias("d"))
                       .where(F.col("d") > min(chunk_items, heavy_items)), "similarity-big-users")
+    # several chunks for some user: the lists feed three branches, so write them once
+    multi = big.where(F.col("d") > chunk_items).limit(1).count() > 0
     if big.where(F.col("d") > heavy_items).limit(1).count() == 0:
         lists = _lists(enc.join(broadcast_if_bounded(big), "user_id", "left"), chunk_items)
-        cand = _scored_lists(lists, fi, fj)
+        if multi:
+            lists = cut_lineage(lists, "similarity-lists")
+        cand = _scored_lists(lists, fi, fj, multi)
         by_score = Window.partitionBy("item").orderBy(F.col("score").desc())
         cand = cand.withColumn("r", F.rank().over(by_score)).where(F.col("r") <= k).drop("r")
         return top_k(_decode(cand, dictionary), k).select("item", "neighbour", "score", "rank")
     rows = enc.join(broadcast_if_bounded(big), "user_id", "left")
     is_heavy = F.coalesce(F.col("d") > heavy_items, F.lit(False))
     lists = _lists(rows.where(~is_heavy), chunk_items)
+    multi = big.where((F.col("d") > chunk_items) & (F.col("d") <= heavy_items)).limit(1).count() > 0
+    if multi:
+        lists = cut_lineage(lists, "similarity-lists")
     sig = (rows.where(is_heavy).groupBy("item")
            .agg(F.array_sort(F.collect_set("user_id")).alias("holders")))
 
     # light pairs with their exact score (heavy users they share included)
     none = F.array().cast("array<string>")
     shared = F.size(F.array_intersect(F.coalesce("Si", none), F.coalesce("Sj", none)))
-    light = (_pair_counts_from_lists(lists).join(fi, "i").join(fj, "j")
+    light = (_pair_counts_from_lists(lists, multi).join(fi, "i").join(fj, "j")
              .join(sig.select(F.col("item").alias("i"), F.col("holders").alias("Si")), "i", "left")
              .join(sig.select(F.col("item").alias("j"), F.col("holders").alias("Sj")), "j", "left")
              .select("i", "j", ((F.col("c") + shared).cast("double")
