@@ -48,3 +48,35 @@ def test_merge_matches_model(spark, prev, day1, day2, expire):
     got = I.merge_interest(I.merge_interest(p, d1, expire=expire), d2, expire=expire)
     want = model(model(prev, day1, expire), day2, expire)
     assert {(r.user_id, r.family, r.tag): r.weight for r in got.collect()} == want
+
+
+SLOTS = ["015001", "015002", "015003", "015004", "015005", "time_tags"]
+DAY_ROWS = st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3"]), st.sampled_from(["d1", "d2", "d3", "d4"]),
+                              st.sampled_from(SLOTS), st.integers(0, 12)), max_size=25)
+
+
+def _fold_summaries(rows):
+    """Day-by-day model: additive counts; each active user's cell = today's slots with cumulative counts."""
+    state, cell = {}, {}
+    for day in sorted({d for _, d, _, _ in rows}):
+        today = {}
+        for u, d, s, n in rows:
+            if d == day:
+                today[(u, s)] = today.get((u, s), 0) + n
+        for k, n in today.items():
+            state[k] = state.get(k, 0) + n
+        for u in {u for u, _ in today}:
+            items = sorted(((state[(u, s)], s) for uu, s in today if uu == u), key=lambda x: (-x[0], x[1]))
+            cell[u] = "List(" + ", ".join(f"({s},{n}.0)" for n, s in items) + ")"
+    return cell
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=DAY_ROWS)
+def test_history_summary_equals_daily_fold(spark, rows):
+    from tagloom.operators import slots
+
+    per_day = spark.createDataFrame(rows, "user_id string, dt string, slot string, n bigint")
+    per_day = per_day.groupBy("user_id", "dt", "slot").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n")
+    got = {r.user_id: r.summary for r in slots.history_summary(per_day).collect()}
+    assert got == _fold_summaries(rows)
