@@ -8,8 +8,8 @@ Scale notes
   ranked (fixed-width keys, no dictionary pass). Strings are joined back at the
   end; a hash shared by two strings stops the job with an error instead of
   merging them, so results are exact or absent, never silently wrong.
-* A user's items are grouped into chunks of about ``chunk_items`` (by item hash)
-  with ``collect_set`` (partial aggregation, so duplicates collapse map-side).
+* A user's distinct items are grouped into chunks of about ``chunk_items`` (by
+  item hash) with a partially aggregated ``collect_list``.
   Light users (the common case) form one chunk and their pairs (i < j) come from
   that bounded array by posexplode/slice; no self join.
 * Heavy users (more than ``chunk_items`` items) are found by a partial count;
@@ -81,11 +81,11 @@ def _with_degree(ui: DataFrame, chunk_items: int) -> DataFrame:
 
 
 def _lists(rows: DataFrame, chunk_items: int) -> DataFrame:
-    """(user_id, chunk, nc, items) from (user_id, item, d): nc bounded chunks per user."""
+    """(user_id, chunk, nc, items) from distinct (user_id, item, d) rows: nc bounded chunks per user."""
     nc = F.coalesce(F.ceil(F.col("d") / F.lit(chunk_items)).cast("int"), F.lit(1))
     chunk = F.pmod(F.xxhash64("item"), nc).cast("int")
     return (rows.groupBy("user_id", chunk.alias("chunk"), nc.alias("nc"))
-            .agg(F.array_sort(F.collect_set("item")).alias("items")))
+            .agg(F.array_sort(F.collect_list("item")).alias("items")))  # rows are distinct already
 
 
 def _chunk_lists(user_items: DataFrame, chunk_items: int) -> DataFrame:
