@@ -121,3 +121,18 @@ def test_scratch_scope_deletes_intermediate_tables(spark):
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     assert not fs.exists(fs_path)
+
+
+def test_parquet_push_sink_rerun_replaces_the_date(spark, tmp_dir):
+    from tagloom.sources.sinks import write_push_parquet
+
+    st = interest.replay_interest(A.behavior(spark, SF_SMOKE), ["20240101", "20240102"])
+    rows = push.push_rows(st, "20240102")
+    out = os.path.join(tmp_dir, "push")
+    write_push_parquet(rows, out, "20240102")
+    write_push_parquet(rows, out, "20240102")  # re-run of the same date: replaced, not appended
+    write_push_parquet(push.push_rows(st, "20240103"), out, "20240103")
+    got = spark.read.parquet(out)
+    assert got.where(F.col("dt") == "20240102").count() == 62
+    assert got.where(F.col("dt") == "20240103").count() == 62
+    assert got.select("ID").distinct().count() == 124  # ids differ by run date
