@@ -53,6 +53,13 @@ def test_slots_job_and_profile_view(spark, tmp_dir):
     view = jobs.profile_view(spark, "20240102", os.path.join(tmp_dir, "none"), st, sm, cells)
     fams = {r.family for r in view.select("family").distinct().collect()}
     assert fams == {"time_tags", "user_tags"}
+    ib = os.path.join(tmp_dir, "interest")
+    for d in ["20240101", "20240102"]:
+        jobs.interest_job(spark, A.behavior(spark, SF_SMOKE), ib, d)
+    full = jobs.profile_view(spark, "20240102", ib, st, sm, cells)
+    assert {r.family for r in full.select("family").distinct().collect()} == {"time_tags", "user_tags", "be_tags",
+                                                                              "prod_tags"}
+    assert full.where(F.col("family").isin("be_tags", "prod_tags")).count() == 113
     assert view.where((F.col("family") == "user_tags") & (F.col("tag") == "time_tags")).count() == len(summ)
 
 

@@ -68,3 +68,43 @@ def test_json_record_and_array_round_trip(spark):
     assert m.select(J.field("d", "$.data.city")).first()[0] == "C"
     inner = m.select(J.decode_map(J.field("d", "$.data")).alias("m")).first().m
     assert inner == {"region": "R", "city": "C", "isp": "I"}
+
+
+def test_ip_range_join_overlapping_ranges(spark):
+    rnd = random.Random(5)
+    ranges = []
+    for i in range(30):
+        lo = rnd.randrange(0, 2 ** 32 - 2 ** 20)
+        ranges.append((lo, lo + rnd.randrange(1, 2 ** 20), f"r{i}", f"c{i}", "isp"))
+    probes = [(i, rnd.randrange(2 ** 32)) for i in range(300)] + [(1000 + i, lo) for i, (lo, *_r) in enumerate(ranges)]
+    r_df = spark.createDataFrame(ranges, "lo bigint, hi bigint, region string, city string, isp string")
+    p_df = spark.createDataFrame(probes, "id bigint, ip bigint")
+    got = sorted((r.id, r.city or "") for r in enrich.ip_enrich(p_df, r_df).collect())
+    want = []
+    for pid, ip in probes:
+        hits = [c for lo, hi, _r, c, _i in ranges if lo <= ip <= hi]
+        want += [(pid, c) for c in hits] or [(pid, "")]
+    assert got == sorted(want)
+
+
+def test_checkpoint_folder_required_on_a_cluster():
+    import pytest
+
+    from tagloom.session import ensure_checkpoint_dir
+
+    class _Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):  # noqa: N802 - mirrors the SparkContext method
+            return None
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Session:
+        sparkContext = _Ctx()
+        conf = _Conf()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session())
