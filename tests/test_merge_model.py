@@ -80,3 +80,25 @@ def test_history_summary_equals_daily_fold(spark, rows):
     per_day = per_day.groupBy("user_id", "dt", "slot").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n")
     got = {r.user_id: r.summary for r in slots.history_summary(per_day).collect()}
     assert got == _fold_summaries(rows)
+
+
+def _age_model(birth, rule, as_of=(2018, 7, 15)):
+    y, m, d = (int(x) for x in birth.split("-"))
+    cy, cm, cd = as_of
+    if rule == "calendar":
+        return cy - y - (1 if (cm, cd) < (m, d) else 0)
+    return cy - y - (1 if cm < m or (cm == m and cd != d) else 0)  # the original's month rule
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(days=st.lists(st.dates(min_value=__import__("datetime").date(1900, 1, 1),
+                              max_value=__import__("datetime").date(2030, 12, 31)), min_size=1, max_size=30))
+def test_age_rules_match_model(spark, days):
+    from tagloom.functions import rules as R
+
+    births = [d.isoformat() for d in days]
+    df = spark.createDataFrame([(b,) for b in births], "b string")
+    got = df.select("b", R.age_years("b", "2018-07-15").alias("c"),
+                    R.age_years("b", "2018-07-15", rule="reference").alias("r")).collect()
+    for row in got:
+        assert (row.c, row.r) == (_age_model(row.b, "calendar"), _age_model(row.b, "reference")), row.b
