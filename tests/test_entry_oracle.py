@@ -34,3 +34,9 @@ def con():
 def test_oracle_smoke(spark, con, name):
     r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF_SMOKE)
     assert r["cols_match"] and r["values_match"], r
+
+
+def test_every_query_is_documented():
+    import os
+    readme = open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "README.md")).read()
+    assert [n for n in E.queries() if f"`{n}`" not in readme] == []
