@@ -6,17 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import setsketch
+from tagloom.llm import quality_net, quality_rules, setsketch
 from tagloom.llm.oracle import ORACLE_SQL
 from tagloom.sources.tables import table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_net.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op6_setsketch_dedup": op6_setsketch_dedup,
+    "op7_random_indexing_quality": op7_random_indexing_quality,
 }
 
 
