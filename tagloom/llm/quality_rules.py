@@ -2,7 +2,7 @@
 
 Features are the frequencies of word 1- and 2-grams and of character 3-grams, each hashed into a
 fixed number of buckets. The regression is fitted on a bounded sample of labelled rows
-(``TRAIN_ROWS``), its scores become probabilities by Platt scaling on a fold it never saw, and every
+(``TRAIN_ROWS``) that pass the base rules, its scores become probabilities by Platt scaling on a fold it never saw, and every
 document is scored in Arrow batches; one below ``KEEP_FROM`` is rejected.
 
 Defined results: null, empty and wordless texts have no words and fail the base rules; repeated rows
@@ -78,6 +78,11 @@ def base_statistics(data: np.ndarray, offsets: np.ndarray, w: textvec.Words, wh:
     }
 
 
+def base_failed(stats: dict[str, np.ndarray]) -> np.ndarray:
+    """Texts that the fixed rules reject whatever the model says."""
+    return (stats["n_words"] < MIN_WORDS) | (100 * stats["n_repeat_words"] > MAX_REPEATED_PERCENT * stats["n_words"])
+
+
 def grams(data: np.ndarray, offsets: np.ndarray, w: textvec.Words, wh: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each kind of n-gram: buckets of all n-grams, and bounds of each text's."""
     out = [((wh >> np.uint64(40)).astype(np.int64) % WORD_BUCKETS, w.bounds)]
@@ -131,21 +136,23 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(index: np.ndarray, value: np.ndarray, bounds: np.ndarray, y: np.ndarray, held: np.ndarray,
-        steps: int = 150, rate: float = 0.05, decay: float = 1e-5) -> Model:
-    """Logistic regression by full-batch Adam on rows not held, calibrated on held ones."""
+        steps: int = 100, decay: float = 1e-4) -> Model:
+    """Logistic regression by accelerated gradient steps on rows not held, calibrated on held ones."""
     row = np.repeat(np.arange(len(y)), np.diff(bounds))
     used = ~held
     share = used / max(used.sum(), 1)
+    # the mean squared length of a row bounds the curvature, so this step cannot overshoot
+    rate = 4 / (1 + np.dot(_sums(value.astype(float) ** 2, bounds), share))
     w, b = np.zeros(BUCKETS), float(np.log((y[used].sum() + 1) / ((1 - y[used]).sum() + 1)))
-    m, v = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
-    for t in range(1, steps + 1):
-        z = _sums(value * w[index], bounds) + b
+    ahead_w, ahead_b, t = w, b, 1.0
+    for _ in range(steps):
+        z = _sums(value * ahead_w[index], bounds) + ahead_b
         r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
-        g = np.append(np.bincount(index, weights=value * r[row], minlength=BUCKETS) + decay * w, r.sum())
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        w -= step[:-1]
-        b -= step[-1]
+        new_w = ahead_w - rate * (np.bincount(index, weights=value * r[row], minlength=BUCKETS) + decay * ahead_w)
+        new_b = ahead_b - rate * r.sum()
+        grown = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        ahead_w, ahead_b = new_w + (t - 1) / grown * (new_w - w), new_b + (t - 1) / grown * (new_b - b)
+        w, b, t = new_w, new_b, grown
     model = Model(w.astype(np.float32), b)
     z = _sums(value * w[index], bounds) + b
     if held.any() and 0 < y[held].mean() < 1:
@@ -162,7 +169,9 @@ def _prepared(values) -> tuple[np.ndarray, np.ndarray, textvec.Words, np.ndarray
 def _features(batches):
     for batch in batches:
         for piece in text_slices(batch):
-            kinds = grams(*_prepared(piece.column("text")))
+            data, offsets, w, wh = _prepared(piece.column("text"))
+            piece_failed = base_failed(base_statistics(data, offsets, w, wh))
+            kinds = grams(data, offsets, w, wh)
             index, value = [], []
             for i in range(piece.num_rows):
                 ix, vs = [], []
@@ -175,7 +184,8 @@ def _features(batches):
                 value.append(np.concatenate(vs).astype(np.float32))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x.tobytes() for x in index], pa.binary()), pa.array([x.tobytes() for x in value], pa.binary()),
-                 piece.column("label"), piece.column("fold")], names=["index", "value", "label", "fold"])
+                 piece.column("label"), piece.column("fold")],
+                names=["index", "value", "label", "fold"]).filter(pa.array(~piece_failed))
 
 
 def _fit_task(batches):
@@ -208,7 +218,7 @@ def judge(values, model: Model | None, keep_from: float = KEEP_FROM) -> dict[str
     """Statistics, base verdict, probability of good quality and final verdict of texts."""
     data, offsets, w, wh = _prepared(values)
     out = base_statistics(data, offsets, w, wh)
-    out["base_failed"] = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEATED_PERCENT * out["n_words"])
+    out["base_failed"] = base_failed(out)
     p = model.probability(model.score(grams(data, offsets, w, wh))) if model else np.full(len(offsets) - 1, np.nan)
     out["probability"] = p
     out["kept"] = ~out["base_failed"] & ~(p < keep_from)

@@ -6,15 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import quality_net, quality_rules, setsketch
+from tagloom.llm import decontaminate, packing, pii, quality_net, quality_rules, setsketch, token_prefix
 from tagloom.llm.oracle import ORACLE_SQL
 from tagloom.sources.tables import table
 
 
+def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_prefix.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op5_string_tiling_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -23,10 +35,18 @@ def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_net.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_weak_supervision_pii": op1_weak_supervision_pii,
     "op2_quality_rules": op2_quality_rules,
+    "op3_prefix_token_counts": op3_prefix_token_counts,
+    "op5_string_tiling_decontamination": op5_string_tiling_decontamination,
     "op6_setsketch_dedup": op6_setsketch_dedup,
     "op7_random_indexing_quality": op7_random_indexing_quality,
+    "op10_pattern_packing": op10_pattern_packing,
 }
 
 
