@@ -32,7 +32,7 @@ DEEPEST = 12  # list levels that get an indent of their own
 
 _MARKUP = re.compile(
     r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))"  # comment
-    r"|[!?/](?![A-Za-z])[^>]*+(?:>|\Z)|![^>]*+(?:>|\Z)"  # declaration, processing instruction, bogus comment
+    r"|[!?][^>]*+(?:>|\Z)|/(?![A-Za-z])[^>]*+(?:>|\Z)"  # declaration, processing instruction, bogus comment
     r"|(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?:>|\Z)|[^>]*+(?:>|\Z)))", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _TELLING = re.compile(r"(?i)hidden|style|span|open|start|value|reversed")
@@ -47,6 +47,7 @@ _PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figur
 _BLOCKS = _PARAGRAPHS | frozenset(
     "address article aside body caption center dd details dialog dir div dt figcaption footer form header hgroup html legend li "
     "listing main menu nav optgroup option section summary".split())
+_HEADINGS = frozenset(f"h{i}" for i in range(1, 7))
 _ENDS_P = (_BLOCKS | {"xmp"}) - frozenset("body caption html legend optgroup option".split())
 _SCOPE = frozenset("table td th caption button html".split())
 #: What a start tag ends if open, and where the search for it stops.
@@ -55,7 +56,7 @@ _ENDS = {
     "option": ({"option"}, {"select", "optgroup"} | _SCOPE), "optgroup": ({"option", "optgroup"}, {"select"} | _SCOPE),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr", "caption", "colgroup"}, {"table"}),
     **{t: ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}) for t in ("thead", "tbody", "tfoot", "caption", "colgroup")},
-    **{f"h{i}": ({f"h{j}" for j in range(1, 7)}, _BLOCKS - {f"h{j}" for j in range(1, 7)}) for i in range(1, 7)},
+    **{h: (_HEADINGS, _BLOCKS - _HEADINGS) for h in _HEADINGS},
 }
 _SECTIONS = frozenset(("thead", "tbody", "tfoot"))
 _TABLE_PARTS = _SECTIONS | frozenset("tr td th caption colgroup col".split())
@@ -165,7 +166,7 @@ class Builder:
         stops = () if tag in _TABLE_PARTS or tag == "table" else {"td", "th", "caption"}
         if tag in _TABLE_PARTS:
             stops = {"table"}
-        depth = self.find({tag}, stops)
+        depth = self.find(_HEADINGS if tag in _HEADINGS else {tag}, stops)
         if depth:
             self.pop_to(depth)
         elif tag == "p":

@@ -1,0 +1,113 @@
+"""op1: base spans against plain regular expressions, the weak supervision, and masking."""
+
+import hashlib
+import random
+import re
+
+import llm_cases as C
+import numpy as np
+
+from tagloom.llm import pii, queries
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def digits(s):
+    return re.sub("[^0-9]", "", s)
+
+
+def luhn(s):
+    total = 0
+    for i, c in enumerate(reversed(s)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def brute(t):
+    return [
+        [m.span() for m in EMAIL.finditer(t)],
+        [m.span() for m in IP.finditer(t) if all(int(x) <= 255 for x in m[0].split("."))],
+        [m.span() for m in CARD.finditer(t) if 13 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))],
+        [m.span() for m in PHONE.finditer(t) if 9 <= len(digits(m[0])) <= 15],
+    ]
+
+
+def base_digest(t):
+    spans = [f"{k}:{a}:{b}" for k, s in zip(("email", "ip", "card", "phone"), brute(t)) for a, b in s]
+    return hashlib.sha256(",".join(spans).encode()).hexdigest()
+
+
+def test_base_spans_random():
+    r = random.Random(1)
+    for _ in range(8000):
+        t = "".join(r.choice("a.@1 0-+9(é_%") for _ in range(r.randrange(40)))
+        assert pii.base_spans(t) == brute(t), t
+    for t in ("4111 1111-1111 1111", "x4111111111111111y", "+1 (017) 555-7713.", "001.002.003.004", "1.2.3.4.5.6.7.8", "1.2.3.256",
+              "a@b.c_d@e.f", "a@b@c.d", "9" * 4000 + ".1.1.1", "0" * 4000 + ".1.1.1"):
+        assert pii.base_spans(t) == brute(t), t
+
+
+def test_long_hostile_texts_are_linear():
+    for t in ("a" * 200000, "1" * 200000, "1." * 100000, "a@" * 100000, "+" + "1 " * 100000, "token=" * 30000, "Mr " * 60000, "+1" * 100000):
+        pii.candidates(t)
+
+
+def test_query_base_columns_and_method_spans(spark):
+    texts = dict(C.read("documents", ["doc_id", "text"]))
+    got = queries.op1_weak_supervision_pii(spark, C.SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        t = texts[r.doc_id]
+        b = brute(t)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [len(x) for x in b]
+        assert r.base_sha256 == base_digest(t)
+        spans = [(k, int(a), int(e)) for k, a, e in (s.split(":") for s in r.spans.split(",") if s)]
+        for k, x in zip(pii.KINDS, b):
+            assert {(k, a, e) for a, e in x} <= set(spans)
+        assert spans == sorted(spans, key=lambda s: (pii.KINDS.index(s[0]), s[1]))
+        for m in re.finditer(r'token = "([0-9a-f]{40})"', t):
+            assert ("secret", *m.span(1)) in spans
+
+
+def test_expectation_maximisation_finds_reliable_labelers():
+    rng = np.random.default_rng(0)
+    truth = rng.random(4000) < 0.5
+    right = np.array([0.95, 0.9, 0.85, 0.5, 0.5, 0.8])  # two labelers only guess
+    agree = rng.random((4000, 6)) < right
+    votes = np.where(agree == truth[:, None], 1, -1)
+    unique, count = np.unique(votes, axis=0, return_counts=True)
+    p = pii.reliabilities(np.full(len(unique), 4), unique, count)
+    by = {tuple(v): x for v, x in zip(unique.tolist(), p)}
+    guess = np.array([by[tuple(v)] > 0.5 for v in votes.tolist()])
+    assert (guess == truth).mean() > 0.94
+
+
+def test_signature_round_trip():
+    t = 'api token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" end'
+    kind, a, b, s, base = next(c for c in pii.candidates(t) if pii.KINDS[c[0]] == "secret")
+    k, v, shape = pii.unpack(np.array([s]))
+    assert k[0] == kind and v[0].tolist() == pii.votes(t, kind, a, b, base) and s < pii.SIGNATURES
+
+
+def test_awkward_rows_and_empty_table(spark):
+    docs = C.documents(spark, C.AWKWARD + [(11, "mail me: a@b.com or a@b.com +1 555 123 4567")])
+    got = C.rows_of(pii.find_pii(docs))
+    assert len(got) == len(C.AWKWARD) + 1
+    by = {r.doc_id: r for r in got}
+    assert by[1].spans == by[2].spans == "" and by[1].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert (by[11].n_email, by[11].n_phone) == (2, 1)
+    assert pii.find_pii(docs.limit(0)).count() == 0
+    masked = pii.redact(docs)
+    assert masked.columns == docs.columns
+    rows = {r.doc_id: r for r in masked.collect()}
+    assert rows[11].text == "mail me: [EMAIL] or [EMAIL] [PHONE]" and rows[11].n_chars == len(rows[11].text)
+    assert rows[1].text is None and rows[2].text == "" and masked.count() == docs.count()
+    assert pii.redact(docs.limit(0)).count() == 0
+
+
+def test_masking_merges_overlaps():
+    assert pii.masked("abcdefgh", [(0, 1, 3), (3, 2, 5), (1, 6, 7)]) == "a[EMAIL]f[IP]h"

@@ -1,0 +1,166 @@
+"""op3 and op10: counts and ids against the tokenizers library, packing against its bound."""
+
+import random
+import zlib
+
+import llm_cases as C
+import numpy as np
+import pytest
+
+from tagloom.llm import packing, queries, token_prefix
+from tagloom.llm.tokenizers_io import byte_bpe, library, tokenizer_path
+
+WORDS, BYTES = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
+PARTS = ["a", "b", "e", "n", "t", "th", "ing", "'", "'s", "'re", "'ll", "1", "2", ".", ",", "!", " ", "  ", "\n", "é", "É", "ñ", "ß", "A",
+         "T", "-", "<|endoftext|>", "<|start", "|>", "\x85", "\xa0", "\x1c", "中", "й", "é", "İ", "²", "½", "_", "=", "\x00", "~", "\t "]
+
+
+def count(text):
+    return len(library(WORDS).encode(text, add_special_tokens=False))
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return token_prefix.PrefixCounter(WORDS)
+
+
+def test_totals_random(counter):
+    r = random.Random(3)
+    for _ in range(3000):
+        t = "".join(r.choice(PARTS) for _ in range(r.randrange(25)))
+        assert counter.total(t) == count(t), t
+
+
+def test_every_prefix(counter):
+    r = random.Random(4)
+    for _ in range(1500):
+        t = "".join(r.choice(PARTS[:26] + PARTS[-1:]) for _ in range(r.randrange(20)))
+        got = counter.counts(t)
+        if len(got) == len(t):
+            assert got.tolist() == [count(t[:k]) for k in range(1, len(t) + 1)], t
+            for limit in range(0, 8, 3):
+                best = max([k for k in range(1, len(t) + 1) if got[k - 1] <= limit], default=0)
+                assert counter.longest_prefix(t, limit) >= best - len(t[:best]) + len(t[:best].rstrip()) and (
+                    count(t[: counter.longest_prefix(t, limit)]) <= limit)
+
+
+def test_cache_starts_anew(counter, monkeypatch):
+    monkeypatch.setattr(token_prefix, "CACHE_WORDS", 50)
+    texts = [t for _, t in C.read("documents", ["doc_id", "text"])[:20]]
+    assert counter.totals([t.encode() for t in texts]) == [count(t) for t in texts]
+
+
+def test_token_counts_query(spark):
+    texts = dict(C.read("documents", ["doc_id", "text"]))
+    got = queries.op3_prefix_token_counts(spark, C.SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        t = texts[r.doc_id]
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(t.encode()), count(t), count(t) > 2048)
+        assert count(t[: r.fitting_chars]) <= 2048
+        if r.over_limit:
+            assert r.fitting_chars < len(t) and count(t[: r.fitting_chars + 30]) > 2048 - 30
+        else:
+            assert r.fitting_chars == len(t)
+
+
+def test_token_counts_awkward(spark):
+    docs = C.documents(spark)
+    got = token_prefix.token_counts(docs).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens) for r in got) == sorted(
+        (i is None, i or 0, count(t or "")) for i, t in C.AWKWARD)
+    assert token_prefix.token_counts(docs.limit(0)).count() == 0
+    stored = {r.doc_id: r.counts for r in token_prefix.prefix_counts(docs.where("doc_id IN (1, 2, 8)")).collect()}
+    assert stored[1] == stored[2] == [] and stored[8] == [count("one two"[:k]) for k in range(1, 8)]
+
+
+def test_byte_ids_equal_the_library():
+    r, own = random.Random(5), byte_bpe(BYTES)
+    texts = ["".join(r.choice(PARTS) for _ in range(r.randrange(40))) for _ in range(3000)]
+    texts += ["", "a" * 5000, " " * 3000, "\n \n" * 700, "x" * 999 + " " + "y" * 1001]
+    for t in texts:
+        assert own.encode(t).tolist() == library(BYTES).encode(t, add_special_tokens=False).ids, t[:60]
+    latin = "".join(chr(c) for c in range(0x250))
+    for a in range(0, 0x250, 7):
+        t = " ".join(latin[a : a + 7]) + latin[a : a + 7]
+        assert own.encode(t).tolist() == library(BYTES).encode(t, add_special_tokens=False).ids
+
+
+def check_packing(pieces, texts, most=2048):
+    """Every id of every document is there once, sequences are gapless, and few."""
+    by = {}
+    for p in pieces:
+        by.setdefault(p.doc_id, []).append(p)
+    total = 0
+    for i, t in texts.items():
+        ids = np.array([*library(BYTES).encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        total += len(ids)
+        own = sorted(by[i], key=lambda p: p.piece)
+        assert [p.piece for p in own] == list(range(len(own))) and sum(p.length for p in own) == len(ids)
+        assert all(p.length == most for p in own[1:]) and own[0].length == (len(ids) % most or most)
+        for p in own:
+            assert p.ids_crc32 == zlib.crc32(ids[p.start : p.start + p.length].tobytes())
+    sequences = {}
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= most
+    return len(sequences), -(-total // most)
+
+
+def test_packing_query(spark):
+    texts = dict(C.read("documents", ["doc_id", "text"], C.SF_MEDIUM))
+    used, bound = check_packing(queries.op10_pattern_packing(spark, C.SF_MEDIUM).collect(), texts)
+    assert used <= bound + 1
+
+
+def test_packing_awkward(spark):
+    docs = C.documents(spark, [(i, t) for i, t in C.AWKWARD if i is not None])
+    got = packing.pack(docs.dropDuplicates(["doc_id"])).collect()
+    check_packing(got, {i: t for i, t in C.AWKWARD if i is not None})
+    assert packing.pack(C.documents(spark)).count() == len(got) + 3  # a repeated row and two null ids
+    assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_sequences_hold_the_ids(spark):
+    docs = C.documents(spark, [(1, "one two three"), (2, None), (3, "four")])
+    rows = packing.sequences(packing.pack(docs, with_ids=True)).collect()
+    assert len(rows) == 1
+    ids = np.frombuffer(bytes(rows[0].ids), dtype="<u4").tolist()
+    parts = [[*library(BYTES).encode(t, add_special_tokens=False).ids, 0] for t in ("one two three", "", "four")]
+    assert len(ids) == sum(map(len, parts))
+    assert all(" ".join(map(str, p)) in " ".join(map(str, ids)) for p in parts)
+
+
+@pytest.mark.parametrize("n", [1, 7, 300, 40000])
+def test_plan_uses_every_piece_once(n):
+    rng = np.random.default_rng(n)
+    for lengths in (np.clip(rng.lognormal(5.8, 1.1, n).astype(int) + 1, 1, 2048), np.full(n, 1025), np.full(n, 1), rng.integers(1500, 2049, n)):
+        histogram = np.bincount(lengths, minlength=2049)
+        planned = packing.plan(histogram)
+        used = np.zeros(2049, int)
+        for runs, c in planned:
+            assert 0 < sum(a * b for a, b in runs) <= 2048
+            for a, b in runs:
+                used[a] += b * c
+        assert (used == histogram).all()
+        rank = np.empty(n, int)
+        order = np.argsort(lengths, kind="stable")
+        rank[order] = np.arange(n) - np.concatenate(([0], np.cumsum(histogram)))[lengths[order]]
+        sequence, offset = packing.place(packing.runs_table(planned), lengths, rank)
+        order = np.lexsort((offset, sequence))
+        s, o, length = sequence[order], offset[order], lengths[order]
+        assert (o[1:] == np.where(s[1:] == s[:-1], o[:-1] + length[:-1], 0)).all() and o[0] == 0
+
+
+def test_nonnegative_fit_recovers_a_mixture():
+    found = [(500, 1548), (1024, 1024), (500, 500, 1048)]
+    histogram = np.zeros(2049)
+    for p, x in zip(found, (10, 20, 5)):
+        for length in p:
+            histogram[length] += x
+    assert np.allclose(packing.nonnegative_fit(found, histogram, 3000), [10, 20, 5], atol=0.1)
