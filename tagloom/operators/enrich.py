@@ -4,8 +4,8 @@ Spark has no range join strategy besides a nested loop, so the join is made an
 equi-join on a coarse bucket (ip >> bits): every range is exploded into the
 buckets it covers and the probe joins on (bucket) with the exact BETWEEN test as
 an extra join condition. Non-overlapping ranges give at most
-``#ranges + 2**(32-bits)`` dimension rows. The dimension is broadcast only after
-its row count is checked; above the bound both sides shuffle on the bucket.
+``#ranges + 2**(32-bits)`` dimension rows. Whether the dimension is broadcast or
+both sides shuffle on the bucket is left to Spark, which goes by bytes.
 A left join keeps probes without a range.
 """
 
@@ -14,8 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import BROADCAST_MAX_ROWS, broadcast_if_bounded
-
 DEFAULT_BUCKET_BITS = 16
 
 
@@ -24,10 +22,9 @@ def bucketed_ranges(ranges: DataFrame, bits: int = DEFAULT_BUCKET_BITS) -> DataF
         "bucket", F.explode(F.sequence(F.shiftright("lo", bits), F.shiftright("hi", bits))))
 
 
-def ip_enrich(probe: DataFrame, ranges: DataFrame, bits: int = DEFAULT_BUCKET_BITS, how: str = "left",
-              max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    dim = broadcast_if_bounded(bucketed_ranges(ranges, bits).select(
-        F.col("bucket").alias("d_bucket"), "lo", "hi", "region", "city", "isp"), max_broadcast_rows)
+def ip_enrich(probe: DataFrame, ranges: DataFrame, bits: int = DEFAULT_BUCKET_BITS, how: str = "left") -> DataFrame:
+    dim = bucketed_ranges(ranges, bits).select(
+        F.col("bucket").alias("d_bucket"), "lo", "hi", "region", "city", "isp")
     p = probe.withColumn("p_bucket", F.shiftright("ip", bits))
     cond = (F.col("p_bucket") == F.col("d_bucket")) & F.col("ip").between(F.col("lo"), F.col("hi"))
     return p.join(dim, cond, how).select("id", "ip", "region", "city", "isp")

@@ -45,11 +45,18 @@ def location_tags(member: DataFrame) -> DataFrame:
     return tags_wide(member, R.location_tag_columns())
 
 
-def upsert(profile: DataFrame, cells: DataFrame) -> DataFrame:
-    """New snapshot = old cells whose key is not written now, plus the written cells."""
-    cells = cells.select(*KEYS, "value")
-    kept = profile.select(*KEYS, "value").join(cells.select(*KEYS), KEYS, "left_anti")
-    return kept.unionByName(cells)
+def upsert(profile: DataFrame, cells: DataFrame, families: tuple[str, ...] | None = None) -> DataFrame:
+    """New snapshot = old cells whose key is not written now, plus the written cells.
+
+    ``families`` names the families that ``cells`` writes: old cells of all others cannot be
+    replaced and go through without a join (nor a scan of their partitions for it).
+    """
+    cells, old = cells.select(*KEYS, "value"), profile.select(*KEYS, "value")
+    if families is None:
+        return old.join(cells.select(*KEYS), KEYS, "left_anti").unionByName(cells)
+    touched = F.coalesce(F.col("family").isin(*families), F.lit(False))
+    kept = old.where(touched).join(cells.where(touched).select(*KEYS), KEYS, "left_anti")
+    return old.where(~touched).unionByName(kept).unionByName(cells)
 
 
 def interest_cells(state: DataFrame) -> DataFrame:

@@ -31,9 +31,8 @@ def product_family(state: DataFrame) -> DataFrame:
 def user_items(state: DataFrame) -> DataFrame:
     """Distinct (user_id, item): product keys with the ``prod_`` prefix stripped."""
     prefix_len = len(R.PRODUCT_PREFIX)
-    return (product_family(state)
-            .select("user_id", F.substring("tag", prefix_len + 1, 1 << 30).alias("item"))
-            .distinct())
+    # a state has one row per (user, family, tag), so these are distinct as they are
+    return product_family(state).select("user_id", F.substring("tag", prefix_len + 1, 1 << 30).alias("item"))
 
 
 def seed_item(state: DataFrame, seed: str = "max") -> DataFrame:
@@ -63,7 +62,7 @@ def push_candidates(state: DataFrame, seed: str = "max", k: int = R.TOP_K, exclu
     broadcast threshold. ``keep_unmatched`` keeps users whose seed has no
     neighbour (one row with NULL neighbour).
     """
-    top = similarity_top_k(user_items(state), k, chunk_items).select(
+    top = similarity_top_k(user_items(state), k, chunk_items, unique=True).select(
         F.col("item").alias("seed"), "neighbour", "rank")
     seeds = seed_item(state, seed).select("user_id", F.col("item").alias("seed"))
     cand = seeds.join(top, "seed", "left" if keep_unmatched else "inner")

@@ -4,19 +4,19 @@ s(i, j) = c_ij / sqrt(n_i * n_j), c_ij = users having both, n_i = users having i
 
 Scale notes
 -----------
-* Items are keyed by ``xxhash64(item)`` while pairs are generated, counted and
-  ranked (fixed-width keys, no dictionary pass). Strings are joined back at the
-  end; a hash shared by two strings stops the job with an error instead of
-  merging them, so results are exact or absent, never silently wrong.
+* Items are keyed by a 64-bit hash while pairs are generated, counted and ranked.
+  The dictionary of hashes and strings is written once and checked: if two strings
+  share a hash, all items are keyed again with another salt.
+* Every user-item row gets its item's degree n before pairs are made, so a pair
+  carries both degrees and its score needs no join on the pair table: after
+  generation, pairs are shuffled once to be counted and once to be ranked.
 * A user's distinct items are grouped into chunks of about ``chunk_items`` (by
-  item hash) with a partially aggregated ``collect_list``.
-  Light users (the common case) form one chunk and their pairs (i < j) come from
-  that bounded array by posexplode/slice; no self join.
-* Heavy users (more than ``chunk_items`` items) are found by a partial count;
-  their chunk pairs (a < b) are joined one-to-one on (user, a, b), so a user
-  holding a third of all rows is spread over many bounded tasks.
-* Pair counts are partially aggregated before the shuffle on (i, j); both
-  directions come from one explode instead of a union of two plans.
+  item hash) with a partially aggregated ``collect_list``. Light users (the common
+  case) form one chunk and their pairs (i < j) come from that bounded array.
+* The chunks of a user with several of them are joined one-to-one on (user, a, b),
+  a < b, so a user holding a third of all rows is spread over many bounded tasks.
+* Users above ``heavy_items`` items take no part in pair generation at all; see
+  ``similarity_top_k``.
 * Top-k: ``rank() <= k`` on the hashed keys (a partial WindowGroupLimit before
   the shuffle keeps every candidate tied at the cut), then the exact
   ``row_number()`` with the string tie-break on that small candidate set.
@@ -24,120 +24,106 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..session import cut_lineage
-from ..sources.tables import broadcast_if_bounded
 
 DEFAULT_CHUNK_ITEMS = 1024
 DEFAULT_HEAVY_ITEMS = 8192
+SALTS = 8  # item keys are tried with so many salts before giving up
 
 
-def _keyed(user_items: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(user_id, item=hash) rows and the (iid, item string) dictionary.
+def _item_key(salt: int) -> Column:
+    return F.xxhash64("item") if not salt else F.xxhash64("item", F.lit(salt))
 
-    The distinct, hashed user-item table feeds five branches (heavy-user count,
-    chunk lists, frequencies, dictionary); it is written once to the shared
-    checkpoint folder so that each branch scans it instead of recomputing the
-    input, and so the pair stage restarts from it after an executor loss.
-    """
-    ui = (user_items.select("user_id", "item").distinct()
-          .select("user_id", "item", F.xxhash64("item").alias("iid")))
-    if materialize:
-        ui = cut_lineage(ui, "similarity-user-items")
-    return ui.select("user_id", F.col("iid").alias("item")), ui.select("iid", "item")
 
+def _keyed(user_items: DataFrame, unique: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(user_id, item=hash) rows and the (iid, item string) dictionary, one string per hash.
 
-def _names(dictionary: DataFrame) -> DataFrame:
-    """(iid, s): the string of each hash key; two strings on one key stop the job."""
-    return (dictionary.groupBy("iid")
-            .agg(F.min("item").alias("s"), F.max("item").alias("s2"))
-            .select("iid", F.when(F.col("s") == F.col("s2"), F.col("s"))
-                    .otherwise(F.raise_error(F.concat(F.lit("item hash collision: "), F.col("s"), F.lit(" / "),
-                                                      F.col("s2")))).alias("s")))
+    Both are written once to the shared checkpoint folder, so that the branches that
+    read them scan them instead of recomputing the input, and restart from them after
+    an executor loss. ``unique`` says that the input has no repeated rows.
+    """
+    rows = user_items.select("user_id", "item")
+    rows = cut_lineage(rows if unique else rows.distinct(), "similarity-user-items")
+    for salt in range(SALTS):
+        dictionary = cut_lineage(rows.select(_item_key(salt).alias("iid"), "item").distinct(), "similarity-items")
+        shared = dictionary.groupBy("iid").count().where("count > 1")
+        if shared.isEmpty():
+            return rows.select("user_id", _item_key(salt).alias("item")), dictionary
+    raise RuntimeError(f"items share hashes under {SALTS} salts")
 
 
 def _decode(df: DataFrame, dictionary: DataFrame, cols=("item", "neighbour")) -> DataFrame:
-    d = _names(dictionary)
     out = df
     for c in cols:
-        out = (out.join(d.select(F.col("iid").alias(c), F.col("s").alias(f"_{c}")), c)
+        out = (out.join(dictionary.select(F.col("iid").alias(c), F.col("item").alias(f"_{c}")), c)
                .drop(c).withColumnRenamed(f"_{c}", c))
     return out
 
 
-def _with_degree(ui: DataFrame, chunk_items: int) -> DataFrame:
-    """(user_id, item, d): d = the user's item count when above ``chunk_items``, else NULL.
+def _big_users(enc: DataFrame, bound: int) -> DataFrame:
+    """(user_id, d) of users with more than ``bound`` items: at most rows / bound of them, written once."""
+    counts = enc.groupBy("user_id").agg(F.count(F.lit(1)).alias("d"))
+    return cut_lineage(counts.where(F.col("d") > bound), "similarity-big-users")
 
-    The table of users above the bound is small by construction (at most rows /
-    chunk_items); AQE broadcasts it when its measured size allows, else both sides
-    shuffle on user_id.
-    """
-    big = (ui.groupBy("user_id").agg(F.count(F.lit(1)).alias("d"))
-           .where(F.col("d") > chunk_items))
-    return ui.select("user_id", "item").join(big, "user_id", "left")
+
+def _with_degrees(enc: DataFrame, big: DataFrame, heavy_items: int | None = None) -> DataFrame:
+    """(user_id, item, d, n, h): d = the user's size if big, n = the item's users, h = how many of them are heavy."""
+    rows = enc.join(big, "user_id", "left")
+    heavy = F.coalesce(F.col("d") > heavy_items, F.lit(False)) if heavy_items else F.lit(False)
+    degree = rows.groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.count_if(heavy).cast("bigint").alias("h"))
+    return rows.join(degree, "item").select("user_id", "item", "d", "n", "h")
 
 
 def _lists(rows: DataFrame, chunk_items: int) -> DataFrame:
-    """(user_id, chunk, nc, items) from distinct (user_id, item, d) rows: nc bounded chunks per user."""
+    """(user_id, chunk, nc, items) from distinct rows with degrees: nc bounded chunks per user."""
     nc = F.coalesce(F.ceil(F.col("d") / F.lit(chunk_items)).cast("int"), F.lit(1))
     chunk = F.pmod(F.xxhash64("item"), nc).cast("int")
     return (rows.groupBy("user_id", chunk.alias("chunk"), nc.alias("nc"))
-            .agg(F.array_sort(F.collect_list("item")).alias("items")))  # rows are distinct already
-
-
-def _chunk_lists(user_items: DataFrame, chunk_items: int) -> DataFrame:
-    """(user_id, chunk, nc, items): each user's distinct items split into nc bounded chunks."""
-    return _lists(_with_degree(user_items, chunk_items), chunk_items)
+            .agg(F.array_sort(F.collect_list(F.struct("item", "n", "h"))).alias("items")))  # rows are distinct already
 
 
-def _frequency_from_lists(lists: DataFrame) -> DataFrame:
-    return (lists.select(F.explode("items").alias("item"))
-            .groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
-
-
-def _pair_counts_from_lists(lists: DataFrame, across_chunks: bool = True) -> DataFrame:
+def _pairs(lists: DataFrame, across_chunks: bool = True) -> DataFrame:
+    """(i, j, c, ni, nj, hi, hj): users that hold both, and both items' degrees, per unordered pair."""
     # pairs inside a chunk: each element with the elements after it (generators stay in codegen)
-    within = (lists.select("items", F.posexplode("items").alias("p", "i"))
-              .select("i", F.explode(F.slice("items", F.col("p") + 2, F.size("items"))).alias("j")))
-    if not across_chunks:  # no user has more than one chunk
-        return within.groupBy("i", "j").agg(F.count(F.lit(1)).cast("bigint").alias("c"))
-    # pairs across chunks a < b of a heavy user: one row per (user, a, b) on each side
-    multi = lists.where(F.col("nc") > 1)
-    other = F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("other")
-    keyed = multi.select("user_id", "chunk", "items", other)
-    a = keyed.where(F.col("chunk") < F.col("other")).select(
-        "user_id", F.col("chunk").alias("ca"), F.col("other").alias("cb"), F.col("items").alias("xa"))
-    b = keyed.where(F.col("chunk") > F.col("other")).select(
-        "user_id", F.col("other").alias("ca"), F.col("chunk").alias("cb"), F.col("items").alias("xb"))
-    across = (a.join(b, ["user_id", "ca", "cb"])
-              .select(F.explode("xa").alias("x"), "xb")
-              .select("x", F.explode("xb").alias("y"))
-              .select(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")))
-    return (within.unionByName(across)
-            .groupBy("i", "j").agg(F.count(F.lit(1)).cast("bigint").alias("c")))
-
-
-def _both_directions(df: DataFrame, value: str) -> DataFrame:
-    both = F.array(F.struct(F.col("i").alias("item"), F.col("j").alias("neighbour"), F.col(value).alias(value)),
-                   F.struct(F.col("j").alias("item"), F.col("i").alias("neighbour"), F.col(value).alias(value)))
-    return df.select(F.inline(both))
-
-
-def _scored_lists(lists: DataFrame, fi: DataFrame, fj: DataFrame, across_chunks: bool = True) -> DataFrame:
-    score = F.col("c").cast("double") / F.sqrt(F.col("ni").cast("double") * F.col("nj").cast("double"))
-    pc = _pair_counts_from_lists(lists, across_chunks)
-    return _both_directions(pc.join(fi, "i").join(fj, "j").select("i", "j", score.alias("score")), "score")
-
-
-def _scored(enc: DataFrame, chunk_items: int) -> DataFrame:
-    lists = _chunk_lists(enc, chunk_items)
-    freq = _frequency_from_lists(lists)
-    fi = freq.select(F.col("item").alias("i"), F.col("n").alias("ni"))
-    fj = freq.select(F.col("item").alias("j"), F.col("n").alias("nj"))
-    return _scored_lists(lists, fi, fj)
+    pairs = (lists.select("items", F.posexplode("items").alias("p", "x"))
+             .select("x", F.explode(F.slice("items", F.col("p") + 2, F.size("items"))).alias("y")))
+    if across_chunks:
+        # pairs across chunks a < b of a big user: one row per (user, a, b) on each side
+        multi = lists.where(F.col("nc") > 1)
+        other = F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("other")
+        keyed = multi.select("user_id", "chunk", "items", other)
+        a = keyed.where(F.col("chunk") < F.col("other")).select(
+            "user_id", F.col("chunk").alias("ca"), F.col("other").alias("cb"), F.col("items").alias("xa"))
+        b = keyed.where(F.col("chunk") > F.col("other")).select(
+            "user_id", F.col("other").alias("ca"), F.col("chunk").alias("cb"), F.col("items").alias("xb"))
+        across = (a.join(b, ["user_id", "ca", "cb"]).select(F.explode("xa").alias("x"), "xb")
+                  .select("x", F.explode("xb").alias("y"))
+                  .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")))
+        pairs = pairs.unionByName(across)
+    flat = pairs.select(F.col("x.item").alias("i"), F.col("y.item").alias("j"), F.col("x.n").alias("ni"), F.col("y.n").alias("nj"),
+                        F.col("x.h").alias("hi"), F.col("y.h").alias("hj"))
+    return flat.groupBy("i", "j").agg(F.count(F.lit(1)).cast("bigint").alias("c"), *(F.max(x).alias(x) for x in ("ni", "nj", "hi", "hj")))
+
+
+def _both_directions(pairs: DataFrame) -> DataFrame:
+    """(item, neighbour, c, n, m, h, g): every pair from both ends; n, h are the item's, m, g the neighbour's."""
+    def end(i, j, ni, nj, hi, hj):
+        return F.struct(F.col(i).alias("item"), F.col(j).alias("neighbour"), F.col("c"), F.col(ni).alias("n"), F.col(nj).alias("m"),
+                        F.col(hi).alias("h"), F.col(hj).alias("g"))
+    return pairs.select(F.inline(F.array(end("i", "j", "ni", "nj", "hi", "hj"), end("j", "i", "nj", "ni", "hj", "hi"))))
+
+
+def _cosine(c: Column) -> Column:
+    return c.cast("double") / F.sqrt(F.col("n").cast("double") * F.col("m").cast("double"))
+
+
+def _all_pairs(enc: DataFrame, chunk_items: int) -> DataFrame:
+    big = _big_users(enc, chunk_items)
+    return _both_directions(_pairs(_lists(_with_degrees(enc, big), chunk_items), not big.isEmpty()))
 
 
 def item_frequency(user_items: DataFrame) -> DataFrame:
@@ -146,106 +132,118 @@ def item_frequency(user_items: DataFrame) -> DataFrame:
             .groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
-def pair_counts(user_items: DataFrame, chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
-    """(i, j, c) with c > 0, one row per unordered pair (ordered by hash key)."""
-    enc, dictionary = _keyed(user_items)
-    pc = _pair_counts_from_lists(_chunk_lists(enc, chunk_items))
-    return _decode(pc.withColumnRenamed("i", "item").withColumnRenamed("j", "neighbour"), dictionary).select(
-        F.col("item").alias("i"), F.col("neighbour").alias("j"), "c")
-
-
 def cooccurrence(user_items: DataFrame, chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
     """(item, neighbour, c): both orders of every off-diagonal pair."""
     enc, dictionary = _keyed(user_items)
-    pc = _pair_counts_from_lists(_chunk_lists(enc, chunk_items))
-    return _decode(_both_directions(pc, "c"), dictionary).select("item", "neighbour", "c")
+    return _decode(_all_pairs(enc, chunk_items).select("item", "neighbour", "c"), dictionary).select("item", "neighbour", "c")
 
 
 def similarity(user_items: DataFrame, chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
     """(item, neighbour, score) for every ordered pair that shares a user."""
     enc, dictionary = _keyed(user_items)
-    return _decode(_scored(enc, chunk_items), dictionary).select("item", "neighbour", "score")
+    scored = _all_pairs(enc, chunk_items).select("item", "neighbour", _cosine(F.col("c")).alias("score"))
+    return _decode(scored, dictionary).select("item", "neighbour", "score")
 
 
 def top_k(scored: DataFrame, k: int = R.TOP_K) -> DataFrame:
-    """(item, neighbour, score, rank): best k by score, ties by neighbour id ascending."""
+    """Best k neighbours of each item by score, ties by neighbour id ascending, with their rank."""
     w = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("neighbour").asc())
     return (scored.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k))
 
 
-def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int = DEFAULT_CHUNK_ITEMS,
-                     heavy_items: int = DEFAULT_HEAVY_ITEMS) -> DataFrame:
-    """(item, neighbour, score, rank) for the k best neighbours of every item.
+def _best(scored: DataFrame, most: int) -> DataFrame:
+    """Rows of each item up to rank ``most`` by score, with all that tie there."""
+    w = Window.partitionBy("item").orderBy(F.col("score").desc())
+    return scored.withColumn("r", F.rank().over(w)).where(F.col("r") <= most).drop("r")
+
+
+def _through_heavy_users(rows: DataFrame, big: DataFrame, dictionary: DataFrame, k: int, chunk_items: int,
+                         heavy_items: int) -> DataFrame:
+    """(item, neighbour, c, score) of the partners that heavy users alone can bring into a top k.
+
+    c counts shared heavy users. Items with the same set of heavy holders form a group (by two hashes
+    and the size of the set, which aggregate partially); only the k + 1 members of least (n, id) of
+    each are offered. Offers meet the holdings of their heavy users in blocks of (user, a, b) of at
+    most about ``chunk_items`` rows a side, so no task has all items of a user.
+    """
+    holding = rows.where(F.col("d") > heavy_items).select("user_id", "item", "n")
+    sets = holding.groupBy("item").agg(F.bit_xor(F.xxhash64("user_id")).alias("s1"), F.bit_xor(F.xxhash64("user_id", F.lit(1))).alias("s2"),
+                                       F.count(F.lit(1)).alias("holders"), F.max("n").alias("n"))
+    named = sets.join(dictionary.select(F.col("iid").alias("item"), F.col("item").alias("name")), "item")
+    offered = (named.withColumn("r", F.row_number().over(Window.partitionBy("s1", "s2", "holders").orderBy("n", "name")))
+               .where(F.col("r") <= k + 1).select("item"))
+    offers = cut_lineage(holding.join(offered, "item", "left_semi"), "similarity-offers")
+    blocks = (offers.groupBy("user_id").agg(F.count(F.lit(1)).alias("o")).join(big, "user_id")
+              .select("user_id", F.ceil(F.col("d") / chunk_items).cast("int").alias("na"),
+                      F.ceil(F.col("o") / chunk_items).cast("int").alias("nb")))
+    part = F.pmod(F.xxhash64("item", F.lit(2)), F.col("parts")).cast("int")
+    left = (holding.join(blocks, "user_id").withColumn("parts", F.col("na"))
+            .select("user_id", part.alias("a"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("b"), "item", "n"))
+    right = (offers.join(blocks, "user_id").withColumn("parts", F.col("nb"))
+             .select("user_id", F.explode(F.sequence(F.lit(0), F.col("na") - 1)).alias("a"), part.alias("b"),
+                     F.col("item").alias("neighbour"), F.col("n").alias("m")))
+    met = left.join(right, ["user_id", "a", "b"]).where(F.col("item") != F.col("neighbour"))
+    return (met.groupBy("item", "neighbour").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"), F.max("m").alias("m"))
+            .select("item", "neighbour", "c", _cosine(F.col("c")).alias("score")))
+
+
+def _with_heavy_users(light: DataFrame, heavy: DataFrame, holding: DataFrame, k: int) -> DataFrame:
+    """(item, neighbour, c, score): light pairs that can be in a top k, with the heavy users they share added.
+
+    A light pair shares between 0 and min(h, g) heavy users. It can matter only if its score with the
+    most of them reaches the item's 2k-th best score known so far (a neighbour is known at most twice);
+    only for those pairs are the shared heavy users counted, through the holdings of both items.
+    """
+    known = light.select("item", _cosine(F.col("c")).alias("score")).unionByName(heavy.select("item", "score"))
+    floor = (_best(known, 2 * k).groupBy("item").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("known"))
+             .where(F.col("known") >= 2 * k).select("item", "least"))
+    most = _cosine(F.col("c") + F.least("h", "g"))
+    open_ = cut_lineage(light.join(floor, "item", "left").where(F.col("least").isNull() | (most >= F.col("least")))
+                        .select("item", "neighbour", "c", "n", "m", "h", "g"), "similarity-open")
+    holders = holding.select(F.col("item").alias("neighbour"), "user_id")
+    shared = (open_.where(F.least("h", "g") > 0).select("item", "neighbour")
+              .join(holding.select("item", "user_id"), "item").join(holders, ["neighbour", "user_id"])
+              .groupBy("item", "neighbour").agg(F.count(F.lit(1)).alias("shared")))
+    c = F.col("c") + F.coalesce("shared", F.lit(0))
+    return open_.join(shared, ["item", "neighbour"], "left").select("item", "neighbour", c.alias("c"), _cosine(c).alias("score"))
 
-    Users with at most ``heavy_items`` items contribute their pairs (chunked as in
-    ``pair_counts``). Users above it never have their pairs enumerated:
 
-    * every item gets its signature S = the sorted set of heavy users holding it;
-    * a light pair (i, j) scores (c_ij + |S_i & S_j|) / sqrt(n_i n_j), exactly;
-    * a partner reached only through heavy users scores |S_i & S_j| / sqrt(n_i n_j),
-      which for a fixed i falls as n_j grows. Within one signature group the k+1
-      items with the smallest (n, id) therefore beat every other member of the group
-      for every i (a member that is also a light partner only scores higher), so
-      only those k+1 per group are offered to the items sharing a heavy user with it.
+def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int = DEFAULT_CHUNK_ITEMS,
+                     heavy_items: int = DEFAULT_HEAVY_ITEMS, unique: bool = False) -> DataFrame:
+    """(item, neighbour, c, score, rank) for the k best neighbours of every item.
+
+    Users with at most ``heavy_items`` items contribute their pairs (chunked). Users
+    above it never have all their pairs enumerated; a partner reached only through
+    them scores |S_i & S_j| / sqrt(n_i n_j), S = the heavy users holding an item,
+    which for a fixed i falls as n_j grows. So within a group of items of equal S the
+    k+1 items with the smallest (n, id) beat every other member of the group for every
+    i (a member that is also a light partner only scores higher), and only those are
+    offered to the items that share a heavy user with them.
 
     Each neighbour then appears at most twice (light and heavy-only form), so a
     ``rank() <= 2k`` cut keeps the true top k; duplicates are resolved by the larger
-    score and the final order breaks ties by the neighbour id string.
+    score and the final order breaks ties by the neighbour id string. The result is
+    the same whatever the two bounds are; ``unique`` says that the input has no
+    repeated rows.
     """
-    enc, dictionary = _keyed(user_items)
-    freq = enc.groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    fi = freq.select(F.col("item").alias("i"), F.col("n").alias("ni"))
-    fj = freq.select(F.col("item").alias("j"), F.col("n").alias("nj"))
-    # users above the chunk bound: at most rows / chunk_items of them; written once,
-    # counted, and broadcast only when that count allows
-    big = cut_lineage(enc.groupBy("user_id").agg(F.count(F.lit(1)).alias("d"))
-                      .where(F.col("d") > min(chunk_items, heavy_items)), "similarity-big-users")
+    enc, dictionary = _keyed(user_items, unique)
+    big = _big_users(enc, min(chunk_items, heavy_items))
+    has_heavy = not big.where(F.col("d") > heavy_items).isEmpty()
+    rows = _with_degrees(enc, big, heavy_items if has_heavy else None)
+    if has_heavy:
+        rows = cut_lineage(rows, "similarity-degrees")
+    lists = _lists(rows.where(F.coalesce(F.col("d") <= heavy_items, F.lit(True))), chunk_items)
     # several chunks for some user: the lists feed three branches, so write them once
-    multi = big.where(F.col("d") > chunk_items).limit(1).count() > 0
-    if big.where(F.col("d") > heavy_items).limit(1).count() == 0:
-        lists = _lists(enc.join(broadcast_if_bounded(big), "user_id", "left"), chunk_items)
-        if multi:
-            lists = cut_lineage(lists, "similarity-lists")
-        cand = _scored_lists(lists, fi, fj, multi)
-        by_score = Window.partitionBy("item").orderBy(F.col("score").desc())
-        cand = cand.withColumn("r", F.rank().over(by_score)).where(F.col("r") <= k).drop("r")
-        return top_k(_decode(cand, dictionary), k).select("item", "neighbour", "score", "rank")
-    rows = enc.join(broadcast_if_bounded(big), "user_id", "left")
-    is_heavy = F.coalesce(F.col("d") > heavy_items, F.lit(False))
-    lists = _lists(rows.where(~is_heavy), chunk_items)
-    multi = big.where((F.col("d") > chunk_items) & (F.col("d") <= heavy_items)).limit(1).count() > 0
+    multi = not big.where((F.col("d") > chunk_items) & (F.col("d") <= heavy_items)).isEmpty()
     if multi:
         lists = cut_lineage(lists, "similarity-lists")
-    sig = (rows.where(is_heavy).groupBy("item")
-           .agg(F.array_sort(F.collect_set("user_id")).alias("holders")))
-
-    # light pairs with their exact score (heavy users they share included)
-    none = F.array().cast("array<string>")
-    shared = F.size(F.array_intersect(F.coalesce("Si", none), F.coalesce("Sj", none)))
-    light = (_pair_counts_from_lists(lists, multi).join(fi, "i").join(fj, "j")
-             .join(sig.select(F.col("item").alias("i"), F.col("holders").alias("Si")), "i", "left")
-             .join(sig.select(F.col("item").alias("j"), F.col("holders").alias("Sj")), "j", "left")
-             .select("i", "j", ((F.col("c") + shared).cast("double")
-                                / F.sqrt(F.col("ni").cast("double") * F.col("nj").cast("double"))).alias("score")))
-    cand = _both_directions(light, "score")
-
-    # partners through heavy users only: the k+1 best of each signature group
-    names = _names(dictionary).select(F.col("iid").alias("item"), F.col("s").alias("name"))
-    grp = sig.join(freq, "item").join(names, "item")
-    best = (grp.withColumn("r", F.row_number().over(Window.partitionBy("holders").orderBy("n", "name")))
-            .where(F.col("r") <= k + 1)
-            .select(F.explode("holders").alias("u"), F.col("item").alias("j"), F.col("n").alias("nj")))
-    holding = sig.select(F.col("item").alias("i"), F.explode("holders").alias("u"))
-    heavy_only = (holding.join(best, "u").where(F.col("i") != F.col("j"))
-                  .groupBy("i", "j", "nj").agg(F.count(F.lit(1)).alias("h"))  # h = |S_i & S_j|
-                  .join(fi, "i")
-                  .select(F.col("i").alias("item"), F.col("j").alias("neighbour"),
-                          (F.col("h").cast("double")
-                           / F.sqrt(F.col("ni").cast("double") * F.col("nj").cast("double"))).alias("score")))
-    cand = cand.unionByName(heavy_only)
-
-    by_score = Window.partitionBy("item").orderBy(F.col("score").desc())
-    cand = cand.withColumn("r", F.rank().over(by_score)).where(F.col("r") <= 2 * k).drop("r")
-    dec = _decode(cand, dictionary).groupBy("item", "neighbour").agg(F.max("score").alias("score"))
-    return top_k(dec, k).select("item", "neighbour", "score", "rank")
+    light = _both_directions(_pairs(lists, multi))
+    if not has_heavy:
+        found = _best(light.select("item", "neighbour", "c", _cosine(F.col("c")).alias("score")), k)
+        return top_k(_decode(found, dictionary), k).select("item", "neighbour", "c", "score", "rank")
+    light = cut_lineage(light, "similarity-light")
+    heavy = cut_lineage(_through_heavy_users(rows, big, dictionary, k, chunk_items, heavy_items), "similarity-heavy")
+    found = _with_heavy_users(light, heavy, rows.where(F.col("d") > heavy_items), k).unionByName(heavy)
+    best = _decode(_best(found, 2 * k), dictionary).groupBy("item", "neighbour").agg(F.max("c").alias("c"), F.max("score").alias("score"))
+    return top_k(best, k).select("item", "neighbour", "c", "score", "rank")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
+from .interest import weight_rows
 
 STATE_SCHEMA = T.StructType([
     T.StructField("user_id", T.StringType()),
@@ -22,11 +23,16 @@ STATE_SCHEMA = T.StructType([
 ])
 
 
+def slot_rules() -> dict[str, tuple[Column, Column]]:
+    """The browse rule set: the slot of the row's hour with weight 1 (0 for the pseudo slot)."""
+    slot = R.slot_of_hour(R.hour_of("browse_time"))
+    return {"time_tags": (slot, R.slot_weight(slot))}
+
+
 def slot_rows(browse: DataFrame) -> DataFrame:
     """One row per browse event: (user_id, dt, slot, n) with n = 1, or 0 for the pseudo slot."""
-    slot = R.slot_of_hour(R.hour_of("browse_time"))
-    return browse.select(F.col("id").alias("user_id"), "dt", slot.alias("slot"),
-                         R.slot_weight(slot).alias("n"))
+    rows = weight_rows(browse, slot_rules())
+    return rows.select("user_id", "dt", F.col("tag").alias("slot"), F.col("w").alias("n"))
 
 
 def daily_slots(browse: DataFrame, by_day: bool = False) -> DataFrame:
@@ -34,6 +40,11 @@ def daily_slots(browse: DataFrame, by_day: bool = False) -> DataFrame:
     return slot_rows(browse).groupBy(*keys).agg(F.sum("n").cast("bigint").alias("n"))
 
 
+def numbered_days(per_day: DataFrame) -> DataFrame:
+    """yyyyMMdd text dates as integers, which aggregate without sorting."""
+    return per_day.withColumn("dt", F.col("dt").cast("int"))
+
+
 def merge_slots(prev: DataFrame, daily: DataFrame) -> DataFrame:
     """state(n-1) x today's counts -> state(n).
 
@@ -71,11 +82,23 @@ def history_summary(per_day: DataFrame, summary: str = "today") -> DataFrame:
 
     The merge is additive, so the cumulative count on a user's last active day is
     the user's total; the cell holds the slots of that last day (all slots with
-    ``summary='all'``).
+    ``summary='all'``). One pass: the total and the last day of every (user, slot),
+    then one bounded group of slots per user. With an integer ``dt`` both are hash
+    aggregates (``numbered_days``); text dates give the same result through sorts.
     """
-    totals = per_day.groupBy("user_id", "slot").agg(F.sum("n").cast("bigint").alias("n"))
-    if summary == "all":
-        return day_summary(totals, totals.select("user_id"), "all")
-    last = per_day.groupBy("user_id").agg(F.max("dt").alias("dt"))
-    today = per_day.join(last, ["user_id", "dt"], "left_semi").select("user_id", "slot")
-    return day_summary(totals, today)
+    return summary_of_cells(history_cells(per_day), summary)
+
+
+def history_cells(per_day: DataFrame) -> DataFrame:
+    """(user_id, slot, n, last): the total of every (user, slot) and the last day it was seen."""
+    return per_day.groupBy("user_id", "slot").agg(F.sum("n").cast("bigint").alias("n"), F.max("dt").alias("last"))
+
+
+def summary_of_cells(cells: DataFrame, summary: str = "today") -> DataFrame:
+    """The summary cell of each user from ``history_cells``."""
+    if summary not in ("today", "all"):
+        raise ValueError("summary must be 'today' or 'all'")
+    slots = F.collect_list(F.struct("slot", "n", "last"))  # at most six slots per user
+    by_user = cells.groupBy("user_id").agg(slots.alias("slots"), F.max("last").alias("last"))
+    kept = F.col("slots") if summary == "all" else F.filter("slots", lambda s: s["last"] == F.col("last"))
+    return by_user.select("user_id", summary_text(kept).alias("summary"))

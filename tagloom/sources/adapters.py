@@ -15,7 +15,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import broadcast_if_bounded, table
+from .tables import table
 
 # Fixed values of the adapters (FIXTURES.md section 2).
 CITY_TIERS = {0: "一线城市", 1: "二线城市", 2: "三线城市", 3: "四线城市"}  # c_nationkey % 5; 4 -> NULL
@@ -55,7 +55,6 @@ def member(spark: SparkSession, sf_dir: str, dt: str = DEFAULT_MEMBER_DT) -> Dat
     geo = (table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
            .join(table(spark, sf_dir, "region").select("r_regionkey", "r_name"),
                  F.col("n_regionkey") == F.col("r_regionkey")))
-    geo = broadcast_if_bounded(geo)
     c = F.col("c_custkey")
     pad = lambda x, n: F.lpad(x.cast("string"), n, "0")
     birth = (F.when(c % 97 == 0, F.lit(None).cast("string"))

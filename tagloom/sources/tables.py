@@ -1,27 +1,17 @@
-"""Parquet table access and small-dimension broadcast with a checked size."""
+"""Parquet table access.
+
+Small dimensions carry no broadcast hint: Spark broadcasts a join side only if its size in bytes (file
+sizes when planning, measured shuffle sizes at run time) is under spark.sql.autoBroadcastJoinThreshold.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# rows above which a dimension is joined by shuffle instead of broadcast
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the driver fixture; Catalyst prunes columns and pushes filters into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it; above ``max_rows`` leave the join to a shuffle.
-
-    The count is one cheap job over a dimension; the size bound is therefore
-    proven at run time rather than assumed.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

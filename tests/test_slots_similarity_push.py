@@ -135,3 +135,74 @@ def test_bot_user_holding_every_item(spark):
     via_signature = {tuple(r) for r in similarity.similarity_top_k(skewed, heavy_items=100).collect()}
     via_pairs = {tuple(r) for r in similarity.similarity_top_k(skewed, heavy_items=10 ** 9).collect()}
     assert via_signature == via_pairs and len(via_pairs) > 0
+
+
+def _mixed_heavy(n_users, n_items, held, seed=5):
+    rnd = random.Random(seed)
+    pairs = [(f"h{u}", f"i{x}") for u in range(n_users) for x in rnd.sample(range(n_items), held)]
+    return pairs + [(f"u{rnd.randrange(50)}", f"i{rnd.randrange(n_items)}") for _ in range(400)]
+
+
+def test_many_heavy_users_with_mixed_sets(spark):
+    """Almost every item has its own set of heavy holders, so nearly all are offered; results stay exact."""
+    pairs = _mixed_heavy(20, 60, 30)
+    want = _brute_top(pairs, 6)
+    got = similarity.similarity_top_k(_ui(spark, pairs), 6, chunk_items=8, heavy_items=20).collect()
+    assert {(r.item, r.neighbour, r.rank) for r in got} == want
+    users = {}
+    for u, i in set(pairs):
+        users.setdefault(i, set()).add(u)
+    assert all(r.c == len(users[r.item] & users[r.neighbour]) for r in got)
+
+
+def test_heavy_user_blocks_are_bounded(spark, monkeypatch):
+    """Twenty heavy users of 200 of 400 items: no (user, a, b) block holds more than a few chunks of rows."""
+    from pyspark.sql import functions as F
+
+    enc, dictionary = similarity._keyed(_ui(spark, _mixed_heavy(20, 400, 200)))
+    big = similarity._big_users(enc, 50)
+    rows = similarity._with_degrees(enc, big, 100)
+    sizes = []
+    real = type(rows).join
+
+    def join(self, other, on=None, how=None):
+        if on == ["user_id", "a", "b"]:
+            for side in (self, other):
+                sizes.append(side.groupBy("user_id", "a", "b").count().agg(F.max("count")).first()[0])
+        return real(self, other, on, how)
+
+    monkeypatch.setattr(type(rows), "join", join)
+    similarity._through_heavy_users(rows, big, dictionary, 6, 25, 100).collect()
+    assert len(sizes) == 2 and max(sizes) <= 60  # 25 expected, 200 unsplit
+
+
+def test_item_hash_collision_takes_another_salt(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    real = similarity._item_key
+    monkeypatch.setattr(similarity, "_item_key", lambda salt: F.lit(1).cast("long") if not salt else real(salt))
+    pairs = [("u1", "a"), ("u1", "b"), ("u2", "a"), ("u2", "b"), ("u3", "a"), ("u3", "c")]
+    got = {(r.item, r.neighbour, r.rank) for r in similarity.similarity_top_k(_ui(spark, pairs), 6).collect()}
+    assert got == _brute_top(pairs, 6)
+
+
+def test_pair_table_is_not_joined(spark):
+    pairs = [(f"u{u}", f"i{x}") for u in range(10) for x in range(u, u + 5)]
+    df = similarity.similarity_top_k(_ui(spark, pairs), 6)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    above = plan[: plan.index("Generate")]  # from the result down to the first pair generator
+    assert "collect_set" not in plan and above.count("Window") >= 1
+    ranked = above[above.rindex("rank("):]
+    assert "Join" not in ranked  # between counting pairs and ranking them
+
+
+def test_slot_summary_scans_its_input_once(spark):
+    from conftest import SF_SMOKE
+
+    from tagloom.sources import adapters as A
+
+    per_day = slots.numbered_days(slots.daily_slots(A.browse(spark, SF_SMOKE), by_day=True))
+    for kind in ("today", "all"):
+        plan = slots.history_summary(per_day, kind)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Join" not in plan and "SortAggregate" not in plan
