@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,6 +82,15 @@ def empty_state(spark) -> DataFrame:
     return spark.createDataFrame([], STATE_SCHEMA)
 
 
+def decimal_literal(x: float) -> str:
+    """A parameter as an SQL decimal of just its own digits (nothing is rounded)."""
+    d = Decimal(repr(float(x)))
+    scale = max(2, -d.as_tuple().exponent)
+    if scale > 12 or abs(d) >= 10**6:
+        raise ValueError(f"{x!r} has more digits than a weight parameter can have")
+    return f"CAST('{d:f}' AS DECIMAL({scale + 6},{scale}))"
+
+
 def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
                    decay: float = R.DECAY, threshold: float = R.THRESHOLD,
                    decay_inactive: bool = False) -> DataFrame:
@@ -89,16 +99,15 @@ def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
     ``decay_inactive=True`` also decays (and expires) known users without rows
     today; by default they are left untouched, as the original job does.
 
-    Plan: one shuffle. Yesterday's state and today's aggregate are unioned and
-    hash-partitioned by ``user_id`` (REPARTITION hint); the per-key merge (group by
-    (user_id, family, tag)) and the per-user flags (a window over user_id) both
-    reuse that partitioning. A user's rows are bounded by the tag vocabulary
-    (types + products), not by the user's event volume, so partitioning by user
-    stays balanced even when one user produces a third of all behaviour rows
-    (those rows were already collapsed by the partial daily aggregation).
+    Plan: only today's users take part. Yesterday's state is marked by a join with
+    their distinct ids (broadcast if that is small in bytes); cells of other users go
+    straight to the output. Active cells and today's are grouped by (user, family,
+    tag), so a user with very many tags is spread over tasks, and the known-user flag
+    is a partially aggregated row per user that is joined back, where AQE can split a
+    heavy user too. No window or partition holds all cells of a user.
 
-    The step is one SQL statement over two temporary views: a single analysis per
-    day instead of one per DataFrame call, which matters when days are chained.
+    The state is read more than once, so chained days write it in between.
+    The step is one SQL statement over two temporary views.
     """
     if expire not in ("drop", "keep_stale"):
         raise ValueError("expire must be 'drop' or 'keep_stale'")
@@ -108,63 +117,62 @@ def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
     prev.select("user_id", "family", "tag", "weight").createOrReplaceTempView(p)
     daily.select("user_id", "family", "tag", "new_w").createOrReplaceTempView(d)
     w = "DECIMAL(18,2)"
-    dec, thr = f"CAST({float(decay)!r} AS DECIMAL(4,2))", f"CAST({float(threshold)!r} AS DECIMAL(4,2))"
+    dec, thr = decimal_literal(decay), decimal_literal(threshold)
     stale = "old_w" if expire == "keep_stale" else f"CAST(NULL AS {w})"
-    inactive = "FALSE" if decay_inactive else "active = 0"
+    before = f"SELECT user_id, family, tag, CAST(weight AS {w}) AS old_w FROM {p}"
+    if decay_inactive:
+        marked, others = f"SELECT *, TRUE AS active FROM ({before})", ""
+    else:
+        marked = (f"SELECT b.*, u.today IS NOT NULL AS active FROM ({before}) b "
+                  f"LEFT JOIN (SELECT DISTINCT user_id, TRUE AS today FROM {d}) u ON b.user_id <=> u.user_id")
+        others = "UNION ALL SELECT user_id, family, tag, old_w FROM marked WHERE NOT active AND old_w IS NOT NULL"
     out = spark.sql(f"""
-SELECT user_id, family, tag, weight FROM (
-  SELECT user_id, family, tag,
-         CASE WHEN {inactive} THEN old_w
-              WHEN known = 1 THEN CASE WHEN raw > {thr} THEN CAST(ROUND(raw, 2) AS {w}) ELSE {stale} END
-              WHEN new_w IS NOT NULL THEN CAST(ROUND(new_w * {dec}, 2) AS {w})
-              ELSE old_w END AS weight
-  FROM (
-    SELECT user_id, family, tag, old_w, new_w,
-           (COALESCE(old_w, CAST(0 AS {w})) + COALESCE(new_w, CAST(0 AS {w}))) * {dec} AS raw,
-           MAX(CAST(new_w IS NOT NULL AS INT)) OVER per_user AS active,
-           MAX(CASE WHEN old_w IS NOT NULL AND family = '{TYPE_FAMILY}' THEN 1 ELSE 0 END) OVER per_user
-         * MAX(CASE WHEN old_w IS NOT NULL AND family = '{PRODUCT_FAMILY}' THEN 1 ELSE 0 END) OVER per_user AS known
-    FROM (
-      SELECT user_id, family, tag, MAX(old_w) AS old_w, MAX(new_w) AS new_w
-      FROM (SELECT /*+ REPARTITION(user_id) */ * FROM (
-              SELECT user_id, family, tag, CAST(weight AS {w}) AS old_w, CAST(NULL AS {w}) AS new_w FROM {p}
-              UNION ALL
-              SELECT user_id, family, tag, CAST(NULL AS {w}), CAST(new_w AS {w}) FROM {d}) u) r
-      GROUP BY user_id, family, tag) g
-    WINDOW per_user AS (PARTITION BY user_id)) f) x
-WHERE weight IS NOT NULL""")
+WITH marked AS ({marked}),
+known AS (
+  SELECT user_id FROM marked WHERE active AND old_w IS NOT NULL GROUP BY user_id
+  HAVING MAX(CAST(family = '{TYPE_FAMILY}' AS INT)) = 1 AND MAX(CAST(family = '{PRODUCT_FAMILY}' AS INT)) = 1),
+cells AS (
+  SELECT user_id, family, tag, MAX(old_w) AS old_w, MAX(new_w) AS new_w
+  FROM (SELECT user_id, family, tag, old_w, CAST(NULL AS {w}) AS new_w FROM marked WHERE active
+        UNION ALL SELECT user_id, family, tag, CAST(NULL AS {w}), CAST(new_w AS {w}) FROM {d}) c
+  GROUP BY user_id, family, tag),
+merged AS (
+  SELECT c.user_id, c.family, c.tag,
+         CASE WHEN k.user_known THEN CASE WHEN raw > {thr} THEN CAST(ROUND(raw, 2) AS {w}) ELSE {stale} END
+              WHEN c.new_w IS NOT NULL THEN CAST(ROUND(c.new_w * {dec}, 2) AS {w})
+              ELSE c.old_w END AS weight
+  FROM (SELECT *, (COALESCE(old_w, CAST(0 AS {w})) + COALESCE(new_w, CAST(0 AS {w}))) * {dec} AS raw FROM cells) c
+  LEFT JOIN (SELECT user_id, TRUE AS user_known FROM known) k ON c.user_id <=> k.user_id)
+SELECT user_id, family, tag, weight FROM merged WHERE weight IS NOT NULL
+{others}""")
     spark.catalog.dropTempView(p)  # the new plan holds the views' plans; the names are no longer needed
     spark.catalog.dropTempView(d)
     return out
 
 
 def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame | None = None,
-                    expire: str = "drop", checkpoint_every: int | None = None,
-                    keep_null_product: bool = False, decay_inactive: bool = False) -> DataFrame:
+                    expire: str = "drop", checkpoint_every: int = 1,
+                    keep_null_product: bool = False, decay_inactive: bool = False,
+                    decay: float = R.DECAY) -> DataFrame:
     """Run the daily job for each day in order (day n reads the state day n-1 wrote).
 
     The daily aggregates of all requested days are computed in one pass over the
-    behaviour rows and written once (partitioned by dt). Each step reads the
-    previous state once, so the plan grows linearly; for long replays the state is
-    written to the shared checkpoint folder every ``checkpoint_every`` days
-    (default 5: longer uncut chains cost more in the optimizer than the write) and
-    the superseded table is deleted.
+    behaviour rows and written once (partitioned by dt). As in production, every day's
+    state is written (to the shared checkpoint folder, every ``checkpoint_every`` days)
+    before the next day reads it, and the superseded table is deleted.
     """
     days = list(days)
     spark = behavior.sparkSession
     state = prev if prev is not None else empty_state(spark)
     per_day = daily_interest(behavior.where(F.col("dt").isin(*days)), keep_null_product, by_day=True)
-    if checkpoint_every is None:
-        checkpoint_every = 5 if len(days) > 5 else 0
     if len(days) > 1:
-        # every step reads its day twice (join and flags) and the day filter is pushed
-        # below the aggregate, so without this one write the input is scanned 2^n times
+        # each step reads its day more than once, and the day filter is pushed below the aggregate
         per_day = cut_lineage(per_day, "interest-daily", partition_by=("dt",))
     written = None
     for i, d in enumerate(days, 1):
         state = merge_interest(state, per_day.where(F.col("dt") == d), expire=expire,
-                               decay_inactive=decay_inactive)
-        if checkpoint_every and i % checkpoint_every == 0 and i < len(days):
+                               decay_inactive=decay_inactive, decay=decay)
+        if i % checkpoint_every == 0 and i < len(days):
             state = cut_lineage(state, f"interest-state-{d}")
             if written is not None:  # the new table no longer reads the previous one
                 drop_path(spark, written)

@@ -113,3 +113,20 @@ def test_decay_inactive_option(spark):
     # known inactive user decays and expires; a user with one family only is left as is
     assert got[("x", "be_tags", "a")] == D("1.50") and ("x", "prod_tags", "prod_1") not in got
     assert got[("h", "be_tags", "a")] == D("4.00")
+
+
+def test_decay_and_threshold_keep_their_digits(spark):
+    from decimal import Decimal
+
+    import pytest
+
+    state = spark.createDataFrame([("u", "be_tags", "t", Decimal(100)), ("u", "prod_tags", "prod_p", Decimal("0.51"))], I.STATE_SCHEMA)
+    today = spark.createDataFrame([("u", "be_tags", "x", Decimal(1))], "user_id string, family string, tag string, new_w decimal(18,2)")
+    for decay, want in ((0.995, "99.50"), (0.985, "98.50"), (0.75, "75.00"), (1.0, "100.00"), (0.333333, "33.33")):
+        got = {r.tag: str(r.weight) for r in I.merge_interest(state, today, decay=decay, threshold=0.0).collect()}
+        assert got["t"] == want, decay
+    kept = {r.tag for r in I.merge_interest(state, today, decay=1.0, threshold=0.509).collect()}
+    assert "prod_p" in kept
+    assert "prod_p" not in {r.tag for r in I.merge_interest(state, today, decay=1.0, threshold=0.5101).collect()}
+    with pytest.raises(ValueError):
+        I.merge_interest(state, today, decay=1 / 3)
