@@ -4,6 +4,7 @@ python -m tagloom.plans.cli interest --dt 20240102 --input <behavior table> --st
 python -m tagloom.plans.cli slots    --dt 20240102 --input <browse table> --state <dir> --summary <dir>
 python -m tagloom.plans.cli basic    --dt 20240102 --input <member table> --state <dir> [--as-of 2018-07-15]
 python -m tagloom.plans.cli push     --dt 20240102 --state <interest dir> --out <parquet dir>
+python -m tagloom.plans.cli push     --dt 20240102 --state <interest dir> --jdbc-url <url> --jdbc-table <table>
 """
 
 from __future__ import annotations
@@ -31,18 +32,32 @@ def main(argv=None):
     p.add_argument("--summary")
     p.add_argument("--out")
     p.add_argument("--as-of")
+    p.add_argument("--rule", default="calendar", choices=["calendar", "reference"], help="age rule of the basic job")
     p.add_argument("--expire", default="drop", choices=["drop", "keep_stale"])
+    p.add_argument("--decay-inactive", action="store_true")
+    p.add_argument("--keep-null-product", action="store_true")
+    p.add_argument("--summary-slots", default="today", choices=["today", "all"])
     p.add_argument("--seed", default="max", choices=["max", "min"])
+    p.add_argument("--exclude-seen", action="store_true")
+    p.add_argument("--id-mode", default="md5", choices=["md5", "random"])
+    p.add_argument("--jdbc-url")
+    p.add_argument("--jdbc-table")
+    p.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE", help="user, password, driver, ...")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"tagloom-{a.job}").getOrCreate()
     if a.job == "interest":
-        print(jobs.interest_job(spark, spark.read.parquet(a.input), a.state, a.dt, expire=a.expire))
+        print(jobs.interest_job(spark, spark.read.parquet(a.input), a.state, a.dt, expire=a.expire,
+                                decay_inactive=a.decay_inactive, keep_null_product=a.keep_null_product))
     elif a.job == "slots":
-        print(jobs.slots_job(spark, spark.read.parquet(a.input), a.state, a.summary, a.dt))
+        print(jobs.slots_job(spark, spark.read.parquet(a.input), a.state, a.summary, a.dt, summary=a.summary_slots))
     elif a.job == "basic":
-        print(jobs.basic_tags_job(spark, spark.read.parquet(a.input), a.state, a.dt, as_of=a.as_of))
+        print(jobs.basic_tags_job(spark, spark.read.parquet(a.input), a.state, a.dt, as_of=a.as_of, rule=a.rule))
     else:
-        jobs.push_job(spark, a.state, a.dt, seed=a.seed, parquet_path=a.out)
+        jdbc = None
+        if a.jdbc_url:
+            jdbc = {"url": a.jdbc_url, "table": a.jdbc_table, "properties": dict(x.split("=", 1) for x in a.jdbc_property)}
+        print(*jobs.push_job(spark, a.state, a.dt, seed=a.seed, exclude_seen=a.exclude_seen, id_mode=a.id_mode,
+                             parquet_path=a.out, jdbc=jdbc))
 
 
 if __name__ == "__main__":

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import interest, profile, push, slots
+from ..session import cut_lineage, scratch_scope
 from ..sources import snapshots as S
 from ..sources.adapters import dt_key
 from ..sources.sinks import write_push_jdbc, write_push_parquet
@@ -22,12 +23,14 @@ def _day(df: DataFrame, dt: str) -> DataFrame:
 
 
 def interest_job(spark: SparkSession, behavior: DataFrame, state_base: str, dt: str,
-                 prev_dt: str | None = None, expire: str = "drop") -> str:
+                 prev_dt: str | None = None, expire: str = "drop", decay_inactive: bool = False,
+                 keep_null_product: bool = False) -> str:
     """Daily interest weights: decayed merge of today's behaviour into yesterday's snapshot."""
     prev_dt = prev_dt or S.latest_before(spark, state_base, dt)
     prev = (S.read_snapshot(spark, state_base, prev_dt, S.INTEREST_SCHEMA) if prev_dt
             else interest.empty_state(spark))
-    new = interest.merge_interest(prev, interest.daily_interest(_day(behavior, dt)), expire=expire)
+    today = interest.daily_interest(_day(behavior, dt), keep_null_product)
+    new = interest.merge_interest(prev, today, expire=expire, decay_inactive=decay_inactive)
     return S.write_snapshot(new.select("user_id", "tag", "weight", "family"), state_base, dt)
 
 
@@ -43,8 +46,10 @@ def slots_job(spark: SparkSession, browse: DataFrame, state_base: str, summary_b
     written = S.read_snapshot(spark, state_base, dt, S.SLOT_SCHEMA)
     todays = slots.day_summary(written, today, summary)
     # the summary table is cumulative: today's cells replace the user's earlier cell
-    prev_summary = (S.read_snapshot(spark, summary_base, prev_dt, S.SUMMARY_SCHEMA)
-                    if prev_dt and dt_key(prev_dt) in S.snapshot_dates(spark, summary_base)
+    if prev_dt and dt_key(prev_dt) not in S.snapshot_dates(spark, summary_base):
+        raise FileNotFoundError(f"{summary_base} has no summary of {dt_key(prev_dt)}, which the slots of {dt_key(dt)} build on: "
+                                f"run the slots job of {dt_key(prev_dt)} again")
+    prev_summary = (S.read_snapshot(spark, summary_base, prev_dt, S.SUMMARY_SCHEMA) if prev_dt
                     else spark.createDataFrame([], S.SUMMARY_SCHEMA))
     S.write_snapshot(prev_summary.join(todays.select("user_id"), "user_id", "left_anti").unionByName(todays),
                      summary_base, dt, partition_by=())
@@ -58,39 +63,64 @@ def basic_tags_job(spark: SparkSession, member: DataFrame, cells_base: str, dt:
     prev = (S.read_snapshot(spark, cells_base, prev_dt, S.CELL_SCHEMA) if prev_dt
             else spark.createDataFrame([], S.CELL_SCHEMA))
     new = profile.upsert(prev.select(*profile.KEYS, "value"),
-                         profile.basic_tags_long(_day(member, dt), as_of=as_of, rule=rule))
+                         profile.basic_tags_long(_day(member, dt), as_of=as_of, rule=rule),
+                         families=(profile.ATTRIBUTE_FAMILY,))
     return S.write_snapshot(new.select("user_id", "tag", "value", "family"), cells_base, dt)
 
 
 def push_job(spark: SparkSession, state_base: str, dt: str, seed: str = "max", exclude_seen: bool = False,
-             parquet_path: str | None = None, jdbc: dict | None = None) -> DataFrame:
-    """Recommendations from the interest snapshot of ``dt`` (only its prod_tags family is read)."""
-    state = S.read_snapshot(spark, state_base, dt, S.INTEREST_SCHEMA, families=[interest.PRODUCT_FAMILY])
-    rows = push.push_rows(state, run_dt=dt, seed=seed, exclude_seen=exclude_seen)
-    if parquet_path:
-        write_push_parquet(rows, parquet_path, dt)
-    if jdbc:
-        write_push_jdbc(rows, **jdbc)
-    return rows
-
-
-def profile_view(spark: SparkSession, dt: str, interest_base: str, slots_base: str, summary_base: str,
-                 cells_base: str) -> DataFrame:
-    """All four families as text cells (user_id, family, tag, value) for one date."""
+             parquet_path: str | None = None, jdbc: dict | None = None, id_mode: str = "md5") -> list[str]:
+    """Recommendations from the interest snapshot of ``dt`` (only its prod_tags family is read).
+
+    Writes them to a parquet table, a JDBC table, or both, and returns where. The similarity's
+    intermediate tables are deleted when the rows are written.
+    """
+    if not parquet_path and not jdbc:
+        raise ValueError("name a parquet path or a JDBC table to write to")
+    written = []
+    with scratch_scope(spark):
+        state = S.read_snapshot(spark, state_base, dt, S.INTEREST_SCHEMA, families=[interest.PRODUCT_FAMILY])
+        rows = push.push_rows(state, run_dt=dt, seed=seed, exclude_seen=exclude_seen, id_mode=id_mode)
+        if parquet_path and jdbc:  # both sinks get the same rows, also with random ids
+            rows = cut_lineage(rows, "push-rows")
+        if parquet_path:
+            write_push_parquet(rows, parquet_path, dt)
+            written.append(parquet_path)
+        if jdbc:
+            write_push_jdbc(rows, **jdbc)
+            written.append(jdbc["table"])
+    return written
+
+
+FAMILIES = (interest.TYPE_FAMILY, interest.PRODUCT_FAMILY, profile.SLOT_FAMILY, profile.ATTRIBUTE_FAMILY)
+
+
+def profile_view(spark: SparkSession, dt: str, interest_base: str | None = None, slots_base: str | None = None,
+                 summary_base: str | None = None, cells_base: str | None = None,
+                 families: tuple[str, ...] = FAMILIES) -> DataFrame:
+    """The wanted families as text cells (user_id, family, tag, value) for one date.
+
+    A family whose snapshot of that date is missing is an error, never left out.
+    """
+    unknown = set(families) - set(FAMILIES)
+    if unknown or not families:
+        raise ValueError(f"families must be among {FAMILIES}")
     parts = []
-    if dt_key(dt) in S.snapshot_dates(spark, interest_base):
-        parts.append(profile.interest_cells(S.read_snapshot(spark, interest_base, dt, S.INTEREST_SCHEMA)))
-    if dt_key(dt) in S.snapshot_dates(spark, slots_base):
-        parts.append(profile.slot_cells(S.read_snapshot(spark, slots_base, dt, S.SLOT_SCHEMA)))
-    cells = (S.read_snapshot(spark, cells_base, dt, S.CELL_SCHEMA).select(*profile.KEYS, "value")
-             if dt_key(dt) in S.snapshot_dates(spark, cells_base) else None)
-    if dt_key(dt) in S.snapshot_dates(spark, summary_base):
-        summ = profile.summary_cells(S.read_snapshot(spark, summary_base, dt, S.SUMMARY_SCHEMA))
-        cells = summ if cells is None else profile.upsert(summ, cells)
-    if cells is not None:
-        parts.append(cells)
-    if not parts:
-        return spark.createDataFrame([], "user_id string, family string, tag string, value string")
+    weights = [f for f in families if f in (interest.TYPE_FAMILY, interest.PRODUCT_FAMILY)]
+
+    def snapshot(base, schema, **kw):
+        if base is None:
+            raise ValueError(f"no snapshot folder given for one of {families}")
+        return S.read_snapshot(spark, base, dt, schema, **kw)
+
+    if weights:
+        parts.append(profile.interest_cells(snapshot(interest_base, S.INTEREST_SCHEMA, families=weights)))
+    if profile.SLOT_FAMILY in families:
+        parts.append(profile.slot_cells(snapshot(slots_base, S.SLOT_SCHEMA)))
+    if profile.ATTRIBUTE_FAMILY in families:
+        parts.append(profile.summary_cells(snapshot(summary_base, S.SUMMARY_SCHEMA)))
+        # the two hold different tags of the family, so neither replaces the other's cells
+        parts.append(snapshot(cells_base, S.CELL_SCHEMA).select(*profile.KEYS, "value"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -2,7 +2,10 @@
 
 Connection details are arguments; nothing is hard-coded. The JDBC writer opens
 one connection per task and inserts in batches (``batchsize``); the number of
-concurrent connections is capped with ``num_partitions``.
+concurrent connections is capped with ``num_partitions``. JDBC appends are not
+atomic: a task or job that is run again inserts its rows again. Give the target
+table a unique key on ID (ids are the same in every run of a date with
+``id_mode='md5'``) or append to a staging table and merge from there.
 """
 
 from __future__ import annotations

@@ -1,13 +1,19 @@
 """Daily jobs over snapshots, the push sink, and the streaming driver; checked against in-plan replays."""
 
 import os
+import shutil
+from types import SimpleNamespace
 
+import pyarrow.parquet as pq
+import pytest
 from conftest import SF_SMOKE
 from pyspark.sql import functions as F
 
 from tagloom.operators import interest, push, slots
 from tagloom.plans import jobs
 from tagloom.sources import adapters as A
+from tagloom.session import ensure_checkpoint_dir
+from tagloom.sources import sinks
 from tagloom.sources import snapshots as S
 from tagloom.streaming import daily
 
@@ -30,8 +36,7 @@ def test_interest_job_chain_equals_replay(spark, tmp_dir):
     plan = prod._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "prod_tags" in plan  # family directories pruned at the scan
     out = os.path.join(tmp_dir, "push")
-    rows = jobs.push_job(spark, base, "20240102", parquet_path=out)
-    assert rows.count() == 62
+    assert jobs.push_job(spark, base, "20240102", parquet_path=out) == [out]
     assert spark.read.parquet(out).where(F.col("dt") == "20240102").count() == 62
 
 
@@ -50,7 +55,8 @@ def test_slots_job_and_profile_view(spark, tmp_dir):
     want = {r.user_id: r.summary for r in slots.history_summary(per_day).collect()}
     assert summ == want
     jobs.basic_tags_job(spark, A.member(spark, SF_SMOKE, "20240102"), cells, "20240102", as_of="2018-07-15")
-    view = jobs.profile_view(spark, "20240102", os.path.join(tmp_dir, "none"), st, sm, cells)
+    part = ("time_tags", "user_tags")
+    view = jobs.profile_view(spark, "20240102", None, st, sm, cells, families=part)
     fams = {r.family for r in view.select("family").distinct().collect()}
     assert fams == {"time_tags", "user_tags"}
     ib = os.path.join(tmp_dir, "interest")
@@ -87,6 +93,126 @@ def test_stream_runs_daily_jobs_in_order(spark, tmp_dir):
     assert _rows(S.read_snapshot(spark, base, "20240103", S.INTEREST_SCHEMA), cols) == want
 
 
+def test_profile_view_without_a_snapshot_is_an_error(spark, tmp_dir):
+    st, sm = os.path.join(tmp_dir, "slots"), os.path.join(tmp_dir, "summary")
+    jobs.slots_job(spark, A.browse(spark, SF_SMOKE), st, sm, "20240101")
+    assert jobs.profile_view(spark, "20240101", slots_base=st, families=("time_tags",)).count() > 0
+    for bad in ({"slots_base": st}, {"slots_base": st, "interest_base": os.path.join(tmp_dir, "none")}):
+        with pytest.raises((ValueError, FileNotFoundError)):
+            jobs.profile_view(spark, "20240101", **bad)
+    with pytest.raises(FileNotFoundError):  # another date
+        jobs.profile_view(spark, "20240102", slots_base=st, families=("time_tags",))
+
+
+def test_missing_summary_of_the_day_before_is_an_error(spark, tmp_dir):
+    st, sm = os.path.join(tmp_dir, "slots"), os.path.join(tmp_dir, "summary")
+    br = A.browse(spark, SF_SMOKE)
+    jobs.slots_job(spark, br, st, sm, "20240101")
+    shutil.rmtree(os.path.join(sm, "dt=20240101"))
+    with pytest.raises(FileNotFoundError, match="20240101"):
+        jobs.slots_job(spark, br, st, sm, "20240102")
+    jobs.slots_job(spark, br, st, sm, "20240101")
+    jobs.slots_job(spark, br, st, sm, "20240102")
+    per_day = slots.daily_slots(br.where(F.col("dt").isin("20240101", "20240102")), by_day=True)
+    assert S.read_snapshot(spark, sm, "20240102", S.SUMMARY_SCHEMA).count() == slots.history_summary(per_day).count()
+
+
+def test_a_failed_commit_leaves_the_old_snapshot(spark, tmp_dir, monkeypatch):
+    base = os.path.join(tmp_dir, "cells")
+    df = spark.createDataFrame([("u", "a", "1", "f")], S.CELL_SCHEMA)
+    S.write_snapshot(df, base, "20240101")
+
+    def fail(*a):
+        raise OSError("lost")
+
+    for step, value in (("_commit", "1"), ("_delete_older", "2")):
+        with monkeypatch.context() as m:
+            m.setattr(S, step, fail)
+            with pytest.raises(OSError):
+                S.write_snapshot(df.withColumn("value", F.lit("2")), base, "20240101")
+        assert [r.value for r in S.read_snapshot(spark, base, "20240101", S.CELL_SCHEMA).collect()] == [value]
+    S.write_snapshot(df.withColumn("value", F.lit("3")), base, "20240101")
+    assert [r.value for r in S.read_snapshot(spark, base, "20240101", S.CELL_SCHEMA).collect()] == ["3"]
+    assert len([x for x in os.listdir(os.path.join(base, "dt=20240101")) if x.startswith("v=")]) == 1
+    # a date whose first write was never committed has no snapshot
+    with monkeypatch.context() as m:
+        m.setattr(S, "_commit", fail)
+        with pytest.raises(OSError):
+            S.write_snapshot(df, base, "20240102")
+    assert S.snapshot_dates(spark, base) == ["20240101"]
+
+
+def test_snapshot_files_are_sorted_by_user(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "cells")
+    rows = [(f"u{i * 7919 % 500}", f"t{i}", "1", f"f{i % 3}") for i in range(3000)]
+    S.write_snapshot(spark.createDataFrame(rows, S.CELL_SCHEMA).repartition(2), base, "20240101")
+    files = [os.path.join(d, f) for d, _, names in os.walk(base) for f in names if f.endswith(".parquet")]
+    assert len(files) >= 3
+    for f in files:
+        users = pq.ParquetFile(f).read(columns=["user_id"])["user_id"].to_pylist()
+        assert users == sorted(users)
+
+
+def _tables(spark):
+    root = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables")
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def test_push_job_leaves_no_intermediate_tables(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "interest")
+    jobs.interest_job(spark, A.behavior(spark, SF_SMOKE), base, "20240101", keep_null_product=True)
+    jobs.interest_job(spark, A.behavior(spark, SF_SMOKE), base, "20240102", decay_inactive=True)
+    before = _tables(spark)
+    jobs.push_job(spark, base, "20240102", parquet_path=os.path.join(tmp_dir, "push"), exclude_seen=True, id_mode="random")
+    assert _tables(spark) == before
+    assert spark.read.parquet(os.path.join(tmp_dir, "push")).where("length(ID) <> 32").count() == 0
+    with pytest.raises(ValueError):
+        jobs.push_job(spark, base, "20240102")
+
+
+class StubWriter:
+    """Records what a DataFrameWriter is told."""
+
+    def __init__(self):
+        self.said = {}
+
+    def mode(self, mode):
+        self.said["mode"] = mode
+        return self
+
+    def option(self, name, value):
+        self.said[name] = value
+        return self
+
+    def jdbc(self, url, table, properties):
+        self.said |= {"url": url, "table": table, "properties": properties}
+
+
+def test_jdbc_options(tmp_dir):
+    rows = SimpleNamespace(write=StubWriter())
+    sinks.write_push_jdbc(rows, "jdbc:x", "PUSH", {"user": "u"}, batchsize=50, num_partitions=4)
+    assert rows.write.said == {"mode": "append", "batchsize": "50", "numPartitions": "4", "url": "jdbc:x", "table": "PUSH",
+                               "properties": {"user": "u"}}
+
+
+def test_cli_passes_every_option(spark, monkeypatch):
+    from tagloom.plans import cli
+
+    said = {}
+    for name in ("interest_job", "slots_job", "basic_tags_job", "push_job"):
+        monkeypatch.setattr(jobs, name, lambda *a, _n=name, **kw: said.update({_n: kw}) or ["x"])
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, path: path)
+    cli.main("interest --dt 20240101 --input i --state s --expire keep_stale --decay-inactive --keep-null-product".split())
+    cli.main("slots --dt 20240101 --input i --state s --summary m --summary-slots all".split())
+    cli.main("basic --dt 20240101 --input i --state s --rule reference --as-of 2018-07-15".split())
+    cli.main("push --dt 20240101 --state s --jdbc-url jdbc:x --jdbc-table T --jdbc-property user=u --jdbc-property password=a=b "
+             "--exclude-seen --id-mode random --seed min".split())
+    assert said["interest_job"] == {"expire": "keep_stale", "decay_inactive": True, "keep_null_product": True}
+    assert said["slots_job"] == {"summary": "all"} and said["basic_tags_job"] == {"as_of": "2018-07-15", "rule": "reference"}
+    assert said["push_job"] == {"seed": "min", "exclude_seen": True, "id_mode": "random", "parquet_path": None, "jdbc": {
+        "url": "jdbc:x", "table": "T", "properties": {"user": "u", "password": "a=b"}}}
+
+
 def test_push_lists_bounded(spark):
     st = interest.replay_interest(A.behavior(spark, SF_SMOKE), ["20240101", "20240102"])
     lists = push.push_lists(st)
