@@ -9,6 +9,7 @@ from __future__ import annotations
 
 AS_OF = (2018, 7, 15)
 DAY1, DAY2, DAY3 = "20240101", "20240102", "20240103"
+ALL_DAYS = [f"202401{d:02d}" for d in range(1, 31)]  # the calendar the fixture spans; empty days carry over
 
 EV = """ev AS (
   SELECT event_id, ts, CAST(user_id AS VARCHAR) AS user_id,
@@ -51,7 +52,7 @@ S0 = """s0 AS (
   WHERE FALSE)"""
 
 
-def merge_step(n: int, day: str, expire: str = "drop", decay_inactive: bool = False) -> list[str]:
+def merge_step(n: int, day: str, expire: str = "drop", decay_inactive: bool = False, decay: str = "0.75") -> list[str]:
     """CTEs d<n>, f<n>, m<n>, s<n>: state s<n> from s<n-1> and the day's aggregate."""
     p = f"s{n - 1}"
     stale = "m.old_w" if expire == "keep_stale" else "NULL"
@@ -67,7 +68,7 @@ def merge_step(n: int, day: str, expire: str = "drop", decay_inactive: bool = Fa
         f"""m{n} AS (
   SELECT COALESCE(p.user_id, d.user_id) AS user_id, COALESCE(p.family, d.family) AS family,
          COALESCE(p.tag, d.tag) AS tag, p.weight AS old_w, d.new_w AS new_w,
-         (COALESCE(p.weight, 0) + COALESCE(d.new_w, 0)) * 0.75 AS raw
+         (COALESCE(p.weight, 0) + COALESCE(d.new_w, 0)) * {decay} AS raw
   FROM {p} p FULL OUTER JOIN d{n} d
     ON p.user_id = d.user_id AND p.family = d.family AND p.tag = d.tag)""",
         f"""s{n} AS (
@@ -75,17 +76,17 @@ def merge_step(n: int, day: str, expire: str = "drop", decay_inactive: bool = Fa
     SELECT m.user_id, m.family, m.tag,
            CAST(CASE WHEN {inactive} THEN m.old_w
                      WHEN f.known = 1 THEN CASE WHEN m.raw > 0.5 THEN ROUND(m.raw, 2) ELSE {stale} END
-                     WHEN m.new_w IS NOT NULL THEN ROUND(m.new_w * 0.75, 2)
+                     WHEN m.new_w IS NOT NULL THEN ROUND(m.new_w * {decay}, 2)
                      ELSE m.old_w END AS DECIMAL(18,2)) AS weight
     FROM m{n} m JOIN f{n} f ON m.user_id = f.user_id) x
   WHERE weight IS NOT NULL)""",
     ]
 
 
-def interest_ctes(days: list[str], expire: str = "drop", decay_inactive: bool = False) -> list[str]:
+def interest_ctes(days: list[str], expire: str = "drop", decay_inactive: bool = False, decay: str = "0.75") -> list[str]:
     ctes = INTEREST_BASE + [S0]
     for i, d in enumerate(days, 1):
-        ctes += merge_step(i, d, expire, decay_inactive)
+        ctes += merge_step(i, d, expire, decay_inactive, decay)
     return ctes
 
 
@@ -230,11 +231,11 @@ def similarity_ctes(ui_source: str) -> list[str]:
         "freq AS (SELECT item, COUNT(*) AS n FROM ui GROUP BY item)",
         """pc AS (SELECT a.item AS i, b.item AS j, COUNT(*) AS c FROM ui a JOIN ui b
            ON a.user_id = b.user_id AND a.item < b.item GROUP BY a.item, b.item)""",
-        """sc AS (SELECT pc.i, pc.j, CAST(pc.c AS DOUBLE) / sqrt(CAST(fi.n AS DOUBLE) * CAST(fj.n AS DOUBLE)) AS score
+        """sc AS (SELECT pc.i, pc.j, pc.c, CAST(pc.c AS DOUBLE) / sqrt(CAST(fi.n AS DOUBLE) * CAST(fj.n AS DOUBLE)) AS score
            FROM pc JOIN freq fi ON fi.item = pc.i JOIN freq fj ON fj.item = pc.j)""",
-        "sim AS (SELECT i AS item, j AS neighbour, score FROM sc UNION ALL SELECT j, i, score FROM sc)",
-        """top AS (SELECT item, neighbour, score, rank FROM (
-             SELECT item, neighbour, score,
+        "sim AS (SELECT i AS item, j AS neighbour, c, score FROM sc UNION ALL SELECT j, i, c, score FROM sc)",
+        """top AS (SELECT item, neighbour, c, score, rank FROM (
+             SELECT item, neighbour, c, score,
                     CAST(ROW_NUMBER() OVER (PARTITION BY item ORDER BY score DESC, neighbour ASC) AS INTEGER) AS rank
              FROM sim) r WHERE rank <= 6)""",
     ]
@@ -249,8 +250,6 @@ def ui_state(state: str = "s2") -> str:
     return f"SELECT user_id, substr(tag, 6) AS item FROM {state} WHERE family = 'prod_tags'"
 
 
-UI_STATE = ui_state("s2")
-
 
 def seed_cte(order: str = "DESC", state: str = "s2") -> str:
     return f"""seed AS (
@@ -261,8 +260,10 @@ def seed_cte(order: str = "DESC", state: str = "s2") -> str:
   WHERE rn = 1)"""
 
 
-def push_lists_sql(order: str = "DESC") -> str:
-    return with_(interest_ctes([DAY1, DAY2]) + similarity_ctes(UI_STATE) + [seed_cte(order)],
+def push_lists_sql(order: str = "DESC", days: list[str] | None = None) -> str:
+    days = days or [DAY1, DAY2]
+    state = f"s{len(days)}"
+    return with_(interest_ctes(days) + similarity_ctes(ui_state(state)) + [seed_cte(order, state)],
                  'SELECT s.user_id AS "MEMBER_ID", COALESCE(string_agg(t.neighbour, \',\' ORDER BY t.rank), \'\') '
                  'AS "PROD_IDS" FROM seed s LEFT JOIN top t ON t.item = s.item GROUP BY s.user_id')
 

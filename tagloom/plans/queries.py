@@ -1,10 +1,12 @@
 """Registered queries: name -> (Spark callable (spark, sf_dir) -> DataFrame, DuckDB SQL or None).
 
 Every query reads the driver's tables (or what Spark derives from them) with no
-sampling, id subsets or row caps. Queries of the daily interest job replay the
-days they name from an empty history (days 1-2, 1-3, or all days of the events
-table); everything else reads whole tables. ``push_preview`` is the only limit,
-because a ten-row preview is the operator.
+sampling, id subsets or row caps. Queries on the profile and the push read the
+state after every day of the events table; a few show one daily step, its key sets
+or its days by name (``merge_interest_day``, ``merge_interest_3days``,
+``merge_slots_day``, ``known_users``, ``new_users``, ``tags_*``, ``map_zip_merge``),
+because one day is the operator. ``push_preview`` is the only limit, because a
+ten-row preview is the operator.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from . import oracle as O
 
 AS_OF = "2018-07-15"
 DAY1, DAY2, DAY3 = O.DAY1, O.DAY2, O.DAY3
+ALL_DAYS = O.ALL_DAYS
+LAST = f"s{len(ALL_DAYS)}"  # the oracle's state after all days
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -42,14 +46,18 @@ def _member(spark, sf):
     return A.member(spark, sf)
 
 
-def _state(spark, sf, days, expire="drop", decay_inactive=False):
-    return interest.replay_interest(A.behavior(spark, sf, days=list(days)), days, expire=expire,
-                                    decay_inactive=decay_inactive)
+def _state(spark, sf, days, **options):
+    return interest.replay_interest(A.behavior(spark, sf, days=list(days)), days, **options)
 
 
-def _snapshot(spark, sf, days, expire="drop"):
-    """The state as the push job sees it: the interest job's written snapshot (read several times)."""
-    return cut_lineage(_state(spark, sf, days, expire), "interest-snapshot")
+def _full_state(spark, sf, **options):
+    """The state after every day of the events table."""
+    return _state(spark, sf, A.event_days(spark, sf), **options)
+
+
+def _snapshot(spark, sf):
+    """The full state as the push job sees it: the interest job's written snapshot (read several times)."""
+    return cut_lineage(_full_state(spark, sf), "interest-snapshot")
 
 
 def _day(spark, sf, dt):
@@ -74,9 +82,20 @@ register("scan_behavior", W("SELECT id, type_id, prod_id, behavior_id, dt FROM b
     lambda s, sf: A.behavior(s, sf))
 register("scan_browse", W("SELECT id, browse_time, dt FROM browse", O.EV, O.BROWSE))(
     lambda s, sf: A.browse(s, sf))
-register("scan_profile_family", W("SELECT user_id, tag, weight FROM s2 WHERE family = 'prod_tags'",
-                                  *O.interest_ctes([DAY1, DAY2])))(
-    lambda s, sf: push.product_family(_state(s, sf, [DAY1, DAY2])))
+
+
+def _partition(df: DataFrame, dt: str) -> DataFrame:
+    """One day of a daily table: the whole table is kept by dt, and the scan prunes all other partitions."""
+    return cut_lineage(df, "daily-table", partition_by=("dt",)).where(F.col("dt") == dt)
+
+
+register("scan_behavior_partition", W(f"SELECT id, type_id, prod_id, behavior_id, dt FROM behavior WHERE dt = '{DAY2}'",
+                                      O.EV, O.BEHAVIOR))(lambda s, sf: _partition(A.behavior(s, sf), DAY2))
+register("scan_browse_partition", W(f"SELECT id, browse_time, dt FROM browse WHERE dt = '{DAY2}'", O.EV, O.BROWSE))(
+    lambda s, sf: _partition(A.browse(s, sf), DAY2))
+register("scan_profile_family", W(f"SELECT user_id, tag, weight FROM {LAST} WHERE family = 'prod_tags'",
+                                  *O.interest_ctes(ALL_DAYS)))(
+    lambda s, sf: push.product_family(_full_state(s, sf)))
 
 # --- attribute rules ----------------------------------------------------------------
 
@@ -98,6 +117,8 @@ _attr("tag_city", lambda: R.text_or_unknown("city"), O.text_or_unknown("city"))
 _attr("tag_city_level", lambda: R.city_level_tag(), O.city_level())
 _attr("tag_age_band_reference", lambda: R.age_tag("birth", AS_OF, rule="reference"),
       O.band(O.age_expr("reference")))
+_attr("tag_age_band_missing_unknown", lambda: R.age_tag("birth", AS_OF, missing_birth="unknown"),
+      f"CASE WHEN birth IS NULL OR length(birth) < 4 THEN 'unknown' ELSE {O.band(O.age_expr())} END")
 register("tag_null_int_as_zero", W(f"SELECT id AS user_id, {O.GENDER_NULL_AS_ZERO} AS gender, "
                                    f"{O.TERMINAL_NULL_AS_ZERO} AS terminal_type FROM member", O.MEMBER))(
     lambda s, sf: _member(s, sf).select(F.col("id").alias("user_id"),
@@ -164,25 +185,18 @@ register("map_zip_merge", W(
     "GROUP BY ALL) b ON a.user_id = b.user_id AND a.tag = b.tag", O.EV, O.BEHAVIOR, O.BW, O.TAGROWS))(_map_zip_merge)
 register("merge_interest_day", W("SELECT * FROM s2", *O.interest_ctes([DAY1, DAY2])))(
     lambda s, sf: _state(s, sf, [DAY1, DAY2]))
-register("merge_interest_keep_stale", W("SELECT * FROM s2", *O.interest_ctes([DAY1, DAY2], "keep_stale")))(
-    lambda s, sf: _state(s, sf, [DAY1, DAY2], expire="keep_stale"))
-register("merge_interest_decay_inactive", W("SELECT * FROM s3", *O.interest_ctes([DAY1, DAY2, DAY3],
-                                                                         decay_inactive=True)))(
-    lambda s, sf: _state(s, sf, [DAY1, DAY2, DAY3], decay_inactive=True))
+register("merge_interest_keep_stale", W(f"SELECT * FROM {LAST}", *O.interest_ctes(ALL_DAYS, "keep_stale")))(
+    lambda s, sf: _full_state(s, sf, expire="keep_stale"))
+register("merge_interest_decay_inactive", W(f"SELECT * FROM {LAST}", *O.interest_ctes(ALL_DAYS, decay_inactive=True)))(
+    lambda s, sf: _full_state(s, sf, decay_inactive=True))
+register("merge_interest_decay_param", W(f"SELECT * FROM {LAST}", *O.interest_ctes(ALL_DAYS, decay="0.995")))(
+    lambda s, sf: _full_state(s, sf, decay=0.995))
 register("merge_interest_3days", W("SELECT * FROM s3", *O.interest_ctes([DAY1, DAY2, DAY3])))(
     lambda s, sf: _state(s, sf, [DAY1, DAY2, DAY3]))
-ALL_DAYS = [f"202401{d:02d}" for d in range(1, 31)]  # the calendar the fixture spans; empty days carry over
-
-
-def _all_days_state(s, sf, expire="drop"):
-    return _state(s, sf, A.event_days(s, sf), expire=expire)
-
-
-register("merge_interest_all_days", W(f"SELECT * FROM s{len(ALL_DAYS)}", *O.interest_ctes(ALL_DAYS)))(
-    lambda s, sf: _all_days_state(s, sf))
-register("interest_text", W("SELECT user_id, family, tag, CAST(weight AS VARCHAR) AS value FROM s2",
-                            *O.interest_ctes([DAY1, DAY2])))(
-    lambda s, sf: interest.interest_text(_state(s, sf, [DAY1, DAY2])))
+register("merge_interest_all_days", W(f"SELECT * FROM {LAST}", *O.interest_ctes(ALL_DAYS)))(_full_state)
+register("interest_text", W(f"SELECT user_id, family, tag, CAST(weight AS VARCHAR) AS value FROM {LAST}",
+                            *O.interest_ctes(ALL_DAYS)))(
+    lambda s, sf: interest.interest_text(_full_state(s, sf)))
 
 _KNOWN = ("SELECT DISTINCT d2.user_id FROM d2 JOIN (SELECT user_id FROM s1 GROUP BY user_id "
           "HAVING COUNT(DISTINCT family) = 2) h ON d2.user_id = h.user_id")
@@ -224,19 +238,23 @@ register("merge_slots_day", W(
     f"FROM (SELECT user_id, slot, n FROM sdaily WHERE dt = '{DAY1}') a "
     f"FULL OUTER JOIN (SELECT user_id, slot, n FROM sdaily WHERE dt = '{DAY2}') b "
     "ON a.user_id = b.user_id AND a.slot = b.slot", *O.SLOT_BASE))(_slots_two_days)
+def _slots_by_day(s, sf):
+    return slots.numbered_days(slots.daily_slots(A.browse(s, sf), by_day=True))
+
+
 register("slot_summary", W("SELECT * FROM ssum", *O.SLOT_BASE, O.SLOT_SUMMARY))(
-    lambda s, sf: slots.history_summary(slots.daily_slots(A.browse(s, sf), by_day=True)))
+    lambda s, sf: slots.history_summary(_slots_by_day(s, sf)))
 
 register("slot_summary_all", W("SELECT * FROM ssum_all", *O.SLOT_BASE, O.SLOT_SUMMARY_ALL))(
-    lambda s, sf: slots.history_summary(slots.daily_slots(A.browse(s, sf), by_day=True), summary="all"))
+    lambda s, sf: slots.history_summary(_slots_by_day(s, sf), summary="all"))
 
 # --- similarity -----------------------------------------------------------------------
 
 _SIM_SMALL = O.similarity_ctes(O.UI_SMALL)
 _SIM_LARGE = O.similarity_ctes(O.UI_LARGE)
-register("user_items", W("SELECT DISTINCT user_id, substr(tag, 6) AS item FROM s2 WHERE family = 'prod_tags'",
-                         *O.interest_ctes([DAY1, DAY2])))(
-    lambda s, sf: push.user_items(_state(s, sf, [DAY1, DAY2])))
+register("user_items", W(f"SELECT DISTINCT user_id, substr(tag, 6) AS item FROM {LAST} WHERE family = 'prod_tags'",
+                         *O.interest_ctes(ALL_DAYS)))(
+    lambda s, sf: push.user_items(_full_state(s, sf)))
 register("item_frequency", W("SELECT item, n FROM freq", *_SIM_LARGE))(
     lambda s, sf: similarity.item_frequency(A.user_items_large(s, sf)))
 register("item_cooccurrence", W("SELECT i AS item, j AS neighbour, c FROM pc UNION ALL "
@@ -244,41 +262,50 @@ register("item_cooccurrence", W("SELECT i AS item, j AS neighbour, c FROM pc UNI
     lambda s, sf: similarity.cooccurrence(A.user_items_small(s, sf)))
 register("item_similarity", W("SELECT item, neighbour, score FROM sim", *_SIM_SMALL))(
     lambda s, sf: similarity.similarity(A.user_items_small(s, sf)))
-register("item_similarity_top6", W("SELECT item, neighbour, score, rank FROM top", *_SIM_SMALL))(
+_TOP = "SELECT item, neighbour, c, score, rank FROM top"
+register("item_similarity_top6", W(_TOP, *_SIM_SMALL))(
     lambda s, sf: similarity.similarity_top_k(A.user_items_small(s, sf)))
-register("item_similarity_top6_orders", W("SELECT item, neighbour, score, rank FROM top", *_SIM_LARGE))(
+register("item_similarity_top6_orders", W(_TOP, *_SIM_LARGE))(
     lambda s, sf: similarity.similarity_top_k(A.user_items_large(s, sf)))
+# the same table with bounds so low that most users span several chunks and the larger ones are heavy:
+# the paths that at scale only very large users take
+register("item_similarity_top6_chunks", W(_TOP, *_SIM_LARGE))(
+    lambda s, sf: similarity.similarity_top_k(A.user_items_large(s, sf), chunk_items=16))
+register("item_similarity_top6_heavy", W(_TOP, *_SIM_LARGE))(
+    lambda s, sf: similarity.similarity_top_k(A.user_items_large(s, sf), chunk_items=16, heavy_items=48))
 
 # --- push -----------------------------------------------------------------------------
 
-register("seed_item_max", W("SELECT user_id, item, weight FROM seed",
-                            *O.interest_ctes([DAY1, DAY2]), O.seed_cte("DESC")))(
-    lambda s, sf: push.seed_item(_state(s, sf, [DAY1, DAY2]), "max"))
-register("seed_item_min", W("SELECT user_id, item, weight FROM seed",
-                            *O.interest_ctes([DAY1, DAY2]), O.seed_cte("ASC")))(
-    lambda s, sf: push.seed_item(_state(s, sf, [DAY1, DAY2]), "min"))
+for _seed, _order in (("max", "DESC"), ("min", "ASC")):
+    register(f"seed_item_{_seed}", W("SELECT user_id, item, weight FROM seed",
+                                     *O.interest_ctes(ALL_DAYS), O.seed_cte(_order, LAST)))(
+        (lambda seed: lambda s, sf: push.seed_item(_full_state(s, sf), seed))(_seed))
 
 
-def push_rows_query(s: SparkSession, sf: str, seed: str = "max") -> DataFrame:
-    return push.push_rows(_snapshot(s, sf, [DAY1, DAY2]), run_dt=DAY2, seed=seed)
+def push_rows_two_days(s: SparkSession, sf: str) -> DataFrame:
+    """The smoke case: push rows after the first two days."""
+    return push.push_rows(cut_lineage(_state(s, sf, [DAY1, DAY2]), "interest-snapshot"), run_dt=DAY2)
 
 
-register("push_rows", W("SELECT * FROM push", *O.push_ctes("DESC")))(push_rows_query)
+def _push(s, sf, **options):
+    """Push rows from the full profile, dated by its last day."""
+    return push.push_rows(_snapshot(s, sf), run_dt=A.event_days(s, sf)[-1], **options)
 
 
-def _push_all_days(s, sf):
-    days = A.event_days(s, sf)
-    return push.push_rows(_snapshot(s, sf, days), run_dt=days[-1])
+def _push_sql(order: str = "DESC", body: str = "SELECT * FROM push") -> str:
+    return W(body, *O.push_ctes(order, ALL_DAYS[-1], ALL_DAYS))
 
 
-register("push_rows_all_days", W("SELECT * FROM push", *O.push_ctes("DESC", ALL_DAYS[-1], ALL_DAYS)))(
-    _push_all_days)
-register("push_rows_seed_min", W("SELECT * FROM push", *O.push_ctes("ASC")))(
-    lambda s, sf: push_rows_query(s, sf, "min"))
-register("push_preview", W('SELECT * FROM push ORDER BY "MEMBER_ID", "PROD_ID" LIMIT 10', *O.push_ctes("DESC")))(
-    lambda s, sf: push.push_preview(push_rows_query(s, sf)))
-register("push_lists", O.push_lists_sql("DESC"))(
-    lambda s, sf: push.push_lists(_snapshot(s, sf, [DAY1, DAY2])))
+register("push_rows", _push_sql())(_push)
+register("push_rows_all_days", _push_sql())(_push)  # its name before push_rows read the full profile
+register("push_rows_two_days", W("SELECT * FROM push", *O.push_ctes("DESC")))(push_rows_two_days)
+register("push_rows_seed_min", _push_sql("ASC"))(lambda s, sf: _push(s, sf, seed="min"))
+register("push_rows_exclude_seen", _push_sql(body='SELECT * FROM push WHERE NOT EXISTS (SELECT 1 FROM ui '
+                                             'WHERE ui.user_id = "MEMBER_ID" AND ui.item = "PROD_ID")'))(
+    lambda s, sf: _push(s, sf, exclude_seen=True))
+register("push_preview", _push_sql(body='SELECT * FROM push ORDER BY "MEMBER_ID", "PROD_ID" LIMIT 10'))(
+    lambda s, sf: push.push_preview(_push(s, sf)))
+register("push_lists", O.push_lists_sql("DESC", ALL_DAYS))(lambda s, sf: push.push_lists(_snapshot(s, sf)))
 
 # --- profile snapshot (upsert of attribute tags over interest, slots and summary) ------
 
@@ -286,21 +313,20 @@ _PROFILE_SQL = W(
     "SELECT user_id, family, tag, value FROM prior p WHERE NOT EXISTS (SELECT 1 FROM basic_long b "
     "WHERE b.user_id = p.user_id AND b.family = p.family AND b.tag = p.tag) "
     "UNION ALL SELECT user_id, family, tag, value FROM basic_long",
-    *O.interest_ctes([DAY1, DAY2]), O.BROWSE, O.SROWS, O.SDAILY, O.SLOT_SUMMARY, O.SLOT_STATE_ALL,
+    *O.interest_ctes(ALL_DAYS), O.BROWSE, O.SROWS, O.SDAILY, O.SLOT_SUMMARY, O.SLOT_STATE_ALL,
     *MB, O.BASIC, O.BASIC_LONG,
     f"""prior AS (
-  SELECT user_id, family, tag, CAST(weight AS VARCHAR) AS value FROM s2
+  SELECT user_id, family, tag, CAST(weight AS VARCHAR) AS value FROM {LAST}
   UNION ALL SELECT user_id, 'time_tags', slot, {O.dbl_text('n')} FROM sstate
   UNION ALL SELECT user_id, 'user_tags', 'time_tags', summary FROM ssum)""")
 
 
 def _profile(s, sf):
-    per_day = slots.daily_slots(A.browse(s, sf), by_day=True)
-    slot_state = per_day.groupBy("user_id", "slot").agg(F.sum("n").cast("bigint").alias("n"))
-    prior = (profile.interest_cells(_state(s, sf, [DAY1, DAY2]))
-             .unionByName(profile.slot_cells(slot_state))
-             .unionByName(profile.summary_cells(slots.history_summary(per_day))))
-    return profile.upsert(prior, profile.basic_tags_long(_member(s, sf), as_of=AS_OF))
+    cells = cut_lineage(slots.history_cells(_slots_by_day(s, sf)), "slot-cells")  # read as counts and as summary
+    prior = (profile.interest_cells(_full_state(s, sf))
+             .unionByName(profile.slot_cells(cells))
+             .unionByName(profile.summary_cells(slots.summary_of_cells(cells))))
+    return profile.upsert(prior, profile.basic_tags_long(_member(s, sf), as_of=AS_OF), families=(profile.ATTRIBUTE_FAMILY,))
 
 
 register("profile_upsert", _PROFILE_SQL)(_profile)
@@ -327,20 +353,34 @@ register("json_encode", "SELECT event_id, to_json({'user_id': user_id, 'event_ty
                         "'k': TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)}) AS doc FROM events")(
     lambda s, sf: table(s, sf, "events").select(
         "event_id", J.encode(F.col("user_id"), F.col("event_type"), A.props_k().alias("k")).alias("doc")))
+
+
+def _json_pretty(s, sf):
+    """Pretty-printed records, read back by path; the number of lines shows the layout."""
+    doc = J.encode(F.col("user_id"), F.col("event_type"), A.props_k().alias("k"), pretty=True)
+    rows = table(s, sf, "events").select("event_id", doc.alias("doc"))
+    return rows.select("event_id", J.field("doc", "$.user_id").cast("bigint").alias("user_id"),
+                       J.field("doc", "$.event_type").alias("event_type"), J.field("doc", "$.k").cast("int").alias("k"),
+                       F.size(F.split("doc", "\n")).alias("n_lines"))
+
+
+register("json_encode_pretty", "SELECT event_id, CAST(user_id AS BIGINT) AS user_id, event_type, k, "
+                               "CAST(4 + (k IS NOT NULL)::INT AS INTEGER) AS n_lines FROM (SELECT *, "
+                               "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e")(_json_pretty)
 register("json_map", "SELECT e.event_id, j.key AS key, json_extract_string(e.props, '$.\"' || j.key || '\"') "
                      "AS value FROM events e, json_each(e.props) j")(
     lambda s, sf: table(s, sf, "events").select("event_id", F.explode(J.decode_map("props")).alias("key", "value")))
 
 
 def _push_json(s, sf):
-    cand = push.push_candidates(_snapshot(s, sf, [DAY1, DAY2]))
+    cand = push.push_candidates(_snapshot(s, sf))
     rec = F.array_sort(F.collect_list(F.struct("rank", F.col("neighbour").alias("prod_id"))))
     return cand.groupBy("user_id").agg(J.encode_array(rec).alias("doc"))
 
 
-register("json_array_encode", W("SELECT user_id, to_json(list({'rank': rank, 'prod_id': neighbour} ORDER BY rank)) "
-                                "AS doc FROM cand GROUP BY user_id", *O.push_ctes("DESC")))(_push_json)
-register("json_array_explode", W("SELECT user_id, rank, neighbour AS prod_id FROM cand", *O.push_ctes("DESC")))(
+register("json_array_encode", _push_sql(body="SELECT user_id, to_json(list({'rank': rank, 'prod_id': neighbour} ORDER BY rank)) "
+                                        "AS doc FROM cand GROUP BY user_id"))(_push_json)
+register("json_array_explode", _push_sql(body="SELECT user_id, rank, neighbour AS prod_id FROM cand"))(
     lambda s, sf: _push_json(s, sf).select("user_id", F.inline(J.decode_array("doc", "rank:int,prod_id:string"))))
 
 

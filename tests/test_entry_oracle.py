@@ -1,5 +1,7 @@
 """Driver contract: entry(), registry consistency, and the DuckDB oracle on the smoke scale."""
 
+import re
+
 import pytest
 from conftest import SF_SMOKE
 from oracle_harness import compare, duck
@@ -19,10 +21,8 @@ def test_registry_consistent():
     assert len(qs) >= 55
 
 
-FAST = ["scan_member", "tag_age_band", "basic_tags_long", "location_tags", "behavior_weight",
-        "merge_interest_day", "merge_interest_keep_stale", "known_users", "tags_lost", "slot_counts",
-        "merge_slots_day", "slot_summary", "item_similarity_top6", "item_frequency", "seed_item_min",
-        "push_rows_seed_min", "profile_upsert", "ip_geo_enrich", "json_map", "json_array_explode"]
+#: Every registered query with SQL, but for the optional part's, which its own tests compare.
+COMPARED = sorted(n for n in E.oracle_sql() if not re.match(r"op\d+_", n))
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +30,7 @@ def con():
     return duck(SF_SMOKE)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", COMPARED)
 def test_oracle_smoke(spark, con, name):
     r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF_SMOKE)
     assert r["cols_match"] and r["values_match"], r

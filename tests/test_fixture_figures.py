@@ -6,6 +6,8 @@ import pytest
 from conftest import SF_CHECK, SF_SMOKE
 
 import __spark_entry__ as E
+from tagloom.operators import interest, push
+from tagloom.sources import adapters as A
 
 
 def _count(spark, name, sf):
@@ -14,10 +16,8 @@ def _count(spark, name, sf):
 
 @pytest.mark.parametrize("name,sf,rows", [
     ("merge_interest_day", SF_SMOKE, 113),
-    ("merge_interest_keep_stale", SF_SMOKE, 117),
     ("merge_interest_3days", SF_SMOKE, 159),
-    ("push_rows", SF_SMOKE, 62),
-    ("push_rows_seed_min", SF_SMOKE, 55),
+    ("push_rows_two_days", SF_SMOKE, 62),
     ("slot_counts", SF_SMOKE, 86),
     ("slot_summary", SF_SMOKE, 15),
     ("slot_counts", SF_CHECK, 854),
@@ -27,6 +27,12 @@ def test_row_counts(spark, name, sf, rows):
     assert _count(spark, name, sf) == rows
 
 
+def test_two_day_state_options(spark):
+    beh, days = A.behavior(spark, SF_SMOKE), ["20240101", "20240102"]
+    assert interest.replay_interest(beh, days, expire="keep_stale").count() == 117
+    assert push.push_rows(interest.replay_interest(beh, days), "20240102", seed="min").count() == 55
+
+
 @pytest.mark.parametrize("name,expected", [
     ("tag_age_band", [328, 232, 133, 177, 291, 323, 16]),
     ("tag_age_band_reference", [328, 235, 130, 177, 291, 323, 16]),
