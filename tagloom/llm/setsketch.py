@@ -42,6 +42,7 @@ REGISTERS = ROWS * BANDS
 #: A pair is ruled out unseen if its likeliest similarity is below this: seven standard errors under the threshold.
 RULED_OUT = 0.5
 BLOCK_BYTES = 8 << 20
+ID_SLOTS = 1 << 20  # most numbers that are broadcast to tell which documents may be wanted
 
 _rng = np.random.default_rng(97)
 _XOR = _rng.integers(0, 2**63, REGISTERS, dtype=np.int64).view(np.uint64)
@@ -136,6 +137,37 @@ def sketches(docs: DataFrame) -> DataFrame:
                      "doc_id long, n_shingles long, n_bytes long, signature binary, registers binary")
 
 
+def _hashed(doc_id):
+    return F.pmod(F.xxhash64(doc_id.cast("long"), F.lit(9)), F.lit(ID_SLOTS))
+
+
+def likely(docs: DataFrame, ids: DataFrame, negate: bool = False) -> DataFrame:
+    """Rows of docs whose doc_id may be among ids (negate: certainly is not), without moving them.
+
+    The ids' hashes to ``ID_SLOTS`` slots are broadcast, so at most that many numbers, however many
+    ids there are; rows that share a slot by chance are left to the exact join that follows.
+    """
+    slots = ids.select(_hashed(F.col(ids.columns[0])).alias("slot")).distinct()
+    return docs.join(F.broadcast(slots), _hashed(docs["doc_id"]) == slots["slot"], "left_anti" if negate else "left_semi")
+
+
+def _band_stars(batches):
+    """Links (u, v) from every member of a band to its least one; rows come sorted by band, then id."""
+    band, leader = None, None
+    for batch in batches:
+        b, u = batch.column("band").to_numpy(), batch.column("u").to_numpy()
+        if not len(b):
+            continue
+        first = np.concatenate(([band is None or b[0] != band], b[1:] != b[:-1]))
+        run = np.cumsum(first)
+        leaders = np.concatenate(([leader if leader is not None else u[0]], u[first]))
+        v = leaders[run]
+        band, leader = b[-1], v[-1]
+        linked = u != v
+        if linked.any():
+            yield pa.RecordBatch.from_arrays([pa.array(u[linked]), pa.array(v[linked])], names=["u", "v"])
+
+
 class Forest:
     """Union-find over 0..n-1 whose roots are least members."""
 
@@ -220,9 +252,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = sized.join(copies.select(F.col("signature").alias("sig"), "rep"),
                       (F.col("signature") == F.col("sig")) & (F.col("doc_id") == F.col("rep")), "left_semi")
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)])
-    bands = reps.select(F.col("doc_id").alias("u"), F.explode(keys).alias("band"))
-    least = bands.groupBy("band").agg(F.min("u").alias("v"), F.max("u").alias("most")).where("v < most")
-    stars = bands.join(least, "band").where("u != v").select("u", "v").distinct()
+    bands = reps.select(F.explode(keys).alias("band"), F.col("doc_id").alias("u"))
+    stars = bands.repartition("band").sortWithinPartitions("band", "u").mapInArrow(_band_stars, "u long, v long").distinct()
     coarse = cut_lineage(components(stars, "coarse"), "coarse")
 
     members = reps.join(coarse, F.col("doc_id") == F.col("node")).select(
@@ -239,7 +270,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "group", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
         "doc_id", "registers", "signature")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    with_text = blocks.join(texts, "doc_id").select("group", "a", "b", "doc_id", "registers", "signature", "text")
+    with_text = blocks.join(likely(texts, members.select("doc_id")), "doc_id").select("group", "a", "b", "doc_id", "registers", "signature", "text")
     links = (with_text.repartition("group", "a", "b").sortWithinPartitions("group", "a", "b")
              .mapInArrow(_block_links, "u long, v long"))
     groups = components(links, "links")
@@ -256,10 +287,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs whose document is its group's least id; of rows with equal id and text one stays."""
     verdict = cut_lineage(near_duplicates(docs), "verdict")
-    gone = verdict.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    gone = cut_lineage(verdict.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
     repeated = cut_lineage(verdict.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("repeated")).count()
                            .where("count > 1").select("repeated"), "repeated")
-    kept = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    # only rows that may have to go are moved
+    may_go = likely(docs, gone)
+    kept = likely(docs, gone, negate=True).unionByName(may_go.join(gone, may_go["doc_id"] == gone["gone"], "left_anti"))
     if repeated.isEmpty():
         return kept
     again = kept.join(repeated, kept["doc_id"] == repeated["repeated"], "left_semi")
