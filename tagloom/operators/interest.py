@@ -99,9 +99,9 @@ def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
     ``decay_inactive=True`` also decays (and expires) known users without rows
     today; by default they are left untouched, as the original job does.
 
-    Plan: only today's users take part. Yesterday's state is marked by a join with
-    their distinct ids (broadcast if that is small in bytes); cells of other users go
-    straight to the output. Active cells and today's are grouped by (user, family,
+    Plan: only today's users take part. A semi join with today's rows picks their
+    cells from yesterday's state (broadcast if the ids are small in bytes); cells of
+    other users go straight to the output through the anti join. Active cells and today's are grouped by (user, family,
     tag), so a user with very many tags is spread over tasks, and the known-user flag
     is a partially aggregated row per user that is joined back, where AQE can split a
     heavy user too. No window or partition holds all cells of a user.
@@ -120,20 +120,19 @@ def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
     dec, thr = decimal_literal(decay), decimal_literal(threshold)
     stale = "old_w" if expire == "keep_stale" else f"CAST(NULL AS {w})"
     before = f"SELECT user_id, family, tag, CAST(weight AS {w}) AS old_w FROM {p}"
-    if decay_inactive:
-        marked, others = f"SELECT *, TRUE AS active FROM ({before})", ""
+    if decay_inactive:  # every known user decays
+        active, others = before, ""
     else:
-        marked = (f"SELECT b.*, u.today IS NOT NULL AS active FROM ({before}) b "
-                  f"LEFT JOIN (SELECT DISTINCT user_id, TRUE AS today FROM {d}) u ON b.user_id <=> u.user_id")
-        others = "UNION ALL SELECT user_id, family, tag, old_w FROM marked WHERE NOT active AND old_w IS NOT NULL"
+        active = f"SELECT b.* FROM ({before}) b LEFT SEMI JOIN {d} u ON b.user_id <=> u.user_id"
+        others = f"UNION ALL SELECT b.* FROM ({before}) b LEFT ANTI JOIN {d} u ON b.user_id <=> u.user_id WHERE old_w IS NOT NULL"
     out = spark.sql(f"""
-WITH marked AS ({marked}),
+WITH active AS ({active}),
 known AS (
-  SELECT user_id FROM marked WHERE active AND old_w IS NOT NULL GROUP BY user_id
+  SELECT user_id FROM active WHERE old_w IS NOT NULL GROUP BY user_id
   HAVING MAX(CAST(family = '{TYPE_FAMILY}' AS INT)) = 1 AND MAX(CAST(family = '{PRODUCT_FAMILY}' AS INT)) = 1),
 cells AS (
   SELECT user_id, family, tag, MAX(old_w) AS old_w, MAX(new_w) AS new_w
-  FROM (SELECT user_id, family, tag, old_w, CAST(NULL AS {w}) AS new_w FROM marked WHERE active
+  FROM (SELECT user_id, family, tag, old_w, CAST(NULL AS {w}) AS new_w FROM active
         UNION ALL SELECT user_id, family, tag, CAST(NULL AS {w}), CAST(new_w AS {w}) FROM {d}) c
   GROUP BY user_id, family, tag),
 merged AS (

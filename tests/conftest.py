@@ -33,3 +33,22 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="tagloom-test-", dir="/tmp")
+
+
+@pytest.fixture(scope="session", autouse=True)
+def one_replay_per_table():
+    """Queries that read the full state share one replay per fixture and options (the replay itself is compared once)."""
+    from tagloom.plans import queries
+    from tagloom.session import cut_lineage
+
+    real, known = queries._full_state, {}
+
+    def shared(spark, sf, **options):
+        key = (sf, tuple(sorted(options.items())))
+        if key not in known:
+            known[key] = cut_lineage(real(spark, sf, **options), "shared-state")
+        return known[key]
+
+    queries._full_state = shared
+    yield
+    queries._full_state = real

@@ -44,8 +44,8 @@ def test_merge_moves_active_users_only(spark):
     today = interest.daily_interest(A.behavior(spark, SF_SMOKE, "20240102"))
     text = _final(interest.merge_interest(state, today))
     assert "Window" not in text and "REPARTITION_BY_COL" not in text and "SortAggregate" not in text
-    # the branch of users without rows today: from its filter down to the state's scan
-    inactive = text[text.index("Filter isnull(today") :].split("BroadcastQueryStage")[0]
+    # the branch of users without rows today: from its anti join down to the state's scan
+    inactive = text[text.index("LeftAnti") :].split("BroadcastQueryStage")[0]
     assert "FileScan parquet" in inactive and "Exchange" not in inactive and "Aggregate" not in inactive
 
 
