@@ -39,7 +39,7 @@ from tagloom.llm.batches import map_texts
 from tagloom.llm.tokenizers_io import byte_letters, library, tokenizer_path
 
 LIMIT = 2048
-CACHE_WORDS = 300_000  # entries of each cache before it starts anew
+CACHE_WORDS = 500_000  # entries of each cache before it starts anew
 
 _CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 _ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
@@ -128,7 +128,7 @@ class PrefixCounter:
         They are taken in order, so the table of a word goes on from what it shares with the one before.
         """
         last, count, done = [""], [0], ""
-        inner, final = self.inner, self.final
+        inner, final, longest, fits, compatible = self.inner, self.final, self.longest, self.fits, self.compatible
         for s in sorted(words):
             if s in final:
                 self.words[words[s]] = 1
@@ -140,8 +140,18 @@ class PrefixCounter:
             del last[shared + 1 :], count[shared + 1 :]
             done = s
             for i in range(shared + 1, n):
-                start = self._last(s, i, last, inner, "")
-                last.append(s[start:i])
+                # as _last does, written out because nearly all time goes here
+                for start in range(i - longest if i > longest else 0, i):
+                    t = s[start:i]
+                    if t in inner:
+                        if not start:
+                            break
+                        known = fits.get((last[start], t))
+                        if known or (known is None and compatible(last[start], t)):
+                            break
+                else:
+                    raise ValueError(f"no token ends at {i} of {s!r}")
+                last.append(t)
                 count.append(count[start] + 1)
             self.words[words[s]] = count[self._last(s, n, last, final, _END)] + 1
 
@@ -314,4 +324,4 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIM
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return map_texts(rows, fn, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fitting_chars long",
-                     limit=4 * textvec.SLICE_BYTES)
+                     limit=16 * textvec.SLICE_BYTES)
