@@ -42,8 +42,12 @@ def test_ip_range_join_matches_brute_force(spark):
     probes += [(2000 + i, hi) for i, (_l, hi, *_r) in enumerate(ranges)]  # exact upper bounds
     r_df = spark.createDataFrame(ranges, "lo bigint, hi bigint, region string, city string, isp string")
     p_df = spark.createDataFrame(probes, "id bigint, ip bigint")
-    for bits, cap in ((16, 2_000_000), (24, 2_000_000), (16, 0)):  # broadcast and shuffled dimension
-        got = {(r.id, r.city) for r in enrich.ip_enrich(p_df, r_df, bits, max_broadcast_rows=cap).collect()}
+    for bits, threshold in ((16, "10m"), (24, "10m"), (16, "-1")):  # broadcast and shuffled dimension
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            got = {(r.id, r.city) for r in enrich.ip_enrich(p_df, r_df, bits).collect()}
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         want = set()
         for pid, ip in probes:
             hit = [c for lo, hi, _r, c, _i in ranges if lo <= ip <= hi]
