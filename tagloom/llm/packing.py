@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.batches import strings, text_slices
+from tagloom.llm.batches import map_arrow, strings, text_slices
 from tagloom.llm.tokenizers_io import byte_bpe, tokenizer_path
 from tagloom.session import cut_lineage
 
@@ -63,8 +63,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, most: int = MAX_TOKENS, with_i
                                                  names=names[: 7 if with_ids else 6] + ["task"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, rank long"
-                           + (", ids binary" if with_ids else "") + ", task int")
+    return map_arrow(rows, run, "doc_id long, piece int, start long, length long, ids_crc32 long, rank long"
+                     + (", ids binary" if with_ids else "") + ", task int")
 
 
 def patterns(lengths: np.ndarray, most: int, per_length: int = PATTERNS_PER_LENGTH) -> list[tuple[int, ...]]:
@@ -201,8 +201,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, most: int = MAX_TOKENS,
             yield pa.RecordBatch.from_arrays(keep + [pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    return ranked.select(*names, (F.col("rank") + F.col("before")).alias("rank")).mapInArrow(
-        fn, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    return map_arrow(
+        ranked.select(*names, (F.col("rank") + F.col("before")).alias("rank")), fn, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
         + ", sequence_id long, offset long")
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.batches import map_texts, strings
+from tagloom.llm.batches import map_arrow, map_texts, strings
 from tagloom.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone", "secret", "account", "name")
@@ -319,7 +319,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(sums, pa.string()), pa.array(texts, pa.string())],
                 names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
 
-    return found.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return map_arrow(found, run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def masked(text: str, spans: list[tuple[int, int, int]]) -> str:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm import textvec
-from tagloom.llm.batches import map_texts, text_slices
+from tagloom.llm.batches import map_arrow, map_texts, text_slices
 from tagloom.llm.samples import fold, labelled_texts
 
 ENTRIES = 1 << 13
@@ -107,8 +107,8 @@ def _context_task(batches):
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit context vectors of all entries (ENTRIES x DIMS) from every text of docs."""
     dims = [f"d{d}" for d in range(DIMS)]
-    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
-        _context_task, "entry long, n long, " + ", ".join(f"{d} long" for d in dims))
+    parts = map_arrow(
+        docs.select(F.col("text").cast("string").alias("text")), _context_task, "entry long, n long, " + ", ".join(f"{d} long" for d in dims))
     sums = parts.groupBy("entry").agg(F.sum("n").alias("n"), *(F.sum(d).alias(d) for d in dims))
     out = np.zeros((ENTRIES, DIMS), dtype=np.float32)
     for row in sums.toLocalIterator():  # at most ENTRIES rows

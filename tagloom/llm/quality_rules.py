@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm import textvec
-from tagloom.llm.batches import map_texts, text_slices
+from tagloom.llm.batches import map_arrow, map_texts, text_slices
 from tagloom.llm.samples import labelled_texts
 
 WORD_BUCKETS = CHAR_BUCKETS = 1 << 15
@@ -206,9 +206,9 @@ def _fit_task(batches):
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> Model | None:
     """The calibrated model of a bounded sample, fitted in one task; None without both labels."""
-    rows = labelled_texts(docs, labels, "quality", max_rows).mapInArrow(
-        _features, "index binary, value binary, label int, fold int")
-    got = rows.repartition(1).mapInArrow(_fit_task, "weights binary, numbers array<double>").collect()
+    rows = map_arrow(
+        labelled_texts(docs, labels, "quality", max_rows), _features, "index binary, value binary, label int, fold int")
+    got = map_arrow(rows.repartition(1), _fit_task, "weights binary, numbers array<double>").collect()
     if not got:
         return None
     return Model(np.frombuffer(bytes(got[0]["weights"]), dtype=np.float32), *got[0]["numbers"])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm import textvec
-from tagloom.llm.batches import adjacent_groups, map_texts
+from tagloom.llm.batches import adjacent_groups, map_arrow, map_texts
 from tagloom.llm.components import components
 from tagloom.session import cut_lineage
 
@@ -253,7 +253,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       (F.col("signature") == F.col("sig")) & (F.col("doc_id") == F.col("rep")), "left_semi")
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)])
     bands = reps.select(F.explode(keys).alias("band"), F.col("doc_id").alias("u"))
-    stars = bands.repartition("band").sortWithinPartitions("band", "u").mapInArrow(_band_stars, "u long, v long").distinct()
+    stars = map_arrow(bands.repartition("band").sortWithinPartitions("band", "u"), _band_stars, "u long, v long").distinct()
     coarse = cut_lineage(components(stars, "coarse"), "coarse")
 
     members = reps.join(coarse, F.col("doc_id") == F.col("node")).select(
@@ -271,8 +271,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", "registers", "signature")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with_text = blocks.join(likely(texts, members.select("doc_id")), "doc_id").select("group", "a", "b", "doc_id", "registers", "signature", "text")
-    links = (with_text.repartition("group", "a", "b").sortWithinPartitions("group", "a", "b")
-             .mapInArrow(_block_links, "u long, v long"))
+    links = map_arrow(with_text.repartition("group", "a", "b").sortWithinPartitions("group", "a", "b"),
+                      _block_links, "u long, v long")
     groups = components(links, "links")
     # every set's component, where it isn't simply the document itself
     named = copies.join(groups, F.col("rep") == F.col("node"), "left").select(

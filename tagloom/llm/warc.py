@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.batches import map_texts
+from tagloom.llm.batches import map_arrow, map_texts
 from tagloom.session import cut_lineage, scratch_table_path
 
 MIN_REVISIT_BYTES = 0
@@ -178,7 +178,7 @@ def index(spark, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("path")
-    return cut_lineage(files.mapInArrow(run, "file string, offset long, length long, page_id long, url string, "
+    return cut_lineage(map_arrow(files, run, "file string, offset long, length long, page_id long, url string, "
                                              "digest string, record_type string"), "warc-index")
 
 
@@ -238,7 +238,7 @@ def read_records(selected: DataFrame, payloads: bool = False) -> DataFrame:
     kinds = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(),
              "refers_to": pa.int64()} | ({"url": pa.string(), "payload": pa.binary()} if payloads else {})
     places = selected.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
-    return places.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    return map_arrow(places, run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
                              + (", url string, payload binary" if payloads else ""))
 
 
