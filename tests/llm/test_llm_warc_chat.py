@@ -111,3 +111,21 @@ def test_a_long_conversation_streams(spark):
     rows = [(1, k, "assistant" if k % 2 else "user", f"text {k} " * 20) for k in range(4000)]
     r = chat.round_trip(turns(spark, rows)).first()
     assert r.n_turns == 4000 and r.loss_chars == sum(len(t) for _, k, _, t in rows if k % 2)
+
+
+def test_the_query_makes_and_reads_every_example(spark, monkeypatch):
+    made, own = [], chat.examples
+    monkeypatch.setattr(chat, "examples", lambda formatted: made.append(own(formatted)) or made[-1])
+    queries.op9_prefix_target_chat(spark, C.SF)
+    replies = sum(role == "assistant" for role, in C.read("conversations", ["role"])) + 1  # one in the control conversation
+    assert len(made) == 1 and made[0].count() == replies
+
+
+def test_loss_comes_from_examples_and_contexts_are_checked(spark):
+    formatted = chat.segments(turns(spark))
+    found = chat.examples(formatted)
+    part = {r.conv_id: r for r in chat.read_back(formatted, found.where("turn_index != 3")).collect()}
+    assert (part[1].n_turns, part[1].loss_chars) == (4, 2) and part[3].loss_chars == 2
+    for wrong in (formatted.selectExpr("conv_id", "n", "replace(segment, 'q', 'r') AS segment", "start"), formatted.where("n != 1")):
+        with pytest.raises(Exception, match="is not in the segments"):
+            chat.read_back(wrong, found).collect()
