@@ -7,7 +7,9 @@ characters, and its borders. Candidates are summed up as *signatures* (kind, vot
 digit share), so the whole corpus comes down to a table of at most ``SIGNATURES`` counts. Expectation
 maximisation on that table estimates, for each kind, how reliable each labeler is; its posteriors
 train the final classifier, a logistic regression over votes and shape, which accepts a candidate
-from ``ACCEPT``. Accepted spans never overlap base spans or each other.
+from ``ACCEPT``. A candidate that holds more than base spans is voted on, and an accepted span stays
+unless the spans before it already cover it whole; so spans may overlap, and masking takes overlapping
+ones as one.
 
 Defined results: null and empty texts have no spans; repeated rows and null ids are judged row by
 row; a corpus without candidates has base spans only (there are none then). Offsets are code points.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,7 +49,7 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 _LOOSE = {
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]{1,63}){1,5}"),
     "phone": re.compile(r"(?<![\w+.-])(?:\([0-9]{2,4}\) ?|0[0-9]{1,4}[ /-]|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{3,5}(?![\w-]|\.[0-9])"),
-    "secret": re.compile(r"(?i:\b(?:[a-z]+[_-])?(?:token|secret|password|passwd|pwd|apikey|api[_-]key|access[_-]key|private[_-]key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?)([^\s\"'<>,;]{6,512})"),
+    "secret": re.compile(r"(?i:\b(?:[a-z]+[_-])?(?:token|secret|password|passwd|pwd|apikey|api[_-]key|access[_-]key|private[_-]key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?)([^\s\"'<>,;]{6,}+)"),
     "account": re.compile(r"(?<!\w)(?:[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?|[0-9]{3}-[0-9]{2}-[0-9]{4})(?!\w)"),
     "name": re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra?)\.? (?:[^\W\d_a-z]\w{1,30}(?: [^\W\d_a-z]\w{1,30}){0,2})"),
 }
@@ -125,7 +128,7 @@ def loose_spans(text: str, digits: bool) -> list[tuple[int, int, int]]:
 
 def _entropy(s: str) -> float:
     n = len(s)
-    return -sum(k / n * np.log2(k / n) for k in map(s.count, set(s)))
+    return -sum(k / n * np.log2(k / n) for k in Counter(s).values())
 
 
 def _iban(s: str) -> bool:
@@ -257,18 +260,18 @@ def candidates(text: str) -> list[tuple[int, int, int, int, bool]]:
     taken = bytearray(max((x[2] for x in out), default=0))
     for _, a, b, _, _ in out:
         taken[a:b] = b"\x01" * (b - a)
-    out += [(k, a, b, signature(text, k, a, b, False), False) for k, a, b in loose_spans(text, digits) if taken.find(1, a, b) < 0]
+    out += [(k, a, b, signature(text, k, a, b, False), False) for k, a, b in loose_spans(text, digits) if taken.count(1, a, b) < b - a]
     return sorted(out)
 
 
 def resolve(found: list[tuple[int, int, int, bool]], taken: np.ndarray) -> list[tuple[int, int, int]]:
-    """(kind, start, end) of base spans and of accepted ones that overlap nothing before them."""
+    """(kind, start, end) of base spans and of accepted ones that the spans before them do not cover whole."""
     spans = [f[:3] for f in found if f[3]]
     used = bytearray(max((f[2] for f in found), default=0))
     for _, a, b in spans:
         used[a:b] = b"\x01" * (b - a)
     for (k, a, b, base), good in zip(found, taken):
-        if not base and good and used.find(1, a, b) < 0:
+        if not base and good and used.count(1, a, b) < b - a:
             spans.append((k, a, b))
             used[a:b] = b"\x01" * (b - a)
     return sorted(spans)

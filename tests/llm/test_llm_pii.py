@@ -111,3 +111,34 @@ def test_awkward_rows_and_empty_table(spark):
 
 def test_masking_merges_overlaps():
     assert pii.masked("abcdefgh", [(0, 1, 3), (3, 2, 5), (1, 6, 7)]) == "a[EMAIL]f[IP]h"
+
+
+HEX = "04dbebab91ab4111111111111111f962e1188f96"  # holds a number that passes the Luhn check
+
+
+def test_a_secret_that_holds_a_base_span_is_found_and_masked_whole(spark):
+    long = random.Random(5).randbytes(1000).hex()
+    rows = [(i, f'api token = "{i:08x}{random.Random(i).randbytes(16).hex()}" end') for i in range(200)]
+    rows += [(1000, f'api token = "{HEX}" end'), (1001, "password: joe.doe@example.com!x9Kq; end"), (1002, f"password={long}, end"),
+             (1003, "password: Xy9kQ4vB7mZ2+49 30 1234567 end"), (1004, "password: Q7jz(at)example.com!x9Kq; end")]
+    docs = C.documents(spark, rows)
+    texts, got = dict(rows), {r.doc_id: r for r in pii.find_pii(docs).collect()}
+    for i in (1000, 1001):
+        spans = [(k, texts[i][int(a):int(e)]) for k, a, e in (s.split(":") for s in got[i].spans.split(","))]
+        assert ("secret", HEX if i == 1000 else "joe.doe@example.com!x9Kq") in spans and len(spans) == 2
+        assert got[i].base_sha256 == base_digest(texts[i])
+    masked = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert masked[1000] == 'api token = "[SECRET]" end' and masked[1001] == "password: [SECRET]; end"
+    assert masked[1002] == "password=[SECRET], end"
+    assert "kQ4vB" not in masked[1003] and "1234567" not in masked[1003]
+    assert "Q7jz" not in masked[1004] and "x9Kq" not in masked[1004]
+
+
+def test_spans_give_way_only_to_spans_that_cover_them():
+    found = [(2, 4, 8, True), (4, 2, 10, False), (5, 4, 6, False), (5, 3, 9, False), (6, 9, 12, False)]
+    assert pii.resolve(found, np.ones(5, bool)) == [(2, 4, 8), (4, 2, 10), (6, 9, 12)]
+
+
+def test_a_very_long_secret_is_linear():
+    t = "token=" + "".join(map(chr, range(0x4E00, 0x9E00))) * 40
+    assert [x[1:3] for x in pii.candidates(t)] == [(6, len(t))]
