@@ -30,11 +30,13 @@ from tagloom.llm.batches import map_texts, strings
 COLUMN = 40  # widest padding of a table column
 DEEPEST = 12  # list levels that get an indent of their own
 
+# in a tag a quote opens a value only after "=", anywhere else (or never closed) it is a character like others
 _MARKUP = re.compile(
     r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))"  # comment
     r"|[!?][^>]*+(?:>|\Z)|/(?![A-Za-z])[^>]*+(?:>|\Z)"  # declaration, processing instruction, bogus comment
-    r"|(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?:>|\Z)|[^>]*+(?:>|\Z)))", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+    r"|(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*+)"
+    r"(?P<rest>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+(?:>|\Z)))", re.S)
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+))?+)?+")
 _TELLING = re.compile(r"(?i)hidden|style|span|open|start|value|reversed")
 _UNSEEN_STYLE = re.compile(r"(?i)(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))")
 _SPACE = re.compile(r"[ \t\n\r\f]+")

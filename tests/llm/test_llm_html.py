@@ -45,6 +45,19 @@ def test_layout(html, expected):
     assert text(html) == expected
 
 
+@pytest.mark.parametrize("html, expected", [
+    ('<a href="x"">text1</a> <a href="y"">text2</a> end', "text1 text2 end"),
+    ("<a title=it's>one</a><b>don't</b> two", "onedon't two"),
+    ("<a \"x>one</a> <a 'y>two</a> <a \"z\">three</a>", "one two three"),
+    ("<p =\"x>one</p><p title = 'a > b'>two", "one\n\ntwo"),
+    ("<p title=it's hidden>one<p title='a'hidden>two<p title=\"a\"style=display:none>three<p>four", "four"),
+    ('<a href="x>one</a> two', "one two"),
+    ("<br/><a href=x/>one</a><img alt='>'/>two<a\n>three</a x='>'>", "onetwothree"),
+])
+def test_a_quote_opens_a_value_only_after_an_equals_sign(html, expected):
+    assert text(html) == expected
+
+
 class Plain(HTMLParser):
     def __init__(self):
         super().__init__()
@@ -83,6 +96,13 @@ def test_hostile_pages():
         assert time.time() - began < 20
 
 
+def test_hostile_quotes():
+    for html in ("<a b=\"x" * 50001, "<a b='\"" * 50001, "<a b='x\">" * 50001, "<a =\"" * 50001, "<a \"'=>" * 50001, "<a" + " " * 200000, "<a" + " b =" * 50000):
+        began = time.time()
+        assert len(text(html)) <= 8 * len(html) + 100
+        assert time.time() - began < 20
+
+
 def test_awkward_and_empty(spark):
     pages = spark.createDataFrame([(None, None, "<p>a"), (1, "u", None), (2, None, ""), (3, "u", "<p>b"), (3, "u", "<p>b")],
                                   "page_id long, url string, html string").selectExpr("*", "'x' AS text", "'y' AS n_chars")
