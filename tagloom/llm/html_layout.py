@@ -7,6 +7,12 @@ lists, aligned columns for tables, white space as it is in preformatted text. Al
 out, navigation and advertisements included; what a browser would not show (head, scripts, styles,
 templates, hidden elements) does not.
 
+Inside svg and math the rules of foreign content hold: empty tags close themselves, CDATA is text, HTML
+tags end the drawing unless they stand in a foreignObject, a MathML token or the like. The labels of a
+drawing and the tokens of a formula come out, each label and matrix row on a line of its own; titles,
+descriptions, definitions, metadata and annotations do not. Definitions stay out also where a drawing
+refers to them by ``use``.
+
 Nothing recurses and nothing is cut: nesting may be as deep as the page is long. Column padding and
 list indents have a largest width, beyond which text just runs on, so the result stays linear in the
 page's length.
@@ -43,15 +49,23 @@ _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")}
-_UNSEEN = frozenset("head script style template title noembed noframes iframe datalist object audio video canvas svg math rp".split())
+_UNSEEN = frozenset("head script style template title noembed noframes iframe datalist object audio video canvas rp".split()) | {
+    *(f"svg {t}" for t in "title desc defs metadata style script".split()), *(f"math {t}" for t in "annotation annotation-xml mphantom".split())}
 _IN_HEAD = frozenset("base link meta script style template title noscript".split())
 _PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr fieldset".split())
 _BLOCKS = _PARAGRAPHS | frozenset(
     "address article aside body caption center dd details dialog dir div dt figcaption footer form header hgroup html legend li "
-    "listing main menu nav optgroup option section summary".split())
+    "listing main menu nav optgroup option section summary".split()) | {"svg text", "svg foreignobject", "math mtr", "math mlabeledtr"}
 _HEADINGS = frozenset(f"h{i}" for i in range(1, 7))
 _ENDS_P = (_BLOCKS | {"xmp"}) - frozenset("body caption html legend optgroup option".split())
-_SCOPE = frozenset("table td th caption button html".split())
+_TOKENS = frozenset(f"math {t}" for t in "mi mo mn ms mtext".split())
+#: Foreign elements (their tags have their space before them) whose content is HTML again.
+_HTML_INSIDE = _TOKENS | {"svg foreignobject", "svg desc", "svg title"}
+_SCOPE = frozenset("table td th caption button html".split()) | _HTML_INSIDE
+#: HTML tags that end a drawing or formula.
+_BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var".split())
 #: What a start tag ends if open, and where the search for it stops.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"} | _SCOPE), "dd": ({"dd", "dt"}, {"dl"} | _SCOPE), "dt": ({"dd", "dt"}, {"dl"} | _SCOPE),
@@ -112,6 +126,32 @@ class Builder:
             self.pop_to(1)
             self.push("body", {})
 
+    def html_inside(self, node: Node) -> bool:
+        return node.tag in _HTML_INSIDE or (
+            node.tag == "math annotation-xml" and node.attributes.get("encoding", "").lower() in ("text/html", "application/xhtml+xml"))
+
+    def break_out(self) -> None:
+        """Leave foreign elements up to HTML."""
+        while " " in self.stack[-1].tag and not self.html_inside(self.stack[-1]):
+            self.pop_to(len(self.stack) - 1)
+
+    def space(self, tag: str, attributes: dict[str, str]) -> str:
+        """The space of the element that a start tag makes: svg, math or none, after leaving what it ends."""
+        node = self.stack[-1]
+        if " " in node.tag and not self.html_inside(node):
+            if tag in _BREAKOUT or (tag == "font" and not attributes.keys().isdisjoint(("color", "face", "size"))):
+                self.break_out()
+            elif tag != "svg" or node.tag != "math annotation-xml":
+                return node.tag.partition(" ")[0]
+        return tag if tag in ("svg", "math") else ""
+
+    def start_foreign(self, space: str, tag: str, attributes: dict[str, str], closed: bool) -> None:
+        if not self.in_body:
+            self.enter_body()
+        self.push(f"{space} {tag}", attributes)
+        if closed:
+            self.pop_to(len(self.stack) - 1)
+
     def start(self, tag: str, attributes: dict[str, str]) -> None:
         if tag == "html":
             return
@@ -159,6 +199,16 @@ class Builder:
             self.push(tag, attributes)
 
     def stop(self, tag: str) -> None:
+        if " " in self.stack[-1].tag:
+            if tag in ("br", "p"):
+                self.break_out()
+            elif self.open[f"svg {tag}"] or self.open[f"math {tag}"]:
+                for depth in range(len(self.stack) - 1, 0, -1):
+                    space, _, name = self.stack[depth].tag.rpartition(" ")
+                    if not space:
+                        break
+                    if name == tag:
+                        return self.pop_to(depth)
         if tag == "br":
             return self.start("br", {})
         if tag == "head":
@@ -168,7 +218,7 @@ class Builder:
         stops = () if tag in _TABLE_PARTS or tag == "table" else {"td", "th", "caption"}
         if tag in _TABLE_PARTS:
             stops = {"table"}
-        depth = self.find(_HEADINGS if tag in _HEADINGS else {tag}, stops)
+        depth = self.find(_HEADINGS if tag in _HEADINGS else {tag, f"svg {tag}", f"math {tag}"}, stops)
         if depth:
             self.pop_to(depth)
         elif tag == "p":
@@ -182,6 +232,11 @@ class Builder:
             if not text.strip(" \t\n\r\f"):
                 return
             self.enter_body()
+        space = self.stack[-1].tag.partition(" ")[0] if " " in self.stack[-1].tag else ""
+        if space == "svg" and not self.open["svg text"] and not self.html_inside(self.stack[-1]):
+            return  # not drawn
+        if space == "math" and self.stack[-1].tag not in _TOKENS and not text.strip(" \t\n\r\f"):
+            return  # between tokens
         self.stack[-1].children.append(text)
 
 
@@ -197,13 +252,27 @@ def parse(html: str) -> Node:
         at = m.end()
         tag = m["tag"]
         if tag is None:
+            if " " in builder.stack[-1].tag and html.startswith("<![CDATA[", m.start()):
+                end = html.find("]]>", m.start() + 9)
+                end = len(html) if end < 0 else end
+                builder.text(html[m.start() + 9 : end])
+                at = end + 3
             continue
         tag = tag.lower()
         if m["close"]:
             builder.stop(tag)
             continue
         rest, attributes = m["rest"], {}
-        if len(rest) > 1 and _TELLING.search(rest):
+        if tag in ("svg", "math") or " " in builder.stack[-1].tag:
+            closed = rest.endswith("/>")
+            for a in _ATTRIBUTE.finditer(rest):
+                attributes.setdefault(a[1].lower(), unescape(a[2] or a[3] or a[4] or ""))
+                closed = closed and a.end(4) != len(rest) - 1  # the slash is not a value's
+            space = builder.space(tag, attributes)
+            if space:
+                builder.start_foreign(space, tag, attributes, closed)
+                continue
+        elif len(rest) > 1 and _TELLING.search(rest):
             for name, a, b, c in _ATTRIBUTE.findall(rest):
                 attributes.setdefault(name.lower(), unescape(a or b or c))
         builder.start(tag, attributes)
@@ -337,7 +406,12 @@ class Table:
 def hidden(node: Node) -> bool:
     a = node.attributes
     return (node.tag in _UNSEEN or "hidden" in a or bool(a.get("style") and _UNSEEN_STYLE.search(a["style"]))
-            or (node.tag == "dialog" and "open" not in a))
+            or (node.tag == "dialog" and "open" not in a)
+            or (node.tag.startswith("svg ") and (a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse"))))
+
+
+def is_block(node: Node) -> bool:
+    return node.tag in _BLOCKS or (node.tag == "math math" and node.attributes.get("display") == "block")
 
 
 def render(root: Node, markers: bool = True) -> str:
@@ -363,7 +437,7 @@ def render(root: Node, markers: bool = True) -> str:
             if tag in _VOID and tag != "hr":
                 continue
             saved = flow.indent
-            if tag in _BLOCKS:
+            if is_block(x):
                 flow.apart(2 if tag in _PARAGRAPHS and not (lists and tag in ("ul", "ol")) else 1)
             if tag == "hr":
                 continue
@@ -390,6 +464,8 @@ def render(root: Node, markers: bool = True) -> str:
                 tables.append((Table(), flow))
             elif tag == "tr" and tables:
                 tables[-1][0].row()
+            elif tag == "math mtd" or (tag == "svg tspan" and not x.attributes.keys().isdisjoint(("x", "y"))):
+                flow.text(" ", False)  # placed apart
             elif tag in ("td", "th") and tables:
                 flows.append(Flow())
                 todo.append((x, saved, (pre, lists)))
@@ -412,7 +488,7 @@ def render(root: Node, markers: bool = True) -> str:
             pre = max(0, pre - 1)
         elif tag == "table" and tables:
             flow.whole(tables.pop()[0].lines())
-        if tag in _BLOCKS:
+        if is_block(node):
             flow.apart(2 if tag in _PARAGRAPHS and not (lists and tag in ("ul", "ol")) else 1)
         if tag in ("li", "dd", "blockquote"):
             flow.indent, flow.marker = saved, ""

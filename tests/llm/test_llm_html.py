@@ -58,6 +58,29 @@ def test_a_quote_opens_a_value_only_after_an_equals_sign(html, expected):
     assert text(html) == expected
 
 
+@pytest.mark.parametrize("html, expected", [
+    ("<p>Let <math><mi>x</mi> <mo>=</mo> <mn>2</mn><mtext> or so</mtext></math> hold", "Let x=2 or so hold"),
+    ("<math><semantics><mrow><mi>a</mi><mo>&lt;</mo><mi>b</mi></mrow><annotation encoding='application/x-tex'>a \\lt b</annotation>"
+     "<annotation-xml encoding='MathML-Content'><ci>c</ci></annotation-xml></semantics></math> end", "a<b end"),
+    ("<math><annotation-xml encoding='text/html'><p>no</p></annotation-xml><mi>y</mi></math>", "y"),
+    ("a<math display=block><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr><mtr><mtd><mn>3</mn></mtd></mtr></mtable></math>b", "a\n1 2\n3\nb"),
+    ("<svg viewBox='0 0 9 9'><title>no</title><desc>no <b>no</b></desc><metadata>no</metadata><style>.a{}</style><script>x()</script>"
+     "<defs><text>no</text></defs><g><text x=1>one <tspan>two</tspan></text><text>three</text></g></svg>four", "one two\nthree\nfour"),
+    ("<svg><title/><script/><style/><defs/><desc/><path d='M0'/><text>label</text></svg>after<svg/>end", "label\nafterend"),
+    ("<svg><text><tspan x=0 y=1>one</tspan><tspan x=0 y=2>two</tspan></text> <g> stray </g> </svg>", "one two"),
+    ("<svg><text><![CDATA[a < b & c]]></text></svg><![CDATA[ x ]]>d", "a < b & c\nd"),
+    ("<svg><foreignObject><p>in<p>side</foreignObject><text>t</text></svg>out", "in\n\nside\n\nt\nout"),
+    ("<svg><defs><g><p>out of the drawing</p>", "out of the drawing"),
+    ("<svg><g display=none><text>no</text></g><text visibility=hidden>no</text><text style='display:none'>no</text><text>yes</text></svg>", "yes"),
+    ("<svg><a href=x/><text>in a link</text></a></svg>", "in a link"),
+    ("<table><tr><td><svg><text>1</text></svg><td><math><mi>x</mi></math></table>", "1  x"),
+    ("<svg hidden><text>no</text></svg><math style='display:none'><mi>no</mi></math>z", "z"),
+    ("<svg><text>open", "open"), ("<svg><![CDATA[", ""),
+])
+def test_formulas_and_drawings(html, expected):
+    assert text(html) == expected
+
+
 class Plain(HTMLParser):
     def __init__(self):
         super().__init__()
@@ -97,7 +120,9 @@ def test_hostile_pages():
 
 
 def test_hostile_quotes():
-    for html in ("<a b=\"x" * 50001, "<a b='\"" * 50001, "<a b='x\">" * 50001, "<a =\"" * 50001, "<a \"'=>" * 50001, "<a" + " " * 200000, "<a" + " b =" * 50000):
+    for html in ("<a b=\"x" * 50001, "<a b='\"" * 50001, "<a b='x\">" * 50001, "<a =\"" * 50001, "<a \"'=>" * 50001, "<a" + " " * 200000, "<a" + " b =" * 50000,
+                 "<svg><g>" * 20000 + "</x>" * 50000, "<svg><g>" + "<x>" * 50000 + "</p>" * 9, "<math><mi>" * 20000 + "x", "<svg><![CDATA[" * 50000,
+                 "<svg><foreignObject>" * 20000 + "<text>z"):
         began = time.time()
         assert len(text(html)) <= 8 * len(html) + 100
         assert time.time() - began < 20
