@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tagloom.llm import textvec
 from tagloom.llm.batches import adjacent_groups, map_arrow, map_texts
@@ -245,6 +246,11 @@ def _block_links(batches):
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs(doc_id, text)."""
+    return verdicts(docs).drop("signature")
+
+
+def verdicts(docs: DataFrame) -> DataFrame:
+    """near_duplicates with the signature of each row's set (null if it has none or no doc_id)."""
     sk = cut_lineage(sketches(docs), "sketches")
     sized = sk.where("n_shingles > 0 AND doc_id IS NOT NULL")
     copies = cut_lineage(sized.groupBy("signature").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "copies")
@@ -280,19 +286,40 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = cut_lineage(named.where("n > 1 OR component_id != rep").select("signature", "component_id"), "named")
     out = sk.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("signature")).alias("signature"))
     out = out.join(named, "signature", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "signature")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def signed(docs: DataFrame, name: str) -> DataFrame:
+    """docs with the signature of each row's set as a further column."""
+
+    def fn(piece: pa.RecordBatch) -> pa.RecordBatch:
+        sig = pa.array(signatures(*shingles_of(piece.column("text"))), pa.binary())
+        return pa.RecordBatch.from_arrays([*piece.columns, sig], names=[*piece.schema.names, name])
+
+    return map_texts(docs, fn, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs whose document is its group's least id; of rows with equal id and text one stays."""
-    verdict = cut_lineage(near_duplicates(docs), "verdict")
-    gone = cut_lineage(verdict.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    repeated = cut_lineage(verdict.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("repeated")).count()
-                           .where("count > 1").select("repeated"), "repeated")
+    verdict = cut_lineage(verdicts(docs).where("doc_id IS NOT NULL").select("doc_id", "signature", "kept"), "verdict")
+    judged = verdict.groupBy("doc_id").agg(F.count_if("kept").alias("stay"), F.count_if(~F.col("kept")).alias("go"))
+    judged = cut_lineage(judged.where("go > 0 OR stay > 1"), "judged")
+    gone = judged.where("stay = 0").select(F.col("doc_id").alias("gone"))
+    mixed = judged.where("stay > 0 AND go > 0").select(F.col("doc_id").alias("mixed"))
+    repeated = judged.where("stay > 1").select(F.col("doc_id").alias("repeated"))
     # only rows that may have to go are moved
     may_go = likely(docs, gone)
     kept = likely(docs, gone, negate=True).unionByName(may_go.join(gone, may_go["doc_id"] == gone["gone"], "left_anti"))
+    if not mixed.isEmpty():  # ids with several texts of which some go: by id and text
+        name = "set_signature"
+        while name.lower() in map(str.lower, docs.columns):
+            name += "_"
+        texts = verdict.where("NOT kept").join(mixed, F.col("doc_id") == F.col("mixed"), "left_semi").select(
+            F.col("doc_id").alias("gone"), F.col("signature").alias("gone_signature")).distinct()
+        own = signed(likely(kept, mixed), name)
+        own = own.join(texts, (own["doc_id"] == texts["gone"]) & (own[name] == texts["gone_signature"]), "left_anti").drop(name)
+        kept = likely(kept, mixed, negate=True).unionByName(own)
     if repeated.isEmpty():
         return kept
     again = kept.join(repeated, kept["doc_id"] == repeated["repeated"], "left_semi")

@@ -109,6 +109,15 @@ def test_awkward_and_empty(spark):
     assert setsketch.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_a_text_of_a_repeated_id_goes_only_with_its_own_copy(spark):
+    own = "nothing else in the table has the words that are in this text of the repeated id"
+    docs = C.documents(spark, [(1, C.SHARED), (7, C.SHARED), (7, own), (7, own), (8, C.SHARED), (9, None), (9, C.SHARED), (None, C.SHARED)])
+    kept = setsketch.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted(
+        [("1", C.SHARED), ("7", own), ("9", "None"), ("None", C.SHARED)])
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     got = components.components(spark.createDataFrame(edges, "u long, v long")).collect()
