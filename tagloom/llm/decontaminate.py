@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling (op5).
 
-Texts are token sequences (runs of letters and digits, lower case). A document and a benchmark item
+Texts are token sequences (runs of letters and digits, lower case; each character of a script that is
+written without spaces is a token of its own). A document and a benchmark item
 that share ``MIN_MATCH``-token seeds are tiled: Running Karp-Rabin finds maximal matches between
 tokens not yet covered, the longest are marked first, and the search length is lowered until
 ``MIN_MATCH``. The covered share of the item's tokens is the score, so passages whose sentences were
@@ -15,8 +16,10 @@ tokens; repeated documents or items are judged row by row; an empty benchmark fl
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -38,10 +41,27 @@ _APART[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80,
 _BASE = np.uint64(0xA24BAED4963EE407)
 
 
+# first bytes of characters that may be white space, punctuation or of a script without spaces; Latin letters have others
+_WIDE = np.zeros(256, dtype=bool)
+_WIDE[[0xC2, *range(0xCD, 0x100)]] = True
+_UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+
+
+@cache
+def _wide_breaks() -> str:
+    """Pattern of a character that is a token of its own, or of one beyond ASCII that separates tokens."""
+    apart = [c for c in range(0x80, 0x20000) if unicodedata.category(chr(c))[0] in "PZ" or c in (0x85, 0x200B, 0xFEFF)]
+    return f"([{_UNSPACED}])|[" + "".join(rf"\x{{{c:x}}}" for c in apart) + "]"
+
+
 def tokens(values) -> textvec.Words:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
-    return textvec.words(*textvec.flat(pc.utf8_lower(values.cast(pa.large_string()))), _APART)
+    values = pc.utf8_lower(values.cast(pa.large_string()))
+    data, offsets = textvec.flat(values)
+    if _WIDE[data].any():
+        data, offsets = textvec.flat(pc.replace_substring_regex(values, _wide_breaks(), r" \1 "))
+    return textvec.words(data, offsets, _APART)
 
 
 @dataclass

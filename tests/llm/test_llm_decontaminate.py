@@ -4,6 +4,7 @@ import re
 
 import llm_cases as C
 import numpy as np
+import pyarrow as pa
 
 from tagloom.llm import decontaminate as D
 from tagloom.llm import queries
@@ -103,3 +104,17 @@ def test_awkward_and_empty(spark):
     assert D.contaminated_pairs(docs.limit(0), benchmark).count() == 0
     assert D.contaminated_pairs(docs, benchmark.limit(0)).count() == 0
     assert D.drop_contaminated(docs, benchmark.limit(0)).count() == len(C.AWKWARD)
+
+
+def test_scripts_without_spaces_and_wide_punctuation(spark):
+    def words(t):
+        w = D.tokens(pa.array([t]))
+        return [bytes(w.data[a:b]).decode() for a, b in zip(w.starts, w.ends)]
+
+    assert words("«Été» l’an\u00a02024 – 中文，ok。カナ ไทย한국 어") == [
+        "été", "l", "an", "2024", "中", "文", "ok", "カ", "ナ", "ไ", "ท", "ย", "한국", "어"]
+    first, second = "第一句讲的是北京的天气非常寒冷。", "第二句说明上海的冬天比较温暖！"
+    items = spark.createDataFrame([(1, first + second), (2, "東京の夏はとても暑いです。")], "item_id long, text string")
+    docs = C.documents(spark, [(1, f"前言，{second}{first}后记"), (2, "東京の夏はとても暑いです、と書いた。"), (3, "完全不同的一段文字，没有任何重复内容。")])
+    got = {(r.doc_id, r.item_id): r.coverage for r in D.contaminated_pairs(docs, items).collect()}
+    assert got == {(1, 1): 1.0, (2, 2): 1.0}
