@@ -7,7 +7,8 @@ registers grow likelier with Jaccard similarity, so bands of them are a locality
 
 1. one pass over the texts writes size, set signature and registers of each document;
 2. documents with equal sets share a representative (the least id), so copies never meet in pairs;
-3. representatives with an equal band link to the least id of the band: coarse groups are the
+3. representatives with an equal band link to a least id of the band, first within each batch of rows,
+   then the batches' least ids (all that is moved by band) to the least of all: coarse groups are the
    components of those links, so each pair that shares a band is inside one group;
 4. groups are cut into blocks of bounded bytes; in a block, the joint likelihood of the registers
    rules pairs out, the rest is confirmed on the full sets, and a block returns a spanning forest of
@@ -26,6 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
@@ -152,18 +154,42 @@ def likely(docs: DataFrame, ids: DataFrame, negate: bool = False) -> DataFrame:
     return docs.join(F.broadcast(slots), _hashed(docs["doc_id"]) == slots["slot"], "left_anti" if negate else "left_semi")
 
 
+def _batch_stars(batches):
+    """Rows (key, u, v) of each batch: every band's least member (its key is the band, v null), and the links to it.
+
+    A link's key is its member, so links are dealt evenly; each is there once however many bands make it.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        band, u = batch.column("bands").flatten().to_numpy(), np.repeat(batch.column("u").to_numpy(), BANDS)
+        order = np.lexsort((u, band))
+        band, u = band[order], u[order]
+        first = np.concatenate(([True], band[1:] != band[:-1]))
+        leader = u[first][np.cumsum(first) - 1]
+        links = np.unique(np.stack([u, leader])[:, u != leader], axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([band[first], links[0]])), pa.array(np.concatenate([u[first], links[0]])),
+             pa.concat_arrays([pa.nulls(int(first.sum()), pa.int64()), pa.array(links[1])])], names=["key", "u", "v"])
+
+
 def _band_stars(batches):
-    """Links (u, v) from every member of a band to its least one; rows come sorted by band, then id."""
-    band, leader = None, None
+    """Links (u, v): those there are, and from every leader of a band to its least one; rows come sorted by v's being there, key, u."""
+    band, least = None, None
     for batch in batches:
-        b, u = batch.column("band").to_numpy(), batch.column("u").to_numpy()
+        done = batch.column("v").is_valid()
+        if batch.num_rows and pc.any(done).as_py():
+            made = batch.filter(done)
+            yield pa.RecordBatch.from_arrays([made.column("u"), made.column("v")], names=["u", "v"])
+            batch = batch.filter(pc.invert(done))
+        b, u = batch.column("key").to_numpy(), batch.column("u").to_numpy()
         if not len(b):
             continue
         first = np.concatenate(([band is None or b[0] != band], b[1:] != b[:-1]))
         run = np.cumsum(first)
-        leaders = np.concatenate(([leader if leader is not None else u[0]], u[first]))
+        leaders = np.concatenate(([least if least is not None else u[0]], u[first]))
         v = leaders[run]
-        band, leader = b[-1], v[-1]
+        band, least = b[-1], v[-1]
         linked = u != v
         if linked.any():
             yield pa.RecordBatch.from_arrays([pa.array(u[linked]), pa.array(v[linked])], names=["u", "v"])
@@ -258,8 +284,8 @@ def verdicts(docs: DataFrame) -> DataFrame:
     reps = sized.join(copies.select(F.col("signature").alias("sig"), "rep"),
                       (F.col("signature") == F.col("sig")) & (F.col("doc_id") == F.col("rep")), "left_semi")
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)])
-    bands = reps.select(F.explode(keys).alias("band"), F.col("doc_id").alias("u"))
-    stars = map_arrow(bands.repartition("band").sortWithinPartitions("band", "u"), _band_stars, "u long, v long").distinct()
+    leaders = map_arrow(reps.select(keys.alias("bands"), F.col("doc_id").alias("u")), _batch_stars, "key long, u long, v long")
+    stars = map_arrow(leaders.repartition("key").sortWithinPartitions(F.isnotnull("v"), "key", "u"), _band_stars, "u long, v long").distinct()
     coarse = cut_lineage(components(stars, "coarse"), "coarse")
 
     members = reps.join(coarse, F.col("doc_id") == F.col("node")).select(

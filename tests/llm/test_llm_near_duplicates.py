@@ -5,6 +5,7 @@ import re
 
 import llm_cases as C
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle_harness import compare, duck
 
@@ -109,6 +110,35 @@ def test_awkward_and_empty(spark):
     assert setsketch.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_a_hot_band_moves_one_row_a_batch():
+    n, rng = 500, np.random.default_rng(3)
+    keys = rng.integers(-2**62, 2**62, (n, setsketch.BANDS))
+    keys[::2, 0], keys[1::5, 3] = 7, 8  # bands that many share
+    ids = rng.permutation(n).astype(np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[a : a + 100].tolist(), pa.list_(pa.int64())), pa.array(ids[a : a + 100])], names=["bands", "u"])
+               for a in range(0, n, 100)]
+    rows = pa.Table.from_batches(list(setsketch._batch_stars(iter(batches)))).to_pylist()
+    assert sum(r["key"] == 7 and r["v"] is None for r in rows) == 5
+    rows.sort(key=lambda r: (r["v"] is not None, r["key"], r["u"]))
+    moved = [pa.RecordBatch.from_pylist(rows[a : a + 999], pa.schema([(c, pa.int64()) for c in ("key", "u", "v")])) for a in range(0, len(rows), 999)]
+    up = {i: i for i in range(n)}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for batch in setsketch._band_stars(iter(moved)):
+        for u, v in zip(batch["u"].to_pylist(), batch["v"].to_pylist()):
+            assert v < u
+            x, y = sorted((root(u), root(v)))
+            up[y] = x
+    groups = [set(ids[::2].tolist()), set(ids[1::5].tolist())]
+    groups = [groups[0] | groups[1]] if groups[0] & groups[1] else groups
+    for i in range(n):
+        assert root(i) == next((min(g) for g in groups if i in g), i)
+
+
 def test_a_text_of_a_repeated_id_goes_only_with_its_own_copy(spark):
     own = "nothing else in the table has the words that are in this text of the repeated id"
     docs = C.documents(spark, [(1, C.SHARED), (7, C.SHARED), (7, own), (7, own), (8, C.SHARED), (9, None), (9, C.SHARED), (None, C.SHARED)])
