@@ -52,8 +52,65 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+def _field(x: str) -> str:
+    return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _levels(name: str, leaves: str, levels: int) -> str:
+    """CTEs name0..: the nodes of each level (tree, i, h); a tree that is down to one node stays as it is."""
+    out = [f"{name}0 AS MATERIALIZED (SELECT tree, i, h, count(*) OVER (PARTITION BY tree) AS n FROM {leaves})"]
+    for k in range(levels):
+        out.append(f"{name}{k + 1} AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM (SELECT tree, i // 8 AS i, "
+                   f"CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY {name}{k}.i)) END AS h FROM {name}{k} GROUP BY tree, {name}{k}.i // 8))")
+    return ", ".join(out)
+
+
+def _climb(name: str, levels: int, start: str) -> str:
+    """CTEs climbing each row of start(tree, i, id, now, proof) up the levels of name, with the siblings it meets."""
+    out, last = [], start
+    for k in range(levels):
+        # what stands left and right of a node in its run
+        side = (f"SELECT a.tree, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l, "
+                f"coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r, any_value(a.n) AS n "
+                f"FROM {name}{k} a JOIN {name}{k} b ON a.tree = b.tree AND a.i // 8 = b.i // 8 GROUP BY a.tree, a.i")
+        out.append(f"{start}{k + 1} AS MATERIALIZED (SELECT c.tree, c.i // 8 AS i, c.id, CASE WHEN n = 1 THEN now ELSE sha256(l || now || r) END AS now, "
+                   f"proof || l || r AS proof FROM {last} c JOIN ({side}) s ON s.tree = c.tree AND s.i = c.i)")
+        last = f"{start}{k + 1}"
+    return ", ".join(out)
+
+
+_DEEP, _WIDE = 10, 4  # levels that the SQL has: up to 8^10 documents of a language, 8^4 languages
+# crc32 of the decimal doc_id, bit by bit
+_CRC = ("xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(CAST(doc_id AS VARCHAR)) + 1), lambda k: CAST(ascii(substr(CAST(doc_id AS VARCHAR), k, 1)) AS BIGINT))), "
+        "lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)")
+OP11 = f"""
+WITH hashed AS MATERIALIZED (
+  SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, {_leaf('text')} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_CRC} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents),
+rows AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, row_number() OVER () AS id FROM hashed),
+{_levels('t', '(SELECT tree, i, leaf AS h FROM rows)', _DEEP)},
+{_levels('u', f'(SELECT 0 AS tree, tree AS i, h FROM t{_DEEP})', _WIDE)},
+a AS (SELECT tree, i, id, coalesce(changed, leaf) AS now, '' AS proof FROM rows),
+{_climb('t', _DEEP, 'a')},
+b AS (SELECT 0 AS tree, tree AS i, id, now, proof FROM a{_DEEP}),
+{_climb('u', _WIDE, 'b')}
+SELECT doc_id, leaf, s.h AS subroot, g.h AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = g.h AS verified
+FROM rows JOIN b{_WIDE} f USING (id) JOIN t{_DEEP} s ON s.tree = rows.tree JOIN u{_WIDE} g ON true
+"""
+
+OP12 = OP6.replace("< 5 THEN", "< 4 THEN").replace("len(ws) - 3)", "len(ws) - 2)").replace("ws[i:i + 4]", "ws[i:i + 3]").replace(
+    ">= 75 *", ">= 85 *").replace(", doc_id = component_id AS kept", "")
+
 ORACLE_SQL = {
     "op6_setsketch_dedup": OP6,
     "op8_warc_round_trip": OP8,
     "op9_prefix_target_chat": OP9,
+    "op11_merkle_butterfly": OP11,
+    "op12_count_vector_rtree": OP12,
 }

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import chat, decontaminate, html_layout, packing, pii, quality_net, quality_rules, setsketch, token_prefix, warc
+from tagloom.llm import (chat, decontaminate, html_layout, merkle, ngram_rtree, packing, pii, quality_net, quality_rules, setsketch, token_prefix, warc,
+                         whitening)
 from tagloom.llm.oracle import ORACLE_SQL
 from tagloom.sources.tables import table
 
@@ -58,6 +59,18 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_butterfly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_count_vector_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_rtree.ngram_join(table(spark, sf_dir, "documents"))
+
+
+def op13_cholesky_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_weak_supervision_pii": op1_weak_supervision_pii,
     "op2_quality_rules": op2_quality_rules,
@@ -69,6 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_round_trip": op8_warc_round_trip,
     "op9_prefix_target_chat": op9_prefix_target_chat,
     "op10_pattern_packing": op10_pattern_packing,
+    "op11_merkle_butterfly": op11_merkle_butterfly,
+    "op12_count_vector_rtree": op12_count_vector_rtree,
+    "op13_cholesky_jacobi_whitening": op13_cholesky_jacobi_whitening,
 }
 
 
