@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from contextlib import contextmanager
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -91,41 +92,19 @@ def decimal_literal(x: float) -> str:
     return f"CAST('{d:f}' AS DECIMAL({scale + 6},{scale}))"
 
 
-def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
-                   decay: float = R.DECAY, threshold: float = R.THRESHOLD,
-                   decay_inactive: bool = False) -> DataFrame:
-    """One daily step: state(n-1) x daily aggregate(n) -> state(n).
+def _merged_sql(active: str, daily: str, expire: str, decay: float, threshold: float) -> str:
+    """SQL for (user_id, family, tag, old_w, weight) of today's users: each cell before and after the day (null: no such cell).
 
-    ``decay_inactive=True`` also decays (and expires) known users without rows
-    today; by default they are left untouched, as the original job does.
-
-    Plan: only today's users take part. A semi join with today's rows picks their
-    cells from yesterday's state (broadcast if the ids are small in bytes); cells of
-    other users go straight to the output through the anti join. Active cells and today's are grouped by (user, family,
-    tag), so a user with very many tags is spread over tasks, and the known-user flag
-    is a partially aggregated row per user that is joined back, where AQE can split a
-    heavy user too. No window or partition holds all cells of a user.
-
-    The state is read more than once, so chained days write it in between.
-    The step is one SQL statement over two temporary views.
+    ``active`` holds their cells of the day before, ``daily`` today's rows. Cells are grouped by (user,
+    family, tag), so a user with very many tags is spread over tasks; the known-user flag is a partially
+    aggregated row per user that is joined back, where AQE can split a heavy user too.
     """
     if expire not in ("drop", "keep_stale"):
         raise ValueError("expire must be 'drop' or 'keep_stale'")
-    spark = prev.sparkSession
-    key = uuid.uuid4().hex[:12]
-    p, d = f"tagloom_prev_{key}", f"tagloom_day_{key}"
-    prev.select("user_id", "family", "tag", "weight").createOrReplaceTempView(p)
-    daily.select("user_id", "family", "tag", "new_w").createOrReplaceTempView(d)
     w = "DECIMAL(18,2)"
     dec, thr = decimal_literal(decay), decimal_literal(threshold)
     stale = "old_w" if expire == "keep_stale" else f"CAST(NULL AS {w})"
-    before = f"SELECT user_id, family, tag, CAST(weight AS {w}) AS old_w FROM {p}"
-    if decay_inactive:  # every known user decays
-        active, others = before, ""
-    else:
-        active = f"SELECT b.* FROM ({before}) b LEFT SEMI JOIN {d} u ON b.user_id <=> u.user_id"
-        others = f"UNION ALL SELECT b.* FROM ({before}) b LEFT ANTI JOIN {d} u ON b.user_id <=> u.user_id WHERE old_w IS NOT NULL"
-    out = spark.sql(f"""
+    return f"""
 WITH active AS ({active}),
 known AS (
   SELECT user_id FROM active WHERE old_w IS NOT NULL GROUP BY user_id
@@ -133,20 +112,64 @@ known AS (
 cells AS (
   SELECT user_id, family, tag, MAX(old_w) AS old_w, MAX(new_w) AS new_w
   FROM (SELECT user_id, family, tag, old_w, CAST(NULL AS {w}) AS new_w FROM active
-        UNION ALL SELECT user_id, family, tag, CAST(NULL AS {w}), CAST(new_w AS {w}) FROM {d}) c
-  GROUP BY user_id, family, tag),
-merged AS (
-  SELECT c.user_id, c.family, c.tag,
-         CASE WHEN k.user_known THEN CASE WHEN raw > {thr} THEN CAST(ROUND(raw, 2) AS {w}) ELSE {stale} END
-              WHEN c.new_w IS NOT NULL THEN CAST(ROUND(c.new_w * {dec}, 2) AS {w})
-              ELSE c.old_w END AS weight
-  FROM (SELECT *, (COALESCE(old_w, CAST(0 AS {w})) + COALESCE(new_w, CAST(0 AS {w}))) * {dec} AS raw FROM cells) c
-  LEFT JOIN (SELECT user_id, TRUE AS user_known FROM known) k ON c.user_id <=> k.user_id)
-SELECT user_id, family, tag, weight FROM merged WHERE weight IS NOT NULL
-{others}""")
-    spark.catalog.dropTempView(p)  # the new plan holds the views' plans; the names are no longer needed
-    spark.catalog.dropTempView(d)
-    return out
+        UNION ALL SELECT user_id, family, tag, CAST(NULL AS {w}), CAST(new_w AS {w}) FROM {daily}) c
+  GROUP BY user_id, family, tag)
+SELECT c.user_id, c.family, c.tag, c.old_w,
+       CASE WHEN k.user_known THEN CASE WHEN raw > {thr} THEN CAST(ROUND(raw, 2) AS {w}) ELSE {stale} END
+            WHEN c.new_w IS NOT NULL THEN CAST(ROUND(c.new_w * {dec}, 2) AS {w})
+            ELSE c.old_w END AS weight
+FROM (SELECT *, (COALESCE(old_w, CAST(0 AS {w})) + COALESCE(new_w, CAST(0 AS {w}))) * {dec} AS raw FROM cells) c
+LEFT JOIN (SELECT user_id, TRUE AS user_known FROM known) k ON c.user_id <=> k.user_id"""
+
+
+@contextmanager
+def _views(**frames: DataFrame):
+    """Temporary views of the frames under names of their own; the plans made inside hold the frames' plans."""
+    key = uuid.uuid4().hex[:12]
+    names = {n: f"tagloom_{n}_{key}" for n in frames}
+    for n, df in frames.items():
+        df.createOrReplaceTempView(names[n])
+    try:
+        yield names
+    finally:
+        for n, df in frames.items():
+            df.sparkSession.catalog.dropTempView(names[n])
+
+
+def merge_interest(prev: DataFrame, daily: DataFrame, expire: str = "drop",
+                   decay: float = R.DECAY, threshold: float = R.THRESHOLD,
+                   decay_inactive: bool = False) -> DataFrame:
+    """One daily step: state(n-1) x daily aggregate(n) -> state(n).
+
+    ``decay_inactive=True`` also decays (and expires) known users without rows
+    today; by default they are left untouched, as the original job does.
+
+    Plan: only today's users take part. A semi join with today's rows picks their
+    cells from yesterday's state (broadcast if the ids are small in bytes); cells of
+    other users go straight to the output through the anti join. No window or partition
+    holds all cells of a user. The job (``plans/jobs.py``) writes ``changed_cells`` instead.
+    """
+    cells = prev.select("user_id", "family", "tag", F.col("weight").cast(WEIGHT).alias("old_w"))
+    with _views(prev=cells, day=daily.select("user_id", "family", "tag", "new_w")) as v:
+        before, others = f"SELECT * FROM {v['prev']}", ""
+        if not decay_inactive:  # otherwise every known user decays
+            others = f" UNION ALL SELECT b.* FROM {v['prev']} b LEFT ANTI JOIN {v['day']} u ON b.user_id <=> u.user_id WHERE old_w IS NOT NULL"
+            before = f"SELECT b.* FROM {v['prev']} b LEFT SEMI JOIN {v['day']} u ON b.user_id <=> u.user_id"
+        merged = _merged_sql(before, v["day"], expire, decay, threshold)
+        return prev.sparkSession.sql(f"SELECT user_id, family, tag, weight FROM ({merged}) m WHERE weight IS NOT NULL{others}")
+
+
+def changed_cells(active: DataFrame, daily: DataFrame, expire: str = "drop", decay: float = R.DECAY,
+                  threshold: float = R.THRESHOLD) -> DataFrame:
+    """(user_id, family, tag, weight, deleted): the cells that the day writes anew or, with ``deleted``, ends.
+
+    ``active`` has the cells of the day before that take part: today's users', or with decay of inactive users all.
+    """
+    cells = active.select("user_id", "family", "tag", F.col("weight").cast(WEIGHT).alias("old_w"))
+    with _views(active=cells, day=daily.select("user_id", "family", "tag", "new_w")) as v:
+        merged = _merged_sql(f"SELECT * FROM {v['active']}", v["day"], expire, decay, threshold)
+        return active.sparkSession.sql(f"SELECT user_id, family, tag, weight, weight IS NULL AS deleted FROM ({merged}) m "
+                                       "WHERE NOT (weight <=> old_w)")
 
 
 def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame | None = None,

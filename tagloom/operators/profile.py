@@ -59,6 +59,12 @@ def upsert(profile: DataFrame, cells: DataFrame, families: tuple[str, ...] | Non
     return old.where(~touched).unionByName(kept).unionByName(cells)
 
 
+def changed_values(old: DataFrame, cells: DataFrame) -> DataFrame:
+    """The cells whose key is new or whose value is not the old one."""
+    same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in (*KEYS, "value")]
+    return cells.select(*KEYS, "value").alias("new").join(old.select(*KEYS, "value").alias("old"), same, "left_anti")
+
+
 def interest_cells(state: DataFrame) -> DataFrame:
     return state.select(*KEYS, F.col("weight").cast("string").alias("value"))
 

@@ -1,4 +1,4 @@
-"""The daily jobs as they run in production: read snapshot n-1, read day n, write snapshot n.
+"""The daily jobs as they run in production: read the state of day n-1, read day n, write what day n changes.
 
 Inputs are DataFrames with the job's columns (FIXTURES.md section 1) and a ``dt``
 column; the day is selected with a typed predicate (partition pruning on a
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import rules as R
 from ..operators import interest, profile, push, slots
 from ..session import cut_lineage, scratch_scope
 from ..sources import snapshots as S
@@ -22,50 +23,64 @@ def _day(df: DataFrame, dt: str) -> DataFrame:
     return df.where(F.col("dt") == F.lit(dt_key(dt)))
 
 
+def _previous(store: S.StateStore, dt: str, prev_dt: str | None) -> str | None:
+    """The date that the job of ``dt`` builds on: the one named, else the last one before it (None if there is none)."""
+    return prev_dt or max((d for d in store.dates() if d < dt_key(dt)), default=None)
+
+
 def interest_job(spark: SparkSession, behavior: DataFrame, state_base: str, dt: str,
                  prev_dt: str | None = None, expire: str = "drop", decay_inactive: bool = False,
-                 keep_null_product: bool = False) -> str:
-    """Daily interest weights: decayed merge of today's behaviour into yesterday's snapshot."""
-    prev_dt = prev_dt or S.latest_before(spark, state_base, dt)
-    prev = (S.read_snapshot(spark, state_base, prev_dt, S.INTEREST_SCHEMA) if prev_dt
-            else interest.empty_state(spark))
-    today = interest.daily_interest(_day(behavior, dt), keep_null_product)
-    new = interest.merge_interest(prev, today, expire=expire, decay_inactive=decay_inactive)
-    return S.write_snapshot(new.select("user_id", "tag", "weight", "family"), state_base, dt)
+                 keep_null_product: bool = False, decay: float = R.DECAY, threshold: float = R.THRESHOLD, **layout) -> str:
+    """Daily interest weights: decayed merge of today's behaviour into the state of the day before.
+
+    Today's rows are computed and written once, the state is scanned once for today's users and not
+    moved, and the cells that changed are written as a delta (``layout``: see ``StateStore``).
+    """
+    store = S.interest_store(spark, state_base, **layout)
+    prev_dt = _previous(store, dt, prev_dt)
+    with scratch_scope(spark):
+        today = cut_lineage(interest.daily_interest(_day(behavior, dt), keep_null_product), "interest-today")
+        if decay_inactive and prev_dt:
+            active = store.read(prev_dt)
+        else:
+            active = store.cells_of(prev_dt, today)
+        store.commit(dt, prev_dt, interest.changed_cells(active, today, expire, decay, threshold))
+    return S.snapshot_path(state_base, dt)
 
 
 def slots_job(spark: SparkSession, browse: DataFrame, state_base: str, summary_base: str, dt: str,
-              prev_dt: str | None = None, summary: str = "today") -> str:
+              prev_dt: str | None = None, summary: str = "today", **layout) -> str:
     """Daily slot counts (additive) plus the summary cell of today's active users."""
-    prev_dt = prev_dt or S.latest_before(spark, state_base, dt)
-    prev = (S.read_snapshot(spark, state_base, prev_dt, S.SLOT_SCHEMA) if prev_dt
-            else spark.createDataFrame([], slots.STATE_SCHEMA))
-    today = slots.daily_slots(_day(browse, dt))
-    new = slots.merge_slots(prev, today)
-    path = S.write_snapshot(new, state_base, dt, partition_by=())
-    written = S.read_snapshot(spark, state_base, dt, S.SLOT_SCHEMA)
-    todays = slots.day_summary(written, today, summary)
-    # the summary table is cumulative: today's cells replace the user's earlier cell
-    if prev_dt and dt_key(prev_dt) not in S.snapshot_dates(spark, summary_base):
+    store, texts = S.slot_store(spark, state_base, **layout), S.summary_store(spark, summary_base, **layout)
+    prev_dt = _previous(store, dt, prev_dt)
+    # nothing is written before it is sure that both tables can be
+    if prev_dt and dt_key(prev_dt) not in texts.dates():
         raise FileNotFoundError(f"{summary_base} has no summary of {dt_key(prev_dt)}, which the slots of {dt_key(dt)} build on: "
                                 f"run the slots job of {dt_key(prev_dt)} again")
-    prev_summary = (S.read_snapshot(spark, summary_base, prev_dt, S.SUMMARY_SCHEMA) if prev_dt
-                    else spark.createDataFrame([], S.SUMMARY_SCHEMA))
-    S.write_snapshot(prev_summary.join(todays.select("user_id"), "user_id", "left_anti").unionByName(todays),
-                     summary_base, dt, partition_by=())
-    return path
+    with scratch_scope(spark):
+        today = cut_lineage(slots.daily_slots(_day(browse, dt)), "slots-today")
+        old = store.cells_of(prev_dt, today)
+        new = cut_lineage(slots.merge_slots(old, today), "slots-merged")  # today's users' cells
+        todays = slots.day_summary(new, today, summary)
+        counted = new.join(today.select(F.col("user_id").alias("of"), F.col("slot").alias("in")),
+                           F.col("user_id").eqNullSafe(F.col("of")) & F.col("slot").eqNullSafe(F.col("in")), "left_semi")
+        # the summary first: a job that fails between the two leaves the slots' date as it was
+        texts.commit(dt, prev_dt, todays.withColumn("deleted", F.lit(False)))
+        store.commit(dt, prev_dt, counted.withColumn("deleted", F.lit(False)))
+    return S.snapshot_path(state_base, dt)
 
 
 def basic_tags_job(spark: SparkSession, member: DataFrame, cells_base: str, dt: str, prev_dt: str | None = None,
-                   as_of=None, rule: str = "calendar") -> str:
-    """Attribute tags upserted into the user_tags cells (cells not written stay)."""
-    prev_dt = prev_dt or S.latest_before(spark, cells_base, dt)
-    prev = (S.read_snapshot(spark, cells_base, prev_dt, S.CELL_SCHEMA) if prev_dt
-            else spark.createDataFrame([], S.CELL_SCHEMA))
-    new = profile.upsert(prev.select(*profile.KEYS, "value"),
-                         profile.basic_tags_long(_day(member, dt), as_of=as_of, rule=rule),
-                         families=(profile.ATTRIBUTE_FAMILY,))
-    return S.write_snapshot(new.select("user_id", "tag", "value", "family"), cells_base, dt)
+                   as_of=None, rule: str = "calendar", null_int_as_zero: bool = False, missing_birth: str = "zero", **layout) -> str:
+    """Attribute tags upserted into the user_tags cells (cells not written stay): those whose value changed are written."""
+    store = S.cell_store(spark, cells_base, **layout)
+    prev_dt = _previous(store, dt, prev_dt)
+    with scratch_scope(spark):
+        cells = cut_lineage(profile.basic_tags_long(_day(member, dt), as_of=as_of, rule=rule, null_int_as_zero=null_int_as_zero,
+                                                    missing_birth=missing_birth), "cells-today")
+        changes = profile.changed_values(store.cells_of(prev_dt, cells), cells)
+        store.commit(dt, prev_dt, changes.withColumn("deleted", F.lit(False)))
+    return S.snapshot_path(cells_base, dt)
 
 
 def push_job(spark: SparkSession, state_base: str, dt: str, seed: str = "max", exclude_seen: bool = False,

@@ -1,4 +1,7 @@
-"""State snapshots: one parquet directory per partition date, partitioned by family.
+"""Full snapshots of a date, and the readers of all that is kept by date.
+
+The daily jobs keep their state as bases and deltas (``state.py``); ``read_snapshot`` and the listings below take
+both forms. A full snapshot is one parquet directory per partition date, partitioned by family:
 
 ``<base>/dt=<yyyyMMdd>/v=<version>/family=<name>/part-*.parquet``, and
 ``<base>/dt=<yyyyMMdd>/_current-<version>``, an empty file that puts a version in force.
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .adapters import dt_key
+from .state import META, StateStore
 
 INTEREST_SCHEMA = T.StructType([
     T.StructField("user_id", T.StringType()), T.StructField("tag", T.StringType()),
@@ -32,6 +36,22 @@ CELL_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()), T.StructField("family", T.StringType())])
 
 
+def interest_store(spark: SparkSession, base: str, **layout) -> StateStore:
+    return StateStore(spark, base, INTEREST_SCHEMA, ("user_id", "family", "tag"), **layout)
+
+
+def slot_store(spark: SparkSession, base: str, **layout) -> StateStore:
+    return StateStore(spark, base, SLOT_SCHEMA, ("user_id", "slot"), **{"spread": 1} | layout)
+
+
+def summary_store(spark: SparkSession, base: str, **layout) -> StateStore:
+    return StateStore(spark, base, SUMMARY_SCHEMA, ("user_id",), **{"spread": 1} | layout)
+
+
+def cell_store(spark: SparkSession, base: str, **layout) -> StateStore:
+    return StateStore(spark, base, CELL_SCHEMA, ("user_id", "family", "tag"), **{"spread": 1} | layout)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -95,9 +115,13 @@ def write_snapshot(df: DataFrame, base: str, dt: str, partition_by: tuple[str, .
 
 def read_snapshot(spark: SparkSession, base: str, dt: str, schema: T.StructType,
                   families: list[str] | None = None) -> DataFrame:
-    """Snapshot of ``dt`` with an explicit schema (no inference of partition types);
+    """State of ``dt`` with an explicit schema (no inference of partition types);
     a family filter prunes the other family directories."""
     path = committed_path(spark, base, dt)
+    fs, meta = _fs(spark, f"{path}/{META}")
+    if fs.exists(meta):
+        keys = tuple(c for c in ("user_id", "family", "tag", "slot") if c in schema.names)
+        return StateStore(spark, base, schema, keys).read(dt, families)
     df = spark.read.schema(schema).option("basePath", path).parquet(path)
     if families:
         df = df.where(F.col("family").isin(*families))
