@@ -173,28 +173,30 @@ def changed_cells(active: DataFrame, daily: DataFrame, expire: str = "drop", dec
 
 
 def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame | None = None,
-                    expire: str = "drop", checkpoint_every: int = 1,
+                    expire: str = "drop", checkpoint_every: int | None = None,
                     keep_null_product: bool = False, decay_inactive: bool = False,
-                    decay: float = R.DECAY) -> DataFrame:
-    """Run the daily job for each day in order (day n reads the state day n-1 wrote).
+                    decay: float = R.DECAY, threshold: float = R.THRESHOLD) -> DataFrame:
+    """The state after the daily jobs of the days, in order (day n reads the state day n-1 wrote).
 
-    The daily aggregates of all requested days are computed in one pass over the
-    behaviour rows and written once (partitioned by dt). As in production, every day's
-    state is written (to the shared checkpoint folder, every ``checkpoint_every`` days)
-    before the next day reads it, and the superseded table is deleted.
+    The daily aggregates of all days are computed in one pass over the behaviour rows and written
+    once. By default the days are folded (``_folded``), in a number of jobs that does not grow with them. With
+    ``checkpoint_every`` they run one after the other, and that often a day's state is written to the
+    shared checkpoint folder and the superseded one deleted.
     """
     days = list(days)
     spark = behavior.sparkSession
-    state = prev if prev is not None else empty_state(spark)
     per_day = daily_interest(behavior.where(F.col("dt").isin(*days)), keep_null_product, by_day=True)
     if len(days) > 1:
         # each step reads its day more than once, and the day filter is pushed below the aggregate
-        per_day = cut_lineage(per_day, "interest-daily", partition_by=("dt",))
+        per_day = cut_lineage(per_day, "interest-daily", partition_by=("dt",) if checkpoint_every else ())
+    if not checkpoint_every and len(set(days)) == len(days) > 1:
+        return _folded(per_day, days, prev, expire, decay_inactive, decay, threshold)
+    state = prev if prev is not None else empty_state(spark)
     written = None
     for i, d in enumerate(days, 1):
         state = merge_interest(state, per_day.where(F.col("dt") == d), expire=expire,
-                               decay_inactive=decay_inactive, decay=decay)
-        if i % checkpoint_every == 0 and i < len(days):
+                               decay_inactive=decay_inactive, decay=decay, threshold=threshold)
+        if i % (checkpoint_every or 1) == 0 and i < len(days):
             state = cut_lineage(state, f"interest-state-{d}")
             if written is not None:  # the new table no longer reads the previous one
                 drop_path(spark, written)
@@ -202,6 +204,76 @@ def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame |
     return state
 
 
+WORD = 62  # days whose presence one long holds
+
+
+def _folded(per_day: DataFrame, days: list[str], prev: DataFrame | None, expire: str, decay_inactive: bool,
+            decay: float, threshold: float) -> DataFrame:
+    """The state after all days, folding every cell over its user's days.
+
+    A cell's course depends on other cells only through its user's known flags, one for each day on which the user
+    takes part: whether both families had a cell before it. With flags given, cells are folded
+    independently of each other, by higher-order functions over at most one entry a day; each says after which days it
+    is there, in bits that are joined by user and family into the flags that hold. The first
+    flags assume that no family ever expires whole; if the flags that come out differ, the cells are folded again. Flags of the first k days are
+    right after k rounds, and mostly all are after one or two. Users of few days cost few entries.
+    """
+    if expire not in ("drop", "keep_stale"):
+        raise ValueError("expire must be 'drop' or 'keep_stale'")
+    spark, w = per_day.sparkSession, "DECIMAL(18,2)"
+    dec, thr = decimal_literal(decay), decimal_literal(threshold)
+    words = range(-(-len(days) // WORD))
+    number = F.array_position(F.array(*[F.lit(d) for d in days]), F.col("dt")) - 1
+    rows = per_day.select("user_id", "family", "tag", number.cast("int").alias("i"), F.col("new_w").cast(WEIGHT).alias("new_w"))
+    before = (prev if prev is not None else empty_state(spark)).select("user_id", "family", "tag", F.col("weight").cast(WEIGHT).alias("old_w"))
+    with _views(rows=rows, before=before.where("old_w IS NOT NULL")) as v:
+        taking = (f"SELECT user_id FROM {v['rows']} UNION SELECT user_id FROM {v['before']}" if decay_inactive
+                  else f"SELECT DISTINCT user_id FROM {v['rows']}")
+        active = f"SELECT b.* FROM {v['before']} b LEFT SEMI JOIN ({taking}) u ON b.user_id <=> u.user_id"
+        cells = spark.sql(f"""
+SELECT user_id, family, tag, MAX(old_w) AS old_w, map_from_entries(collect_list(IF(i IS NULL, NULL, struct(i, new_w)))) AS news
+FROM (SELECT user_id, family, tag, CAST(NULL AS {w}) AS old_w, i, new_w FROM {v['rows']}
+      UNION ALL SELECT user_id, family, tag, old_w, NULL, NULL FROM ({active}) a) c
+GROUP BY user_id, family, tag""")
+        cells = cut_lineage(cells, "interest-cells")
+        own_days = f"sequence(0, {len(days) - 1})" if decay_inactive else "sort_array(collect_set(i))"
+        firsts = [f"MIN(IF(family = '{f}', IF(was, -1, i), NULL))" for f in (TYPE_FAMILY, PRODUCT_FAMILY)]  # where the family begins
+        users = spark.sql(f"""
+SELECT user_id, days, was_known, transform(days, d -> COALESCE(d > GREATEST(a, b), false) AND a IS NOT NULL AND b IS NOT NULL) AS known
+FROM (SELECT user_id, {own_days} AS days, {firsts[0]} AS a, {firsts[1]} AS b,
+             COALESCE({firsts[0]} = -1 AND {firsts[1]} = -1, false) AS was_known
+      FROM (SELECT user_id, family, i, false AS was FROM {v['rows']} UNION ALL SELECT user_id, family, NULL, true FROM ({active}) a) r
+      GROUP BY user_id) u""")
+        users = cut_lineage(users, "interest-users")
+        others = None if decay_inactive or prev is None else spark.sql(
+            f"SELECT b.user_id, b.family, b.tag, b.old_w AS weight FROM {v['before']} b LEFT ANTI JOIN {v['rows']} u ON b.user_id <=> u.user_id")
+    stale = "s.cur" if expire == "keep_stale" else f"CAST(NULL AS {w})"
+    raw = f"(COALESCE(s.cur, CAST(0 AS {w})) + COALESCE(x.n, CAST(0 AS {w}))) * {dec}"
+    step = (f"CASE WHEN s.cur IS NULL AND x.n IS NULL THEN NULL WHEN x.known THEN CASE WHEN {raw} > {thr} THEN CAST(ROUND({raw}, 2) AS {w}) ELSE {stale} END "
+            f"WHEN x.n IS NOT NULL THEN CAST(ROUND(x.n * {dec}, 2) AS {w}) ELSE s.cur END")
+    course = F.expr(f"""
+aggregate(transform(days, (d, k) -> struct(k AS k, known[k] AS known, try_element_at(news, d) AS n)),
+          named_struct('cur', CAST(old_w AS {w}), 'there', CAST(array() AS array<int>)),
+          (s, x) -> named_struct('cur', {step}, 'there', IF(({step}) IS NULL, s.there, concat(s.there, array(x.k)))))""")
+    bits = [F.expr(f"aggregate(filter(there, k -> k DIV {WORD} = {j}), 0L, (a, k) -> a | shiftleft(1L, k % {WORD}))").alias(f"w{j}") for j in words]
+    while True:
+        folded = cells.alias("c").join(users.alias("u"), F.col("c.user_id").eqNullSafe(F.col("u.user_id"))).select(
+            "c.user_id", "family", "tag", course.alias("course")).select("user_id", "family", "tag", "course.cur", "course.there")
+        folded = cut_lineage(folded.select("user_id", "family", "tag", F.col("cur").alias("weight"), *bits), "interest-folded")
+        there = [F.array(*[F.bit_or(F.when(F.col("family") == f, F.col(f"w{j}"))) for j in words]).alias(f) for f in (TYPE_FAMILY, PRODUCT_FAMILY)]
+        per_user = folded.groupBy("user_id").agg(*there)
+        on = [f"COALESCE(shiftright({f}[(k - 1) DIV {WORD}], (k - 1) % {WORD}) & 1, 0) = 1" for f in (TYPE_FAMILY, PRODUCT_FAMILY)]
+        flags = F.expr(f"transform(days, (d, k) -> IF(k = 0, was_known, {on[0]} AND {on[1]}))")
+        again = users.alias("u").join(per_user.alias("p"), F.col("u.user_id").eqNullSafe(F.col("p.user_id")), "left").select(
+            "u.user_id", "days", "was_known", flags.alias("held"), "known")
+        again = cut_lineage(again, "interest-users")
+        if again.where("held != known").isEmpty():
+            break
+        users = again.select("user_id", "days", "was_known", F.col("held").alias("known"))
+    out = folded.where("weight IS NOT NULL").select("user_id", "family", "tag", "weight")
+    return out if others is None else out.unionByName(others)
+
+
 def split_families(daily_tags: DataFrame) -> DataFrame:
     """Prefix form of the family split: one tag map per user, split by the ``prod_`` key prefix.
 

@@ -4,9 +4,11 @@ s(i, j) = c_ij / sqrt(n_i * n_j), c_ij = users having both, n_i = users having i
 
 Scale notes
 -----------
-* Items are keyed by a 64-bit hash while pairs are generated, counted and ranked.
-  The dictionary of hashes and strings is written once and checked: if two strings
-  share a hash, all items are keyed again with another salt.
+* Items are keyed by dense numbers in the order of their strings while pairs are
+  generated, counted and ranked, so (score, number) orders neighbours as (score, string)
+  does. The dictionary of items is numbered by a range sort (rows per task, and offsets); rows get
+  their numbers through a 64-bit hash of the string, which is checked: if two strings share a
+  hash, all items are hashed again with another salt.
 * Every user-item row gets its item's degree n before pairs are made, so a pair
   carries both degrees and its score needs no join on the pair table: after
   generation, pairs are shuffled once to be counted and once to be ranked.
@@ -17,9 +19,9 @@ Scale notes
   a < b, so a user holding a third of all rows is spread over many bounded tasks.
 * Users above ``heavy_items`` items take no part in pair generation at all; see
   ``similarity_top_k``.
-* Top-k: ``rank() <= k`` on the hashed keys (a partial WindowGroupLimit before
-  the shuffle keeps every candidate tied at the cut), then the exact
-  ``row_number()`` with the string tie-break on that small candidate set.
+* Top-k: a rank by (score, number), which has no ties, so that the partial
+  WindowGroupLimit before the shuffle leaves at most k rows of an item in a task, however
+  many neighbours share the score at the cut.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ def _item_key(salt: int) -> Column:
 
 
 def _keyed(user_items: DataFrame, unique: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(user_id, item=hash) rows and the (iid, item string) dictionary, one string per hash.
+    """(user_id, item=number) rows and the (iid=number, item string) dictionary; numbers rise with the strings.
 
     Both are written once to the shared checkpoint folder, so that the branches that
     read them scan them instead of recomputing the input, and restart from them after
@@ -49,11 +51,25 @@ def _keyed(user_items: DataFrame, unique: bool = False) -> tuple[DataFrame, Data
     rows = user_items.select("user_id", "item")
     rows = cut_lineage(rows if unique else rows.distinct(), "similarity-user-items")
     for salt in range(SALTS):
-        dictionary = cut_lineage(rows.select(_item_key(salt).alias("iid"), "item").distinct(), "similarity-items")
-        shared = dictionary.groupBy("iid").count().where("count > 1")
-        if shared.isEmpty():
-            return rows.select("user_id", _item_key(salt).alias("item")), dictionary
-    raise RuntimeError(f"items share hashes under {SALTS} salts")
+        names = cut_lineage(rows.select(_item_key(salt).alias("hash"), "item").distinct(), "similarity-names")
+        if names.groupBy("hash").count().where("count > 1").isEmpty():
+            break
+    else:
+        raise RuntimeError(f"items share hashes under {SALTS} salts")
+    named = cut_lineage(_numbered(names), "similarity-items")
+    keyed = rows.select("user_id", _item_key(salt).alias("hash")).join(named.select("hash", "iid"), "hash")
+    return cut_lineage(keyed.select("user_id", F.col("iid").alias("item")), "similarity-keyed"), named.select("iid", "item")
+
+
+def _numbered(names: DataFrame) -> DataFrame:
+    """names with ``iid``, their dense number from 0 in the order of ``item``."""
+    placed = names.repartitionByRange("item").sortWithinPartitions("item").select(
+        "*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+    placed = cut_lineage(placed, "similarity-order")
+    counts = placed.groupBy("part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))  # a row for each task
+    earlier = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select("part", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+    return placed.join(shift, "part").select(*names.columns, (F.col("at") + F.col("shift")).alias("iid"))
 
 
 def _decode(df: DataFrame, dictionary: DataFrame, cols=("item", "neighbour")) -> DataFrame:
@@ -153,9 +169,13 @@ def top_k(scored: DataFrame, k: int = R.TOP_K) -> DataFrame:
 
 
 def _best(scored: DataFrame, most: int) -> DataFrame:
-    """Rows of each item up to rank ``most`` by score, with all that tie there."""
-    w = Window.partitionBy("item").orderBy(F.col("score").desc())
-    return scored.withColumn("r", F.rank().over(w)).where(F.col("r") <= most).drop("r")
+    """The ``most`` best rows of each item by score, ties by neighbour number, with their ``rank``.
+
+    No rows tie but repeated ones (a neighbour found in two ways), so each task cuts to ``most`` rows an item before the shuffle.
+    """
+    w = Window.partitionBy("item").orderBy(F.col("score").desc(), *([F.col("neighbour")] if "neighbour" in scored.columns else []))
+    number = F.rank() if "neighbour" in scored.columns else F.row_number()
+    return scored.withColumn("rank", number.over(w)).where(F.col("rank") <= most)
 
 
 def _through_heavy_users(rows: DataFrame, big: DataFrame, dictionary: DataFrame, k: int, chunk_items: int,
@@ -221,9 +241,9 @@ def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int =
     i (a member that is also a light partner only scores higher), and only those are
     offered to the items that share a heavy user with them.
 
-    Each neighbour then appears at most twice (light and heavy-only form), so a
-    ``rank() <= 2k`` cut keeps the true top k; duplicates are resolved by the larger
-    score and the final order breaks ties by the neighbour id string. The result is
+    Each neighbour then appears at most twice (light and heavy-only form), so the best
+    2k rows hold the true top k; duplicates are resolved by the larger
+    score, and ties go by the neighbour's number, that is by its id string. The result is
     the same whatever the two bounds are; ``unique`` says that the input has no
     repeated rows.
     """
@@ -241,9 +261,9 @@ def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int =
     light = _both_directions(_pairs(lists, multi))
     if not has_heavy:
         found = _best(light.select("item", "neighbour", "c", _cosine(F.col("c")).alias("score")), k)
-        return top_k(_decode(found, dictionary), k).select("item", "neighbour", "c", "score", "rank")
+        return _decode(found, dictionary).select("item", "neighbour", "c", "score", "rank")
     light = cut_lineage(light, "similarity-light")
     heavy = cut_lineage(_through_heavy_users(rows, big, dictionary, k, chunk_items, heavy_items), "similarity-heavy")
     found = _with_heavy_users(light, heavy, rows.where(F.col("d") > heavy_items), k).unionByName(heavy)
-    best = _decode(_best(found, 2 * k), dictionary).groupBy("item", "neighbour").agg(F.max("c").alias("c"), F.max("score").alias("score"))
-    return top_k(best, k).select("item", "neighbour", "c", "score", "rank")
+    best = _best(found, 2 * k).groupBy("item", "neighbour").agg(F.max("c").alias("c"), F.max("score").alias("score"))
+    return _decode(_best(best, k), dictionary).select("item", "neighbour", "c", "score", "rank")

@@ -2,7 +2,11 @@
 
 from decimal import Decimal as D
 
+from conftest import SF_SMOKE
+from pyspark.sql import functions as F
+
 from tagloom.operators import interest as I
+from tagloom.sources import adapters as A
 
 STATE = "user_id string, family string, tag string, weight decimal(18,2)"
 DAILY = "user_id string, family string, tag string, new_w decimal(18,2)"
@@ -130,3 +134,31 @@ def test_decay_and_threshold_keep_their_digits(spark):
     assert "prod_p" not in {r.tag for r in I.merge_interest(state, today, decay=1.0, threshold=0.5101).collect()}
     with pytest.raises(ValueError):
         I.merge_interest(state, today, decay=1 / 3)
+
+
+def _jobs(spark, run):
+    """Spark jobs that ``run`` starts."""
+    group = f"count-{id(run)}"
+    spark.sparkContext.setJobGroup(group, "count")
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_all_days_at_once_equal_day_by_day(spark, monkeypatch):
+    """The same state with null users, decay of inactive users, a state before, and flags in several words; jobs don't grow with days."""
+    beh = A.behavior(spark, SF_SMOKE)
+    days = [f"202401{d:02d}" for d in range(1, 31)]
+    beh = beh.unionByName(beh.where("id = '3'").withColumn("id", F.lit(None).cast("string")))
+    for options in ({}, {"expire": "keep_stale"}, {"decay_inactive": True}, {"decay": 0.5, "threshold": 1.5}):
+        want = _as_dict(I.replay_interest(beh, days[:9], checkpoint_every=3, **options))
+        assert _as_dict(I.replay_interest(beh, days[:9], **options)) == want, options
+        with monkeypatch.context() as m:
+            m.setattr(I, "WORD", 2)
+            assert _as_dict(I.replay_interest(beh, days[:9], **options)) == want, options
+    prev = I.replay_interest(beh, days[:10])
+    assert _as_dict(I.replay_interest(beh, days[10:], prev=prev)) == _as_dict(I.replay_interest(beh, days))
+    few, many = (_jobs(spark, lambda n=n: I.replay_interest(beh, days[:n]).collect()) for n in (10, 30))
+    assert many <= few + 8  # a further round at most

@@ -50,6 +50,25 @@ def test_merge_matches_model(spark, prev, day1, day2, expire):
     assert {(r.user_id, r.family, r.tag): r.weight for r in got.collect()} == want
 
 
+DAY_CELLS = st.dictionaries(st.tuples(st.integers(0, 5), KEY), st.integers(0, 3).map(Decimal), max_size=24)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(prev=OLD, rows=DAY_CELLS, expire=st.sampled_from(["drop", "keep_stale"]), with_prev=st.booleans())
+def test_folded_days_match_model(spark, prev, rows, expire, with_prev):
+    """All days at once: small weights expire often, so users become new again and flags need several rounds."""
+    prev = prev if with_prev else {}
+    days = [f"d{i}" for i in range(6)]
+    p = spark.createDataFrame([(*k, v) for k, v in prev.items()], "user_id string, family string, tag string, weight decimal(18,2)")
+    per_day = spark.createDataFrame([(u, days[d], f, t, v) for (d, (u, f, t)), v in rows.items()],
+                                    "user_id string, dt string, family string, tag string, new_w decimal(18,2)")
+    got = I._folded(per_day, days, p if with_prev else None, expire, False, 0.75, 0.5)
+    want = prev
+    for d in range(6):
+        want = model(want, {k: v for (day, k), v in rows.items() if day == d}, expire)
+    assert {(r.user_id, r.family, r.tag): r.weight for r in got.collect()} == want
+
+
 SLOTS = ["015001", "015002", "015003", "015004", "015005", "time_tags"]
 DAY_ROWS = st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3"]), st.sampled_from(["d1", "d2", "d3", "d4"]),
                               st.sampled_from(SLOTS), st.integers(0, 12)), max_size=25)

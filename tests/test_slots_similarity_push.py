@@ -206,3 +206,44 @@ def test_slot_summary_scans_its_input_once(spark):
     for kind in ("today", "all"):
         plan = slots.history_summary(per_day, kind)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan") == 1 and "Join" not in plan and "SortAggregate" not in plan
+
+
+def _metric(spark, df, node_name, metric):
+    """A metric of the named nodes of a plan that has run."""
+    as_java, found = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava, []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == node_name:
+            found.append(node.metrics().apply(metric).value())
+        for child in as_java(node.children()):
+            walk(child)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_equal_neighbours_are_cut_before_the_shuffle(spark):
+    """100,000 neighbours of one score: every task sends its best by (score, number): k, and one that shows the cut."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(100000, numPartitions=8).select(F.lit(5).alias("item"), ((F.col("id") * 7919) % 100000).alias("neighbour"),
+                                                       F.lit(1).alias("c"), F.when(F.col("id") < 3, 0.9).otherwise(0.5).alias("score"))
+    best = similarity._best(rows, 6)
+    got = sorted((r["rank"], r["neighbour"]) for r in best.collect())
+    assert got == [(1, 0), (2, 7919), (3, 15838), (4, 1), (5, 2), (6, 3)]
+    moved = _metric(spark, best, "ShuffleExchangeExec", "shuffleRecordsWritten")
+    assert moved and max(moved) <= (6 + 1) * 8
+
+
+def test_item_numbers_rise_with_the_strings(spark):
+    items = [f"i{x}" for x in range(300)] + ["", "é", "Z", "~", "i"]
+    enc, dictionary = similarity._keyed(_ui(spark, [(f"u{n % 7}", i) for n, i in enumerate(items * 2)]))
+    number = {r["item"]: r.iid for r in dictionary.collect()}
+    assert [i for i, _ in sorted(number.items(), key=lambda x: x[1])] == sorted(items, key=lambda i: i.encode())
+    assert sorted(number.values()) == list(range(len(items)))
+    assert {(r.user_id, r["item"]) for r in enc.collect()} == {(f"u{n % 7}", number[i]) for n, i in enumerate(items * 2)}
