@@ -16,6 +16,7 @@ from ..operators import interest, profile, push, slots
 from ..session import cut_lineage, scratch_scope
 from ..sources import snapshots as S
 from ..sources.adapters import dt_key
+from ..sources.published import publish
 from ..sources.sinks import write_push_jdbc, write_push_parquet
 
 
@@ -84,23 +85,26 @@ def basic_tags_job(spark: SparkSession, member: DataFrame, cells_base: str, dt:
 
 
 def push_job(spark: SparkSession, state_base: str, dt: str, seed: str = "max", exclude_seen: bool = False,
-             parquet_path: str | None = None, jdbc: dict | None = None, id_mode: str = "md5") -> list[str]:
+             parquet_path: str | None = None, jdbc: dict | None = None, id_mode: str = "md5", parts: str | None = None) -> list[str]:
     """Recommendations from the interest snapshot of ``dt`` (only its prod_tags family is read).
 
-    Writes them to a parquet table, a JDBC table, or both, and returns where. The similarity's
+    Writes them to a parquet table, a JDBC table, a folder of published parts, or several, and returns where. The similarity's
     intermediate tables are deleted when the rows are written.
     """
-    if not parquet_path and not jdbc:
-        raise ValueError("name a parquet path or a JDBC table to write to")
+    if not parquet_path and not jdbc and not parts:
+        raise ValueError("name a parquet path, a folder for parts or a JDBC table to write to")
     written = []
     with scratch_scope(spark):
         state = S.read_snapshot(spark, state_base, dt, S.INTEREST_SCHEMA, families=[interest.PRODUCT_FAMILY])
         rows = push.push_rows(state, run_dt=dt, seed=seed, exclude_seen=exclude_seen, id_mode=id_mode)
-        if parquet_path and jdbc:  # both sinks get the same rows, also with random ids
+        if sum(map(bool, (parquet_path, jdbc, parts))) > 1:  # all sinks get the same rows, also with random ids
             rows = cut_lineage(rows, "push-rows")
         if parquet_path:
             write_push_parquet(rows, parquet_path, dt)
             written.append(parquet_path)
+        if parts:
+            publish(rows, parts, dt)
+            written.append(parts)
         if jdbc:
             write_push_jdbc(rows, **jdbc)
             written.append(jdbc["table"])

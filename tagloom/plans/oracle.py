@@ -287,3 +287,10 @@ ranges AS (
   SELECT CAST(n_nationkey AS BIGINT) * 171798691 AS lo, (CAST(n_nationkey AS BIGINT) + 1) * 171798691 - 1 AS hi,
          r_name AS region, n_name AS city, 'isp' || CAST(n_regionkey AS VARCHAR) AS isp
   FROM nation LEFT JOIN region ON n_regionkey = r_regionkey)"""
+
+NESTED = """nested AS (
+  SELECT 0 AS lo, 4294967295 AS hi, 'world' AS region, CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS isp
+  UNION ALL SELECT MIN(lo), MAX(hi), region, NULL, NULL FROM ranges GROUP BY region
+  UNION ALL SELECT lo, hi, region, city, isp FROM ranges
+  UNION ALL SELECT lo + 1000001, lo + 90000077, region, city || ' centre', isp FROM ranges
+  UNION ALL SELECT hi - 3000003, hi + 3000010, region, city || ' border', isp FROM ranges)"""

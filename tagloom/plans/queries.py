@@ -4,14 +4,14 @@ Every query reads the driver's tables (or what Spark derives from them) with no
 sampling, id subsets or row caps. Queries on the profile and the push read the
 state after every day of the events table; a few show one daily step, its key sets
 or its days by name (``merge_interest_day``, ``merge_interest_3days``,
-``merge_slots_day``, ``known_users``, ``new_users``, ``tags_*``, ``map_zip_merge``),
-because one day is the operator. ``push_preview`` is the only limit, because a
+``merge_slots_day``, ``known_users``, ``new_users``, ``tags_*``), because one day is the operator. ``push_preview`` is the only limit, because a
 ten-row preview is the operator.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +19,17 @@ from pyspark.sql import functions as F
 from ..functions import jsonfn as J
 from ..functions import rules as R
 from ..operators import enrich, interest, profile, push, similarity, slots
+from ..session import cut_lineage, scratch_folder
 from ..sources import adapters as A
-from ..session import cut_lineage
+from ..sources import snapshots as S
 from ..sources.tables import table
+from . import jobs
 from . import oracle as O
 
 AS_OF = "2018-07-15"
 DAY1, DAY2, DAY3 = O.DAY1, O.DAY2, O.DAY3
+LATER = 3  # days that the queries on kept tables run one by one
+LAYOUT = {"buckets": 8, "compact_share": 100.0}  # few buckets for small fixtures, and deltas however much a day changes
 ALL_DAYS = O.ALL_DAYS
 LAST = f"s{len(ALL_DAYS)}"  # the oracle's state after all days
 
@@ -93,6 +97,18 @@ register("scan_behavior_partition", W(f"SELECT id, type_id, prod_id, behavior_id
                                       O.EV, O.BEHAVIOR))(lambda s, sf: _partition(A.behavior(s, sf), DAY2))
 register("scan_browse_partition", W(f"SELECT id, browse_time, dt FROM browse WHERE dt = '{DAY2}'", O.EV, O.BROWSE))(
     lambda s, sf: _partition(A.browse(s, sf), DAY2))
+
+
+def _latest_member(s, sf):
+    """The member partition of the latest day of behaviour: the day comes out of another table while the query runs."""
+    days = A.event_days(s, sf)[-LATER:]
+    members = A.member(s, sf, days[0])
+    kept = reduce(DataFrame.unionByName, [members.withColumn("dt", F.lit(d)) for d in days])
+    kept = cut_lineage(kept, "member-table", partition_by=("dt",))
+    return A.of_latest_day(kept, A.behavior(s, sf))
+
+
+register("scan_member_latest", W("SELECT * REPLACE ((SELECT max(dt) FROM behavior) AS dt) FROM member", O.EV, O.BEHAVIOR, O.MEMBER))(_latest_member)
 register("scan_profile_family", W(f"SELECT user_id, tag, weight FROM {LAST} WHERE family = 'prod_tags'",
                                   *O.interest_ctes(ALL_DAYS)))(
     lambda s, sf: push.product_family(_full_state(s, sf)))
@@ -167,22 +183,15 @@ register("map_merge_sum", W("SELECT user_id, family, tag, CAST(SUM(w) AS BIGINT)
 
 
 def _map_zip_merge(s, sf):
-    rows = interest.tag_rows(A.behavior(s, sf, days=[DAY1, DAY2]))
-    maps = interest.tag_map(rows, interest.TYPE_FAMILY)
-    d1 = maps.where(F.col("dt") == DAY1).select("user_id", F.col("tags").alias("m1"))
-    d2 = maps.where(F.col("dt") == DAY2).select("user_id", F.col("tags").alias("m2"))
-    empty = F.create_map().cast("map<string,bigint>")
-    both = d1.join(d2, "user_id", "full_outer").select(
-        "user_id", interest.merge_maps(F.coalesce("m1", empty), F.coalesce("m2", empty)).alias("m"))
-    return both.select("user_id", F.explode("m").alias("tag", "w"))
-
-
-register("map_zip_merge", W(
-    "SELECT COALESCE(a.user_id, b.user_id) AS user_id, COALESCE(a.tag, b.tag) AS tag, "
-    "CAST(COALESCE(a.w, 0) + COALESCE(b.w, 0) AS BIGINT) AS w FROM "
-    f"(SELECT user_id, tag, SUM(w) AS w FROM tagrows WHERE family = 'be_tags' AND dt = '{DAY1}' GROUP BY ALL) a "
-    f"FULL OUTER JOIN (SELECT user_id, tag, SUM(w) AS w FROM tagrows WHERE family = 'be_tags' AND dt = '{DAY2}' "
-    "GROUP BY ALL) b ON a.user_id = b.user_id AND a.tag = b.tag", O.EV, O.BEHAVIOR, O.BW, O.TAGROWS))(_map_zip_merge)
+    """A user's daily type maps, folded into one by merging two at a time."""
+    maps = interest.tag_map(interest.tag_rows(A.behavior(s, sf)), interest.TYPE_FAMILY)
+    per_user = maps.groupBy("user_id").agg(F.collect_list("tags").alias("days"))  # a map a day, of a bounded vocabulary
+    merged = F.aggregate("days", F.create_map().cast("map<string,bigint>"), interest.merge_maps)
+    return per_user.select("user_id", F.explode(merged).alias("tag", "w"))
+
+
+register("map_zip_merge", W("SELECT user_id, tag, CAST(SUM(w) AS BIGINT) AS w FROM tagrows WHERE family = 'be_tags' GROUP BY user_id, tag",
+                            O.EV, O.BEHAVIOR, O.BW, O.TAGROWS))(_map_zip_merge)
 register("merge_interest_day", W("SELECT * FROM s2", *O.interest_ctes([DAY1, DAY2])))(
     lambda s, sf: _state(s, sf, [DAY1, DAY2]))
 register("merge_interest_keep_stale", W(f"SELECT * FROM {LAST}", *O.interest_ctes(ALL_DAYS, "keep_stale")))(
@@ -198,6 +207,18 @@ register("interest_text", W(f"SELECT user_id, family, tag, CAST(weight AS VARCHA
                             *O.interest_ctes(ALL_DAYS)))(
     lambda s, sf: interest.interest_text(_full_state(s, sf)))
 
+def _interest_deltas(s, sf):
+    """The full state as the store keeps it: a base of all but the last days, and a delta of each of these by the daily job."""
+    days, base = A.event_days(s, sf), scratch_folder(s, "interest-store")
+    first = _state(s, sf, days[:-LATER]).select("user_id", "tag", "weight", "family", F.lit(False).alias("deleted"))
+    S.interest_store(s, base, **LAYOUT).commit(days[-LATER - 1], None, first)
+    for d in days[-LATER:]:
+        jobs.interest_job(s, A.behavior(s, sf, d), base, d, **LAYOUT)
+    return S.read_snapshot(s, base, days[-1], S.INTEREST_SCHEMA).select("user_id", "family", "tag", "weight")
+
+
+register("interest_state_deltas", W(f"SELECT * FROM {LAST}", *O.interest_ctes(ALL_DAYS)))(_interest_deltas)
+
 _KNOWN = ("SELECT DISTINCT d2.user_id FROM d2 JOIN (SELECT user_id FROM s1 GROUP BY user_id "
           "HAVING COUNT(DISTINCT family) = 2) h ON d2.user_id = h.user_id")
 register("known_users", W(_KNOWN, *O.interest_ctes([DAY1, DAY2])))(
@@ -248,6 +269,34 @@ register("slot_summary", W("SELECT * FROM ssum", *O.SLOT_BASE, O.SLOT_SUMMARY))(
 register("slot_summary_all", W("SELECT * FROM ssum_all", *O.SLOT_BASE, O.SLOT_SUMMARY_ALL))(
     lambda s, sf: slots.history_summary(_slots_by_day(s, sf), summary="all"))
 
+
+def _slot_stores(s, sf):
+    """The slot and summary stores after all days: a base of all but the last days, and the daily job for each of these."""
+    days, base, texts = A.event_days(s, sf), scratch_folder(s, "slot-store"), scratch_folder(s, "summary-store")
+    before = A.browse(s, sf).where(F.col("dt") < days[-LATER])
+    old = F.lit(False).alias("deleted")
+    counts = slots.daily_slots(before).select("user_id", "slot", "n", old)
+    S.slot_store(s, base, **LAYOUT).commit(days[-LATER - 1], None, counts)
+    summaries = slots.history_summary(slots.numbered_days(slots.daily_slots(before, by_day=True)))
+    S.summary_store(s, texts, **LAYOUT).commit(days[-LATER - 1], None, summaries.select("user_id", "summary", old))
+    for d in days[-LATER:]:
+        jobs.slots_job(s, A.browse(s, sf, d), base, texts, d, **LAYOUT)
+    return base, texts, days[-1]
+
+
+def _slot_deltas(s, sf):
+    base, _, last = _slot_stores(s, sf)
+    return S.read_snapshot(s, base, last, S.SLOT_SCHEMA)
+
+
+def _summary_deltas(s, sf):
+    _, texts, last = _slot_stores(s, sf)
+    return S.read_snapshot(s, texts, last, S.SUMMARY_SCHEMA)
+
+
+register("slot_state_deltas", W("SELECT * FROM sstate", *O.SLOT_BASE, O.SLOT_STATE_ALL))(_slot_deltas)
+register("slot_summary_deltas", W("SELECT * FROM ssum", *O.SLOT_BASE, O.SLOT_SUMMARY))(_summary_deltas)
+
 # --- similarity -----------------------------------------------------------------------
 
 _SIM_SMALL = O.similarity_ctes(O.UI_SMALL)
@@ -331,11 +380,44 @@ def _profile(s, sf):
 
 register("profile_upsert", _PROFILE_SQL)(_profile)
 
+
+def _cell_deltas(s, sf):
+    """The attribute cells of two runs with half a year between them: the second writes the ages that changed."""
+    base = scratch_folder(s, "cell-store")
+    for d, as_of in ((DAY1, "2018-01-15"), (DAY2, AS_OF)):
+        jobs.basic_tags_job(s, A.member(s, sf, d), base, d, as_of=as_of, **LAYOUT)
+    return S.read_snapshot(s, base, DAY2, S.CELL_SCHEMA).select("user_id", "family", "tag", "value")
+
+
+register("profile_cells_deltas", W("SELECT * FROM basic_long", *MB, O.BASIC, O.BASIC_LONG))(_cell_deltas)
+
 # --- enrichment and JSON --------------------------------------------------------------
 
 register("ip_geo_enrich", W("SELECT p.id, p.ip, r.region, r.city, r.isp FROM probe p "
                             "LEFT JOIN ranges r ON p.ip BETWEEN r.lo AND r.hi", O.IP))(
     lambda s, sf: enrich.ip_enrich(A.ip_probe(s, sf), A.ip_ranges(s, sf)))
+
+
+def _nested_ranges(s, sf):
+    """Ranges that overlap: every address, each region's span, each nation's block, a narrow one inside it and one across its end."""
+    blocks = A.ip_ranges(s, sf)
+    named = blocks.select("lo", "hi", "region", "city", "isp")
+    world = named.agg(F.lit(0).cast("bigint").alias("lo"), F.lit(2**32 - 1).cast("bigint").alias("hi"), F.lit("world").alias("region"),
+                      F.lit(None).cast("string").alias("city"), F.lit(None).cast("string").alias("isp"))
+    spans = named.groupBy("region").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select(
+        "lo", "hi", "region", F.lit(None).cast("string").alias("city"), F.lit(None).cast("string").alias("isp"))
+    inner = named.select((F.col("lo") + 1000001).alias("lo"), (F.col("lo") + 90000077).alias("hi"), "region", F.concat("city", F.lit(" centre")).alias("city"), "isp")
+    across = named.select((F.col("hi") - 3000003).alias("lo"), (F.col("hi") + 3000010).alias("hi"), "region", F.concat("city", F.lit(" border")).alias("city"), "isp")
+    return world.unionByName(spans).unionByName(named).unionByName(inner).unionByName(across)
+
+
+register("ip_geo_most_specific", W(
+    "SELECT id, ip, region, city, isp FROM (SELECT p.id, p.ip, r.region, r.city, r.isp, ROW_NUMBER() OVER (PARTITION BY p.id "
+    "ORDER BY r.hi - r.lo, r.lo, r.region NULLS FIRST, r.city NULLS FIRST, r.isp NULLS FIRST) AS rn "
+    "FROM probe p LEFT JOIN nested r ON p.ip BETWEEN r.lo AND r.hi) x WHERE rn = 1", O.IP, O.NESTED))(
+    lambda s, sf: enrich.ip_most_specific(A.ip_probe(s, sf), _nested_ranges(s, sf)))
+
+
 def _ip_json(s, sf):
     enriched = enrich.ip_enrich(A.ip_probe(s, sf), A.ip_ranges(s, sf))
     doc = J.encode(F.lit(0).alias("code"), F.struct("region", "city", "isp").alias("data"))

@@ -73,7 +73,7 @@ _scopes = threading.local()
 
 @contextmanager
 def scratch_scope(spark: SparkSession):
-    """Delete the intermediate tables written by ``cut_lineage`` inside the block on exit.
+    """Delete the intermediate tables and folders (``cut_lineage``, ``scratch_folder``) made inside the block on exit.
 
     Use it around a job whose results are consumed (written or collected) inside
     the block; DataFrames returned from inside must not be used after it.
@@ -97,18 +97,24 @@ def cut_lineage(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...
     ``partition_by`` lets later filters on those columns prune directories.
     """
     spark = df.sparkSession
-    path = scratch_table_path(spark, name)
+    path = scratch_folder(spark, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    if getattr(_scopes, "stack", None):
-        _scopes.stack[-1].append(path)
     out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     out._tagloom_path = path  # lets a caller drop a superseded intermediate table
     return out
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder, deleted with the innermost scope (``scratch_scope``), if there is one."""
+    path = scratch_table_path(spark, name)
+    if getattr(_scopes, "stack", None):
+        _scopes.stack[-1].append(path)
+    return path
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a table folder we wrote under the checkpoint folder (recursive)."""
     jvm = spark.sparkContext._jvm

@@ -134,6 +134,11 @@ def event_days(spark: SparkSession, sf_dir: str) -> list[str]:
     return [r.dt for r in rows]
 
 
+def of_latest_day(daily_table: DataFrame, loads: DataFrame) -> DataFrame:
+    """Rows of a dt-partitioned table of the last day that ``loads`` has: a subquery whose result prunes the partitions when the query runs."""
+    return daily_table.where(F.col("dt") == loads.agg(F.max("dt")).scalar())
+
+
 def user_items_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (user_id, item) with item = $.k of events.props."""
     ev = table(spark, sf_dir, "events").select("user_id", "props")

@@ -89,3 +89,32 @@ def test_range_join_is_a_hash_join(spark):
     df = enrich.ip_enrich(A.ip_probe(spark, SF_SMOKE), A.ip_ranges(spark, SF_SMOKE))
     plan = _plan(df)
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+
+
+def test_latest_partition_is_chosen_at_run_time(spark):
+    """The day comes out of another table, and the scan of the member table reads its partition only."""
+    df = E.queries()["scan_member_latest"](spark, SF_SMOKE)
+    n = len(df.collect())
+    text = df._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in text.splitlines() if "FileScan" in line and "gender" in line)
+    assert "Subquery" in scan[scan.index("PartitionFilters") : scan.index("PushedFilters")]
+    rows = _scan_rows(spark, df, "gender")
+    assert rows and max(rows) == n  # of three partitions of n rows each
+
+
+def _scan_rows(spark, df, column):
+    as_java, found = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava, []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "FileSourceScanExec" and column in node.toString():
+            found.append(node.metrics().apply("numOutputRows").value())
+        for child in as_java(node.children()):
+            walk(child)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found

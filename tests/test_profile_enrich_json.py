@@ -112,3 +112,51 @@ def test_checkpoint_folder_required_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_Session())
+
+
+def test_prefixes_make_up_each_range(spark):
+    rnd = random.Random(3)
+    ranges = [(0, 2 ** 32 - 1), (0, 0), (5, 4), (None, 3), (2 ** 32 - 1, 2 ** 32 - 1), (1, 2 ** 32 - 2), (-5, 9), (2 ** 32 - 4, 2 ** 33)]
+    ranges += [tuple(sorted((rnd.randrange(2 ** 32), rnd.randrange(2 ** 32)))) for _ in range(60)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(ranges)], "id int, lo bigint, hi bigint")
+    blocks = {}
+    for r in enrich.prefixes(df).collect():
+        blocks.setdefault(r.id, []).append((r.prefix << r.k, (r.prefix + 1 << r.k) - 1, r.k))
+    for i, (lo, hi) in enumerate(ranges):
+        got = sorted(blocks.get(i, []))
+        if lo is None or lo > hi:
+            assert got == []
+            continue
+        assert got[0][0] == max(lo, 0) and got[-1][1] == min(hi, 2 ** 32 - 1) and len(got) <= 62
+        assert all(a[1] + 1 == b[0] for a, b in zip(got, got[1:]))
+
+
+def test_most_specific_range_matches_brute_force(spark):
+    """Nested, crossing, equal and all-covering ranges; repeated and null probes; both joins of the blocks."""
+    rnd = random.Random(12)
+    ranges = [(0, 2 ** 32 - 1, None, "all", None)]
+    for n in range(60):
+        lo = rnd.randrange(2 ** 32)
+        ranges.append((lo, min(2 ** 32 - 1, lo + rnd.choice([0, 7, 300, 70000, 2 ** 28])), f"r{n}", rnd.choice([None, f"c{n}"]), "isp"))
+        if n % 3 == 0:
+            ranges.append((lo, lo + 300, f"r{n}", f"in{n}", "isp"))
+    ranges += ranges[5:8]
+    edges = [x for lo, hi, *_ in ranges for x in (lo, hi, hi + 1)]
+    probes = [(i, ip) for i, ip in enumerate([rnd.randrange(2 ** 32) for _ in range(200)] + edges)] + [(0, None), (0, None), (None, 5), (3, 77), (3, 78)]
+    p_df = spark.createDataFrame(probes, "id bigint, ip bigint")
+
+    def brute(ip, from_):
+        key = lambda r: (r[1] - r[0], r[0], *[x for c in r[2:] for x in (c is not None, c or "")])
+        hits = [r for r in ranges[from_:] if ip is not None and r[0] <= ip <= r[1]]
+        return min(hits, key=key)[2:] if hits else (None, None, None)
+
+    for from_, threshold in ((0, "10m"), (1, "-1")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            r_df = spark.createDataFrame(ranges[from_:], "lo bigint, hi bigint, region string, city string, isp string")
+            got = sorted(map(tuple, enrich.ip_most_specific(p_df, r_df).collect()), key=str)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert got == sorted(((i, ip, *brute(ip, from_)) for i, ip in probes), key=str)
+    none = enrich.ip_most_specific(p_df, r_df.limit(0)).collect()
+    assert len(none) == len(probes) and all(r.region is None for r in none)
