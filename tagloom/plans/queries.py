@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonfn as J
 from ..functions import rules as R
-from ..operators import enrich, interest, profile, push, similarity, slots
+from ..operators import enrich, interest, pair_state, profile, push, similarity, slots
 from ..session import cut_lineage, scratch_folder
 from ..sources import adapters as A
 from ..sources import snapshots as S
@@ -323,6 +323,22 @@ register("item_similarity_top6_chunks", W(_TOP, *_SIM_LARGE))(
 register("item_similarity_top6_heavy", W(_TOP, *_SIM_LARGE))(
     lambda s, sf: similarity.similarity_top_k(A.user_items_large(s, sf), chunk_items=16, heavy_items=48))
 
+
+def _kept_similarity(s, sf):
+    """Top neighbours by the users' products, counts kept from day to day: all but the last days at once, then day by day."""
+    days, base = A.event_days(s, sf), scratch_folder(s, "pair-store")
+    state, before, prev = None, s.createDataFrame([], "user_id string, item string"), None
+    for span in [days[:-LATER], *([d] for d in days[-LATER:])]:
+        state = interest.replay_interest(A.behavior(s, sf, days=span), span, prev=state)
+        state = cut_lineage(state, "interest-snapshot")
+        items = push.user_items(state)
+        pair_state.pair_job(s, base, span[-1], prev, before, items, **LAYOUT)
+        before, prev = items, span[-1]
+    return pair_state.kept_top_k(s, base, prev)
+
+
+register("item_similarity_kept", W(_TOP, *O.interest_ctes(ALL_DAYS), *O.similarity_ctes(O.ui_state(LAST))))(_kept_similarity)
+
 # --- push -----------------------------------------------------------------------------
 
 for _seed, _order in (("max", "DESC"), ("min", "ASC")):
