@@ -8,13 +8,16 @@ x", and only the pairs that survive are compared token by token.
 One tree cannot hold all sets, so trees are grown where similar sets must meet. Similar sets differ in at most
 ``R = 3 (|a| + |b|) / 37`` tokens (at 85 percent). Hash space is cut into more than R slices, so in
 one slice at least the two points agree in every coordinate: sets that agree in a slice, by a hash of its
-group counts, meet in a cell. Sizes are cut into classes that a similar pair spans at most two of; each
-class has its own number of slices. Where so many slices are empty that these alone could agree, empty ones count too.
+group counts, meet in a cell. Sizes are cut into classes, each with its own number of slices; a set that may be
+similar to one of the next class has that class's cells too. Where so many slices are empty that these alone
+could agree, empty ones count too.
 
 1. one pass over the texts writes each document's set size, set signature, point and cells;
-2. documents with equal sets share a representative; cells that hold two representatives or more are kept;
-3. each representative is compared, set by set, with the least member of the cells it shares most often:
-   the verified links make a first set of components, in which large groups of copies come together;
+2. documents with equal sets share a representative; cells that hold two representatives or more are kept.
+   (cell, representative) pairs are gathered as packed arrays; of a cell that many of a batch share, one pair of
+   the batch is moved and the others are known to be shared, so a cell that all share stays small;
+3. a cell's hub is its most central member; each representative is compared, set by set, with the hub that it
+   shares most cells with: the verified links make a first set of components, in which large groups come together;
 4. a cell all of one component is settled. In the others, members outside the largest component meet
    all members, in blocks of bounded rows: R-tree search by points gives pairs that may be links;
 5. components that such pairs may join form a group; in it the members outside its largest component
@@ -44,8 +47,11 @@ SHINGLE_WORDS = 4
 PERCENT = 85
 GROUPS = 64  # coordinates of a point
 FULL = 65535  # a coordinate of this and more counts as unbounded
+CLASS_WIDTH = 1.6
+PACKED_PAIRS = 1 << 22  # (cell, node) pairs that one task gathers
 LEAF, CHILDREN = 32, 8  # points of a leaf page, children of a node
 BLOCK_ROWS = 4096
+PAIRS = 1 << 15  # pairs of points that are compared at a time
 BLOCK_BYTES = 8 << 20
 
 
@@ -72,33 +78,32 @@ def unpacked(column) -> np.ndarray:
 
 
 def size_classes(largest: int) -> np.ndarray:
-    """Least sizes of the classes: a set of one class is similar to none two classes up."""
+    """Least sizes of the classes, each about CLASS_WIDTH times the last."""
     low = [1]
     while low[-1] <= largest:
-        low.append(low[-1] * 100 // PERCENT + 1)
+        low.append(max(low[-1] + 1, int(low[-1] * CLASS_WIDTH)))
     return np.array(low, dtype=np.int64)
 
 
 def slices_of(label: int, low: np.ndarray) -> tuple[int, int]:
     """(slices, spare) for pairs whose larger set is of a class: more slices than such a pair differs in, and so many to spare."""
     differ = 2 * (100 - PERCENT) * int(low[label + 1] - 1) // (100 + PERCENT)
-    spare = 2 + differ // 40
+    spare = 2 + differ // 16
     return differ + 1 + spare, spare
 
 
 def cells(sets: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
-    """Cells of each set: for its size class and the next, a hash of every slice's group counts."""
+    """Cells of each set: a hash of every slice's group counts, for its size class and, if a similar set may be of it, the next."""
     size = np.diff(bounds)
     low = size_classes(int(size.max(initial=0)) * 2 + 2)
     weight = textvec.mix((sets & np.uint64(0xFFFF)) + np.uint64(1))  # a token's group within its slice
     out = []
     for i, n in enumerate(size.tolist()):
-        own = []
-        # sets this small are similar to equal ones only
-        if n * 100 // PERCENT > n:
+        own, largest = [], n * 100 // PERCENT
+        if largest > n:  # sets smaller than that are similar to equal ones only
             tokens, w = sets[bounds[i] : bounds[i + 1]], weight[bounds[i] : bounds[i + 1]]
-            label = int(np.searchsorted(low, n, side="right")) - 1
-            for at in (label, label + 1):
+            first_label, last_label = (np.searchsorted(low, [n, largest], side="right") - 1).tolist()
+            for at in range(first_label, last_label + 1):
                 m, spare = slices_of(at, low)
                 piece = ((tokens >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # rises with the sorted tokens
                 first = np.flatnonzero(np.concatenate(([True], piece[1:] != piece[:-1])))
@@ -190,6 +195,8 @@ def joined(left: np.ndarray, right: np.ndarray, point: np.ndarray, size: np.ndar
 
     Without ``check`` the points decide; check(x, ys) tells which of the candidates are similar.
     """
+    if not len(left) or not len(right):
+        return []
     names, root = np.unique(component, return_inverse=True)
     forest, out = Forest(len(names)), []
     own = root.copy()  # the present root of each row
@@ -215,13 +222,61 @@ def _links(first: np.ndarray, second: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(first), pa.array(second)], names=["u", "v"])
 
 
+def _whole_groups(batches, keys: list[str]):
+    """Tables of adjacent rows that hold whole groups of equal keys, about a batch each."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.stack([batch.column(c).to_numpy() for c in keys])
+        starts = np.flatnonzero(np.concatenate(([last is None or (k[:, 0] != last).any()], (k[:, 1:] != k[:, :-1]).any(axis=0))))
+        last = k[:, -1]
+        if len(starts):
+            cut = int(starts[-1])
+            held.append(batch.slice(0, cut))
+            if any(h.num_rows for h in held):
+                yield pa.Table.from_batches(held)
+            held = [batch.slice(cut)]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _may_join(batches):
-    """(u, v) components that a pair of points in a block may join."""
-    for group in adjacent_groups(batches, ["cell", "a", "b"]):
-        side, component = group["side"].to_numpy(), group["component"].to_numpy()
-        found = joined(np.flatnonzero(side == 0), np.flatnonzero(side == 1), unpacked(group["point"]), group["n_shingles"].to_numpy(), component)
-        if found:
-            yield _links(*(component[list(at)] for at in zip(*found)))
+    """(u, v) components that a pair of points in a block may join.
+
+    Blocks of few rows, of which there are many with the same pairs in them, are compared outright by the bound, pairs
+    of a batch of blocks at a time and each once; larger ones through a tree each.
+    """
+    for table in _whole_groups(batches, ["cell", "a", "b"]):
+        side, node, component, size = (table[c].to_numpy() for c in ("side", "node", "component", "n_shingles"))
+        point = unpacked(table["point"])
+        k = np.stack([table[c].to_numpy() for c in ("cell", "a", "b")])
+        start = np.flatnonzero(np.concatenate(([True], (k[:, 1:] != k[:, :-1]).any(axis=0))))
+        end = np.append(start[1:], len(side))
+        middle = start + np.add.reduceat(side == 0, start)  # side 0 comes first
+        small = end - start <= 2 * LEAF
+        x = _ranges(start[small], middle[small])
+        block = np.repeat(np.flatnonzero(small), (middle - start)[small])
+        y, x = _ranges(middle[block], end[block]), np.repeat(x, end[block] - middle[block])
+        other = component[x] != component[y]
+        x, y = x[other], y[other]
+        _, name = np.unique(node, return_inverse=True)
+        _, once = np.unique(np.minimum(name[x], name[y]) * len(node) + np.maximum(name[x], name[y]), return_index=True)
+        x, y = x[once], y[once]
+        found = []
+        for a in range(0, len(x), PAIRS):
+            i, j = x[a : a + PAIRS], y[a : a + PAIRS]
+            may = similar(np.minimum(np.minimum(point[i], point[j]).sum(axis=1), np.minimum(size[i], size[j])), size[i], size[j])
+            found.append(np.stack([component[i[may]], component[j[may]]]))
+        for a, m, b in zip(start[~small], middle[~small], end[~small]):
+            for i, j in joined(np.arange(a, m), np.arange(m, b), point, size, component):
+                found.append(np.array([[component[i]], [component[j]]]))
+        found = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1) if found else np.zeros((2, 0), np.int64)
+        if found.size:
+            yield _links(found[0], found[1])
 
 
 def _verified(batches):
@@ -249,6 +304,52 @@ def _verified(batches):
             yield _links(*(node[list(at)] for at in zip(*found)))
 
 
+def _packed(parts: int):
+    """Rows (part, cells, nodes) of each batch: packed pairs dealt by cell, and those that the batch itself shows to be shared.
+
+    The latter have a part of ``parts`` and more; of their cells the least node alone is dealt.
+    """
+
+    def fn(batches):
+        for batch in batches:
+            lists = batch.column("cells")
+            cell, node = lists.flatten().to_numpy(), np.repeat(batch.column("node").to_numpy(), lists.value_lengths().to_numpy())
+            if not len(cell):
+                continue
+            order = np.lexsort((node, cell))
+            cell, node = cell[order], node[order]
+            first = np.concatenate(([True], cell[1:] != cell[:-1]))
+            shared = np.repeat(np.diff(np.append(np.flatnonzero(first), len(cell))) > 1, np.diff(np.append(np.flatnonzero(first), len(cell))))
+            for offset, rows in ((0, first), (parts, shared)):
+                c, n = cell[rows], node[rows]
+                part = (c % parts) + offset
+                order = np.argsort(part, kind="stable")
+                c, n, part = c[order], n[order], part[order]
+                at = np.flatnonzero(np.concatenate((np.ones(min(len(part), 1), bool), part[1:] != part[:-1])))
+                ends = np.append(at[1:], len(part))
+                yield pa.RecordBatch.from_arrays([pa.array(part[at]), *(pa.array([v[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()) for v in (c, n))],
+                                                 names=["part", "cells", "nodes"])
+
+    return fn
+
+
+def _shared(parts: int):
+    """(cell, node) pairs of packed rows whose cell is shared."""
+
+    def fn(batches):
+        for group in adjacent_groups(batches, ["part"]):
+            cell, node = (np.frombuffer(b"".join(group[c].to_pylist()), dtype=np.int64) for c in ("cells", "nodes"))
+            if group["part"][0].as_py() < parts:
+                order = np.lexsort((node, cell))
+                cell, node = cell[order], node[order]
+                again = cell[1:] == cell[:-1]
+                rows = np.concatenate(([False], again)) | np.concatenate((again, [False]))
+                cell, node = cell[rows], node[rows]
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(node)], names=["cell", "node"])
+
+    return fn
+
+
 def _blocks(rows: DataFrame, group: str, volume: Column, most: int) -> DataFrame:
     """rows(group, node, component, ...) dealt to blocks (a, b): rows outside the group's largest component (side 0) against all (side 1).
 
@@ -279,28 +380,34 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     sized = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
     copies = cut_lineage(sized.groupBy("signature").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("n")), "ngram-copies")
     firsts = copies.select(F.col("first.row").alias("first_row"))
-    nodes = sized.join(firsts, F.col("row") == F.col("first_row"), "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "n_bytes", "signature", "point", "cells")
-    nodes = cut_lineage(nodes, "ngram-nodes")
+    firsts = sized.join(firsts, F.col("row") == F.col("first_row"), "left_semi").withColumnRenamed("doc_id", "node")
+    nodes = cut_lineage(firsts.select("node", "n_shingles", "n_bytes", "signature", "point"), "ngram-nodes")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if not sized.groupBy("doc_id").count().where("count > 1").isEmpty():
         texts = texts.dropDuplicates(["doc_id", "text"])
 
-    # cells that hold several nodes, and their least
-    held = nodes.select("node", F.explode("cells").alias("cell"))
-    common = held.groupBy("cell").agg(F.min("node").alias("least"), F.max("node").alias("greatest")).where("least < greatest")
-    members = cut_lineage(held.join(common.select("cell", "least"), "cell"), "ngram-cells")
-
-    # first links: each node with the least node of the cells that it shares most often
-    often = members.where("node != least").groupBy("node", "least").agg(F.count("*").alias("n"))
-    stars = cut_lineage(often.groupBy("node").agg(F.max_by("least", F.struct("n", -F.col("least"))).alias("least")), "ngram-stars")
+    # cells that hold several nodes, and their hubs
+    pairs = sized.agg(F.sum(F.size("cells"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs // PACKED_PAIRS))
+    packed = map_arrow(firsts.select("node", "cells"), _packed(parts), "part long, cells binary, nodes binary")
+    held = map_arrow(packed.repartition("part").sortWithinPartitions("part"), _shared(parts), "cell long, node long")
+    held = cut_lineage(held.distinct(), "ngram-held")
+    # a cell's hub is its most central member, the one whose cells have most members
+    central = held.join(held.groupBy("cell").agg(F.count("*").alias("m")), "cell").groupBy("node").agg(F.sum("m").alias("degree"))
+    best = held.join(central, "node").groupBy("cell").agg(F.min_by("node", F.struct(-F.col("degree"), F.col("node"))).alias("hub"))
+    members = cut_lineage(held.join(best, "cell"), "ngram-cells")
+
+    # first links: each node with the hub that it shares most cells with
+    often = members.where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
+    stars = cut_lineage(often.groupBy("node").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub")), "ngram-stars")
     known = nodes.select("node", "n_bytes", "signature")
-    star = stars.join(known, "node").select(F.col("least").alias("group"), "node", "n_bytes", "signature")
+    star = stars.join(known, "node").select(F.col("hub").alias("group"), "node", "n_bytes", "signature")
     pieces = star.groupBy("group").agg(F.ceil(F.sum("n_bytes") / BLOCK_BYTES).cast("int").alias("pieces"))
     star = star.join(pieces, "group").select("group", F.pmod(F.xxhash64("node"), F.greatest("pieces", F.lit(1))).cast("int").alias("a"), "node", "signature", F.lit(1).alias("side"))
     hubs = pieces.join(known, F.col("group") == F.col("node")).select(
         "group", F.explode(F.sequence(F.lit(0), F.greatest("pieces", F.lit(1)) - 1)).alias("a"), "node", "signature", F.lit(0).alias("side"))
     blocks = star.unionByName(hubs).withColumn("b", F.lit(0)).withColumn("component", F.col("node"))
-    first = cut_lineage(components(_verify(blocks, texts, stars.select(F.explode(F.array("node", "least")))), "ngram-first"), "ngram-first-components")
+    first = cut_lineage(components(_verify(blocks, texts, stars.select(F.explode(F.array("node", "hub")))), "ngram-first"), "ngram-first-components")
 
     def placed(rows):
         return rows.join(first.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").withColumn(

@@ -94,13 +94,29 @@ def test_sets_whose_agreeing_slices_are_empty_share_a_cell():
     assert set(one.tolist()) & set(two.tolist())
 
 
-def test_size_classes_hold_partners():
-    low = N.size_classes(5000)
-    label = np.searchsorted(low, np.arange(5000 + 1), side="right") - 1
+def test_classes_have_more_slices_than_partners_differ_in():
+    low = N.size_classes(9000)
+    label = np.searchsorted(low, np.arange(9001), side="right") - 1
     for n in range(1, 4000):
-        assert label[min(n * 100 // 85, 5000)] <= label[n] + 1
-        slices, spare = N.slices_of(int(label[n]), low)
-        assert slices - spare > 2 * n * 15 / 185
+        for partner in (n, n * 100 // 85):
+            slices, spare = N.slices_of(int(label[partner]), low)
+            assert slices - spare > (n + partner) * 15 // 185
+
+
+def test_cells_shared_within_and_across_batches():
+    rng = np.random.default_rng(4)
+    own = [np.unique(np.concatenate([rng.integers(-2**62, 2**62, 5), [7] if i % 2 else [], [i % 11 + 100]]).astype(np.int64)) for i in range(300)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(a, a + 60)), pa.array([c.tolist() for c in own[a : a + 60]], pa.list_(pa.int64()))], names=["node", "cells"])
+               for a in range(0, 300, 60)]
+    rows = pa.Table.from_batches(list(N._packed(4)(iter(batches))))
+    hot = sum(np.frombuffer(r["cells"], np.int64).tolist().count(7) for r in rows.to_pylist() if r["part"] < 4)
+    assert hot == 5  # one pair a batch
+    got = pa.Table.from_batches(list(N._shared(4)(iter(rows.sort_by("part").to_batches()))))
+    holders = {}
+    for i, c in enumerate(own):
+        for x in c.tolist():
+            holders.setdefault(x, set()).add(i)
+    assert set(zip(*got.to_pydict().values())) == {(c, i) for c, nodes in holders.items() if len(nodes) > 1 for i in nodes}
 
 
 def test_tree_finds_all_that_the_bound_allows():
@@ -120,6 +136,42 @@ def test_tree_finds_all_that_the_bound_allows():
     assert visited < 0.5 * len(range(0, 900, 7)) * len(tree.levels[0][0])  # pages are pruned
 
 
+def test_small_and_large_blocks_allow_the_same(monkeypatch):
+    """Blocks over batch borders; with pages of one row all but the smallest go through trees."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for cell in range(40):
+        point = rng.integers(0, 4, (6, N.GROUPS))
+        for n in range(int(rng.integers(2, 50))):
+            p = (point[rng.integers(0, 6)] + (rng.random(N.GROUPS) < 0.05)).astype(np.uint16)
+            rows.append({"cell": cell, "a": 0, "b": 0, "side": n % 2, "node": len(rows), "component": int(rng.integers(0, 250)), "n_shingles": int(p.sum()), "point": p.tobytes()})
+    rows.sort(key=lambda r: (r["cell"], r["side"]))
+    table = pa.Table.from_pylist(rows)
+    want = set()
+    for x in rows:
+        for y in rows:
+            if (x["cell"], x["side"], y["side"]) == (y["cell"], 0, 1) and x["component"] != y["component"]:
+                a, b = (np.frombuffer(r["point"], np.uint16).astype(int) for r in (x, y))
+                if N.similar(np.minimum(a, b).sum(), x["n_shingles"], y["n_shingles"]):
+                    want.add(tuple(sorted((x["component"], y["component"]))))
+    forests = []
+    for leaf, step in ((32, 17), (32, 5000), (1, 64)):
+        monkeypatch.setattr(N, "LEAF", leaf)
+        got = {(u, v) for b in N._may_join(iter(table.to_batches(max_chunksize=step))) for u, v in zip(b["u"].to_pylist(), b["v"].to_pylist())}
+        assert got <= want and (leaf == 1 or got == want)
+        up = {c: c for c in range(250)}
+
+        def root(c):
+            while up[c] != c:
+                c = up[c]
+            return c
+
+        for u, v in got:
+            up[max(root(u), root(v))] = min(root(u), root(v))
+        forests.append([root(c) for c in range(250)])
+    assert forests[0] == forests[1] == forests[2] and want
+
+
 def test_a_full_coordinate_never_rules_out():
     full = np.array([[N.FULL] + [1] * (N.GROUPS - 1)] * 2, dtype=np.uint16)
     point = N.unpacked(pa.array([r.tobytes() for r in full]))
