@@ -13,6 +13,13 @@ drawing and the tokens of a formula come out, each label and matrix row on a lin
 descriptions, definitions, metadata and annotations do not. Definitions stay out also where a drawing
 refers to them by ``use``.
 
+Visibility goes by the tree and by inline styles: in a style the last valid declaration counts, important ones first, comments
+and quoted or bracketed values set aside. ``display: none`` hides a subtree, and a display of its own shows what ``hidden`` or
+a closed dialog would hide; ``visibility`` is handed down, and a descendant may be visible again. Of a closed ``details`` the
+first summary comes out. Buttons made by ``input`` show their value, fields their value or else their placeholder (passwords
+and other kinds of input none); all options of a ``select`` come out. Style sheets are not read: what rules by class, id or
+tag hide or show is taken as if they were not there, a limit of these rules.
+
 Nothing recurses and nothing is cut: nesting may be as deep as the page is long. Column padding and
 list indents have a largest width, beyond which text just runs on, so the result stays linear in the
 page's length.
@@ -44,7 +51,17 @@ _MARKUP = re.compile(
     r"(?P<rest>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+(?:>|\Z)))", re.S)
 _ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+))?+)?+")
 _TELLING = re.compile(r"(?i)hidden|style|span|open|start|value|reversed")
-_UNSEEN_STYLE = re.compile(r"(?i)(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))")
+_STYLE_NOISE = re.compile(r"/\*.*?(?:\*/|\Z)|\"[^\"]*+\"|'[^']*+'|\([^()]*+\)", re.S)
+_DECLARATION = re.compile(r"(?i)(?:^|;)\s*(display|visibility)\s*:\s*([a-z -]+?)\s*(!\s*important\s*)?(?=;|\Z)")
+#: Valid values, as CSS has them.
+_VISIBILITIES = frozenset("visible hidden collapse inherit initial unset revert revert-layer".split())
+_DISPLAYS = frozenset(
+    "none block inline inline-block flex inline-flex grid inline-grid flow-root contents list-item run-in table inline-table table-row "
+    "table-cell table-caption table-row-group table-header-group table-footer-group table-column table-column-group ruby ruby-base "
+    "ruby-text ruby-base-container ruby-text-container math inherit initial unset revert revert-layer".split())
+_BUTTONS = frozenset("submit reset button".split())
+_FIELDS = frozenset("text search email url tel number date month week time datetime-local".split())
+_OTHER_INPUTS = frozenset("password hidden checkbox radio range color file image".split())
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -272,7 +289,7 @@ def parse(html: str) -> Node:
             if space:
                 builder.start_foreign(space, tag, attributes, closed)
                 continue
-        elif len(rest) > 1 and _TELLING.search(rest):
+        elif len(rest) > 1 and (tag == "input" or _TELLING.search(rest)):
             for name, a, b, c in _ATTRIBUTE.findall(rest):
                 attributes.setdefault(name.lower(), unescape(a or b or c))
         builder.start(tag, attributes)
@@ -403,11 +420,42 @@ class Table:
         return out
 
 
-def hidden(node: Node) -> bool:
+def inline_style(style: str) -> dict[str, str]:
+    """The display and visibility that an inline style sets."""
+    found: dict[str, tuple[bool, str]] = {}
+    for name, value, important in _DECLARATION.findall(_STYLE_NOISE.sub(" ", style)):
+        name, words = name.lower(), value.lower().split()
+        valid = _DISPLAYS if name == "display" else _VISIBILITIES
+        if words and valid.issuperset(words) and (important or not found.get(name, (False,))[0]):
+            found[name] = bool(important), words[0] if len(words) == 1 else " ".join(words)
+    return {name: value for name, (_, value) in found.items()}
+
+
+def shown(node: Node, before: bool) -> bool | None:
+    """Whether a node's own text is visible, where its parent's is as ``before`` says; None if its subtree has no boxes."""
     a = node.attributes
-    return (node.tag in _UNSEEN or "hidden" in a or bool(a.get("style") and _UNSEEN_STYLE.search(a["style"]))
-            or (node.tag == "dialog" and "open" not in a)
-            or (node.tag.startswith("svg ") and (a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse"))))
+    if not a:
+        return None if node.tag in _UNSEEN or node.tag == "dialog" else before
+    style = inline_style(a["style"]) if a.get("style") else {}
+    foreign = node.tag.startswith("svg ")
+    display = style.get("display", a.get("display") if foreign else None)
+    closed = "hidden" in a or (node.tag == "dialog" and "open" not in a)
+    if node.tag in _UNSEEN or display == "none" or (closed and display in (None, "inherit", "revert", "revert-layer")):
+        return None
+    visibility = style.get("visibility", a.get("visibility") if foreign else None)
+    if visibility in ("hidden", "collapse"):
+        return False
+    return True if visibility in ("visible", "initial") else before
+
+
+def control_text(node: Node) -> str:
+    """What an ``input`` shows as text."""
+    a, kind = node.attributes, node.attributes.get("type", "").strip().lower()
+    if kind in _BUTTONS:
+        return a.get("value", "")
+    if kind == "password":
+        return "" if a.get("value") else a.get("placeholder", "")
+    return "" if kind in _OTHER_INPUTS else a.get("value") or a.get("placeholder", "")
 
 
 def is_block(node: Node) -> bool:
@@ -416,7 +464,7 @@ def is_block(node: Node) -> bool:
 
 def render(root: Node, markers: bool = True) -> str:
     """The visible text of a tree, laid out."""
-    flows, tables, lists, pre = [Flow()], [], [], 0
+    flows, tables, lists, pre, seen = [Flow()], [], [], 0, True
     # (node or text) to enter, or (node, what to restore) to leave
     todo: list = [root]
     while todo:
@@ -425,21 +473,31 @@ def render(root: Node, markers: bool = True) -> str:
         if isinstance(x, str):
             if tables and tables[-1][1] is flow and not x.strip(" \t\n\r\f"):
                 continue  # white space between cells
-            flow.text(x, pre > 0)
+            if seen:
+                flow.text(x, pre > 0)
             continue
         if isinstance(x, Node):
             tag = x.tag
-            if hidden(x):
+            above, now = seen, shown(x, seen)
+            if now is None:
                 continue
+            if tag == "input" and now:
+                own = control_text(x)
+                if own.strip(" \t\n\r\f"):
+                    flow.text(" ", False)
+                    flow.text(own, False)
+                    flow.text(" ", False)
             if tag == "br":
                 flow.newline()
                 continue
             if tag in _VOID and tag != "hr":
                 continue
+            seen = now
             saved = flow.indent
             if is_block(x):
                 flow.apart(2 if tag in _PARAGRAPHS and not (lists and tag in ("ul", "ol")) else 1)
             if tag == "hr":
+                seen = above
                 continue
             if tag in ("ul", "ol", "menu", "dir"):
                 start = x.attributes.get("start", "")
@@ -450,7 +508,7 @@ def render(root: Node, markers: bool = True) -> str:
                 value = x.attributes.get("value", "")
                 if own[0] and value.isascii() and value.isdigit() and len(value) < 10:
                     own[1] = int(value)
-                marker = f"{own[1]}. " if own[0] else "- "
+                marker = "" if not seen else f"{own[1]}. " if own[0] else "- "
                 flow.indent, flow.marker = (flow.indent + flow.marker, marker) if not flow.marker.strip() else (flow.indent, flow.marker + marker)
                 if len(flow.indent) > 4 * DEEPEST:
                     flow.indent = flow.indent[: 4 * DEEPEST]
@@ -468,14 +526,17 @@ def render(root: Node, markers: bool = True) -> str:
                 flow.text(" ", False)  # placed apart
             elif tag in ("td", "th") and tables:
                 flows.append(Flow())
-                todo.append((x, saved, (pre, lists)))
+                todo.append((x, saved, (pre, lists), above))
                 pre, lists = 0, []
                 todo.extend(reversed(x.children))
                 continue
-            todo.append((x, saved, None))
-            todo.extend(reversed(x.children))
+            todo.append((x, saved, None, above))
+            if tag == "details" and "open" not in x.attributes:
+                todo.extend([c for c in x.children if isinstance(c, Node) and c.tag == "summary"][:1])
+            else:
+                todo.extend(reversed(x.children))
             continue
-        node, saved, outside = x
+        node, saved, outside, seen = x
         tag = node.tag
         if outside:
             pre, lists = outside

@@ -21,7 +21,8 @@ could agree, empty ones count too.
 4. a cell all of one component is settled. In the others, members outside the largest component meet
    all members, in blocks of bounded rows: R-tree search by points gives pairs that may be links;
 5. components that such pairs may join form a group; in it the members outside its largest component
-   meet all members in blocks of bounded bytes: R-tree search again, and the survivors' sets decide;
+   meet all members in blocks of bounded bytes: R-tree search, and for its finds the bound by finer points, whose
+   coordinates grow with the sets. The groups that these leave are searched once more, and the sets decide;
 6. components of all verified links, brought back to the copies. Blocks return spanning links only.
 
 Defined results: null or wordless texts have an empty set and link with nothing. Repeated rows are copies
@@ -70,6 +71,51 @@ def points(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(at, minlength=n * GROUPS), FULL).astype(np.uint16).reshape(n, GROUPS)
 
 
+def fine_groups(size: int) -> int:
+    """Coordinates of a set's fine point: a power of two of about a quarter of its size, GROUPS at least."""
+    return max(GROUPS, 1 << (-(-size // 4) - 1).bit_length()) if size else GROUPS
+
+
+def fine_points(sets: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Fine group counts of each set, as bytes that stop at 255; folding them in halves gives those of fewer groups."""
+    out = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        groups = fine_groups(b - a)
+        out.append(np.minimum(np.bincount((sets[a:b] % np.uint64(groups)).astype(np.int64), minlength=groups), 255).astype(np.uint8).tobytes())
+    return out
+
+
+class FinePoints:
+    """Fine points of the rows of a block, compared at the resolution of the coarser of two."""
+
+    def __init__(self, column):
+        rows = [np.frombuffer(b, dtype=np.uint8).astype(np.int32) for b in column.to_pylist()]
+        self.groups = np.array([len(r) for r in rows])
+        self.at = np.zeros(len(rows), dtype=np.int64)  # a row's place among those of its resolution
+        self.folded = {}
+        for g in np.unique(self.groups).tolist():
+            own = np.flatnonzero(self.groups == g)
+            self.at[own] = np.arange(len(own))
+            full = np.stack([rows[i] for i in own])
+            full[full == 255] = 1 << 30
+            self.folded[g, g] = full
+
+    def _at(self, of: int, groups: int) -> np.ndarray:
+        if (of, groups) not in self.folded:
+            full = self.folded[of, of].astype(np.int64)
+            self.folded[of, groups] = np.minimum(full.reshape(len(full), -1, groups).sum(axis=1), 1 << 30).astype(np.int32)
+        return self.folded[of, groups]
+
+    def shared(self, x: int, ys: np.ndarray) -> np.ndarray:
+        """The most tokens that set x can share with each of ys, by the summed minima."""
+        out = np.zeros(len(ys), dtype=np.int64)
+        of = int(self.groups[x])
+        for g in np.unique(self.groups[ys]).tolist():
+            rows, level = self.groups[ys] == g, min(g, of)
+            out[rows] = np.minimum(self._at(g, level)[self.at[ys[rows]]], self._at(of, level)[self.at[x]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def unpacked(column) -> np.ndarray:
     """Points of a binary column; FULL coordinates become larger than any set."""
     p = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, GROUPS).astype(np.int64)
@@ -117,7 +163,7 @@ def cells(sets: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, n_bytes, signature, point, cells) of every row of docs."""
+    """(doc_id, n_shingles, n_bytes, signature, point, fine, cells) of every row of docs."""
 
     def fn(piece: pa.RecordBatch) -> pa.RecordBatch:
         values = piece.column("text")
@@ -126,11 +172,11 @@ def described(docs: DataFrame) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]), pa.int32()), pa.array(np.concatenate([*own, np.zeros(0, np.int64)])))
         return pa.RecordBatch.from_arrays(
             [piece.column("doc_id"), pa.array(np.diff(bounds)), pa.array(np.diff(textvec.flat(values)[1])), pa.array(signatures(sets, bounds), pa.binary()),
-             pa.array([p.tobytes() for p in points(sets, bounds)], pa.binary()), lists],
-            names=["doc_id", "n_shingles", "n_bytes", "signature", "point", "cells"])
+             pa.array([p.tobytes() for p in points(sets, bounds)], pa.binary()), pa.array(fine_points(sets, bounds), pa.binary()), lists],
+            names=["doc_id", "n_shingles", "n_bytes", "signature", "point", "fine", "cells"])
 
     return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), fn,
-                     "doc_id long, n_shingles long, n_bytes long, signature binary, point binary, cells array<long>")
+                     "doc_id long, n_shingles long, n_bytes long, signature binary, point binary, fine binary, cells array<long>")
 
 
 # --- the tree -------------------------------------------------------------------------
@@ -279,6 +325,20 @@ def _may_join(batches):
             yield _links(found[0], found[1])
 
 
+def _may_join_finely(batches):
+    """(u, v) components of a group that a pair of fine points in a block may join: a spanning forest."""
+    for group in adjacent_groups(batches, ["group", "a", "b"]):
+        side, component, size = (group[c].to_numpy() for c in ("side", "component", "n_shingles"))
+        fine = FinePoints(group["fine"])
+
+        def check(x, ys):
+            return similar(np.minimum(fine.shared(x, ys), np.minimum(size[x], size[ys])), size[x], size[ys])
+
+        found = joined(np.flatnonzero(side == 0), np.flatnonzero(side == 1), unpacked(group["point"]), size, component, check)
+        if found:
+            yield _links(*(component[list(at)] for at in zip(*found)))
+
+
 def _verified(batches):
     """(u, v) nodes whose sets are similar: a spanning forest over the components in a block."""
     for group in adjacent_groups(batches, ["group", "a", "b"]):
@@ -381,7 +441,7 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     copies = cut_lineage(sized.groupBy("signature").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("n")), "ngram-copies")
     firsts = copies.select(F.col("first.row").alias("first_row"))
     firsts = sized.join(firsts, F.col("row") == F.col("first_row"), "left_semi").withColumnRenamed("doc_id", "node")
-    nodes = cut_lineage(firsts.select("node", "n_shingles", "n_bytes", "signature", "point"), "ngram-nodes")
+    nodes = cut_lineage(firsts.select("node", "n_shingles", "n_bytes", "signature", "point", "fine"), "ngram-nodes")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if not sized.groupBy("doc_id").count().where("count > 1").isEmpty():
         texts = texts.dropDuplicates(["doc_id", "text"])
@@ -418,11 +478,17 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     vectors = nodes.select("node", "n_shingles", "point")
     open_ = open_.join(vectors, "node").select("cell", "a", "b", "side", "node", "component", "n_shingles", "point")
     maybe = map_arrow(open_.repartition("cell", "a", "b").sortWithinPartitions("cell", "a", "b", "side", "node"), _may_join, "u long, v long")
-    maybe = cut_lineage(components(maybe, "ngram-maybe").select(F.col("node").alias("part"), F.col("component").alias("group")), "ngram-groups")
+    maybe = components(maybe, "ngram-maybe").select(F.col("node").alias("part"), F.col("component").alias("group"))
+
+    def grouped(rows, groups, name):
+        return cut_lineage(placed(rows).join(groups, F.col("component") == F.col("part")).drop("part"), name)
 
-    # in a group of such components the sets decide
-    grouped = cut_lineage(placed(known).join(maybe, F.col("component") == F.col("part")).drop("part"), "ngram-grouped")
-    last = _verify(_blocks(grouped, "group", F.col("n_bytes"), BLOCK_BYTES), texts, grouped.select("node"))
+    # in a group of such components fine points decide again, in those that they leave the sets
+    near = _blocks(grouped(nodes.select("node", "n_shingles", "point", "fine"), maybe, "ngram-near"), "group", F.length("fine") + 2 * GROUPS, BLOCK_BYTES)
+    near = map_arrow(near.repartition("group", "a", "b").sortWithinPartitions("group", "a", "b", "side", "node"), _may_join_finely, "u long, v long")
+    maybe = components(near, "ngram-finely").select(F.col("node").alias("part"), F.col("component").alias("group"))
+    likeliest = grouped(known, maybe, "ngram-grouped")
+    last = _verify(_blocks(likeliest, "group", F.col("n_bytes"), BLOCK_BYTES), texts, likeliest.select("node"))
     ends = [first.select(F.col("node").alias(e), F.col("component").alias(f"{e}_in")) for e in ("u", "v")]
     last = last.join(ends[0], "u", "left").join(ends[1], "v", "left").select(F.coalesce("u_in", "u").alias("u"), F.coalesce("v_in", "v").alias("v"))
     final = components(last, "ngram-last").select(F.col("node").alias("part"), F.col("component").alias("whole"))

@@ -134,3 +134,26 @@ def test_awkward_and_empty(spark):
     got = C.rows_of(H.extract(pages))
     assert [(r.page_id, r.text, r.n_chars) for r in got] == [(1, "", 0), (2, "", 0), (3, "b", 1), (3, "b", 1), (None, "a", 1)]
     assert H.extract(pages.limit(0)).count() == 0
+
+
+VISIBILITY = [
+    ("<div style='visibility:hidden'>a<b style='visibility: visible'>b</b>c<i style='visibility:inherit'>d</i></div>e", "b\ne"),
+    ("<p style='display:none;display:block'>a<p style='display:block;display:none'>b", "a"),
+    ("<p style='display:none!important;display:block'>a<p style='display:none;display:block ! important'>b<p style='display:none;display:nonsense'>c", "b"),
+    ("<p hidden style='display:block'>a<p hidden style='color:red'>b<p hidden=until-found>c<p hidden style='display:none'>d", "a"),
+    ("<p style='display:/* not */none'>a<p style='/*;display:none;*/color:red'>b<p style='visi/**/bility:hidden'>c", "b\n\nc"),
+    ("<p style='background:url(x;display:none)'>a<p style='content:\"; display:none\"'>b<p style='x-display:none'>c", "a\n\nb\n\nc"),
+    ("<dialog>a</dialog><dialog open>b</dialog><dialog style='display:block'>c</dialog>", "b\nc"),
+    ("<details>a<summary>b</summary><summary>c</summary><p>d</details><details open>e<summary>f</summary>g</details>", "b\ne\nf\ng"),
+    ("<form>Name <input name=n value='Ada L.'> <input placeholder='your town'><input type=email value=''><input type=SUBMIT value='Send it'></form>", "Name Ada L. your town Send it"),
+    ("<input type=hidden value=a><input type=checkbox value=b><input type=password value=c placeholder=d><input type=password placeholder=e><input type=image value=f>z", "e z"),
+    ("<input value=a hidden><input value=b style='visibility:hidden'><input type=reset><input type=strange value=c>", "c"),
+    ("<ol><li>a<li style='visibility:hidden'>b<li>c</ol>", "1. a\n3. c"),
+    ("<svg visibility=hidden><text>no</text><text visibility=visible>yes</text><text style='visibility:visible' visibility=hidden>too</text></svg>", "yes\ntoo"),
+    ("<table><tr><td style='visibility:hidden'>a<td>b<tr><td>cc<td>d</table>", "    b\ncc  d"),
+]
+
+
+@pytest.mark.parametrize("html,expected", VISIBILITY)
+def test_visibility(html, expected):
+    assert text(html) == expected

@@ -172,6 +172,24 @@ def test_small_and_large_blocks_allow_the_same(monkeypatch):
     assert forests[0] == forests[1] == forests[2] and want
 
 
+def test_fine_points_bound_what_sets_share():
+    rng = np.random.default_rng(13)
+    base = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[:n][rng.random(n) < keep], rng.integers(0, 2**63, 40).astype(np.uint64)]))
+            for n in (50, 200, 900, 3000, 3000) for keep in (1.0, 0.9, 0.5)]
+    bounds = np.cumsum([0, *map(len, sets)])
+    raw = N.fine_points(np.concatenate(sets), bounds)
+    assert [len(r) for r in raw] == [N.fine_groups(len(s)) for s in sets] and len({len(r) for r in raw}) > 3
+    fine, ys = N.FinePoints(pa.array(raw)), np.arange(len(sets))
+    for x, a in enumerate(sets):
+        most = fine.shared(x, ys)
+        for y, b in enumerate(sets):
+            counts = [np.bincount((s % np.uint64(min(len(raw[x]), len(raw[y])))).astype(int), minlength=min(len(raw[x]), len(raw[y]))) for s in (a, b)]
+            assert most[y] == np.minimum(*counts).sum() >= len(np.intersect1d(a, b))
+    full = N.FinePoints(pa.array([bytes([255] * 64), bytes([255] * 128)]))
+    assert full.shared(0, np.array([0, 1])).min() >= 64 << 20
+
+
 def test_a_full_coordinate_never_rules_out():
     full = np.array([[N.FULL] + [1] * (N.GROUPS - 1)] * 2, dtype=np.uint16)
     point = N.unpacked(pa.array([r.tobytes() for r in full]))
