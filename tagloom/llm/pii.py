@@ -47,11 +47,14 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 # looser proposals of the labelled kinds
 _LOOSE = {
-    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]{1,63}){1,5}"),
+    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]++)++"),
     "phone": re.compile(r"(?<![\w+.-])(?:\([0-9]{2,4}\) ?|0[0-9]{1,4}[ /-]|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{3,5}(?![\w-]|\.[0-9])"),
-    "secret": re.compile(r"(?i:\b(?:[a-z]+[_-])?(?:token|secret|password|passwd|pwd|apikey|api[_-]key|access[_-]key|private[_-]key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?)([^\s\"'<>,;]{6,}+)"),
+    # after the colon come blanks and at most three line ends; a quoted value runs to its closing quote, any other to its delimiter
+    "secret": re.compile(r"(?i:\b(?:[a-z]++[_-])?(?:token|secret|password|passwd|pwd|apikey|api[_-]key|access[_-]key|private[_-]key)[\"']?)"
+                         r"(?:[^\S\n]*+\n){0,3}+[^\S\n]*+[:=](?:[^\S\n]*+\n){0,3}+[^\S\n]*+"
+                         r"(?:\"([^\"\n]{6,}+)\"|'([^'\n]{6,}+)'|[\"']?([^\s\"'<>,;]{6,}+))"),
     "account": re.compile(r"(?<!\w)(?:[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?|[0-9]{3}-[0-9]{2}-[0-9]{4})(?!\w)"),
-    "name": re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra?)\.? (?:[^\W\d_a-z]\w{1,30}(?: [^\W\d_a-z]\w{1,30}){0,2})"),
+    "name": re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra?)\.? [^\W\d_a-z](?:\w|['’-]\w)++(?: [^\W\d_a-z](?:\w|['’-]\w)++)*+"),
 }
 _KEYWORD = re.compile(r"(?i)token|secret|passw|pwd|[_-]?key")
 _CUES = {
@@ -121,7 +124,7 @@ def loose_spans(text: str, digits: bool) -> list[tuple[int, int, int]]:
         out += [(3, *m.span()) for m in _LOOSE["phone"].finditer(text)]
         out += [(5, *m.span()) for m in _LOOSE["account"].finditer(text)]
     if ("=" in text or ":" in text) and _KEYWORD.search(text):
-        out += [(4, *m.span(1)) for m in _LOOSE["secret"].finditer(text)]
+        out += [(4, *m.span(m.lastindex)) for m in _LOOSE["secret"].finditer(text)]
     out += [(6, *m.span()) for m in _LOOSE["name"].finditer(text)]
     return out
 

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import time
 
 import llm_cases as C
 import numpy as np
+import pytest
 
 from tagloom.llm import pii, queries
 
@@ -142,3 +144,27 @@ def test_spans_give_way_only_to_spans_that_cover_them():
 def test_a_very_long_secret_is_linear():
     t = "token=" + "".join(map(chr, range(0x4E00, 0x9E00))) * 40
     assert [x[1:3] for x in pii.candidates(t)] == [(6, len(t))]
+
+
+@pytest.mark.parametrize("text,kind,found", [
+    ("Mr " + "A" + "b" * 40 + " spoke", "name", "Mr A" + "b" * 40),
+    ("Frau Anna Maria Luisa Sophie Müller-Lüdenscheidt kam", "name", "Frau Anna Maria Luisa Sophie Müller-Lüdenscheidt"),
+    ("Dr. O'Brien said", "name", "Dr. O'Brien"),
+    ("x" * 90 + " (at) " + "y" * 70 + ".a.b.c.d.e.f.org now", "email", "x" * 90 + " (at) " + "y" * 70 + ".a.b.c.d.e.f.org"),
+    ("password:    abcdefgh1234 x", "secret", "abcdefgh1234"),
+    ("password" + " " * 50 + "=" + "\t" * 50 + "abcdefgh1234", "secret", "abcdefgh1234"),
+    ('password: "my pass,word123"; next', "secret", "my pass,word123"),
+    ("api_key='a b;c<d>e' z", "secret", "a b;c<d>e"),
+    ('token="abcdefgh no end', "secret", "abcdefgh"),
+])
+def test_proposals_run_to_their_border(text, kind, found):
+    spans = [text[a:b] for k, a, b in pii.loose_spans(text, True) if pii.KINDS[k] == kind]
+    assert spans == [found]
+
+
+def test_proposals_stay_linear():
+    for text in ("token " * 30000, 'token="' * 30000, "password" + " " * 200000, "Mr " * 50000, "Mr A" + "b" * 200000, "Mr " + "Ab " * 60000,
+                 "a" * 200000 + " (at)", "a (at) " * 30000, "a (at) b" + ". c" * 50000, "secret\n" * 40000, "a_" * 100000 + "token"):
+        began = time.time()
+        pii.loose_spans(text, True)
+        assert time.time() - began < 5, text[:20]
