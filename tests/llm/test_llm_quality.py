@@ -123,3 +123,20 @@ def test_context_vectors_by_hand():
     rows = {r["entry"]: r for b in batches for r in b.to_pylist()}
     want = 2 * quality_net.INDEX[e[1]] + quality_net.INDEX[e[2]]  # b beside a twice, c two places off once
     assert [rows[e[0]][f"d{d}"] for d in range(quality_net.DIMS)] == want.astype(int).tolist() and rows[e[0]]["n"] == 2
+
+
+def test_samples_are_bounded_whatever_is_repeated(spark):
+    """One labelled id 30,000 times, others several times with different texts: a row an id, at most max_rows, the least text."""
+    from pyspark.sql import functions as F
+
+    from tagloom.llm import samples
+
+    copies = spark.range(30000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    others = spark.range(600).select((F.col("id") % 200 + 2).alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    labels = spark.range(1, 202).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    for bound in (100, 1000):
+        rows = samples.labelled_texts(copies.unionByName(others), labels, "quality", bound).collect()
+        assert len(rows) == len({r.doc_id for r in rows}) <= bound and all(r.fold and r.label == r.doc_id % 2 for r in rows)
+        for r in rows:
+            assert r.text == ("same" if r.doc_id == 1 else min(f"t{r.doc_id - 2 + 200 * k}" for k in range(3)))
+    assert len(rows) > 130
