@@ -115,28 +115,44 @@ def nonnegative_fit(found: list[tuple[int, ...]], histogram: np.ndarray, steps:
     return x
 
 
-def plan(histogram: np.ndarray, most: int = MAX_TOKENS) -> list[tuple[tuple[tuple[int, int], ...], int]]:
-    """Patterns as runs ((length, copies), ...) with how many sequences use each; uses every piece once."""
-    left = histogram.astype(np.int64).copy()
-    done: list[tuple[tuple[tuple[int, int], ...], int]] = []
-    if left[most]:
-        done.append((((most, 1),), int(left[most])))
-        left[most] = 0
+def rounded(fitted: np.ndarray, found: list[tuple[int, ...]], left: np.ndarray) -> list[tuple[int, int]]:
+    """(pattern, repeat) in whole numbers, as far as there are pieces; takes these from ``left``.
+
+    The longest pieces are dealt first, since little goes with them: among the patterns whose longest piece is of one length,
+    whole parts of the fitted counts, then once more by largest remainder, over and over while such pieces are left.
+    """
+    placed = np.zeros(len(found), dtype=np.int64)
+    longest: dict[int, list[int]] = {}
+    for i in np.argsort(-fitted, kind="stable").tolist():
+        longest.setdefault(found[i][-1], []).append(i)
+
+    def put(i: int, repeat: int) -> bool:
+        repeat = min([repeat, *(int(left[n]) // found[i].count(n) for n in set(found[i]))])
+        placed[i] += repeat
+        for n in found[i]:
+            left[n] -= repeat
+        return repeat > 0
+
+    for n in sorted(longest, reverse=True):
+        own = longest[n]
+        for i in own:
+            put(i, int(fitted[i] + 1e-9))
+        own = sorted(own, key=lambda i: (np.floor(fitted[i] + 1e-9) - fitted[i], i))
+        while left[n] and own:
+            own = [i for i in own if left[n] and put(i, 1)]
+    return [(i, int(placed[i])) for i in np.flatnonzero(placed).tolist()]
+
+
+def by_patterns(left: np.ndarray, most: int = MAX_TOKENS) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+    """Sequences of patterns fitted to the pieces of a histogram, which are taken from ``left``."""
     lengths = np.flatnonzero(left)
     found = patterns(lengths, most) if len(lengths) else []
-    if found:
-        fitted = nonnegative_fit(found, left)
-        for i in np.argsort(-fitted, kind="stable").tolist():
-            repeat = int(round(float(fitted[i])))
-            if repeat < 1:
-                break
-            runs = tuple((length, found[i].count(length)) for length in sorted(set(found[i]), reverse=True))
-            repeat = min([repeat, *(int(left[n]) // m for n, m in runs)])
-            if repeat:
-                done.append((runs, repeat))
-                for n, m in runs:
-                    left[n] -= m * repeat
-    # residual: best fit, decreasing, in groups of sequences with equal content
+    used = rounded(nonnegative_fit(found, left), found, left) if found else []
+    return [(tuple((n, found[i].count(n)) for n in sorted(set(found[i]), reverse=True)), repeat) for i, repeat in used]
+
+
+def best_fit(left: np.ndarray, most: int = MAX_TOKENS) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+    """Best fit, decreasing, in groups of sequences with equal content."""
     open_: dict[int, list[tuple[tuple[tuple[int, int], ...], int]]] = {}
     for n in np.flatnonzero(left)[::-1].tolist():
         c = int(left[n])
@@ -153,7 +169,30 @@ def plan(histogram: np.ndarray, most: int = MAX_TOKENS) -> list[tuple[tuple[tupl
                 open_.setdefault(room, []).append((runs, count - used))
             c -= copies * used
             open_.setdefault(room - copies * n, []).append((runs + ((n, copies),), used))
-    return done + [g for groups in open_.values() for g in groups]
+    return [g for groups in open_.values() for g in groups]
+
+
+def plan(histogram: np.ndarray, most: int = MAX_TOKENS) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+    """Patterns as runs ((length, copies), ...) with how many sequences use each; uses every piece once.
+
+    Patterns are fitted round after round on the pieces that the last round left, until none fits; the residual of the round
+    after which best fit needs the fewest sequences in all goes to best fit.
+    """
+    left = histogram.astype(np.int64).copy()
+    done: list[tuple[tuple[tuple[int, int], ...], int]] = []
+    if left[most]:
+        done.append((((most, 1),), int(left[most])))
+        left[most] = 0
+    fewest, best = None, done
+    while True:
+        new = by_patterns(left, most)
+        done = done + new
+        if new or fewest is None:
+            whole = done + best_fit(left, most)
+            if fewest is None or sum(c for _, c in whole) <= fewest:
+                fewest, best = sum(c for _, c in whole), whole
+        if not new:
+            return best
 
 
 def runs_table(packed: list[tuple[tuple[tuple[int, int], ...], int]], most: int = MAX_TOKENS) -> dict[str, np.ndarray]:

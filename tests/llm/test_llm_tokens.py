@@ -164,3 +164,34 @@ def test_nonnegative_fit_recovers_a_mixture():
         for length in p:
             histogram[length] += x
     assert np.allclose(packing.nonnegative_fit(found, histogram, 3000), [10, 20, 5], atol=0.1)
+
+
+def test_most_short_pieces_are_placed_by_patterns(spark):
+    """At sf0.1's histogram: patterns place nine short pieces of ten, and the sequences are as few as the tokens allow."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    pieces = packing.token_pieces(docs, packing.tokenizer_path("byte_bpe_50k.json"), packing.MAX_TOKENS, False)
+    histogram = np.zeros(packing.MAX_TOKENS + 1, dtype=np.int64)
+    for r in pieces.groupBy("length").count().collect():
+        histogram[r["length"]] = r["count"]
+    tokens = int((histogram * np.arange(len(histogram))).sum())
+    assert sum(c for _, c in packing.plan(histogram)) == -(-tokens // packing.MAX_TOKENS)
+    left = histogram.copy()
+    left[packing.MAX_TOKENS] = 0
+    short = int(left.sum())
+    done = packing.by_patterns(left)
+    assert all(sum(n * m for n, m in runs) == packing.MAX_TOKENS for runs, _ in done)
+    assert short - int(left.sum()) == sum(m * c for runs, c in done for _, m in runs) > 0.9 * short
+
+
+def test_rounding_takes_no_piece_twice():
+    rng = np.random.default_rng(4)
+    histogram = np.bincount(rng.integers(1, 2048, 900), minlength=2049)
+    found = packing.patterns(np.flatnonzero(histogram), 2048)
+    left = histogram.copy()
+    used = packing.rounded(packing.nonnegative_fit(found, histogram), found, left)
+    taken = np.zeros(2049, int)
+    for i, repeat in used:
+        assert repeat > 0
+        for n in found[i]:
+            taken[n] += repeat
+    assert (left >= 0).all() and (histogram - taken == left).all() and used
