@@ -16,8 +16,8 @@ could agree, empty ones count too.
 2. documents with equal sets share a representative; cells that hold two representatives or more are kept.
    (cell, representative) pairs are gathered as packed arrays; of a cell that many of a batch share, one pair of
    the batch is moved and the others are known to be shared, so a cell that all share stays small;
-3. a cell's hub is its most central member; each representative is compared, set by set, with the hub that it
-   shares most cells with: the verified links make a first set of components, in which large groups come together;
+3. a cell's hub is its most central member; each representative is compared, by points and then set by set, with the hub that
+   it shares most cells with: the verified links make a first set of components, in which large groups come together;
 4. a cell all of one component is settled. In the others, members outside the largest component meet
    all members, in blocks of bounded rows: R-tree search by points gives pairs that may be links;
 5. components that such pairs may join form a group; in it the members outside its largest component
@@ -290,6 +290,15 @@ def _whole_groups(batches, keys: list[str]):
         yield pa.Table.from_batches(held)
 
 
+def _likely_stars(batches):
+    """(node, hub) of the rows whose points do not rule the pair out."""
+    for batch in batches:
+        size, hub_size = (batch.column(c).to_numpy() for c in ("n_shingles", "hub_shingles"))
+        point, hub_point = unpacked(batch.column("point")), unpacked(batch.column("hub_point"))
+        shared = np.minimum(np.minimum(point, hub_point).sum(axis=1), np.minimum(size, hub_size))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("hub")], names=["node", "hub"]).filter(pa.array(similar(shared, size, hub_size)))
+
+
 def _may_join(batches):
     """(u, v) components that a pair of points in a block may join.
 
@@ -459,7 +468,10 @@ def ngram_join(docs: DataFrame) -> DataFrame:
 
     # first links: each node with the hub that it shares most cells with
     often = members.where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
-    stars = cut_lineage(often.groupBy("node").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub")), "ngram-stars")
+    stars = often.groupBy("node").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
+    vectors = nodes.select("node", "n_shingles", "point")
+    ends = stars.join(vectors, "node").join(vectors.select(F.col("node").alias("hub"), F.col("n_shingles").alias("hub_shingles"), F.col("point").alias("hub_point")), "hub")
+    stars = cut_lineage(map_arrow(ends, _likely_stars, "node long, hub long"), "ngram-stars")
     known = nodes.select("node", "n_bytes", "signature")
     star = stars.join(known, "node").select(F.col("hub").alias("group"), "node", "n_bytes", "signature")
     pieces = star.groupBy("group").agg(F.ceil(F.sum("n_bytes") / BLOCK_BYTES).cast("int").alias("pieces"))
@@ -475,7 +487,6 @@ def ngram_join(docs: DataFrame) -> DataFrame:
 
     # cells of several components: which of these may similar points join?
     open_ = _blocks(cut_lineage(placed(members.select("cell", "node")), "ngram-open"), "cell", F.lit(1), BLOCK_ROWS)
-    vectors = nodes.select("node", "n_shingles", "point")
     open_ = open_.join(vectors, "node").select("cell", "a", "b", "side", "node", "component", "n_shingles", "point")
     maybe = map_arrow(open_.repartition("cell", "a", "b").sortWithinPartitions("cell", "a", "b", "side", "node"), _may_join, "u long, v long")
     maybe = components(maybe, "ngram-maybe").select(F.col("node").alias("part"), F.col("component").alias("group"))
