@@ -19,6 +19,7 @@ Scale notes
   a < b, so a user holding a third of all rows is spread over many bounded tasks.
 * Users above ``heavy_items`` items take no part in pair generation at all; see
   ``similarity_top_k``.
+* Where items are many, so that pairs seldom repeat within a task, the top k does not move pairs: see ``_top_k_by_item``.
 * Top-k: a rank by (score, number), which has no ties, so that the partial
   WindowGroupLimit before the shuffle leaves at most k rows of an item in a task, however
   many neighbours share the score at the cut.
@@ -35,6 +36,10 @@ from ..session import cut_lineage
 DEFAULT_CHUNK_ITEMS = 1024
 DEFAULT_HEAVY_ITEMS = 8192
 SALTS = 8  # item keys are tried with so many salts before giving up
+FEW_PAIRS = 1 << 20  # a task holds the counts of so many possible pairs, and sends each of them once
+PAIRS_A_TASK = 1 << 21  # pairs that one task counts
+HUB_USERS = 1 << 14  # items of more users are counted in several tasks
+HUB_LEVELS = 24
 
 
 def _item_key(salt: int) -> Column:
@@ -61,9 +66,9 @@ def _keyed(user_items: DataFrame, unique: bool = False) -> tuple[DataFrame, Data
     return cut_lineage(keyed.select("user_id", F.col("iid").alias("item")), "similarity-keyed"), named.select("iid", "item")
 
 
-def _numbered(names: DataFrame) -> DataFrame:
-    """names with ``iid``, their dense number from 0 in the order of ``item``."""
-    placed = names.repartitionByRange("item").sortWithinPartitions("item").select(
+def _numbered(names: DataFrame, by: tuple[str, ...] = ("item",)) -> DataFrame:
+    """names with ``iid``, their dense number from 0 in the order of ``item``, or of the columns ``by``."""
+    placed = names.repartitionByRange(*by).sortWithinPartitions(*by).select(
         "*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
     placed = cut_lineage(placed, "similarity-order")
     counts = placed.groupBy("part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))  # a row for each task
@@ -229,6 +234,141 @@ def _with_heavy_users(light: DataFrame, heavy: DataFrame, holding: DataFrame, k:
     return open_.join(shared, ["item", "neighbour"], "left").select("item", "neighbour", c.alias("c"), _cosine(c).alias("score"))
 
 
+def _ranked_items(enc: DataFrame, big: DataFrame, k: int, heavy_items: int | None) -> tuple[DataFrame, DataFrame]:
+    """Rows (user_id, d, heavy, offered, e) and items (e, item, n, h), with e rising with (n, item).
+
+    e is even for an item whose pairs are all counted: one that no heavy user holds, or one of the k + 1 least
+    of those that the same heavy users hold (``offered``).
+    """
+    rows = enc.join(big, "user_id", "left")
+    heavy = F.coalesce(F.col("d") > heavy_items, F.lit(False)) if heavy_items else F.lit(False)
+    rows = rows.withColumn("heavy", heavy)
+    sets = [F.bit_xor(F.when(F.col("heavy"), F.xxhash64("user_id", F.lit(seed)))).alias(f"s{seed}") for seed in (0, 1)]
+    items = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.count_if("heavy").alias("h"), *sets)
+    items = cut_lineage(_numbered(items, ("n", "item")), "similarity-ranked")
+    if heavy_items:
+        first = F.row_number().over(Window.partitionBy("s0", "s1", "h").orderBy("iid"))
+        offered = items.where("h > 0").withColumn("r", first).where(F.col("r") <= k + 1).select("iid", F.lit(True).alias("offered"))
+        items = items.join(offered, "iid", "left").withColumn("offered", F.coalesce("offered", F.lit(False)))
+    else:
+        items = items.withColumn("offered", F.lit(False))
+    unsure = (F.col("h") > 0) & ~F.col("offered")
+    items = cut_lineage(items.select((2 * F.col("iid") + unsure.cast("bigint")).alias("e"), "item", "n", "h", "offered"), "similarity-ranked")
+    return rows.join(items.select("item", "e", "offered"), "item").select("user_id", "d", "heavy", "offered", "e"), items.drop("offered")
+
+
+def _lower(own: str, other: str) -> Column:
+    """For each x of ``own``, the members of ``other`` below it."""
+    return F.transform(own, lambda x: F.struct(x.alias("x"), F.filter(other, lambda y: y < x).alias("ys")))
+
+
+def _partners(lists: DataFrame, rows: DataFrame, chunk_items: int, has_heavy: bool, multi: bool) -> DataFrame:
+    """(x, ys, early): with each user's item x the user's items below it, in arrays of one chunk.
+
+    ``early``: x is among the first k + 1 of the user's items. Of heavy users only pairs with an offered item are made,
+    each once: blocks (user, a, b) of a chunk of their items and one of their offered items.
+    """
+    early = F.coalesce(F.col("x") <= F.col("till"), F.lit(True)).alias("early")
+    light = lists.where(~F.col("heavy"))
+    made = light.select("es", "till", F.posexplode("es").alias("p", "x")).select("x", F.slice("es", 1, F.col("p")).alias("ys"), early)
+    if multi:
+        other = F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("other")
+        keyed = light.where("nc > 1").select("user_id", "till", "chunk", "es", other)
+        a = keyed.where("chunk < other").select("user_id", "till", F.col("chunk").alias("a"), F.col("other").alias("b"), F.col("es").alias("xa"))
+        b = keyed.where("chunk > other").select("user_id", F.col("other").alias("a"), F.col("chunk").alias("b"), F.col("es").alias("xb"))
+        across = a.join(b, ["user_id", "a", "b"]).select("till", F.inline(F.concat(_lower("xa", "xb"), _lower("xb", "xa"))))
+        made = made.unionByName(across.select("x", "ys", early))
+    if has_heavy:
+        offers = rows.where("heavy AND offered").select("user_id", "e")
+        nb = offers.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / chunk_items).cast("int").alias("nb"))
+        b = offers.join(nb, "user_id").groupBy("user_id", F.pmod(F.xxhash64("e", F.lit(2)), F.col("nb")).cast("int").alias("b")).agg(F.collect_list("e").alias("of"))
+        a = lists.where("heavy").join(nb, "user_id").select("user_id", "till", F.col("chunk").alias("a"), "es", "rest", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("b"))
+        chunks = lists.where("heavy").select("user_id", "nc").distinct()
+        b = b.join(chunks, "user_id").select("user_id", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("a"), "b", "of")
+        met = a.join(b, ["user_id", "a", "b"]).select("till", F.inline(F.concat(_lower("es", "of"), _lower("of", "rest"))))
+        made = made.unionByName(met.select("x", "ys", early))
+    return made.where(F.size("ys") > 0)
+
+
+def _dealt(made: DataFrame, items: DataFrame, tasks: int) -> tuple[DataFrame, list[str]]:
+    """``made`` dealt by x, or with hubs by (x, s), and these keys: an item of up to ``HUB_USERS`` users in one slice, twice as many slices for twice the users."""
+    bounds = [F.min(F.when(F.col("n") > HUB_USERS << t, F.col("e"))).alias(f"t{t}") for t in range(HUB_LEVELS)]
+    firsts = [e for e in items.agg(*bounds).first() if e is not None]
+    if not firsts:
+        return made.repartition(tasks, "x"), ["x"]  # a constant s would be folded out of the keys, and cost a second shuffle
+    slices = F.lit(1)
+    for t, e in enumerate(firsts):
+        slices = F.when(F.col("x") >= e, 2 << t).otherwise(slices)
+    made = made.withColumn("slices", slices)
+    plain = made.where("slices = 1").select("x", F.lit(0).cast("bigint").alias("s"), "ys", "early")
+    cut = (made.where("slices > 1").select("x", "ys", "early", "slices", F.explode(F.expr("array_distinct(transform(ys, y -> pmod(xxhash64(y), slices)))")).alias("s"))
+           .select("x", "s", F.expr("filter(ys, y -> pmod(xxhash64(y), slices) = s)").alias("ys"), "early"))
+    return plain.unionByName(cut).repartition(tasks, "x", "s"), ["x", "s"]
+
+
+def _top_k_by_item(enc: DataFrame, dictionary: DataFrame, k: int, chunk_items: int, heavy_items: int) -> DataFrame:
+    """``similarity_top_k`` of many items: a pair moves as one number in an array, and few counted pairs move at all.
+
+    Items are numbered by (degree, id). A user's items below x go to x as an array, one shuffle dealt by x; pairs are
+    counted where they arrive. Of neighbours with equal c the least numbers score best, so x keeps k below it for each c.
+    In the other direction (x as a neighbour of a lower y) a pair counted once is sent only if x is ``early``:
+    otherwise that user has k more items below x, all of them better neighbours of y. Pairs of two unsure items (see
+    ``_ranked_items``) may share heavy users that were not met; they are all kept, and those whose best possible score
+    reaches the item's k-th known score are counted through the holdings.
+    """
+    big = _big_users(enc, min(chunk_items, heavy_items))
+    has_heavy = not big.where(F.col("d") > heavy_items).isEmpty()
+    rows, items = _ranked_items(enc, big, k, heavy_items if has_heavy else None)
+    kind = "int" if items.agg(F.max("e")).first()[0] < (1 << 31) - 1 else "bigint"
+    rows = rows.withColumn("e", F.col("e").cast(kind))
+    if has_heavy:
+        rows = cut_lineage(rows, "similarity-rows")
+    nc = F.coalesce(F.ceil(F.col("d") / F.lit(chunk_items)).cast("int"), F.lit(1))
+    chunk = F.pmod(F.xxhash64("e"), nc).cast("int")
+    rest = [F.collect_list(F.when(~F.col("offered"), F.col("e"))).alias("rest")] if has_heavy else []
+    lists = rows.groupBy("user_id", chunk.alias("chunk"), nc.alias("nc"), "heavy").agg(F.array_sort(F.collect_list("e")).alias("es"), *rest)
+    lists = cut_lineage(lists, "similarity-lists")
+    multi = not big.where((F.col("d") > chunk_items) & (F.col("d") <= heavy_items)).isEmpty()
+    till = F.get("es", F.lit(k))
+    if multi or has_heavy:
+        firsts = lists.where("nc > 1").groupBy("user_id").agg(F.get(F.array_sort(F.flatten(F.collect_list(F.slice("es", 1, k + 1)))), F.lit(k)).alias("of_all"))
+        lists = lists.join(firsts, "user_id", "left").withColumn("till", F.when(F.col("nc") > 1, F.col("of_all")).otherwise(till))
+    else:
+        lists = lists.withColumn("till", till)
+    spark, size = enc.sparkSession, F.size("es").cast("double")
+    pairs = lists.agg(F.sum(size * F.greatest(size, F.col("nc") * size) / 2)).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(pairs) // PAIRS_A_TASK))
+    met, dealt_by = _dealt(_partners(lists, rows, chunk_items, has_heavy, multi), items, tasks)
+    counted = met.select(*dealt_by, "early", F.explode("ys").alias("y")).groupBy(*dealt_by, "y").agg(
+        F.count(F.lit(1)).alias("c"), F.max("early").alias("early"))
+    place = F.row_number().over(Window.partitionBy(*dealt_by, "c").orderBy("y"))
+    unsure = (F.col("x") % 2 == 1) & (F.col("y") % 2 == 1) if has_heavy else F.lit(False)
+    down, up = (F.col("place") <= k) | unsure, F.col("early") | (F.col("c") > 1) | unsure
+    kept = counted.withColumn("place", place).select("x", "y", "c", down.alias("down"), up.alias("up"), unsure.alias("unsure")).where("down OR up")
+    kept = cut_lineage(kept, "similarity-kept-pairs")
+    ends = [F.when(F.col(flag), F.struct(F.col(i).cast("bigint").alias("e"), F.col(j).cast("bigint").alias("f"), "c", "unsure"))
+            for flag, i, j in (("down", "x", "y"), ("up", "y", "x"))]
+    found = kept.select(F.inline(F.filter(F.array(*ends), lambda end: end.isNotNull())))
+    found = (found.join(items.select(F.col("e").alias("f"), F.col("item").alias("neighbour"), F.col("n").alias("m"), F.col("h").alias("g")), "f")
+             .join(items, "e").select("e", "f", "item", "neighbour", "c", "n", "m", "h", "g", "unsure"))
+    if has_heavy:
+        found = _with_unsure(cut_lineage(found, "similarity-found"), rows.where("heavy").select("user_id", "e"), k)
+    best = _best(found.select("item", "neighbour", "c", _cosine(F.col("c")).alias("score")), k)
+    return _decode(best, dictionary).select("item", "neighbour", "c", "score", "rank")
+
+
+def _with_unsure(found: DataFrame, holding: DataFrame, k: int) -> DataFrame:
+    """``found`` with the heavy users that unsure pairs share added to their counts; those that cannot be in a top k are left out."""
+    floor = (_best(found.select("item", "neighbour", _cosine(F.col("c")).alias("score")), k).groupBy("item")
+             .agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("known")).where(F.col("known") >= k).select("item", "least"))
+    most = _cosine(F.col("c") + F.least("h", "g"))
+    open_ = cut_lineage(found.where("unsure").join(floor, "item", "left").where(F.col("least").isNull() | (most >= F.col("least"))).drop("least"), "similarity-open")
+    shared = (open_.select("e", "f").join(holding, "e").join(holding.select("user_id", F.col("e").alias("f")), ["user_id", "f"])
+              .groupBy("e", "f").agg(F.count(F.lit(1)).alias("shared")))
+    more = open_.join(shared, ["e", "f"], "left").withColumn("c", F.col("c") + F.coalesce("shared", F.lit(0))).select(*found.columns)
+    return found.where(~F.col("unsure")).unionByName(more)
+
+
 def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int = DEFAULT_CHUNK_ITEMS,
                      heavy_items: int = DEFAULT_HEAVY_ITEMS, unique: bool = False) -> DataFrame:
     """(item, neighbour, c, score, rank) for the k best neighbours of every item.
@@ -248,6 +388,9 @@ def similarity_top_k(user_items: DataFrame, k: int = R.TOP_K, chunk_items: int =
     repeated rows.
     """
     enc, dictionary = _keyed(user_items, unique)
+    n_items = dictionary.count()
+    if n_items * (n_items - 1) // 2 > FEW_PAIRS:
+        return _top_k_by_item(enc, dictionary, k, chunk_items, heavy_items)
     big = _big_users(enc, min(chunk_items, heavy_items))
     has_heavy = not big.where(F.col("d") > heavy_items).isEmpty()
     rows = _with_degrees(enc, big, heavy_items if has_heavy else None)

@@ -4,6 +4,8 @@ import itertools
 import math
 import random
 
+import pytest
+
 from tagloom.operators import push, similarity, slots
 
 
@@ -247,3 +249,45 @@ def test_item_numbers_rise_with_the_strings(spark):
     assert [i for i, _ in sorted(number.items(), key=lambda x: x[1])] == sorted(items, key=lambda i: i.encode())
     assert sorted(number.values()) == list(range(len(items)))
     assert {(r.user_id, r["item"]) for r in enc.collect()} == {(f"u{n % 7}", number[i]) for n, i in enumerate(items * 2)}
+
+
+@pytest.mark.parametrize("hub", [1 << 14, 4])
+def test_top_k_by_item_equals_brute_force(spark, monkeypatch, hub):
+    """Many items: pairs are counted at their item, hubs in slices; every bound gives the same rows and counts."""
+    monkeypatch.setattr(similarity, "FEW_PAIRS", 0)
+    monkeypatch.setattr(similarity, "HUB_USERS", hub)
+    rnd = random.Random(11)
+    pairs = [(f"u{rnd.randrange(40)}", f"i{rnd.randrange(60)}") for _ in range(500)]
+    pairs += [("h1", f"i{x}") for x in range(0, 45)] + [("h2", f"i{x}") for x in range(20, 60)]
+    pairs += [("h3", f"i{x}") for x in range(0, 60, 3)] + [("h4", f"i{x}") for x in range(55, 90)]  # many items of h4 alone: not all offered
+    pairs += [(f"p{x}", f"q{x % 2}") for x in range(8)] + [("p1", "i3"), ("z", "alone")]
+    want, users = _brute_top(pairs, 6), {}
+    for u, i in set(pairs):
+        users.setdefault(i, set()).add(u)
+    for chunk, heavy in ((1024, 8192), (5, 8192), (1024, 25), (7, 25), (3, 3)):
+        got = similarity.similarity_top_k(_ui(spark, pairs), 6, chunk_items=chunk, heavy_items=heavy).collect()
+        assert {(r.item, r.neighbour, r.rank) for r in got} == want, (chunk, heavy)
+        assert all(r.c == len(users[r.item] & users[r.neighbour]) for r in got)
+
+
+@pytest.mark.parametrize("hub", [1 << 14, 4])
+def test_pairs_of_many_items_move_as_arrays(spark, monkeypatch, hub):
+    """Pairs are made, counted and placed after one shuffle of arrays, and few of them are kept."""
+    monkeypatch.setattr(similarity, "FEW_PAIRS", 0)
+    monkeypatch.setattr(similarity, "HUB_USERS", hub)
+    seen, real = {}, similarity.cut_lineage
+
+    def cut(df, name, *args, **kw):
+        out = real(df, name, *args, **kw)
+        if name == "similarity-kept-pairs":
+            seen["plan"], seen["kept"] = df._jdf.queryExecution().executedPlan().toString(), out.count()
+        return out
+
+    monkeypatch.setattr(similarity, "cut_lineage", cut)
+    pairs = [(f"u{u}", f"i{(u * 37 + x * x) % 2000}") for u in range(200) for x in range(40)]
+    similarity.similarity_top_k(_ui(spark, pairs), 6).collect()
+    held = {}
+    for u, i in set(pairs):
+        held.setdefault(u, set()).add(i)
+    assert 0 < seen["kept"] < sum(len(h) * (len(h) - 1) // 2 for h in held.values()) / 3
+    assert seen["plan"].split("== Initial Plan ==")[0].count("Exchange") == 1
