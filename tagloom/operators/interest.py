@@ -15,10 +15,13 @@ user without rows today: unchanged.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,12 +86,17 @@ def empty_state(spark) -> DataFrame:
     return spark.createDataFrame([], STATE_SCHEMA)
 
 
-def decimal_literal(x: float) -> str:
-    """A parameter as an SQL decimal of just its own digits (nothing is rounded)."""
+def _decimal(x: float) -> tuple[Decimal, int]:
     d = Decimal(repr(float(x)))
     scale = max(2, -d.as_tuple().exponent)
     if scale > 12 or abs(d) >= 10**6:
         raise ValueError(f"{x!r} has more digits than a weight parameter can have")
+    return d, scale
+
+
+def decimal_literal(x: float) -> str:
+    """A parameter as an SQL decimal of just its own digits (nothing is rounded)."""
+    d, scale = _decimal(x)
     return f"CAST('{d:f}' AS DECIMAL({scale + 6},{scale}))"
 
 
@@ -207,13 +215,75 @@ def replay_interest(behavior: DataFrame, days: Iterable[str], prev: DataFrame |
 WORD = 62  # days whose presence one long holds
 
 
+def _bits(days: str, word: int) -> str:
+    """SQL for the days of one word of an array, as a bit each."""
+    return f"aggregate(filter({days}, d -> d DIV {WORD} = {word}), 0L, (a, d) -> a | shiftleft(1L, d % {WORD}))"
+
+
+def _times(base: np.ndarray, by: int, unit: int) -> tuple[np.ndarray, np.ndarray]:
+    """base * by, exactly, and that divided by unit and rounded half away from zero."""
+    if base.size and max(int(base.max()), -int(base.min())) * abs(by) + unit >= 1 << 63:
+        base = base.astype(object)  # Python's integers
+    raw = base * by
+    return raw, np.where(raw < 0, -1, 1) * ((abs(raw) + unit // 2) // unit)
+
+
+def _course(n_days: int, keep_stale: bool, decay: tuple[Decimal, int], threshold: tuple[Decimal, int]):
+    """Batches of cells (user_id, family, tag, cur, news, t0.., k0..) folded over their users' days.
+
+    Weights are in hundredths, as integers. t has a bit for each day on which the user takes part, k for those of them on which
+    they are known; the result has one for each of them after which the cell is there.
+    """
+    unit = 10 ** decay[1]
+    by = int(decay[0].scaleb(decay[1]))
+    least = int(threshold[0].scaleb(threshold[1])) * 100 * unit // 10 ** threshold[1]  # in units of weight * decay
+
+    def fold(batch: pa.RecordBatch) -> pa.RecordBatch:
+        old, news, size = batch.column("cur"), batch.column("news"), batch.num_rows
+        has, cur = pc.is_valid(old).to_numpy(zero_copy_only=False), pc.fill_null(old, 0).to_numpy().copy()
+        entries = news.flatten()
+        cell = np.repeat(np.arange(size), pc.fill_null(pc.list_value_length(news), 0).to_numpy())
+        day, new = entries.field("i").to_numpy(zero_copy_only=False), entries.field("n").to_numpy(zero_copy_only=False)
+        order = np.argsort(day, kind="stable")
+        cell, day, new = cell[order], day[order], new[order]
+        starts = np.searchsorted(day, np.arange(n_days + 1))
+        words = range(-(-n_days // WORD))
+        takes, knows = ([batch.column(f"{c}{j}").to_numpy() for j in words] for c in "tk")
+        there = [np.zeros(size, np.int64) for _ in words]
+        n, n_has = np.zeros(size, np.int64), np.zeros(size, bool)
+        for d in range(n_days):
+            word, bit = divmod(d, WORD)
+            at = np.nonzero(takes[word] >> bit & 1)[0]
+            if not len(at):
+                continue
+            of_day = slice(starts[d], starts[d + 1])
+            n[cell[of_day]], n_has[cell[of_day]] = new[of_day], True
+            c, h, x, seen, known = cur[at], has[at], n[at], n_has[at], (knows[word][at] >> bit & 1).astype(bool)
+            raw, rounded = _times(np.where(known, c + x, x), by, unit)
+            high = (raw > least).astype(bool)
+            stays = np.where(known, high | (h & keep_stale), True) & (h | seen)
+            after = np.where(stays, np.where(np.where(known, high, seen), rounded, c), 0)
+            if len(after) and max(int(after.max()), -int(after.min())) >= 10**18:
+                raise OverflowError("a weight is too large for DECIMAL(18,2)")
+            cur[at], has[at] = after.astype(np.int64), stays
+            there[word][at] |= stays.astype(np.int64) << bit
+            n[cell[of_day]], n_has[cell[of_day]] = 0, False
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("user_id", "family", "tag")), pa.array(cur, mask=~has), *map(pa.array, there)],
+                                          names=["user_id", "family", "tag", "cur", *(f"w{j}" for j in words)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return map(fold, batches)
+
+    return run
+
+
 def _folded(per_day: DataFrame, days: list[str], prev: DataFrame | None, expire: str, decay_inactive: bool,
             decay: float, threshold: float) -> DataFrame:
     """The state after all days, folding every cell over its user's days.
 
     A cell's course depends on other cells only through its user's known flags, one for each day on which the user
     takes part: whether both families had a cell before it. With flags given, cells are folded
-    independently of each other, by higher-order functions over at most one entry a day; each says after which days it
+    independently of each other, a batch at a time (``_course``); each says after which days it
     is there, in bits that are joined by user and family into the flags that hold. The first
     flags assume that no family ever expires whole; if the flags that come out differ, the cells are folded again. Flags of the first k days are
     right after k rounds, and mostly all are after one or two. Users of few days cost few entries.
@@ -221,7 +291,6 @@ def _folded(per_day: DataFrame, days: list[str], prev: DataFrame | None, expire:
     if expire not in ("drop", "keep_stale"):
         raise ValueError("expire must be 'drop' or 'keep_stale'")
     spark, w = per_day.sparkSession, "DECIMAL(18,2)"
-    dec, thr = decimal_literal(decay), decimal_literal(threshold)
     words = range(-(-len(days) // WORD))
     number = F.array_position(F.array(*[F.lit(d) for d in days]), F.col("dt")) - 1
     rows = per_day.select("user_id", "family", "tag", number.cast("int").alias("i"), F.col("new_w").cast(WEIGHT).alias("new_w"))
@@ -231,7 +300,7 @@ def _folded(per_day: DataFrame, days: list[str], prev: DataFrame | None, expire:
                   else f"SELECT DISTINCT user_id FROM {v['rows']}")
         active = f"SELECT b.* FROM {v['before']} b LEFT SEMI JOIN ({taking}) u ON b.user_id <=> u.user_id"
         cells = spark.sql(f"""
-SELECT user_id, family, tag, MAX(old_w) AS old_w, map_from_entries(collect_list(IF(i IS NULL, NULL, struct(i, new_w)))) AS news
+SELECT user_id, family, tag, CAST(MAX(old_w) * 100 AS BIGINT) AS cur, collect_list(IF(new_w IS NULL, NULL, struct(i, CAST(new_w * 100 AS BIGINT) AS n))) AS news
 FROM (SELECT user_id, family, tag, CAST(NULL AS {w}) AS old_w, i, new_w FROM {v['rows']}
       UNION ALL SELECT user_id, family, tag, old_w, NULL, NULL FROM ({active}) a) c
 GROUP BY user_id, family, tag""")
@@ -247,22 +316,18 @@ FROM (SELECT user_id, {own_days} AS days, {firsts[0]} AS a, {firsts[1]} AS b,
         users = cut_lineage(users, "interest-users")
         others = None if decay_inactive or prev is None else spark.sql(
             f"SELECT b.user_id, b.family, b.tag, b.old_w AS weight FROM {v['before']} b LEFT ANTI JOIN {v['rows']} u ON b.user_id <=> u.user_id")
-    stale = "s.cur" if expire == "keep_stale" else f"CAST(NULL AS {w})"
-    raw = f"(COALESCE(s.cur, CAST(0 AS {w})) + COALESCE(x.n, CAST(0 AS {w}))) * {dec}"
-    step = (f"CASE WHEN s.cur IS NULL AND x.n IS NULL THEN NULL WHEN x.known THEN CASE WHEN {raw} > {thr} THEN CAST(ROUND({raw}, 2) AS {w}) ELSE {stale} END "
-            f"WHEN x.n IS NOT NULL THEN CAST(ROUND(x.n * {dec}, 2) AS {w}) ELSE s.cur END")
-    course = F.expr(f"""
-aggregate(transform(days, (d, k) -> struct(k AS k, known[k] AS known, try_element_at(news, d) AS n)),
-          named_struct('cur', CAST(old_w AS {w}), 'there', CAST(array() AS array<int>)),
-          (s, x) -> named_struct('cur', {step}, 'there', IF(({step}) IS NULL, s.there, concat(s.there, array(x.k)))))""")
-    bits = [F.expr(f"aggregate(filter(there, k -> k DIV {WORD} = {j}), 0L, (a, k) -> a | shiftleft(1L, k % {WORD}))").alias(f"w{j}") for j in words]
     while True:
-        folded = cells.alias("c").join(users.alias("u"), F.col("c.user_id").eqNullSafe(F.col("u.user_id"))).select(
-            "c.user_id", "family", "tag", course.alias("course")).select("user_id", "family", "tag", "course.cur", "course.there")
-        folded = cut_lineage(folded.select("user_id", "family", "tag", F.col("cur").alias("weight"), *bits), "interest-folded")
+        dealt = users.select(F.col("user_id").alias("u"), *[F.expr(_bits("days", j)).alias(f"t{j}") for j in words],
+                             *[F.expr(_bits("filter(zip_with(days, known, (d, f) -> IF(f, d, NULL)), d -> d IS NOT NULL)", j)).alias(f"k{j}") for j in words])
+        joined = cells.join(dealt, F.col("user_id").eqNullSafe(F.col("u"))).drop("u")
+        schema = T.StructType([*STATE_SCHEMA.fields[:3], T.StructField("cur", T.LongType()), *[T.StructField(f"w{j}", T.LongType()) for j in words]])
+        folded = joined.mapInArrow(_course(len(days), expire == "keep_stale", _decimal(decay), _decimal(threshold)), schema)
+        weight = (F.col("cur").cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(WEIGHT)
+        folded = cut_lineage(folded.select("user_id", "family", "tag", weight.alias("weight"), *[f"w{j}" for j in words]), "interest-folded")
         there = [F.array(*[F.bit_or(F.when(F.col("family") == f, F.col(f"w{j}"))) for j in words]).alias(f) for f in (TYPE_FAMILY, PRODUCT_FAMILY)]
         per_user = folded.groupBy("user_id").agg(*there)
-        on = [f"COALESCE(shiftright({f}[(k - 1) DIV {WORD}], (k - 1) % {WORD}) & 1, 0) = 1" for f in (TYPE_FAMILY, PRODUCT_FAMILY)]
+        # a family is there if it was after the user's day before
+        on = [f"COALESCE(shiftright({f}[days[k - 1] DIV {WORD}], days[k - 1] % {WORD}) & 1, 0) = 1" for f in (TYPE_FAMILY, PRODUCT_FAMILY)]
         flags = F.expr(f"transform(days, (d, k) -> IF(k = 0, was_known, {on[0]} AND {on[1]}))")
         again = users.alias("u").join(per_user.alias("p"), F.col("u.user_id").eqNullSafe(F.col("p.user_id")), "left").select(
             "u.user_id", "days", "was_known", flags.alias("held"), "known")

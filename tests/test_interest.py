@@ -162,3 +162,26 @@ def test_all_days_at_once_equal_day_by_day(spark, monkeypatch):
     assert _as_dict(I.replay_interest(beh, days[10:], prev=prev)) == _as_dict(I.replay_interest(beh, days))
     few, many = (_jobs(spark, lambda n=n: I.replay_interest(beh, days[:n]).collect()) for n in (10, 30))
     assert many <= few + 8  # a further round at most
+
+
+def test_days_are_folded_in_batches_of_exact_integers(spark, monkeypatch):
+    """Cells are folded by batches and not by an interpreted expression a day; weights beyond 64 bits once multiplied, and more days than a word, stay exact."""
+    plans, real = [], I.cut_lineage
+
+    def cut(df, name, *args, **kw):
+        if name == "interest-folded":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name, *args, **kw)
+
+    monkeypatch.setattr(I, "cut_lineage", cut)
+    days = [f"d{i:03d}" for i in range(70)]
+    big, decay = D("9999999999999999.99"), 0.123456789
+    rows = [("u", days[0], "be_tags", "t", big), ("u", days[0], "prod_tags", "p", D("1.00")), ("u", days[64], "be_tags", "t", -big),
+            ("u", days[69], "prod_tags", "p", D("7.77")), (None, days[3], "be_tags", "t", D("-0.50")), ("v", days[69], "prod_tags", "p", None)]
+    per_day = spark.createDataFrame(rows, "user_id string, dt string, family string, tag string, new_w decimal(18,2)")
+    got = {(r.user_id, r.tag): r.weight for r in I._folded(per_day, days, None, "drop", False, decay, 0.0).collect()}
+    q = lambda x: x.quantize(D("0.01"), "ROUND_HALF_UP")
+    first = q(big * D(repr(decay)))
+    assert (first - big) * D(repr(decay)) < 0  # so the type cell expires on day 64, and the user is new again on day 69
+    assert got == {("u", "p"): q(D("7.77") * D(repr(decay))), (None, "t"): q(D("-0.50") * D(repr(decay)))}
+    assert plans and all("MapInArrow" in plan and "lambda" not in plan.split("MapInArrow")[0] for plan in plans)
