@@ -5,14 +5,14 @@ by one backslash between ``<`` and ``|`` (any that stand there get one more), wh
 Every assistant turn is a training example of its own: all formatted turns before it are the context,
 and only its reply is under the loss mask.
 
-An example is kept by reference: the formatted turns of a conversation are stored once, as segments
-with their offsets, and an example is (conversation, end of context, start and end of the target) with
-the digest of its whole context. So the output grows with the input; written out as text, a
-conversation of n turns takes n times its own length (``example_texts`` does that on demand). Both
-tables are written; the loss text is read from the examples' targets only, and the text before every
-target is checked against its example's digest. Segments are made and read by streaming over the
-sorted turns of each conversation, one turn at a time, so a very long conversation needs no more
-memory than its longest turn (its digests are sequential, so they are made in one task).
+The formatted turns of a conversation are written once, as segments with their offsets, and every
+example is written out: its whole context, its target and the target's closing. So the examples of a
+conversation of n turns take up to n times its own length; that is what the expansion is. The loss text
+is read from the written examples' targets only, and the written context, target and closing are checked
+against the segments; a context moves for that as its digest. Segments are made and read, and examples
+made, by streaming over the sorted turns of each conversation, one turn at a time: making an example
+takes memory for its context, reading takes it for the longest turn (the digests of a conversation
+are sequential, so they are made in one task).
 
 Defined results: null roles and texts are empty; turns are ordered by turn, then role, then text,
 null turns first; repeated rows are turns of their own; rows with a null conv_id are one conversation.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm import textvec
 from tagloom.llm.batches import map_arrow, text_slices
-from tagloom.session import cut_lineage
+from tagloom.session import cut_lineage, scratch_folder
 
 START, END = "<|im_start|>", "<|im_end|>"
 TARGET_ROLE = "assistant"
@@ -68,8 +68,10 @@ def parse_segment(formatted: str) -> tuple[str, str]:
     return unescape_role(m[1]), unescape(m[2])
 
 
-_SCHEMA = "conv_id long, n long, segment string, start long, target_start long, target_end long, context_sha256 string"
+_SCHEMA = "conv_id long, n long, segment string, start long, target_start long, target_end long"
+_EXAMPLE = "conv_id long, turn_index long, context_end long, target_start long, target_end long, context string, target string, rest string"
 _NAMES = ["conv_id", "n", "segment", "start", "target_start", "target_end"]
+_EXAMPLE_NAMES = [column.split()[0] for column in _EXAMPLE.split(", ")]
 
 
 def _rows(batches, columns: list[str], text: str) -> Iterator[list[tuple]]:
@@ -86,23 +88,22 @@ def _digest(before, opening: str) -> str:
 
 
 def segments(conversations: DataFrame) -> DataFrame:
-    """Formatted turns with their offsets in the conversation; a target's offsets and the digest of its context where one is trainable."""
+    """Formatted turns with their offsets in the conversation, and a target's offsets where one is trainable."""
 
     def run(batches):
-        conv, n, at, begun, before = None, 0, 0, False, hashlib.sha256()
+        conv, n, at, begun = None, 0, 0, False
         for rows in _rows(batches, ["conv_id", "role", "text"], "text"):
             out = []
             for conv_id, role, text in rows:
                 if not begun or conv_id != conv:
-                    conv, n, at, begun, before = conv_id, 0, 0, True, hashlib.sha256()
+                    conv, n, at, begun = conv_id, 0, 0, True
                 formatted, a, b = segment(role, text)
-                target = (at + a, at + b, _digest(before, formatted[:a])) if role == TARGET_ROLE else (None, None, None)
+                target = (at + a, at + b) if role == TARGET_ROLE else (None, None)
                 out.append((conv_id, n, formatted, at, *target))
-                before.update(formatted.encode())
                 n, at = n + 1, at + len(formatted)
-            columns = list(zip(*out)) or [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[*_NAMES, "context_sha256"])
+            columns = list(zip(*out)) or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES)
 
     turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                                  *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")))
@@ -110,13 +111,7 @@ def segments(conversations: DataFrame) -> DataFrame:
 
 
 def examples(formatted: DataFrame) -> DataFrame:
-    """One row for each trainable turn: its context is the conversation's text up to ``target_start``."""
-    return formatted.where(F.col("target_start").isNotNull()).select(
-        "conv_id", F.col("n").alias("turn_index"), F.col("target_start").alias("context_end"), "target_start", "target_end", "context_sha256")
-
-
-def example_texts(formatted: DataFrame) -> DataFrame:
-    """Every example written out: context with the target's opening, target, closing."""
+    """One row for each trainable turn, written out: all text before the target (up to ``target_start``), the target, its closing."""
 
     def run(batches):
         conv, before, begun = None, "", False
@@ -125,22 +120,25 @@ def example_texts(formatted: DataFrame) -> DataFrame:
                 if not begun or conv_id != conv:
                     conv, before, begun = conv_id, "", True
                 if a is not None:
-                    a, b = a - start, b - start
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([conv_id], pa.int64()), pa.array([n], pa.int64()), pa.array([before + formatted[:a]]),
-                         pa.array([formatted[a:b]]), pa.array([formatted[b:]])],
-                        names=["conv_id", "turn_index", "context", "target", "rest"])
+                    i, j = a - start, b - start
+                    values = [conv_id, n, a, a, b, before + formatted[:i], formatted[i:j], formatted[j:]]
+                    kinds = [pa.int64()] * 5 + [pa.string()] * 3
+                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=_EXAMPLE_NAMES)
                 before += formatted
 
-    return map_arrow(
-        formatted.repartition("conv_id").sortWithinPartitions("conv_id", "n"), run, "conv_id long, turn_index long, context string, target string, rest string")
+    return map_arrow(formatted.repartition("conv_id").sortWithinPartitions("conv_id", "n"), run, _EXAMPLE)
+
+
+def example_texts(formatted: DataFrame) -> DataFrame:
+    """Every example as text: context with the target's opening, target, closing."""
+    return examples(formatted).select("conv_id", "turn_index", "context", "target", "rest")
 
 
 def read_back(formatted: DataFrame, found: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, from segments and examples alone.
 
-    Turns come from the segments' texts, the loss only from the examples' targets. An example whose
-    context is not what the segments hold before its target is an error.
+    Turns come from the segments' texts, the loss only from the examples' targets. An example whose context, target
+    or closing is not what the segments hold is an error.
     """
 
     def run(batches):
@@ -167,7 +165,9 @@ def read_back(formatted: DataFrame, found: DataFrame) -> DataFrame:
                     opening = last[: a - last_start] if n_turn == last_n and start == a else ""
                     if not opening or _digest(before, opening) != context:
                         raise ValueError(f"conversation {conv_id}: the context of example {n_turn} is not in the segments")
-                    target = unescape(last[a - last_start : b - last_start])
+                    if formatted != last[a - last_start :]:
+                        raise ValueError(f"conversation {conv_id}: the target of example {n_turn} is not in the segments")
+                    target = unescape(formatted[: b - a])
                     loss.update(target.encode())
                     loss_chars += len(target)
                     continue
@@ -187,13 +187,20 @@ def read_back(formatted: DataFrame, found: DataFrame) -> DataFrame:
     # both tables meet by conversation, each example right after the segment that holds its target
     turns = formatted.selectExpr("conv_id", "n", "false AS example", "segment", "start", "CAST(null AS long) AS target_start",
                                  "CAST(null AS long) AS target_end", "CAST(null AS string) AS context_sha256")
-    refs = found.selectExpr("conv_id", "turn_index AS n", "true AS example", "'' AS segment", "context_end AS start",
-                            "target_start", "target_end", "context_sha256")
+    refs = found.selectExpr("conv_id", "turn_index AS n", "true AS example", "target || rest AS segment", "context_end AS start",
+                            "target_start", "target_end", "sha2(context, 256) AS context_sha256")
     both = turns.unionByName(refs).repartition("conv_id").sortWithinPartitions("conv_id", "n", "example")
     return map_arrow(both, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+def written(found: DataFrame) -> DataFrame:
+    """Examples as written to JSON lines and read again: a line at a time, however long the contexts are."""
+    path = scratch_folder(found.sparkSession, "examples")
+    found.write.option("zlib.compress.level", "BEST_SPEED").json(path, compression="gzip")
+    return found.sparkSession.read.schema(_EXAMPLE).option("mode", "FAILFAST").option("maxStringLen", 2**31 - 1).json(path)
+
+
 def round_trip(conversations: DataFrame) -> DataFrame:
     """Format all conversations, write their segments and examples, and read both back."""
     formatted = cut_lineage(segments(conversations), "chat")
-    return read_back(formatted, cut_lineage(examples(formatted), "examples"))
+    return read_back(formatted, written(examples(formatted)))

@@ -129,3 +129,21 @@ def test_loss_comes_from_examples_and_contexts_are_checked(spark):
     for wrong in (formatted.selectExpr("conv_id", "n", "replace(segment, 'q', 'r') AS segment", "start"), formatted.where("n != 1")):
         with pytest.raises(Exception, match="is not in the segments"):
             chat.read_back(wrong, found).collect()
+
+
+def test_examples_are_written_out_and_read_back_from_their_texts(spark, monkeypatch):
+    made, real = {}, chat.read_back
+    monkeypatch.setattr(chat, "read_back", lambda formatted, found: made.update(chat=formatted, examples=found) or real(formatted, found))
+    chat.round_trip(turns(spark)).collect()
+    assert "examples-" in made["examples"].inputFiles()[0]
+    segments = {(r.conv_id, r.n): r.segment for r in made["chat"].collect()}
+    texts = made["examples"].collect()
+    assert len(texts) == 5
+    for r in texts:
+        whole = "".join(segments[r.conv_id, n] for n in range(r.turn_index + 1))
+        assert r.context + r.target + r.rest == whole and len(r.context) == r.target_start
+    found = made["examples"]
+    for wrong in (found.selectExpr("* EXCEPT (context)", "context || 'x' AS context"), found.selectExpr("* EXCEPT (target)", "target || 'x' AS target"),
+                  found.selectExpr("* EXCEPT (rest)", "'' AS rest")):
+        with pytest.raises(Exception, match="is not in the segments"):
+            real(made["chat"], wrong).collect()
