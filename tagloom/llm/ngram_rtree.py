@@ -13,11 +13,12 @@ similar to one of the next class has that class's cells too. Where so many slice
 could agree, empty ones count too.
 
 1. one pass over the texts writes each document's set size, set signature, point and cells;
-2. documents with equal sets share a representative; cells that hold two representatives or more are kept.
-   (cell, representative) pairs are gathered as packed arrays; of a cell that many of a batch share, one pair of
-   the batch is moved and the others are known to be shared, so a cell that all share stays small;
-3. a cell's hub is its most central member; each representative is compared, by points and then set by set, with the hub that
-   it shares most cells with: the verified links make a first set of components, in which large groups come together;
+2. documents with equal sets share a tag, the hash of their set signature, and a representative; cells that hold two tags
+   or more are kept. (cell, tag) pairs are gathered as packed arrays, from where the cells were made; of a cell that many of
+   a batch share, one pair of the batch is moved and the others are known to be shared, so a cell that all share stays
+   small. Tags of shared cells are then looked up, and the points of the representatives that they stand for;
+3. a cell's hub is its most central member; each representative is compared, by points, fine points and then set by set, with
+   the hub that it shares most cells with: the verified links make a first set of components, in which large groups come together;
 4. a cell all of one component is settled. In the others, members outside the largest component meet
    all members, in blocks of bounded rows: R-tree search by points gives pairs that may be links;
 5. components that such pairs may join form a group; in it the members outside its largest component
@@ -53,6 +54,7 @@ PACKED_PAIRS = 1 << 22  # (cell, node) pairs that one task gathers
 LEAF, CHILDREN = 32, 8  # points of a leaf page, children of a node
 BLOCK_ROWS = 4096
 PAIRS = 1 << 15  # pairs of points that are compared at a time
+FINE_ROWS = 1 << 10  # pairs of fine points that are held at a time
 BLOCK_BYTES = 8 << 20
 
 
@@ -142,7 +144,7 @@ def cells(sets: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """Cells of each set: a hash of every slice's group counts, for its size class and, if a similar set may be of it, the next."""
     size = np.diff(bounds)
     low = size_classes(int(size.max(initial=0)) * 2 + 2)
-    weight = textvec.mix((sets & np.uint64(0xFFFF)) + np.uint64(1))  # a token's group within its slice
+    weight = textvec.mix((sets & np.uint64(0xFFFFFFFF)) + np.uint64(1))  # a token's group within its slice; few groups would meet by chance
     out = []
     for i, n in enumerate(size.tolist()):
         own, largest = [], n * 100 // PERCENT
@@ -291,12 +293,19 @@ def _whole_groups(batches, keys: list[str]):
 
 
 def _likely_stars(batches):
-    """(node, hub) of the rows whose points do not rule the pair out."""
+    """(node, hub) of the rows whose points, and then fine points, do not rule the pair out."""
     for batch in batches:
         size, hub_size = (batch.column(c).to_numpy() for c in ("n_shingles", "hub_shingles"))
         point, hub_point = unpacked(batch.column("point")), unpacked(batch.column("hub_point"))
         shared = np.minimum(np.minimum(point, hub_point).sum(axis=1), np.minimum(size, hub_size))
-        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("hub")], names=["node", "hub"]).filter(pa.array(similar(shared, size, hub_size)))
+        may = batch.filter(pa.array(similar(shared, size, hub_size)))
+        for a in range(0, may.num_rows, FINE_ROWS):
+            part = may.slice(a, FINE_ROWS)
+            size, hub_size = (part.column(c).to_numpy() for c in ("n_shingles", "hub_shingles"))
+            fine = FinePoints(pa.concat_arrays([part.column("fine"), part.column("hub_fine")]))
+            shared = np.array([fine.shared(x, np.array([x + part.num_rows]))[0] for x in range(part.num_rows)])
+            kept = pa.array(similar(np.minimum(shared, np.minimum(size, hub_size)), size, hub_size))
+            yield part.select(["node", "hub"]).filter(kept)
 
 
 def _may_join(batches):
@@ -373,6 +382,14 @@ def _verified(batches):
             yield _links(*(node[list(at)] for at in zip(*found)))
 
 
+def _sorted_pairs(cell: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs by cell and node: copies bring the same ones."""
+    order = np.lexsort((node, cell))
+    cell, node = cell[order], node[order]
+    new = np.concatenate((np.ones(min(len(cell), 1), bool), (cell[1:] != cell[:-1]) | (node[1:] != node[:-1])))
+    return cell[new], node[new]
+
+
 def _packed(parts: int):
     """Rows (part, cells, nodes) of each batch: packed pairs dealt by cell, and those that the batch itself shows to be shared.
 
@@ -385,8 +402,7 @@ def _packed(parts: int):
             cell, node = lists.flatten().to_numpy(), np.repeat(batch.column("node").to_numpy(), lists.value_lengths().to_numpy())
             if not len(cell):
                 continue
-            order = np.lexsort((node, cell))
-            cell, node = cell[order], node[order]
+            cell, node = _sorted_pairs(cell, node)
             first = np.concatenate(([True], cell[1:] != cell[:-1]))
             shared = np.repeat(np.diff(np.append(np.flatnonzero(first), len(cell))) > 1, np.diff(np.append(np.flatnonzero(first), len(cell))))
             for offset, rows in ((0, first), (parts, shared)):
@@ -409,8 +425,7 @@ def _shared(parts: int):
         for group in adjacent_groups(batches, ["part"]):
             cell, node = (np.frombuffer(b"".join(group[c].to_pylist()), dtype=np.int64) for c in ("cells", "nodes"))
             if group["part"][0].as_py() < parts:
-                order = np.lexsort((node, cell))
-                cell, node = cell[order], node[order]
+                cell, node = _sorted_pairs(cell, node)
                 again = cell[1:] == cell[:-1]
                 rows = np.concatenate(([False], again)) | np.concatenate((again, [False]))
                 cell, node = cell[rows], node[rows]
@@ -448,9 +463,6 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     every = cut_lineage(described(docs).withColumn("row", F.monotonically_increasing_id()), "ngram-sets")
     sized = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
     copies = cut_lineage(sized.groupBy("signature").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("n")), "ngram-copies")
-    firsts = copies.select(F.col("first.row").alias("first_row"))
-    firsts = sized.join(firsts, F.col("row") == F.col("first_row"), "left_semi").withColumnRenamed("doc_id", "node")
-    nodes = cut_lineage(firsts.select("node", "n_shingles", "n_bytes", "signature", "point", "fine"), "ngram-nodes")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if not sized.groupBy("doc_id").count().where("count > 1").isEmpty():
         texts = texts.dropDuplicates(["doc_id", "text"])
@@ -458,9 +470,17 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     # cells that hold several nodes, and their hubs
     pairs = sized.agg(F.sum(F.size("cells"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs // PACKED_PAIRS))
-    packed = map_arrow(firsts.select("node", "cells"), _packed(parts), "part long, cells binary, nodes binary")
+    # cells are packed where they were made: copies go under one tag, and only tags of shared cells are looked up
+    tag = F.xxhash64("signature")
+    packed = map_arrow(sized.select(tag.alias("node"), "cells"), _packed(parts), "part long, cells binary, nodes binary")
     held = map_arrow(packed.repartition("part").sortWithinPartitions("part"), _shared(parts), "cell long, node long")
-    held = cut_lineage(held.distinct(), "ngram-held")
+    tags = copies.select(tag.alias("tag"), F.col("first.doc_id").alias("first_id"))
+    held = held.join(tags, F.col("node") == F.col("tag")).select("tag", "cell", F.col("first_id").alias("node")).distinct()
+    held = cut_lineage(held.select("cell", "node"), "ngram-held")
+    meeting = cut_lineage(held.select("node").distinct(), "ngram-meeting")
+    firsts = copies.select("first.*").join(meeting, F.col("doc_id") == F.col("node"), "left_semi").select(F.col("row").alias("first_row"))
+    nodes = likely(sized, meeting).join(firsts, F.col("row") == F.col("first_row"), "left_semi")
+    nodes = cut_lineage(nodes.select(F.col("doc_id").alias("node"), "n_shingles", "n_bytes", "signature", "point", "fine"), "ngram-nodes")
     # a cell's hub is its most central member, the one whose cells have most members
     central = held.join(held.groupBy("cell").agg(F.count("*").alias("m")), "cell").groupBy("node").agg(F.sum("m").alias("degree"))
     best = held.join(central, "node").groupBy("cell").agg(F.min_by("node", F.struct(-F.col("degree"), F.col("node"))).alias("hub"))
@@ -470,7 +490,8 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     often = members.where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
     stars = often.groupBy("node").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
     vectors = nodes.select("node", "n_shingles", "point")
-    ends = stars.join(vectors, "node").join(vectors.select(F.col("node").alias("hub"), F.col("n_shingles").alias("hub_shingles"), F.col("point").alias("hub_point")), "hub")
+    ends = stars.join(nodes.select("node", "n_shingles", "point", "fine"), "node").join(nodes.select(
+        F.col("node").alias("hub"), F.col("n_shingles").alias("hub_shingles"), F.col("point").alias("hub_point"), F.col("fine").alias("hub_fine")), "hub")
     stars = cut_lineage(map_arrow(ends, _likely_stars, "node long, hub long"), "ngram-stars")
     known = nodes.select("node", "n_bytes", "signature")
     star = stars.join(known, "node").select(F.col("hub").alias("group"), "node", "n_bytes", "signature")

@@ -119,6 +119,54 @@ def test_cells_shared_within_and_across_batches():
     assert set(zip(*got.to_pydict().values())) == {(c, i) for c, nodes in holders.items() if len(nodes) > 1 for i in nodes}
 
 
+def test_copies_alone_share_no_cell():
+    """Copies bring equal (cell, tag) pairs, in one batch or in several."""
+    batches = [pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(own, pa.list_(pa.int64()))], names=["node", "cells"])
+               for nodes, own in (([1, 1, 2], [[5, 6], [5, 6], [6]]), ([1, 3], [[5, 6], [8]]), ([3, 3], [[8], [8]]))]
+    rows = pa.Table.from_batches(list(N._packed(2)(iter(batches))))
+    got = pa.Table.from_batches(list(N._shared(2)(iter(rows.sort_by("part").to_batches()))))
+    assert set(zip(*got.to_pydict().values())) == {(6, 1), (6, 2)}
+
+
+def test_tokens_that_agree_in_their_last_bits_alone_share_no_cell():
+    one = np.arange(256, dtype=np.uint64) << np.uint64(56)  # some in every slice
+    sets = np.concatenate([one, one | np.uint64(1 << 20)])
+    a, b = N.cells(sets, np.array([0, 256, 512]))
+    assert len(a) > 30 and not set(a.tolist()) & set(b.tolist())
+
+
+def test_cells_are_packed_where_they_are_made(spark, monkeypatch):
+    """Rows with their cells are neither joined nor dealt anew before they are packed."""
+
+    class Seen(Exception):
+        pass
+
+    def seen(df, name, *more, cut=N.cut_lineage):
+        if name == "ngram-held":
+            raise Seen(df._jdf.queryExecution().optimizedPlan().toString())
+        return cut(df, name, *more)
+
+    monkeypatch.setattr(N, "cut_lineage", seen)
+    with pytest.raises(Seen) as plan:
+        N.ngram_join(C.documents(spark))
+    below = str(plan.value).split("MapInArrow")[2]  # what stands under the packing, to its first table
+    below = below[: below.index("Relation") + below[below.index("Relation") :].index("parquet")]
+    assert "cells" in below and "Join" not in below and "Repartition" not in below
+
+
+def test_fine_points_rule_hub_pairs_out():
+    """Sets whose coarse points are equal and whose fine points are not; a similar pair stays."""
+    coarse = np.arange(1200, dtype=np.uint64) % np.uint64(N.GROUPS)
+    a, b = (np.unique(coarse + np.uint64(N.GROUPS) * (np.arange(1200, dtype=np.uint64) * np.uint64(2) + np.uint64(k))) for k in (0, 1))
+    sets, bounds = np.concatenate([a, b, a[:-20]]), np.cumsum([0, 1200, 1200, 1180])
+    point, fine = [p.tobytes() for p in N.points(sets, bounds)], N.fine_points(sets, bounds)
+    assert point[0] == point[1]
+    rows = [{"node": x, "hub": 0, "n_shingles": int(bounds[x + 1] - bounds[x]), "hub_shingles": 1200, "point": point[x], "hub_point": point[0],
+             "fine": fine[x], "hub_fine": fine[0]} for x in (1, 2)]
+    got = [r for batch in N._likely_stars(iter(pa.Table.from_pylist(rows).to_batches())) for r in batch.to_pylist()]
+    assert got == [{"node": 2, "hub": 0}]
+
+
 def test_tree_finds_all_that_the_bound_allows():
     rng = np.random.default_rng(8)
     centre = rng.integers(0, 9, (30, N.GROUPS))
